@@ -42,6 +42,7 @@ from courtline.operators import (
     union_all_by_name,
 )
 from courtline.plans.catalog import RUN_DATE, table
+from courtline.session import ensure_parallel
 
 # The 30 team codes of the stats site, alphabetical.
 SITE_TEAM_CODES = ["ATL", "BOS", "BRK", "CHI", "CHO", "CLE", "DAL", "DEN", "DET", "GSW",
@@ -67,7 +68,7 @@ def _code(idx: Column) -> Column:
 
 # ---------------------------------------------------------------- S1 accent fold
 def ascii_fold(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = ensure_parallel(table(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", accent_fold("text").alias("folded"))
 
 

@@ -76,3 +76,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/courtline-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ensure_parallel(df, min_partitions: int | None = None):
+    """Spread a narrow input over the cluster before a CPU-heavy Python step.
+
+    Repartitions (round robin) only when the input has fewer partitions than the cluster
+    has cores; a large input that already has enough splits is left alone, so at scale
+    this adds no shuffle."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df

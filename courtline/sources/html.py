@@ -1,0 +1,396 @@
+"""HTML extraction from a landed ``pages(page_id, url, html)`` table.
+
+Both scans are ``mapInPandas`` over Arrow batches of pages: each page is parsed once with
+the standard-library ``html.parser`` inside the task that holds it, and only compact rows
+leave the Python worker (the ``html`` column is projected away right there).
+
+* :func:`table_rows` emits one row per ``<tr>`` with the cell texts as an array, colspan and
+  rowspan expanded.  A positional rename is then ``get(cells, i)``: no long cell table and
+  no pivot, so no shuffle.
+* :func:`list_items` emits one row per ``<li>`` of the selected ``<ul>`` lists, with the
+  ``<span>`` date and the ``<p>`` items of the entry.
+
+Tolerances: unclosed ``<td>``/``<tr>``/``<p>``/``<li>`` are closed implicitly; script and
+style bodies are raw text to the parser (a ``"</p>"`` string inside a script is not a tag)
+and contribute no cell text; entities are decoded.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from courtline.session import ensure_parallel
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
+        "source", "track", "wbr"}
+RAW_TEXT = {"script", "style"}
+
+TABLE_ROW_SCHEMA = T.StructType([
+    T.StructField("page_id", T.LongType()),
+    T.StructField("table_idx", T.IntegerType()),
+    T.StructField("row_idx", T.IntegerType()),
+    T.StructField("section", T.StringType()),
+    T.StructField("header_row", T.BooleanType()),
+    T.StructField("cells", T.ArrayType(T.StringType())),
+    T.StructField("td_cells", T.ArrayType(T.StringType())),
+    T.StructField("img_alts", T.ArrayType(T.StringType())),
+    T.StructField("alt_col", T.IntegerType()),
+    T.StructField("header", T.ArrayType(T.ArrayType(T.StringType()))),
+])
+
+LIST_ITEM_SCHEMA = T.StructType([
+    T.StructField("page_id", T.LongType()),
+    T.StructField("ul_idx", T.IntegerType()),
+    T.StructField("li_idx", T.IntegerType()),
+    T.StructField("date", T.StringType()),
+    T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("text", T.StringType()),
+    T.StructField("href", T.StringType()),
+])
+
+
+class _Cell:
+    __slots__ = ("tag", "parts", "alt", "colspan", "rowspan")
+
+    def __init__(self, tag: str, colspan: int, rowspan: int):
+        self.tag, self.parts, self.alt = tag, [], None
+        self.colspan, self.rowspan = colspan, rowspan
+
+
+class _Table:
+    __slots__ = ("idx", "rows", "cur", "cell", "section", "carry")
+
+    def __init__(self, idx: int):
+        self.idx, self.rows, self.cur, self.cell = idx, [], None, None
+        self.section = None
+        self.carry: dict[int, list] = {}  # col -> [rows_left, text, tag, alt]
+
+
+def _span(attrs: dict, name: str) -> int:
+    try:
+        return max(1, min(int(str(attrs.get(name, "1")).strip() or 1), 1000))
+    except ValueError:
+        return 1
+
+
+class TableParser(HTMLParser):
+    """Collects every table of a page as rows of (tag, text, img alt) cells."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.tables: list[_Table] = []
+        self.stack: list[_Table] = []
+        self.raw_depth = 0
+        self.out: list[tuple] = []  # (table_idx, row_idx, section, cells[(tag,text,alt)])
+
+    # -- structure
+    def _finish_cell(self, t: _Table) -> None:
+        if t.cell is not None and t.cur is not None:
+            t.cur.append(t.cell)
+        t.cell = None
+
+    def _finish_row(self, t: _Table) -> None:
+        self._finish_cell(t)
+        if t.cur is None:
+            return
+        row, col = [], 0
+        cells = iter(t.cur)
+        pending = next(cells, None)
+        while pending is not None or any(c >= col for c in t.carry):
+            if col in t.carry:
+                left, text, tag, alt = t.carry[col]
+                row.append((tag, text, alt))
+                if left <= 1:
+                    del t.carry[col]
+                else:
+                    t.carry[col][0] = left - 1
+                col += 1
+                continue
+            if pending is None:
+                break
+            text = "".join(pending.parts)
+            for k in range(pending.colspan):
+                row.append((pending.tag, text, pending.alt))
+                if pending.rowspan > 1:
+                    t.carry[col + k] = [pending.rowspan - 1, text, pending.tag, pending.alt]
+            col += pending.colspan
+            pending = next(cells, None)
+        t.rows.append((t.section, row))
+        t.cur = None
+
+    def _close_table(self) -> None:
+        t = self.stack.pop()
+        self._finish_row(t)
+        for r, (section, row) in enumerate(t.rows):
+            self.out.append((t.idx, r, section, row))
+
+    def handle_starttag(self, tag, attrs):
+        if tag in RAW_TEXT:
+            self.raw_depth += 1
+            return
+        a = dict(attrs)
+        if tag == "table":
+            t = _Table(len(self.tables))
+            self.tables.append(t)
+            self.stack.append(t)
+            return
+        if not self.stack:
+            return
+        t = self.stack[-1]
+        if tag in ("thead", "tbody", "tfoot"):
+            self._finish_row(t)
+            t.section = tag
+        elif tag == "tr":
+            self._finish_row(t)
+            t.cur = []
+        elif tag in ("td", "th"):
+            if t.cur is None:
+                t.cur = []
+            self._finish_cell(t)
+            t.cell = _Cell(tag, _span(a, "colspan"), _span(a, "rowspan"))
+        elif tag == "img" and t.cell is not None and t.cell.alt is None:
+            t.cell.alt = a.get("alt")
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if tag in RAW_TEXT:
+            self.raw_depth = max(0, self.raw_depth - 1)
+
+    def handle_endtag(self, tag):
+        if tag in RAW_TEXT:
+            self.raw_depth = max(0, self.raw_depth - 1)
+            return
+        if not self.stack:
+            return
+        t = self.stack[-1]
+        if tag == "table":
+            self._close_table()
+        elif tag == "tr":
+            self._finish_row(t)
+        elif tag in ("td", "th"):
+            self._finish_cell(t)
+        elif tag in ("thead", "tbody", "tfoot"):
+            self._finish_row(t)
+            t.section = None
+
+    def handle_data(self, data):
+        if self.raw_depth:
+            return
+        for t in self.stack:  # text belongs to every enclosing open cell (nested tables)
+            if t.cell is not None:
+                t.cell.parts.append(data)
+
+    def finish(self) -> list[tuple]:
+        self.close()
+        while self.stack:
+            self._close_table()
+        return self.out
+
+
+def parse_tables(html: str) -> list[tuple]:
+    """(table_idx, row_idx, section, [(tag, text, alt), ...]) for every row of every table."""
+    p = TableParser()
+    p.feed(html or "")
+    return p.finish()
+
+
+def header_levels(rows: list[tuple]) -> dict[int, list[list[str]]]:
+    """Per table, the column names as lists of header levels: the ``<thead>`` rows, or else
+    the leading rows made only of ``<th>`` cells."""
+    by_table: dict[int, list[list]] = {}
+    for ti, _ri, section, cells in rows:
+        by_table.setdefault(ti, []).append((section, cells))
+    out = {}
+    for ti, trs in by_table.items():
+        head = [c for s, c in trs if s == "thead"]
+        if not head:
+            for s, c in trs:
+                if c and all(x[0] == "th" for x in c):
+                    head.append(c)
+                else:
+                    break
+        width = max((len(c) for c in head), default=0)
+        out[ti] = [[c[i][1].strip() if i < len(c) else "" for c in head] for i in range(width)]
+    return out
+
+
+def _table_rows_fn(id_col: str, html_col: str, tables: Sequence[int] | None,
+                   locate_alt: tuple[str, int] | None):
+    wanted = set(tables) if tables is not None else None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = {f.name: [] for f in TABLE_ROW_SCHEMA.fields}
+            for pid, html in zip(pdf[id_col].tolist(), pdf[html_col].tolist()):
+                rows = parse_tables(html)
+                headers = header_levels(rows)
+                alt_col = None
+                if locate_alt is not None:
+                    name, t_idx = locate_alt
+                    for ti, _r, _s, cells in rows:
+                        if ti != t_idx or alt_col is not None:
+                            continue
+                        for ci, (tag, _x, alt) in enumerate(cells):
+                            if tag == "th" and alt == name:
+                                alt_col = ci
+                                break
+                for ti, ri, section, cells in rows:
+                    if wanted is not None and ti not in wanted:
+                        continue
+                    out["page_id"].append(pid)
+                    out["table_idx"].append(ti)
+                    out["row_idx"].append(ri)
+                    out["section"].append(section)
+                    out["header_row"].append(section == "thead" or
+                                             (bool(cells) and all(c[0] == "th" for c in cells)))
+                    out["cells"].append([c[1] for c in cells])
+                    out["td_cells"].append([c[1] for c in cells if c[0] == "td"])
+                    out["img_alts"].append([c[2] for c in cells])
+                    out["alt_col"].append(alt_col)
+                    out["header"].append(headers.get(ti, []))
+            yield pd.DataFrame(out, columns=[f.name for f in TABLE_ROW_SCHEMA.fields])
+
+    return run
+
+
+def table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+               tables: Sequence[int] | None = None,
+               locate_alt: tuple[str, int] | None = None) -> DataFrame:
+    """One row per table row of every page: ``(page_id, table_idx, row_idx, section,
+    header_row, cells, td_cells, img_alts, alt_col, header)``; ``header`` holds, per column,
+    the texts of the table's header levels (flatten with ``array_join`` or take the last).
+
+    ``tables`` keeps only those table positions (``read_html(...)[n]``).  ``locate_alt =
+    (name, t)`` fills ``alt_col`` with the position of the header cell of table ``t`` whose
+    image alt text is ``name`` (the sportsbook column), null when absent."""
+    src = ensure_parallel(pages.select(pages[id_col].cast("long").alias(id_col), pages[html_col]))
+    return src.mapInPandas(_table_rows_fn(id_col, html_col, tables, locate_alt),
+                           TABLE_ROW_SCHEMA)
+
+
+class ListParser(HTMLParser):
+    """Collects the ``<li>`` entries of ``<ul>`` lists (optionally of one class)."""
+
+    def __init__(self, ul_class: str | None):
+        super().__init__(convert_charrefs=True)
+        self.ul_class = ul_class
+        self.ul_depth = 0          # depth of matched <ul> nesting
+        self.ul_idx = -1
+        self.li = None             # current entry: dict
+        self.in_span = self.in_p = False
+        self.raw_depth = 0
+        self.out: list[tuple] = []
+        self.li_count = 0
+
+    def _close_p(self):
+        if self.in_p and self.li is not None:
+            self.li["items"].append("".join(self.li["p"]))
+        self.in_p = False
+
+    def _close_li(self):
+        self._close_p()
+        if self.li is not None:
+            e = self.li
+            self.out.append((self.ul_idx, e["idx"], e["date"], e["items"], "".join(e["text"]),
+                             e["href"]))
+        self.li = None
+        self.in_span = False
+
+    def handle_starttag(self, tag, attrs):
+        if tag in RAW_TEXT:
+            self.raw_depth += 1
+            return
+        a = dict(attrs)
+        if tag == "ul":
+            classes = (a.get("class") or "").split()
+            if self.ul_depth == 0 and (self.ul_class is None or self.ul_class in classes):
+                self.ul_depth = 1
+                self.ul_idx += 1
+                self.li_count = 0
+            elif self.ul_depth:
+                self.ul_depth += 1
+            return
+        if not self.ul_depth:
+            return
+        if tag == "li" and self.ul_depth == 1:
+            self._close_li()
+            self.li = {"idx": self.li_count, "date": None, "items": [], "text": [], "p": [],
+                       "href": None, "span": []}
+            self.li_count += 1
+        elif self.li is None:
+            return
+        elif tag == "span" and self.li["date"] is None and not self.in_span:
+            self.in_span = True
+            self.li["span"] = []
+        elif tag == "p":
+            self._close_p()
+            self.in_p = True
+            self.li["p"] = []
+        elif tag == "a" and self.li["href"] is None:
+            self.li["href"] = a.get("href")
+
+    def handle_endtag(self, tag):
+        if tag in RAW_TEXT:
+            self.raw_depth = max(0, self.raw_depth - 1)
+            return
+        if not self.ul_depth:
+            return
+        if tag == "ul":
+            self.ul_depth -= 1
+            if self.ul_depth == 0:
+                self._close_li()
+        elif self.li is None:
+            return
+        elif tag == "li" and self.ul_depth == 1:
+            self._close_li()
+        elif tag == "span" and self.in_span:
+            self.li["date"] = "".join(self.li["span"])
+            self.in_span = False
+        elif tag == "p":
+            self._close_p()
+
+    def handle_data(self, data):
+        if self.raw_depth or self.li is None:
+            return
+        self.li["text"].append(data)
+        if self.in_span:
+            self.li["span"].append(data)
+        if self.in_p:
+            self.li["p"].append(data)
+
+    def finish(self) -> list[tuple]:
+        self.close()
+        self._close_li()
+        return self.out
+
+
+def parse_lists(html: str, ul_class: str | None = None) -> list[tuple]:
+    p = ListParser(ul_class)
+    p.feed(html or "")
+    return p.finish()
+
+
+def list_items(pages: DataFrame, ul_class: str | None = None, id_col: str = "page_id",
+               html_col: str = "html") -> DataFrame:
+    """One row per ``<li>`` of the selected lists: ``(page_id, ul_idx, li_idx, date, items,
+    text, href)``; ``date`` is the entry's first ``<span>`` text (null when absent), ``items``
+    the texts of its ``<p>`` elements."""
+    src = ensure_parallel(pages.select(pages[id_col].cast("long").alias(id_col), pages[html_col]))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = {f.name: [] for f in LIST_ITEM_SCHEMA.fields}
+            for pid, html in zip(pdf[id_col].tolist(), pdf[html_col].tolist()):
+                for ul, li, date, items, text, href in parse_lists(html, ul_class):
+                    for k, v in (("page_id", pid), ("ul_idx", ul), ("li_idx", li),
+                                 ("date", date), ("items", items), ("text", text),
+                                 ("href", href)):
+                        out[k].append(v)
+            yield pd.DataFrame(out, columns=[f.name for f in LIST_ITEM_SCHEMA.fields])
+
+    return src.mapInPandas(run, LIST_ITEM_SCHEMA)
