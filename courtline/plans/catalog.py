@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.session import apply_semantic_conf
+from courtline.session import apply_semantic_conf, ensure_parallel
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -21,6 +21,10 @@ CUTOFF_TS = dt.datetime(2024, 1, 20, 0, 0, 0)
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one input table; the parquet scan gets column pruning and filter pushdown from
-    whatever the query does next."""
+    whatever the query does next.
+
+    A file with a single row group is a single scan split, i.e. one task for the whole
+    first stage; such an input is spread over the cores (round robin) right after the scan.
+    Inputs with enough splits - any table at scale - are left as they are."""
     apply_semantic_conf(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallel(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

@@ -3,8 +3,8 @@ multi-table publish through one manifest write.
 
 Layout under ``root``::
 
-    <table>/v=<seq>/_bucket=<b>/part-*.parquet    data written by commit <seq>
-    _manifest/seq=<seq>/part-*.json               one row per (table, bucket) it published
+    <table>/_cl_version=<seq>/_cl_bucket=<b>/part-*.parquet   data written by commit <seq>
+    _manifest/seq=<seq>/part-*.json                          one row per (table, bucket)
 
 Keyed tables are hash-bucketed on their key (``pmod(xxhash64(keys), buckets)``).  An upsert
 reads and rewrites only the buckets its batch touches; untouched buckets keep pointing at
@@ -47,7 +47,7 @@ MANIFEST_SCHEMA = T.StructType([
 class Pending:
     """Work staged for one commit."""
     writes: list[tuple[str, DataFrame, str, str]] = field(default_factory=list)
-    # (table, df, kind, path) ; kind: bucket (partitioned by _bucket) | segment
+    # (table, df, kind, path) ; kind: bucket (partitioned by _cl_bucket) | segment | reset
     touched: dict[str, list[int]] = field(default_factory=dict)
 
 
@@ -105,7 +105,7 @@ class TableStore:
         if not paths:
             return None if schema is None else self.spark.createDataFrame([], schema)
         df = self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*paths)
-        return df.drop("v", "_bucket")
+        return df.drop("_cl_version", "_cl_bucket")
 
     # ------------------------------------------------------------------ staged writes
     def stage_upsert(self, table: str, batch: DataFrame, keys: Sequence[str], run_ts: Column,
@@ -117,13 +117,13 @@ class TableStore:
         touched for unchanged rows).  Returns the rows that will be applied."""
         if order_col:
             batch = dedup_batch(batch, keys, order_col)
-        batch = batch.withColumn("_bucket", bucket_of(keys, self.buckets))
-        touched = sorted(r[0] for r in batch.select("_bucket").distinct().collect())
+        batch = batch.withColumn("_cl_bucket", bucket_of(keys, self.buckets))
+        touched = sorted(r[0] for r in batch.select("_cl_bucket").distinct().collect())
         if not touched:
-            return batch.drop("_bucket")
+            return batch.drop("_cl_bucket")
         target = self.read(table, buckets=touched)
         if target is not None:
-            target = target.withColumn("_bucket", bucket_of(keys, self.buckets))
+            target = target.withColumn("_cl_bucket", bucket_of(keys, self.buckets))
             if compare_cols:
                 batch = changed_rows(batch, target, keys, compare_cols, null_safe_keys)
         else:
@@ -131,20 +131,22 @@ class TableStore:
             target = (batch.limit(0)
                       .withColumn("created_at", F.lit(None).cast(stamp))
                       .withColumn("modified_at", F.lit(None).cast(stamp)))
-        merged = merge_keyed(target, batch, list(keys) + ["_bucket"], run_ts,
+        merged = merge_keyed(target, batch, list(keys) + ["_cl_bucket"], run_ts,
                              null_safe_keys=null_safe_keys)
-        path = f"{self.root}/{table}/v={{seq}}"
+        path = f"{self.root}/{table}/_cl_version={{seq}}"
         self.pending.writes.append((table, merged, "bucket", path))
         self.pending.touched[table] = touched
-        return batch.drop("_bucket")
+        return batch.drop("_cl_bucket")
 
     def stage_append(self, table: str, df: DataFrame) -> None:
         """Stage a snapshot append (a new segment; nothing existing is rewritten)."""
-        self.pending.writes.append((table, df, "segment", f"{self.root}/{table}/v={{seq}}"))
+        path = f"{self.root}/{table}/_cl_version={{seq}}"
+        self.pending.writes.append((table, df, "segment", path))
 
     def stage_replace(self, table: str, df: DataFrame) -> None:
         """Stage a full replacement (all older buckets and segments retired)."""
-        self.pending.writes.append((table, df, "reset", f"{self.root}/{table}/v={{seq}}"))
+        path = f"{self.root}/{table}/_cl_version={{seq}}"
+        self.pending.writes.append((table, df, "reset", path))
 
     # ------------------------------------------------------------------ publish
     def commit(self, run_id: str, committed_at: dt.datetime | None = None) -> int:
@@ -156,9 +158,9 @@ class TableStore:
         for table, df, kind, path_t in self.pending.writes:
             path = path_t.format(seq=f"{seq:010d}")
             if kind == "bucket":
-                df.write.mode("errorifexists").partitionBy("_bucket").parquet(path)
+                df.write.mode("errorifexists").partitionBy("_cl_bucket").parquet(path)
                 for b in self.pending.touched.get(table, []):
-                    rows.append((seq, table, "bucket", b, f"{path}/_bucket={b}", run_id,
+                    rows.append((seq, table, "bucket", b, f"{path}/_cl_bucket={b}", run_id,
                                  committed))
             else:
                 df.write.mode("errorifexists").parquet(path)

@@ -1,0 +1,123 @@
+"""Scalar functions, parametrised input -> output tables (cases from the source pipelines'
+unit tests where they exist)."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from courtline.functions import (
+    accent_fold,
+    clean_names,
+    currency_to_long,
+    date_time_to_ts,
+    extract_first,
+    extract_tokens_joined,
+    map_values,
+    md5_key,
+    parse_long_date,
+    parse_weekday_date,
+    schedule_months,
+    season_label,
+    season_type,
+    spread_filter,
+    zero_pad,
+)
+from courtline.functions.text import TEAM_CODE_MAP
+
+
+def one(spark, col, value, schema="v string"):
+    return spark.createDataFrame([(value,)], schema).select(col.alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("+16.0 -112 -16.0 -108", "+16.0 -16.0"),
+    ("+7.0 -108 -7.0 -112", "+7.0 -7.0"),
+    ("-8.0 -112 +8.0 -108", "-8.0 +8.0"),
+    ("-6.0 -112 +6.0 -108", "-6.0 +6.0"),
+    ("+11.5 -110 -11.5 -110", "+11.5 -11.5"),
+    ("7 -110 30 +EVEN", "7"),            # bare ints <= 25 kept, junk dropped not raised
+])
+def test_spread_filter(spark, raw, expected):
+    assert one(spark, spread_filter(F.col("v")), raw) == expected
+
+
+@pytest.mark.parametrize("raw,expected", [
+    ("Marcus Morris IV", "Marcus Morris"),
+    ("Kelly Oubre Jr.", "Kelly Oubre"),
+    ("Marcus Morris Sr.", "Marcus Morris"),
+    ("Robert Williams IV", "Robert Williams"),
+    ("Gary Payton II", "Gary Payton"),
+    ("Foobar II", "Foobar"),
+    ("Robert Williams III", "Robert Williams"),
+])
+def test_clean_names(spark, raw, expected):
+    assert one(spark, clean_names(F.col("v")), raw) == expected
+
+
+@pytest.mark.parametrize("value,expected", [(1, "01"), (9, "09"), (10, "10"), (123, "123")])
+def test_zero_pad(spark, value, expected):
+    assert one(spark, zero_pad(F.col("v")), value, "v int") == expected
+
+
+@pytest.mark.parametrize("season,playoff,expected", [
+    (1, 0, ["october", "november", "december", "january", "february", "march", "april"]),
+    (1, 1, ["april", "may", "june"]),
+    (0, 0, []),
+    (0, 1, []),
+    (1, 999, ["april", "may", "june"]),
+    (1, -1, ["april", "may", "june"]),
+])
+def test_schedule_months(season, playoff, expected):
+    assert schedule_months(season, playoff) == expected
+
+
+@pytest.mark.parametrize("d,expected", [
+    (dt.date(2025, 4, 8), "Regular Season"),
+    (dt.date(2025, 4, 17), "Play-In"),
+    (dt.date(2025, 4, 23), "Playoffs"),
+    (dt.date(2025, 4, 15), "Playoffs"),   # the gap day
+])
+def test_season_type(spark, d, expected):
+    assert one(spark, season_type(F.col("v")), d, "v date") == expected
+
+
+def test_season_label():
+    assert season_label(2026) == "2025-26"
+
+
+def test_accent_fold(spark):
+    assert one(spark, accent_fold(F.col("v")), "Nikola Jokić") == "Nikola Jokic"
+    assert one(spark, accent_fold(F.col("v")), "Dāvis Bertāns") == "Davis Bertans"
+    assert one(spark, accent_fold(F.col("v")), None) is None
+
+
+def test_team_map_whole_value_only(spark):
+    m = {"BK": "BKN", **TEAM_CODE_MAP}
+    assert one(spark, map_values(F.col("v"), m), "BKN") == "BKN"    # not BKNN
+    assert one(spark, map_values(F.col("v"), m), "PHO") == "PHX"
+    assert one(spark, map_values(F.col("v"), m), "LAL") == "LAL"
+
+
+def test_extracts(spark):
+    assert one(spark, extract_first(F.col("v"), r"(?iU)o\s+([\d.]+)"), "O 221.5 -110") == "221.5"
+    assert one(spark, extract_first(F.col("v"), r"(?iU)o\s+([\d.]+)"), "u 221.5") is None
+    assert one(spark, extract_tokens_joined(F.col("v")), "7:30p BOS\xa0NYK") == "BOS NYK"
+
+
+def test_md5_key_matches_python(spark):
+    import hashlib
+    row = spark.createDataFrame([("é", None, "u")], "a string, b string, c string").select(
+        md5_key("a", "b", "c").alias("h")).first()
+    assert row["h"] == hashlib.md5("éNoneu".encode()).hexdigest()
+
+
+def test_currency_and_dates(spark):
+    assert one(spark, currency_to_long(F.col("v")), "$59,606,817") == 59606817
+    assert one(spark, parse_long_date(F.col("v")), "October 1, 2024") == dt.date(2024, 10, 1)
+    # a wrong weekday still parses (the weekday is dropped)
+    assert one(spark, parse_weekday_date(F.col("v")), "Tue, May 15, 2023") == dt.date(2023, 5, 15)
+    df = spark.createDataFrame([(dt.date(2024, 1, 31), "9:30"), (dt.date(2024, 1, 31), "20:05"),
+                                (dt.date(2024, 1, 31), "TBD")], "d date, t string")
+    got = [r["ts"] for r in df.select(date_time_to_ts("d", "t").alias("ts")).collect()]
+    assert got == [dt.datetime(2024, 1, 31, 9, 30), dt.datetime(2024, 1, 31, 20, 5), None]
