@@ -41,6 +41,7 @@ TABLE_ROW_SCHEMA = T.StructType([
     T.StructField("img_alts", T.ArrayType(T.StringType())),
     T.StructField("alt_col", T.IntegerType()),
     T.StructField("header", T.ArrayType(T.ArrayType(T.StringType()))),
+    T.StructField("body_idx", T.IntegerType()),
 ])
 
 LIST_ITEM_SCHEMA = T.StructType([
@@ -199,36 +200,53 @@ def parse_tables(html: str) -> list[tuple]:
     return p.finish()
 
 
-def header_levels(rows: list[tuple]) -> dict[int, list[list[str]]]:
-    """Per table, the column names as lists of header levels: the ``<thead>`` rows, or else
-    the leading rows made only of ``<th>`` cells."""
-    by_table: dict[int, list[list]] = {}
-    for ti, _ri, section, cells in rows:
-        by_table.setdefault(ti, []).append((section, cells))
-    out = {}
+def _header_rows(trs: list[tuple]) -> set[int]:
+    """Positions of a table's header rows: its ``<thead>`` rows, or else the leading rows
+    made only of ``<th>`` cells (how a table reader picks column names)."""
+    head = {i for i, (s, _c) in enumerate(trs) if s == "thead"}
+    if not head:
+        for i, (_s, c) in enumerate(trs):
+            if c and all(x[0] == "th" for x in c):
+                head.add(i)
+            else:
+                break
+    return head
+
+
+def header_levels(rows: list[tuple]) -> tuple[dict[int, list[list[str]]], dict[tuple, int]]:
+    """Per table, the column names as lists of header levels, and the body position of each
+    non-header row ``(table_idx, row_idx) -> body_idx``."""
+    by_table: dict[int, list[tuple]] = {}
+    for ti, ri, section, cells in rows:
+        by_table.setdefault(ti, []).append((ri, section, cells))
+    names, body = {}, {}
     for ti, trs in by_table.items():
-        head = [c for s, c in trs if s == "thead"]
-        if not head:
-            for s, c in trs:
-                if c and all(x[0] == "th" for x in c):
-                    head.append(c)
-                else:
-                    break
+        trs.sort(key=lambda x: x[0])
+        head_pos = _header_rows([(s, c) for _r, s, c in trs])
+        head = [c for i, (_r, _s, c) in enumerate(trs) if i in head_pos]
         width = max((len(c) for c in head), default=0)
-        out[ti] = [[c[i][1].strip() if i < len(c) else "" for c in head] for i in range(width)]
-    return out
+        names[ti] = [[c[i][1].strip() if i < len(c) else "" for c in head] for i in range(width)]
+        k = 0
+        for i, (r, _s, _c) in enumerate(trs):
+            if i not in head_pos:
+                body[(ti, r)] = k
+                k += 1
+    return names, body
 
 
 def _table_rows_fn(id_col: str, html_col: str, tables: Sequence[int] | None,
-                   locate_alt: tuple[str, int] | None):
+                   locate_alt: tuple[str, int] | None, carry: Sequence[str]):
     wanted = set(tables) if tables is not None else None
+    names = [f.name for f in TABLE_ROW_SCHEMA.fields] + list(carry)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = {f.name: [] for f in TABLE_ROW_SCHEMA.fields}
-            for pid, html in zip(pdf[id_col].tolist(), pdf[html_col].tolist()):
+            out = {n: [] for n in names}
+            carried = list(zip(*[pdf[c].tolist() for c in carry])) if carry else None
+            for k, (pid, html) in enumerate(zip(pdf[id_col].tolist(),
+                                                pdf[html_col].tolist())):
                 rows = parse_tables(html)
-                headers = header_levels(rows)
+                headers, body_pos = header_levels(rows)
                 alt_col = None
                 if locate_alt is not None:
                     name, t_idx = locate_alt
@@ -253,24 +271,35 @@ def _table_rows_fn(id_col: str, html_col: str, tables: Sequence[int] | None,
                     out["img_alts"].append([c[2] for c in cells])
                     out["alt_col"].append(alt_col)
                     out["header"].append(headers.get(ti, []))
-            yield pd.DataFrame(out, columns=[f.name for f in TABLE_ROW_SCHEMA.fields])
+                    out["body_idx"].append(body_pos.get((ti, ri)))
+                    for c, v in zip(carry, carried[k] if carry else ()):
+                        out[c].append(v)
+            yield pd.DataFrame(out, columns=names)
 
     return run
 
 
 def table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                tables: Sequence[int] | None = None,
-               locate_alt: tuple[str, int] | None = None) -> DataFrame:
+               locate_alt: tuple[str, int] | None = None,
+               carry: Sequence[str] = ()) -> DataFrame:
     """One row per table row of every page: ``(page_id, table_idx, row_idx, section,
-    header_row, cells, td_cells, img_alts, alt_col, header)``; ``header`` holds, per column,
-    the texts of the table's header levels (flatten with ``array_join`` or take the last).
+    header_row, cells, td_cells, img_alts, alt_col, header, body_idx)``; ``header`` holds,
+    per column, the texts of the table's header levels (flatten with ``array_join`` or take
+    the last); ``body_idx`` numbers the non-header rows of a table from 0 (null on header
+    rows), which is how rows of sibling tables line up.
 
     ``tables`` keeps only those table positions (``read_html(...)[n]``).  ``locate_alt =
     (name, t)`` fills ``alt_col`` with the position of the header cell of table ``t`` whose
-    image alt text is ``name`` (the sportsbook column), null when absent."""
-    src = ensure_parallel(pages.select(pages[id_col].cast("long").alias(id_col), pages[html_col]))
-    return src.mapInPandas(_table_rows_fn(id_col, html_col, tables, locate_alt),
-                           TABLE_ROW_SCHEMA)
+    image alt text is ``name`` (the sportsbook column), null when absent.  ``carry`` names
+    page columns (a date, a team) copied onto every row of the page, so no join back to
+    the pages is needed."""
+    carry = list(carry)
+    src = ensure_parallel(pages.select(pages[id_col].cast("long").alias(id_col), pages[html_col],
+                                       *carry))
+    schema = T.StructType(TABLE_ROW_SCHEMA.fields + [pages.schema[c] for c in carry])
+    return src.mapInPandas(_table_rows_fn(id_col, html_col, tables, locate_alt, carry),
+                           schema)
 
 
 class ListParser(HTMLParser):
