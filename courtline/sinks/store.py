@@ -11,9 +11,10 @@ reads and rewrites only the buckets its batch touches; untouched buckets keep po
 the files of older versions (copy-on-write per bucket), so a daily batch costs what it
 touches, not the size of the table.  Snapshot tables only ever add segments.
 
-A commit first writes every data directory, then one manifest directory.  Readers resolve
-the newest manifest row per (table, bucket), so they see either all tables of a commit or
-none of them.  Single writer per store (the daily run); concurrent writers are not
+Staging writes each dataset once (the batch to a staging table, then its merged buckets to
+a new version directory); a commit then writes one manifest directory.  Readers resolve the
+newest manifest row per (table, bucket), so they see either all tables of a commit or none
+of them, and a dataset that fails while staging never reaches the manifest.  Single writer per store (the daily run); concurrent writers are not
 coordinated.
 """
 
@@ -21,10 +22,11 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,10 +47,11 @@ MANIFEST_SCHEMA = T.StructType([
 
 @dataclass
 class Pending:
-    """Work staged for one commit."""
-    writes: list[tuple[str, DataFrame, str, str]] = field(default_factory=list)
-    # (table, df, kind, path) ; kind: bucket (partitioned by _cl_bucket) | segment | reset
+    """Work staged for one commit: data already written, not yet published."""
+    seq: int | None = None
+    rows: list[tuple] = field(default_factory=list)      # manifest rows to publish
     touched: dict[str, list[int]] = field(default_factory=dict)
+    counts: dict[str, int] = field(default_factory=dict)  # batch rows per table
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -108,19 +111,47 @@ class TableStore:
         return df.drop("_cl_version", "_cl_bucket")
 
     # ------------------------------------------------------------------ staged writes
+    def _seq(self) -> int:
+        if self.pending.seq is None:
+            self.pending.seq = self.next_seq()
+        return self.pending.seq
+
+    def _version_path(self, table: str) -> str:
+        return f"{self.root}/{table}/_cl_version={self._seq():010d}"
+
+    def _write_counted(self, df: DataFrame, path: str, partition_by: str | None = None) -> int:
+        obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(path)
+        return int(obs.get.get("n", 0))
+
     def stage_upsert(self, table: str, batch: DataFrame, keys: Sequence[str], run_ts: Column,
                      order_col: str | None = None, compare_cols: Sequence[str] | None = None,
-                     null_safe_keys: bool = False) -> DataFrame:
-        """Stage an upsert of ``batch`` (deduplicated on ``keys``, last ``order_col`` wins).
-
-        With ``compare_cols`` only new or changed rows are applied (``modified_at`` is not
-        touched for unchanged rows).  Returns the rows that will be applied."""
+                     null_safe_keys: bool = False) -> int:
+        """Stage an upsert of ``batch`` (deduplicated on ``keys``: the last ``order_col``
+        wins, or without one the largest row, so reruns are deterministic).
+
+        The batch is computed once and written to a staging table (cutting its lineage),
+        then only the buckets it touches are read, merged and rewritten.  With
+        ``compare_cols`` only new or changed rows are applied (``modified_at`` is left alone
+        on unchanged rows).  Returns the number of batch rows; nothing is visible to readers
+        before :meth:`commit`."""
         if order_col:
             batch = dedup_batch(batch, keys, order_col)
+        else:   # no order given: keep one row per key deterministically (largest row)
+            cols = batch.columns
+            batch = (batch.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in cols]))
+                                              .alias("_b")).select("_b.*"))
         batch = batch.withColumn("_cl_bucket", bucket_of(keys, self.buckets))
+        staged = f"{self.root}/_staging/{self._seq():010d}/{table}"
+        n = self._write_counted(batch, staged)
+        self.pending.counts[table] = n
+        if n == 0:
+            return 0
+        batch = self.spark.read.parquet(staged)
         touched = sorted(r[0] for r in batch.select("_cl_bucket").distinct().collect())
-        if not touched:
-            return batch.drop("_cl_bucket")
         target = self.read(table, buckets=touched)
         if target is not None:
             target = target.withColumn("_cl_bucket", bucket_of(keys, self.buckets))
@@ -133,40 +164,42 @@ class TableStore:
                       .withColumn("modified_at", F.lit(None).cast(stamp)))
         merged = merge_keyed(target, batch, list(keys) + ["_cl_bucket"], run_ts,
                              null_safe_keys=null_safe_keys)
-        path = f"{self.root}/{table}/_cl_version={{seq}}"
-        self.pending.writes.append((table, merged, "bucket", path))
+        path = self._version_path(table)
+        self._write_counted(merged, path, partition_by="_cl_bucket")
+        seq = self._seq()
+        for b in touched:
+            self.pending.rows.append((seq, table, "bucket", b, f"{path}/_cl_bucket={b}"))
         self.pending.touched[table] = touched
-        return batch.drop("_cl_bucket")
+        return n
 
-    def stage_append(self, table: str, df: DataFrame) -> None:
+    def stage_append(self, table: str, df: DataFrame) -> int:
         """Stage a snapshot append (a new segment; nothing existing is rewritten)."""
-        path = f"{self.root}/{table}/_cl_version={{seq}}"
-        self.pending.writes.append((table, df, "segment", path))
+        return self._stage_segment(table, df, "segment")
 
-    def stage_replace(self, table: str, df: DataFrame) -> None:
+    def stage_replace(self, table: str, df: DataFrame) -> int:
         """Stage a full replacement (all older buckets and segments retired)."""
-        path = f"{self.root}/{table}/_cl_version={{seq}}"
-        self.pending.writes.append((table, df, "reset", path))
+        return self._stage_segment(table, df, "reset")
+
+    def _stage_segment(self, table: str, df: DataFrame, kind: str) -> int:
+        path = self._version_path(table)
+        n = self._write_counted(df, path)
+        self.pending.counts[table] = n
+        self.pending.rows.append((self._seq(), table, kind, None, path))
+        return n
 
     # ------------------------------------------------------------------ publish
     def commit(self, run_id: str, committed_at: dt.datetime | None = None) -> int:
-        """Write every staged dataset, then publish them together with one manifest write.
-        Returns the commit sequence number."""
-        seq = self.next_seq()
+        """Publish everything staged since the last commit with one manifest write (the
+        data is already in place).  Returns the commit sequence number."""
+        seq = self._seq()
         committed = (committed_at or dt.datetime(1970, 1, 1)).isoformat()
-        rows = []
-        for table, df, kind, path_t in self.pending.writes:
-            path = path_t.format(seq=f"{seq:010d}")
-            if kind == "bucket":
-                df.write.mode("errorifexists").partitionBy("_cl_bucket").parquet(path)
-                for b in self.pending.touched.get(table, []):
-                    rows.append((seq, table, "bucket", b, f"{path}/_cl_bucket={b}", run_id,
-                                 committed))
-            else:
-                df.write.mode("errorifexists").parquet(path)
-                rows.append((seq, table, kind, None, path, run_id, committed))
+        rows = [(*r, run_id, committed) for r in self.pending.rows]
         if rows:
             (self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write
              .mode("errorifexists").json(f"{self.root}/_manifest/seq={seq:010d}"))
         self.pending = Pending()
         return seq
+
+    def abort(self) -> None:
+        """Forget staged work (its files stay unreferenced)."""
+        self.pending = Pending()

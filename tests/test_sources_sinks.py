@@ -97,10 +97,10 @@ def test_store_upsert_and_atomic_publish(spark):
     b = spark.createDataFrame([("curry", "2025-26", 60), ("embiid", "2025-26", 55),
                                ("durant", "2025-26", 54)], "player string, season string, "
                                                            "salary long")
-    applied = store.stage_upsert("contracts", b, ["player", "season"], ts(t2),
-                                 compare_cols=["salary"])
-    assert {r["player"] for r in applied.collect()} == {"curry", "durant"}
-    # staged but not committed: readers still see the first commit
+    n = store.stage_upsert("contracts", b, ["player", "season"], ts(t2),
+                           compare_cols=["salary"])
+    assert n == 3
+    # staged (data written) but not committed: readers still see the first commit
     assert store.read("contracts").count() == 2
     store.stage_append("stats_snapshot", spark.createDataFrame([(2,)], "n long"))
     store.commit("r2")
@@ -110,6 +110,19 @@ def test_store_upsert_and_atomic_publish(spark):
     assert store.read("stats_snapshot").count() == 2
 
 
+def test_store_failed_stage_is_never_published(spark):
+    store = TableStore(spark, scratch_path(spark, "t-abort"), buckets=2)
+    ok = spark.createDataFrame([(1, "a")], "k long, v string")
+    store.stage_upsert("t", ok, ["k"], F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz"))
+    store.commit("r1")
+    bad = spark.range(3).select(F.col("id").alias("k"),
+                                F.assert_true(F.col("id") < 0).cast("string").alias("v"))
+    with pytest.raises(Exception):
+        store.stage_upsert("t", bad, ["k"], F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz"))
+    store.abort()
+    assert store.read("t").count() == 1
+
+
 def test_store_reads_only_touched_buckets(spark):
     store = TableStore(spark, scratch_path(spark, "t-buckets"), buckets=8)
     base = spark.range(200).select(F.col("id").alias("k"), F.lit("v").alias("v"))
