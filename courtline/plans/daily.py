@@ -72,7 +72,7 @@ def _builders(spark: SparkSession, landing: Landing, run: D.RunParams, flags: Fe
 
 def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: TableStore,
             flags: FeatureFlags, archive_root: str | None = None,
-            only: list[str] | None = None) -> DataFrame:
+            only: list[str] | None = None, run_id: str | None = None) -> DataFrame:
     builders = _builders(spark, landing, run, flags)
     ts = F.lit(run.run_ts).cast("timestamp_ntz")
     metrics, staged = [], []
@@ -100,12 +100,12 @@ def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: Tabl
             log.error("dataset %s failed: %s", name, e)
             metrics.append((name, c.flag, run.run_date, "failed", 0,
                             round(time.time() - t0, 2), f"{type(e).__name__}: {e}"[:500]))
-    store.commit(f"run-{run.run_date.isoformat()}", run.run_ts)
-    if archive_root:
+    store.commit(run_id or f"run-{run.run_date.isoformat()}", run.run_ts)
+    if archive_root:   # the day's batch of each published dataset, not the whole table
         for name in staged:
-            table = store.read(CONTRACTS[name].table)
-            if table is not None:
-                write_archive(table, archive_root, name, run.run_date)
+            batch = store.staged_batch(CONTRACTS[name].table)
+            if batch is not None:
+                write_archive(batch, archive_root, name, run.run_date)
     return spark.createDataFrame(metrics, METRICS_SCHEMA)
 
 

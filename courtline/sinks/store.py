@@ -62,6 +62,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.pending = Pending()
+        self.batches: dict[str, str] = {}   # table -> files of its latest staged batch
 
     # ------------------------------------------------------------------ manifest
     def _manifest(self) -> DataFrame | None:
@@ -88,6 +89,11 @@ class TableStore:
                                                                           "kind")
         return buckets.unionByName(segments).collect()
 
+    def has_run(self, run_id: str) -> bool:
+        """Was a commit with this run id published (idempotent replays)?"""
+        m = self._manifest()
+        return m is not None and m.where(F.col("run_id") == run_id).limit(1).count() > 0
+
     def next_seq(self) -> int:
         m = self._manifest()
         if m is None:
@@ -148,6 +154,7 @@ class TableStore:
         staged = f"{self.root}/_staging/{self._seq():010d}/{table}"
         n = self._write_counted(batch, staged)
         self.pending.counts[table] = n
+        self.batches[table] = staged
         if n == 0:
             return 0
         batch = self.spark.read.parquet(staged)
@@ -184,6 +191,7 @@ class TableStore:
         path = self._version_path(table)
         n = self._write_counted(df, path)
         self.pending.counts[table] = n
+        self.batches[table] = path
         self.pending.rows.append((self._seq(), table, kind, None, path))
         return n
 
@@ -200,6 +208,13 @@ class TableStore:
         self.pending = Pending()
         return seq
 
+    def staged_batch(self, table: str) -> DataFrame | None:
+        """The rows a table received in its latest staging (the day's batch)."""
+        path = self.batches.get(table)
+        if path is None:
+            return None
+        return self.spark.read.parquet(path).drop("_cl_bucket")
+
     def abort(self) -> None:
         """Forget staged work (its files stay unreferenced)."""
         self.pending = Pending()
