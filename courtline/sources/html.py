@@ -1,8 +1,9 @@
 """HTML extraction from a landed ``pages(page_id, url, html)`` table.
 
-Both scans are ``mapInPandas`` over Arrow batches of pages: each page is parsed once with
-the standard-library ``html.parser`` inside the task that holds it, and only compact rows
-leave the Python worker (the ``html`` column is projected away right there).
+Both scans are ``mapInArrow`` over Arrow batches of pages: each page is tokenized once
+(a compiled regex with ``html.parser``'s event semantics, see :class:`Tokenizer`) inside the
+task that holds it, and only compact rows leave the Python worker (the ``html`` column is
+projected away right there).
 
 * :func:`table_rows` emits one row per ``<tr>`` with the cell texts as an array, colspan and
   rowspan expanded.  A positional rename is then ``get(cells, i)``: no long cell table and
@@ -17,12 +18,14 @@ and contribute no cell text; entities are decoded.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from courtline.session import ensure_parallel
 
@@ -73,17 +76,94 @@ class _Table:
 
 
 def _span(attrs: dict, name: str) -> int:
+    v = attrs.get(name)
+    if v is None:
+        return 1
     try:
-        return max(1, min(int(str(attrs.get(name, "1")).strip() or 1), 1000))
+        return max(1, min(int(str(v).strip() or 1), 1000))
     except ValueError:
         return 1
 
 
-class TableParser(HTMLParser):
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)"                         # comment (unterminated: to the end)
+    r"|<![^>]*>|<\?[^>]*>"                        # doctype / declaration / processing
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*)>",  # start or end tag
+    re.S)
+_ATTR = re.compile(r"""([^\s=/>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in RAW_TEXT}
+
+
+class Tokenizer:
+    """Event source for the handlers below: one compiled regex walks the page and calls
+    ``handle_starttag`` / ``handle_endtag`` / ``handle_data`` like ``html.parser`` does
+    (lower-cased tag names, decoded entities, script/style bodies as opaque text), at a
+    fraction of the per-tag cost.  Attributes are only decoded for the few tags whose
+    attributes the handlers read.  One recovery differs on malformed markup: a tag with an
+    unterminated quote is kept as text here, where ``html.parser`` swallows the text up to
+    the next quote."""
+
+    ATTR_TAGS: frozenset = frozenset()
+
+    def feed(self, html: str) -> None:
+        pos, skip_to = 0, 0
+        data, start, end_tag = self._data, self.handle_starttag, self.handle_endtag
+        attr_tags = self.ATTR_TAGS
+        for m in _TOKEN.finditer(html):
+            s, e = m.span()
+            if s < skip_to:                   # inside a script/style body
+                continue
+            if s > pos:
+                data(html[pos:s])
+            pos = e
+            closing, tag, raw = m.groups()
+            if tag is None:
+                continue                       # comment / declaration
+            tag = tag.lower()
+            if closing:
+                end_tag(tag)
+                continue
+            attrs = self._attrs(raw) if tag in attr_tags else ()
+            if raw.endswith("/") and tag not in VOID:
+                self.handle_startendtag(tag, attrs)
+            else:
+                start(tag, attrs)
+            if tag in RAW_TEXT:                # opaque until the matching end tag
+                close = _RAW_END[tag].search(html, pos)
+                stop = close.start() if close else len(html)
+                self.handle_data(html[pos:stop])
+                if close is None:
+                    return
+                pos = skip_to = close.end()
+                end_tag(tag)
+        if pos < len(html):
+            data(html[pos:])
+
+    @staticmethod
+    def _attrs(raw: str) -> list[tuple[str, str]]:
+        out = []
+        for name, dq, sq, uq in _ATTR.findall(raw):
+            v = dq or sq or uq
+            out.append((name.lower(), unescape(v) if "&" in v else v))
+        return out
+
+    def _data(self, text: str) -> None:
+        self.handle_data(unescape(text) if "&" in text else text)
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        self.handle_endtag(tag)
+
+    def close(self) -> None:
+        pass
+
+
+class TableParser(Tokenizer):
     """Collects every table of a page as rows of (tag, text, img alt) cells."""
 
+    ATTR_TAGS = frozenset({"td", "th", "img"})
+
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.tables: list[_Table] = []
         self.stack: list[_Table] = []
         self.raw_depth = 0
@@ -234,17 +314,23 @@ def header_levels(rows: list[tuple]) -> tuple[dict[int, list[list[str]]], dict[t
     return names, body
 
 
+def _arrow_schema(schema: T.StructType) -> pa.Schema:
+    return pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
+
+
 def _table_rows_fn(id_col: str, html_col: str, tables: Sequence[int] | None,
-                   locate_alt: tuple[str, int] | None, carry: Sequence[str]):
+                   locate_alt: tuple[str, int] | None, carry: Sequence[str],
+                   schema: T.StructType):
     wanted = set(tables) if tables is not None else None
-    names = [f.name for f in TABLE_ROW_SCHEMA.fields] + list(carry)
+    names = [f.name for f in schema.fields]
+    arrow_schema = _arrow_schema(schema)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             out = {n: [] for n in names}
-            carried = list(zip(*[pdf[c].tolist() for c in carry])) if carry else None
-            for k, (pid, html) in enumerate(zip(pdf[id_col].tolist(),
-                                                pdf[html_col].tolist())):
+            cols = batch.to_pydict()
+            carried = list(zip(*[cols[c] for c in carry])) if carry else None
+            for k, (pid, html) in enumerate(zip(cols[id_col], cols[html_col])):
                 rows = parse_tables(html)
                 headers, body_pos = header_levels(rows)
                 alt_col = None
@@ -274,7 +360,7 @@ def _table_rows_fn(id_col: str, html_col: str, tables: Sequence[int] | None,
                     out["body_idx"].append(body_pos.get((ti, ri)))
                     for c, v in zip(carry, carried[k] if carry else ()):
                         out[c].append(v)
-            yield pd.DataFrame(out, columns=names)
+            yield pa.RecordBatch.from_pydict(out, schema=arrow_schema)
 
     return run
 
@@ -293,20 +379,22 @@ def table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     (name, t)`` fills ``alt_col`` with the position of the header cell of table ``t`` whose
     image alt text is ``name`` (the sportsbook column), null when absent.  ``carry`` names
     page columns (a date, a team) copied onto every row of the page, so no join back to
-    the pages is needed."""
+    the pages is needed.  Batches cross to Python as Arrow record batches (``mapInArrow``),
+    with no pandas conversion on either side."""
     carry = list(carry)
     src = ensure_parallel(pages.select(pages[id_col].cast("long").alias(id_col), pages[html_col],
                                        *carry))
     schema = T.StructType(TABLE_ROW_SCHEMA.fields + [pages.schema[c] for c in carry])
-    return src.mapInPandas(_table_rows_fn(id_col, html_col, tables, locate_alt, carry),
-                           schema)
+    return src.mapInArrow(_table_rows_fn(id_col, html_col, tables, locate_alt, carry, schema),
+                          schema)
 
 
-class ListParser(HTMLParser):
+class ListParser(Tokenizer):
     """Collects the ``<li>`` entries of ``<ul>`` lists (optionally of one class)."""
 
+    ATTR_TAGS = frozenset({"ul", "a"})
+
     def __init__(self, ul_class: str | None):
-        super().__init__(convert_charrefs=True)
         self.ul_class = ul_class
         self.ul_depth = 0          # depth of matched <ul> nesting
         self.ul_idx = -1
@@ -410,16 +498,17 @@ def list_items(pages: DataFrame, ul_class: str | None = None, id_col: str = "pag
     text, href)``; ``date`` is the entry's first ``<span>`` text (null when absent), ``items``
     the texts of its ``<p>`` elements."""
     src = ensure_parallel(pages.select(pages[id_col].cast("long").alias(id_col), pages[html_col]))
+    arrow_schema = _arrow_schema(LIST_ITEM_SCHEMA)
+    names = [f.name for f in LIST_ITEM_SCHEMA.fields]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = {f.name: [] for f in LIST_ITEM_SCHEMA.fields}
-            for pid, html in zip(pdf[id_col].tolist(), pdf[html_col].tolist()):
-                for ul, li, date, items, text, href in parse_lists(html, ul_class):
-                    for k, v in (("page_id", pid), ("ul_idx", ul), ("li_idx", li),
-                                 ("date", date), ("items", items), ("text", text),
-                                 ("href", href)):
-                        out[k].append(v)
-            yield pd.DataFrame(out, columns=[f.name for f in LIST_ITEM_SCHEMA.fields])
-
-    return src.mapInPandas(run, LIST_ITEM_SCHEMA)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {n: [] for n in names}
+            cols = batch.to_pydict()
+            for pid, html in zip(cols[id_col], cols[html_col]):
+                for row in parse_lists(html, ul_class):
+                    for n, v in zip(names, (pid, *row)):
+                        out[n].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=arrow_schema)
+
+    return src.mapInArrow(run, LIST_ITEM_SCHEMA)
