@@ -337,7 +337,61 @@ def batch_backfill(spark: SparkSession, sf: str) -> DataFrame:
     return fill_zero(d, ["day_purchase"])
 
 
+# ---------------------------------------------------------------- U4 P9 W1 W2 S22 scores
+def pbp_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Play-by-play score handling on event rows: a score cell ``away-home`` is split once,
+    coerced (junk such as a jump-ball text becomes null), carried forward within the game
+    (a user's events, skew-proof by day), zero before the first score, margin home-away."""
+    from courtline.operators import fill_zero, forward_fill, split_fixed
+
+    ev = table(spark, sf, "events")
+    score = (F.when(F.col("event_type") == "purchase",
+                    F.concat(F.floor("value").cast("string"), F.lit("-"),
+                             F.floor(F.col("value") * 1.5).cast("string")))
+             .when(F.col("event_type") == "signup", F.lit("Jump ball: A vs. B")))
+    d = ev.select("event_id", "user_id", "ts", score.alias("score"))
+    d = d.select("*", *split_fixed("score", "-", ["scoreaway", "scorehome"]))
+    d = d.withColumns({c: F.col(c).try_cast("double") for c in ("scoreaway", "scorehome")})
+    d = forward_fill(d, ["user_id"], ["ts", "event_id"], ["scoreaway", "scorehome"],
+                     bucket=F.to_date("ts"))
+    d = fill_zero(d, ["scoreaway", "scorehome"])
+    return d.withColumn("marginscore", F.col("scorehome") - F.col("scoreaway"))
+
+
+# ---------------------------------------------------------------- SK7 A11 uniqueness check
+def duplicate_keys_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys that occur more than once (the check run before publishing a keyed table)."""
+    from courtline.operators import duplicate_keys
+
+    docs = table(spark, sf, "documents").select(F.md5("text").alias("text_md5"))
+    return duplicate_keys(docs, ["text_md5"]).withColumnRenamed("count", "n")
+
+
+# ---------------------------------------------------------------- SC12 CSV / JSON scans
+def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    from courtline.sources import read_csv
+
+    cust = table(spark, sf, "customer")
+    path = scratch_path(spark, "csv")
+    cust.write.option("header", True).csv(path)
+    return read_csv(spark, path, cust.schema)
+
+
+def json_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Multi-line texts with quotes survive a JSON-lines landing and a declared-schema read."""
+    from courtline.sources import read_json
+
+    conv = table(spark, sf, "conversations")
+    path = scratch_path(spark, "json")
+    conv.write.json(path)
+    return read_json(spark, path, conv.schema)
+
+
 QUERIES = {
+    "pbp_scores": pbp_scores,
+    "duplicate_keys": duplicate_keys_q,
+    "csv_scan": csv_scan,
+    "json_scan": json_scan,
     "html_table_scan": html_table_scan,
     "html_list_scan": html_list_scan,
     "snapshot_append": snapshot_append,
@@ -434,6 +488,35 @@ _FORUM_SQL = """
     WHERE c.turn >= 1 AND NOT coalesce(c.role = 'system', false))"""
 
 ORACLE = {
+    "pbp_scores": """
+WITH d AS (
+  SELECT event_id, user_id, ts,
+    CASE WHEN event_type = 'purchase'
+           THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '-'
+                || CAST(CAST(floor(value * 1.5) AS BIGINT) AS VARCHAR)
+         WHEN event_type = 'signup' THEN 'Jump ball: A vs. B' END AS score
+  FROM events),
+s AS (
+  SELECT *,
+    TRY_CAST(CASE WHEN strpos(score, '-') > 0 THEN substr(score, 1, strpos(score, '-') - 1)
+                  ELSE score END AS DOUBLE) AS a,
+    TRY_CAST(CASE WHEN strpos(score, '-') > 0 THEN substr(score, strpos(score, '-') + 1) END
+             AS DOUBLE) AS h
+  FROM d),
+f AS (
+  SELECT event_id, user_id, ts, score,
+    coalesce(last_value(a IGNORE NULLS) OVER w, 0) AS scoreaway,
+    coalesce(last_value(h IGNORE NULLS) OVER w, 0) AS scorehome
+  FROM s
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT *, scorehome - scoreaway AS marginscore FROM f
+""",
+    "duplicate_keys": """
+SELECT md5(text) AS text_md5, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1
+""",
+    "csv_scan": "SELECT * FROM customer",
+    "json_scan": "SELECT * FROM conversations",
     "html_table_scan": """
 SELECT l_orderkey * 8 + l_linenumber AS page_id, l_orderkey, l_linenumber,
   CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
