@@ -26,8 +26,13 @@ def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
 def exists_on(left: DataFrame, right: DataFrame, keys: Sequence[str],
               negate: bool = False) -> DataFrame:
     """Rows of ``left`` with (or, ``negate``, without) a partner in ``right``: a semi/anti
-    join, never duplicating ``left`` rows."""
-    return left.join(right.select(*keys), list(keys), "left_anti" if negate else "left_semi")
+    join, never duplicating ``left`` rows.
+
+    ``right`` is first reduced to its distinct keys (a partial aggregate before the
+    shuffle), so a key held by a third of ``right`` costs one row, not a skewed partition;
+    the reduced side is usually small enough for AQE to broadcast."""
+    return left.join(right.select(*keys).distinct(), list(keys),
+                     "left_anti" if negate else "left_semi")
 
 
 def page_key(date_col: str | Column, team_col: str | Column) -> Column:

@@ -112,11 +112,15 @@ def fold_name(c: Column) -> Column:
     return clean_names(accent_fold(c))
 
 
-def check_header(rows: DataFrame, expected: list[str], offset: int = 0) -> None:
-    """Fail when a page's header row does not carry the expected names (schema drift).
-    One small aggregate job; only a boolean reaches the driver."""
-    hdr = rows.where(F.col("row_idx") == 0).select(
-        F.slice(F.col("cells"), offset + 1, len(expected)).alias("h"))
+def check_header(rows: DataFrame, expected: list[str], offset: int = 0,
+                 lower: bool = False) -> None:
+    """Fail when a page's header row does not carry the expected names in the expected
+    positions (schema drift would otherwise shift every column).  One small aggregate over
+    the header rows of the day's pages; only a boolean reaches the driver."""
+    h = F.slice(F.col("cells"), offset + 1, len(expected))
+    if lower:
+        h = F.transform(h, lambda x: F.lower(F.trim(x)))
+    hdr = rows.where(F.col("row_idx") == 0).select(h.alias("h"))
     ok = hdr.agg(F.bool_and(F.col("h") == F.array(*[F.lit(x) for x in expected]))
                  .alias("ok")).first()["ok"]
     if ok is False:
@@ -130,6 +134,7 @@ def _lit_date(d: dt.date) -> Column:
 # ------------------------------------------------------------------ D-stats
 def player_stats(pages: DataFrame, run: RunParams) -> DataFrame:
     rows = table_rows(pages_of(pages, "stats"), tables=[0])
+    check_header(rows, W.STATS_COLUMNS, offset=1, lower=True)
     data = rows.where(F.col("row_idx") > 0)
     cols = {n: F.get("td_cells", i) for i, n in enumerate(W.STATS_COLUMNS)}
     d = data.select(*[c.alias(n) for n, c in cols.items()])
@@ -149,6 +154,7 @@ def boxscores(pages: DataFrame, run: RunParams) -> DataFrame:
         F.lit("yyyy-M-d"))
     bp = bp.withColumn("game_date", F.coalesce(url_date.cast("date"), F.lit(run.game_date)))
     rows = table_rows(bp, tables=[0], carry=["game_date"])
+    check_header(rows, W.BOX_HEADER, offset=1)
     data = rows.where(F.col("row_idx") > 0)
     d = data.select("page_id", "game_date", *[F.get("td_cells", i).alias(n)
                                               for i, n in enumerate(W.BOX_COLUMNS)])

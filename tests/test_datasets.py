@@ -155,3 +155,12 @@ def test_forum_posts_and_comments(spark):
     assert c["alice"]["score"] == 9 and c["alice"]["edited"] == 1
     assert c["alice"]["sentiment"] == 1 and c["bob"]["compound"] < 0
     assert len(c["alice"]["md5_pk"]) == 32
+
+
+def test_header_drift_fails_the_dataset(spark):
+    from site_pages import stats_page
+    page = stats_page().replace("<th>Pos</th>", "<th>Position</th>", 1)
+    pages = spark.createDataFrame([(1, "https://x/leagues/NBA_2026_per_game.html", page)],
+                                  "page_id long, url string, html string")
+    with pytest.raises(QualityError):
+        D.player_stats(pages, RUN)
