@@ -26,4 +26,5 @@ from courtline.functions.dates import (  # noqa: F401
     season_label,
     season_type,
     schedule_months,
+    ts_ntz_lit,
 )

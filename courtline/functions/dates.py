@@ -25,6 +25,12 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_ntz_lit(v: dt.datetime) -> Column:
+    """A TIMESTAMP_NTZ literal built from the wall-clock text, so neither the driver's nor
+    the session's time zone can shift it."""
+    return F.to_timestamp_ntz(F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")))
+
+
 def parse_long_date(c: str | Column) -> Column:
     """``October 1, 2024`` -> DATE (null when it does not parse)."""
     return F.try_to_timestamp(_col(c), F.lit("MMMM d, yyyy")).cast("date")

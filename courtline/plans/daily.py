@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.functions import schedule_months
+from courtline.functions import schedule_months, ts_ntz_lit
 from courtline.operators.sentiment import seed_lexicon
 from courtline.plans import datasets as D
 from courtline.plans.run import METRICS_SCHEMA, FeatureFlags
@@ -74,7 +74,7 @@ def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: Tabl
             flags: FeatureFlags, archive_root: str | None = None,
             only: list[str] | None = None, run_id: str | None = None) -> DataFrame:
     builders = _builders(spark, landing, run, flags)
-    ts = F.lit(run.run_ts).cast("timestamp_ntz")
+    ts = ts_ntz_lit(run.run_ts)
     metrics, staged = [], []
     for name, build in builders.items():
         if only and name not in only:

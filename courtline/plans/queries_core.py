@@ -19,6 +19,7 @@ from courtline.operators import (
     merge_keyed,
     not_equal_keep_null,
 )
+from courtline.functions.dates import ts_ntz_lit
 from courtline.plans.catalog import CUTOFF_TS, RUN_TS, table
 
 # Fixed run parameters of the order-history queries.
@@ -28,7 +29,7 @@ CUSTOMER_CREATED = dt.datetime(2024, 1, 1)
 
 def ts_lit(v: dt.datetime) -> Column:
     """A TIMESTAMP_NTZ literal (wall clock, no zone)."""
-    return F.to_timestamp_ntz(F.lit(v.strftime("%Y-%m-%d %H:%M:%S")))
+    return ts_ntz_lit(v)
 
 
 def _day_bucket(ts: str) -> Column:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from courtline.functions.dates import ts_ntz_lit
+
 # Fixed value: prefix turning a permalink into a post url.
 POST_URL_PREFIX = "https://www.reddit.com"
 # Fixed value: posts kept per run (the "hot" feed depth).
@@ -53,7 +55,7 @@ def posts(raw: DataFrame, run_date: dt.date, run_ts: dt.datetime,
         F.concat(F.lit(POST_URL_PREFIX), F.col("permalink")).alias("reddit_url"),
         "num_comments", F.col("selftext").alias("body"),
         F.lit(run_date).alias("scrape_date"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("scrape_time"))
+        ts_ntz_lit(run_ts).alias("scrape_time"))
 
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
