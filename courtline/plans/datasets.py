@@ -59,8 +59,8 @@ from courtline.plans import warehouse as W
 from courtline.sources import list_items, table_rows
 from courtline.sources.forum import comments_of_posts, posts
 
-# Stats-site code <-> warehouse code pairs for page keys (both directions).
-SITE_TO_WAREHOUSE = [("PHO", "PHX"), ("CHO", "CHA"), ("BRK", "BKN")]
+# Warehouse code -> stats-site code, for building play-by-play page keys (the
+# home team is carried onto the page rows, so no mapping back is needed).
 WAREHOUSE_TO_SITE = [("PHX", "PHO"), ("CHA", "CHO"), ("BKN", "BRK")]
 # Fixed value: replacement for an unreadable transaction date.
 BAD_DATE_PATCH = "October 1, 2024"

@@ -28,7 +28,7 @@ from courtline.operators.sentiment import (
 )
 from courtline.plans.catalog import RUN_DATE, RUN_TS, table
 from courtline.plans.queries_core import ts_lit
-from courtline.plans.queries_text import SITE_TEAM_CODES, _CODES_SQL, _code
+from courtline.plans.queries_text import _CODES_SQL, _code
 from courtline.plans.run import (
     DatasetSpec,
     FeatureFlags,
@@ -658,4 +658,3 @@ WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
 """,
 }
 
-_ = SITE_TEAM_CODES  # re-exported for callers building site keys
