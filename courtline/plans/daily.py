@@ -100,13 +100,15 @@ def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: Tabl
             log.error("dataset %s failed: %s", name, e)
             metrics.append((name, c.flag, run.run_date, "failed", 0,
                             round(time.time() - t0, 2), f"{type(e).__name__}: {e}"[:500]))
+    metrics_df = spark.createDataFrame(metrics, METRICS_SCHEMA)
+    store.stage_append("run_metrics", metrics_df)          # published with the datasets
     store.commit(run_id or f"run-{run.run_date.isoformat()}", run.run_ts)
     if archive_root:   # the day's batch of each published dataset, not the whole table
         for name in staged:
             batch = store.staged_batch(CONTRACTS[name].table)
             if batch is not None:
                 write_archive(batch, archive_root, name, run.run_date)
-    return spark.createDataFrame(metrics, METRICS_SCHEMA)
+    return metrics_df
 
 
 def backfill(spark: SparkSession, landing: Landing, dates: list[dt.date], store: TableStore,

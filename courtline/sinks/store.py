@@ -126,8 +126,10 @@ class TableStore:
         return f"{self.root}/{table}/_cl_version={self._seq():010d}"
 
     def _write_counted(self, df: DataFrame, path: str, partition_by: str | None = None) -> int:
+        """Write unpublished files.  ``overwrite``: the directory belongs to this commit
+        only, so a staging step re-run after a failure replaces its own partial output."""
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
+        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(path)

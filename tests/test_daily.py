@@ -54,6 +54,7 @@ def test_run_day_publishes_and_isolates(spark, landing):
     assert store.read("bbref_player_pbp").count() == 10
     assert store.read("bbref_player_stats_snapshot").count() == 6
     assert failure_digest(metrics).first()["n_errors"] == 0
+    assert store.read("run_metrics").count() == 2 * metrics.count()   # one set per run
 
 
 def test_missing_flag_fails_only_that_dataset(spark, landing):

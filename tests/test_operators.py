@@ -156,3 +156,11 @@ def test_keyed_plans_combine_map_side(spark):
     plan = plan_text(keep_last_per_key(df, ["k"], ["o"]))
     assert "Window" not in plan
     assert "partial_max_by" in plan
+
+
+def test_ensure_parallel_is_adaptive(spark):
+    from courtline.session import ensure_parallel
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert ensure_parallel(wide) is wide                       # enough splits: untouched
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert ensure_parallel(narrow, 4).rdd.getNumPartitions() == 4
