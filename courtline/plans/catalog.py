@@ -19,6 +19,10 @@ RUN_TS = dt.datetime(2024, 1, 31, 6, 0, 0)
 CUTOFF_TS = dt.datetime(2024, 1, 20, 0, 0, 0)
 
 
+# Dimension tables too small to be worth spreading (a shuffle would cost more than it saves).
+SMALL_TABLES = {"region", "nation", "supplier", "benchmark", "labels"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one input table; the parquet scan gets column pruning and filter pushdown from
     whatever the query does next.
@@ -27,4 +31,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     first stage; such an input is spread over the cores (round robin) right after the scan.
     Inputs with enough splits - any table at scale - are left as they are."""
     apply_semantic_conf(spark)
-    return ensure_parallel(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df if name in SMALL_TABLES else ensure_parallel(df)

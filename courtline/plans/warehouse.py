@@ -116,3 +116,88 @@ CONTRACTS = {c.dataset: c for c in [
              ("player", "season"), compare_cols=("season_salary",),
              url_pattern=r"contracts/players\.html"),
 ]}
+
+
+# The typed column contract of every dataset (SK7), in output order, as
+# "name type" pairs; builders are tested against it and the store keeps it.
+OUTPUT_SCHEMAS = {
+    "stats": [
+        "player string", "pos string", "age string", "team string", "g string", "gs string",
+        "mp string", "fg string", "fga string", "fg% string", "3p string", "3pa string",
+        "3p% string", "2p string", "2pa string", "2p% string", "efg% string", "ft string",
+        "fta string", "ft% string", "orb string", "drb string", "trb string", "ast string",
+        "stl string", "blk string", "tov string", "pf string", "pts double",
+        "scrape_date date",
+    ],
+    "boxscores": [
+        "player string", "team string", "location string", "opponent string", "outcome string",
+        "mp string", "fgm double", "fga double", "fgpercent double", "threepfgmade double",
+        "threepattempted double", "threepointpercent double", "ft string", "fta string",
+        "ftpercent string", "oreb double", "dreb double", "trb double", "ast double",
+        "stl double", "blk double", "tov double", "pf double", "pts double",
+        "plusminus double", "gmsc double", "date timestamp_ntz", "scrape_date date",
+    ],
+    "opp_stats": [
+        "team string", "fg_percent_opp double", "threep_percent_opp double",
+        "threep_made_opp double", "ppg_opp double", "scrape_date date",
+    ],
+    "injuries": [
+        "player string", "team string", "date string", "description string",
+        "scrape_date date",
+    ],
+    "player_adv_stats": [
+        "rk double", "player string", "age double", "team string", "pos string", "g double",
+        "gs double", "mp double", "per double", "ts% double", "3par double", "ftr double",
+        "orb% double", "drb% double", "trb% double", "ast% double", "stl% double",
+        "blk% double", "tov% double", "usg% double", "ows double", "dws double", "ws double",
+        "ws/48 double", "obpm double", "dbpm double", "bpm double", "vorp double",
+        "awards string",
+    ],
+    "transactions": [
+        "date timestamp_ntz", "transaction string", "scrape_date date",
+    ],
+    "team_adv_stats": [
+        "index bigint", "team string", "age double", "w double", "l double", "pw double",
+        "pl double", "mov double", "sos double", "srs double", "ortg double", "drtg double",
+        "nrtg double", "pace double", "ftr double", "3par double", "ts% double", "efg% double",
+        "tov% double", "orb% double", "ft/fga double", "efg%_opp double", "tov%_opp double",
+        "drb%_opp double", "ft/fga_opp double", "arena string", "attendance double",
+        "att/game double", "scrape_date date",
+    ],
+    "shooting_stats": [
+        "player string", "avg_shot_distance string", "pct_fga_2p string", "pct_fga_0_3 string",
+        "pct_fga_3_10 string", "pct_fga_10_16 string", "pct_fga_16_3p string",
+        "pct_fga_3p string", "fg_pct_0_3 string", "fg_pct_3_10 string", "fg_pct_10_16 string",
+        "fg_pct_16_3p string", "pct_2pfg_ast string", "pct_3pfg_ast string",
+        "dunk_pct_tot_fg string", "dunks string", "corner_3_ast_pct string",
+        "corner_3pm_pct string", "heaves_att string", "heaves_makes string",
+        "scrape_date date", "scrape_ts timestamp_ntz",
+    ],
+    "odds": [
+        "team string", "spread string", "total string", "moneyline int", "date date",
+        "datetime1 timestamp_ntz",
+    ],
+    "reddit_posts": [
+        "title string", "score bigint", "id string", "url string", "reddit_url string",
+        "num_comments bigint", "body string", "scrape_date date", "scrape_time timestamp_ntz",
+    ],
+    "reddit_comments": [
+        "comment string", "score bigint", "url string", "author string", "flair1 string",
+        "flair2 string", "edited int", "scrape_date string", "scrape_ts string",
+        "compound double", "neg double", "neu double", "pos double", "sentiment bigint",
+        "md5_pk string",
+    ],
+    "pbp": [
+        "timequarter string", "descriptionplayvisitor string", "awayscore string",
+        "score string", "homescore string", "descriptionplayhome string",
+        "numberperiod string", "hometeam string", "awayteam string", "scoreaway double",
+        "scorehome double", "marginscore double", "date date", "scrape_date date",
+    ],
+    "schedule": [
+        "date string", "start_time string", "away_team string", "home_team string",
+        "proper_date date",
+    ],
+    "player_contracts": [
+        "player string", "season string", "season_salary bigint",
+    ],
+}

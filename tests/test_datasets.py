@@ -164,3 +164,24 @@ def test_header_drift_fails_the_dataset(spark):
                                   "page_id long, url string, html string")
     with pytest.raises(QualityError):
         D.player_stats(pages, RUN)
+
+
+def test_output_schemas_follow_the_contract(spark, pages):
+    from courtline.plans.warehouse import OUTPUT_SCHEMAS
+    box = D.boxscores(pages, RUN)
+    posts = D.reddit_posts(spark.createDataFrame([], POST_SCHEMA), RUN)
+    built = {
+        "stats": D.player_stats(pages, RUN), "boxscores": box,
+        "opp_stats": D.opp_stats(pages, RUN), "injuries": D.injuries(pages, RUN),
+        "player_adv_stats": D.player_adv_stats(pages, RUN),
+        "transactions": D.transactions(pages, RUN),
+        "team_adv_stats": D.team_adv_stats(pages, RUN),
+        "shooting_stats": D.shooting_stats(pages, RUN), "odds": D.odds(pages, RUN)[0],
+        "reddit_posts": posts,
+        "reddit_comments": D.reddit_comments(spark.createDataFrame([], COMMENT_SCHEMA), posts,
+                                             seed_lexicon(spark), RUN),
+        "pbp": D.pbp(pages, box, RUN), "schedule": D.schedule(pages, RUN, ["october"]),
+        "player_contracts": D.player_contracts(pages, RUN)}
+    assert set(built) == set(OUTPUT_SCHEMAS)
+    for name, df in built.items():
+        assert [f"{n} {t}" for n, t in df.dtypes] == OUTPUT_SCHEMAS[name], name
