@@ -62,14 +62,20 @@ def apply_semantic_conf(spark: SparkSession) -> None:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint directory named by the session; set one only if unset."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext: use the conf
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             root = tempfile.mkdtemp(prefix="courtline-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+            if sc is None:
+                spark.conf.set("spark.checkpoint.dir", root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
@@ -84,7 +90,9 @@ def ensure_parallel(df, min_partitions: int | None = None):
     Repartitions (round robin) only when the input has fewer partitions than the cluster
     has cores; a large input that already has enough splits is left alone, so at scale
     this adds no shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (remote session): leave partitioning to the server
+        return df
+    return df.repartition(want) if have < want else df
