@@ -266,6 +266,24 @@ def team_code_map(spark: SparkSession, sf: str) -> DataFrame:
     return d.withColumn("site_team", replace_all("team", SITE_CODE_PAIRS))
 
 
+# ---------------------------------------------------------------- C2 two-branch selects
+def home_away(spark: SparkSession, sf: str) -> DataFrame:
+    """Two-branch selects with their null rules: ``@`` means away and anything else -
+    including a missing marker - home; a positive score sets a flag; an edit marker other
+    than false sets ``edited``."""
+    ev = table(spark, sf, "events")
+    marker = (F.when(F.col("event_type") == "click", F.lit("@"))
+              .when(F.col("event_type") == "view", F.lit(None).cast("string"))
+              .otherwise(F.lit("vs")))
+    edited_raw = F.when(F.col("event_type") == "error", F.lit("false")).otherwise(
+        F.col("ts").cast("string"))
+    return ev.select(
+        "event_id",
+        F.when(marker.eqNullSafe("@"), F.lit("A")).otherwise(F.lit("H")).alias("location"),
+        F.when(F.col("value") - 50 > 0, 1).otherwise(0).alias("positive"),
+        F.when(edited_raw == "false", 0).otherwise(1).alias("edited"))
+
+
 # ---------------------------------------------------------------- F1-F12 null and header rows
 def nulls_and_headers(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer")
@@ -347,6 +365,7 @@ QUERIES = {
     "date_parse": date_parse,
     "season_type": season_type_q,
     "team_code_map": team_code_map,
+    "home_away": home_away,
     "nulls_and_headers": nulls_and_headers,
     "month_union": month_union,
     "explode_outer": explode_outer_q,
@@ -482,6 +501,14 @@ m AS (
   FROM r)
 SELECT *, replace(replace(replace(team, 'PHX', 'PHO'), 'CHA', 'CHO'), 'BKN', 'BRK') AS site_team
 FROM m
+""",
+    "home_away": """
+SELECT event_id,
+  CASE WHEN (CASE WHEN event_type = 'click' THEN '@' WHEN event_type = 'view' THEN NULL
+                  ELSE 'vs' END) IS NOT DISTINCT FROM '@' THEN 'A' ELSE 'H' END AS location,
+  CASE WHEN value - 50 > 0 THEN 1 ELSE 0 END AS positive,
+  CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS edited
+FROM events
 """,
     "nulls_and_headers": """
 WITH rows AS (
