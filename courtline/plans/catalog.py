@@ -31,5 +31,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     first stage; such an input is spread over the cores (round robin) right after the scan.
     Inputs with enough splits - any table at scale - are left as they are."""
     apply_semantic_conf(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df if name in SMALL_TABLES else ensure_parallel(df)
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _READS.get(key)
+    if df is None:   # inputs are read-only: list files and plan the split once per session
+        df = spark.read.parquet(path)
+        df = df if name in SMALL_TABLES else ensure_parallel(df)
+        _READS[key] = df
+    return df
+
+
+_READS: dict[tuple[int, str], DataFrame] = {}
