@@ -23,22 +23,25 @@ CUTOFF_TS = dt.datetime(2024, 1, 20, 0, 0, 0)
 SMALL_TABLES = {"region", "nation", "supplier", "benchmark", "labels"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Read one input table; the parquet scan gets column pruning and filter pushdown from
     whatever the query does next.
 
-    A file with a single row group is a single scan split, i.e. one task for the whole
-    first stage; such an input is spread over the cores (round robin) right after the scan.
-    Inputs with enough splits - any table at scale - are left as they are."""
+    ``spread``: for row-wise CPU-heavy work (regexes, lambdas, Python).  A file with a
+    single row group is a single scan split, i.e. one task for the whole first stage; such
+    an input is then spread over the cores (round robin) right after the scan.  Queries
+    that aggregate or join first are better off without it: their partial aggregate or
+    exchange distributes the work anyway.  Inputs with enough splits - any table at scale -
+    are never repartitioned."""
     apply_semantic_conf(spark)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    spread = spread and name not in SMALL_TABLES
+    key = (id(spark), path, spread)
     df = _READS.get(key)
     if df is None:   # inputs are read-only: list files and plan the split once per session
         df = spark.read.parquet(path)
-        df = df if name in SMALL_TABLES else ensure_parallel(df)
-        _READS[key] = df
-    return df
+        _READS[key] = ensure_parallel(df) if spread else df
+    return _READS[key]
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[int, str, bool], DataFrame] = {}

@@ -222,7 +222,7 @@ def comment_flatten(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- S23 sentiment
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
-    conv = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    conv = table(spark, sf, "conversations", spread=True).select("conv_id", "turn", "text")
     return score_sentiment(conv, ["conv_id", "turn"], "text", seed_lexicon(spark))
 
 

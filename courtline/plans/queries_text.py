@@ -42,7 +42,6 @@ from courtline.operators import (
     union_all_by_name,
 )
 from courtline.plans.catalog import RUN_DATE, table
-from courtline.session import ensure_parallel
 
 # The 30 team codes of the stats site, alphabetical.
 SITE_TEAM_CODES = ["ATL", "BOS", "BRK", "CHI", "CHO", "CLE", "DAL", "DEN", "DET", "GSW",
@@ -68,7 +67,7 @@ def _code(idx: Column) -> Column:
 
 # ---------------------------------------------------------------- S1 accent fold
 def ascii_fold(spark: SparkSession, sf: str) -> DataFrame:
-    docs = ensure_parallel(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = table(spark, sf, "documents", spread=True).select("doc_id", "text")
     return docs.select("doc_id", accent_fold("text").alias("folded"))
 
 
@@ -160,7 +159,7 @@ _SPREAD_SQL = """array_to_string(list_filter(string_split_regex(trim({c}), '\\s+
 
 
 def spread_filter_q(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _odds_raw(table(spark, sf, "lineitem"))
+    raw = _odds_raw(table(spark, sf, "lineitem", spread=True))
     pk = F.replace(F.col("spread_raw"), F.lit("PK"), F.lit("-1.0"))
     return raw.select("l_orderkey", "l_linenumber", "spread_raw",
                       spread_filter(pk).alias("spread"))
@@ -168,7 +167,7 @@ def spread_filter_q(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- S8 A7 S9 token extract
 def token_extract(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _odds_raw(table(spark, sf, "lineitem"))
+    raw = _odds_raw(table(spark, sf, "lineitem", spread=True))
     return raw.select(
         "l_orderkey", "l_linenumber",
         extract_tokens_joined("datetime1").alias("team"),
@@ -181,7 +180,7 @@ def odds_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Today's odds lines: filter today's games, clean spreads, split the game line into
     teams and time, explode teams/spreads/moneylines in lock step (rows whose lists differ
     in length are quarantined), type the moneyline and build the tip-off timestamp."""
-    raw = _odds_raw(table(spark, sf, "lineitem"))
+    raw = _odds_raw(table(spark, sf, "lineitem", spread=True))
     ws = r"(?U)\s+"
     o = raw.select(
         "l_orderkey", "l_linenumber",
@@ -223,7 +222,7 @@ def currency_cast(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- S16 S17 S18 S19 S13 dates
 def date_parse(spark: SparkSession, sf: str) -> DataFrame:
-    o = table(spark, sf, "orders")
+    o = table(spark, sf, "orders", spread=True)
     long_raw = F.when(F.col("o_orderstatus") == "P", F.lit("?")).otherwise(
         F.date_format("o_orderdate", "MMMM d, yyyy"))
     wk_raw = F.date_format("o_orderdate", "EEE, MMM d, yyyy")
@@ -333,7 +332,7 @@ def explode_outer_q(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- U3 lock-step explode
 def lockstep_explode_q(spark: SparkSession, sf: str) -> DataFrame:
-    raw = _odds_raw(table(spark, sf, "lineitem"))
+    raw = _odds_raw(table(spark, sf, "lineitem", spread=True))
     d = raw.select("l_orderkey", "l_linenumber",
                    F.split(extract_tokens_joined("datetime1"), " ").alias("team"),
                    F.split(spread_filter(F.replace(F.col("spread_raw"), F.lit("PK"),
