@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     apply_semantic_conf(spark)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     spread = spread and name not in SMALL_TABLES
-    key = (id(spark), path, spread)
+    key = (id(spark), spark.conf.get("spark.app.id", ""), path, spread)
     df = _READS.get(key)
     if df is None:   # inputs are read-only: list files and plan the split once per session
         df = spark.read.parquet(path)
@@ -44,4 +44,4 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) ->
     return _READS[key]
 
 
-_READS: dict[tuple[int, str, bool], DataFrame] = {}
+_READS: dict[tuple[int, str, str, bool], DataFrame] = {}
