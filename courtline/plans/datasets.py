@@ -2,7 +2,7 @@
 
 Every builder takes the landed ``pages(page_id, url, html)`` table (all pages of the day, or
 of many days for a backfill), selects its own pages by url, extracts rows with
-``mapInPandas`` and does the rest with built-in expressions.  Builders return lazy
+``mapInArrow`` and does the rest with built-in expressions.  Builders return lazy
 DataFrames; failures surface when the run writes them (see ``plans.run``).
 """
 
