@@ -127,6 +127,17 @@ def failure_digest(metrics: DataFrame) -> DataFrame:
             F.concat(F.col("dataset"), F.lit(": "), F.col("error"))))).alias("digest"))
 
 
+def alert_text(metrics: DataFrame, run_date: dt.date) -> str | None:
+    """The alert message for a run: ``None`` when nothing failed, else the failure count
+    and one ``dataset: error`` line per failure.  Built from the one-row digest, so only
+    that row reaches the driver; sending it is left to the caller."""
+    row = failure_digest(metrics).first()
+    if not row or not row["n_errors"]:
+        return None
+    head = f"{row['n_errors']} errors during ingestion on {run_date.isoformat()}:"
+    return f"{head}\n{row['digest']}"
+
+
 _DATE_RE = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 
 

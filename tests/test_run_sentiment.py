@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from courtline.operators.sentiment import score_sentiment, seed_lexicon
 from courtline.plans.run import (
     DatasetSpec,
+    alert_text,
     FeatureFlags,
     failure_digest,
     flags_table,
@@ -43,6 +44,11 @@ def test_run_isolates_failures(spark):
                    "skipped": ("disabled", 0), "unknown_flag": ("failed", 0)}
     d = failure_digest(m).first()
     assert d["n_errors"] == 3 and d["digest"].count("\n") == 2
+    msg = alert_text(m, dt.date(2024, 1, 31))
+    assert msg.startswith("3 errors during ingestion on 2024-01-31:")
+    assert "bad: RuntimeError: page layout changed" in msg
+    ok = m.where(F.col("status") != "failed")
+    assert alert_text(ok, dt.date(2024, 1, 31)) is None
 
 
 def score(spark, texts):
