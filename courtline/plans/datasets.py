@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.functions import (
@@ -236,9 +236,9 @@ def team_adv_stats(pages: DataFrame, run: RunParams) -> DataFrame:
     d = named.drop("bby1", "bby2", "bby3")
     d = d.where(not_equal_keep_null("team", "League Average"))
     d = d.withColumn("team", F.regexp_replace("team", r"\*", ""))
-    # the kept rows are renumbered from 0 in page order (a page is one small group)
-    w = Window.partitionBy("page_id").orderBy("body_idx")
-    d = d.withColumn("index", (F.row_number().over(w) - 1).cast("long"))
+    # ``index`` keeps each row's original position in the table body (filtered rows leave
+    # gaps, they are not renumbered) - exactly the extractor's body_idx, no window needed
+    d = d.withColumn("index", F.col("body_idx").cast("long"))
     numeric = [c for c in W.TEAM_ADV_COLUMNS if c not in W.TEAM_ADV_TEXT and
                not c.startswith("bby")]
     d = d.withColumns({c: num(F.col(c), thousands=True) for c in numeric})
