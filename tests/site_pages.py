@@ -118,6 +118,7 @@ def player_adv_page():
         return _tr([str(rk), name, "25", team, "PG", "15", "15", "1,610"] + ["1.5"] * 20 + [""],
                    first_th=True)
     body = [row(1, "Tyrese Maxey", "PHI"), row(2, "Robert Williams III", "POR"),
+            _tr(ADV_HEADER, head=True, cls="thead"),
             row(2, "Robert Williams III", "POR")]
     return "<html><body>" + _table([_tr(ADV_HEADER, head=True)], body) + "</body></html>"
 
