@@ -29,6 +29,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from courtline.session import ensure_parallel
 
+# Pages per Arrow batch into the extractor, and rows per batch out of it: a page can be
+# large, so both sides are bounded whatever the session default is.
+MAX_PAGES_PER_BATCH = 256
+OUT_ROWS = 4096
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 RAW_TEXT = {"script", "style"}
@@ -314,6 +319,18 @@ def header_levels(rows: list[tuple]) -> tuple[dict[int, list[list[str]]], dict[t
     return names, body
 
 
+def _bound_batches(df: DataFrame) -> None:
+    """Cap pages per Arrow batch (read when the plan runs) unless the session caps lower."""
+    spark = df.sparkSession
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    try:
+        current = int(spark.conf.get(key, "10000"))
+    except (TypeError, ValueError):
+        current = 10000
+    if current <= 0 or current > MAX_PAGES_PER_BATCH:
+        spark.conf.set(key, str(MAX_PAGES_PER_BATCH))
+
+
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema.fields])
 
@@ -331,6 +348,9 @@ def _table_rows_fn(id_col: str, html_col: str, tables: Sequence[int] | None,
             cols = batch.to_pydict()
             carried = list(zip(*[cols[c] for c in carry])) if carry else None
             for k, (pid, html) in enumerate(zip(cols[id_col], cols[html_col])):
+                if len(out["page_id"]) >= OUT_ROWS:     # bound the output batch
+                    yield pa.RecordBatch.from_pydict(out, schema=arrow_schema)
+                    out = {n: [] for n in names}
                 rows = parse_tables(html)
                 headers, body_pos = header_levels(rows)
                 alt_col = None
@@ -385,6 +405,7 @@ def table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     src = ensure_parallel(pages.select(pages[id_col].cast("long").alias(id_col), pages[html_col],
                                        *carry))
     schema = T.StructType(TABLE_ROW_SCHEMA.fields + [pages.schema[c] for c in carry])
+    _bound_batches(src)
     return src.mapInArrow(_table_rows_fn(id_col, html_col, tables, locate_alt, carry, schema),
                           schema)
 
@@ -500,12 +521,16 @@ def list_items(pages: DataFrame, ul_class: str | None = None, id_col: str = "pag
     src = ensure_parallel(pages.select(pages[id_col].cast("long").alias(id_col), pages[html_col]))
     arrow_schema = _arrow_schema(LIST_ITEM_SCHEMA)
     names = [f.name for f in LIST_ITEM_SCHEMA.fields]
+    _bound_batches(src)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {n: [] for n in names}
             cols = batch.to_pydict()
             for pid, html in zip(cols[id_col], cols[html_col]):
+                if len(out["page_id"]) >= OUT_ROWS:
+                    yield pa.RecordBatch.from_pydict(out, schema=arrow_schema)
+                    out = {n: [] for n in names}
                 for row in parse_lists(html, ul_class):
                     for n, v in zip(names, (pid, *row)):
                         out[n].append(v)
