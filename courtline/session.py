@@ -54,10 +54,26 @@ def build_session(master: str = "local[*]", app_name: str = "courtline",
     return spark
 
 
+# Rows per Arrow batch handed to Python (HTML pages, whole documents can be large).
+MAX_ARROW_BATCH = 256
+
+
 def apply_semantic_conf(spark: SparkSession) -> None:
     """Set the runtime SQL settings our operators depend on (idempotent)."""
     for k, v in SEMANTIC_CONF.items():
         spark.conf.set(k, v)
+    bound_arrow_batches(spark)
+
+
+def bound_arrow_batches(spark: SparkSession, limit: int = MAX_ARROW_BATCH) -> None:
+    """Cap rows per Arrow batch for Python steps unless the session already caps lower."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    try:
+        current = int(spark.conf.get(key, "10000"))
+    except (TypeError, ValueError):
+        current = 10000
+    if current <= 0 or current > limit:
+        spark.conf.set(key, str(limit))
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from courtline.session import ensure_parallel
+from courtline.session import bound_arrow_batches, ensure_parallel
 
 # Pages per Arrow batch into the extractor, and rows per batch out of it: a page can be
 # large, so both sides are bounded whatever the session default is.
@@ -320,15 +320,7 @@ def header_levels(rows: list[tuple]) -> tuple[dict[int, list[list[str]]], dict[t
 
 
 def _bound_batches(df: DataFrame) -> None:
-    """Cap pages per Arrow batch (read when the plan runs) unless the session caps lower."""
-    spark = df.sparkSession
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    try:
-        current = int(spark.conf.get(key, "10000"))
-    except (TypeError, ValueError):
-        current = 10000
-    if current <= 0 or current > MAX_PAGES_PER_BATCH:
-        spark.conf.set(key, str(MAX_PAGES_PER_BATCH))
+    bound_arrow_batches(df.sparkSession, MAX_PAGES_PER_BATCH)
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
