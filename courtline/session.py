@@ -8,8 +8,10 @@ and only fall back to a fresh local directory when it is unset (local tests).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,10 +61,37 @@ MAX_ARROW_BATCH = 256
 
 
 def apply_semantic_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings our operators depend on (idempotent)."""
+    """Set the runtime SQL settings our operators depend on (idempotent), and make sure the
+    Python workers can import this package."""
     for k, v in SEMANTIC_CONF.items():
         spark.conf.set(k, v)
     bound_arrow_batches(spark)
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors' Python workers (``addPyFile`` of a zip of
+    it), once per application, so the extractors and UDFs unpickle wherever they run."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the server side provides the environment
+        return
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="courtline-pkg-"), "courtline.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
 
 
 def bound_arrow_batches(spark: SparkSession, limit: int = MAX_ARROW_BATCH) -> None:
