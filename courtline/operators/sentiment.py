@@ -8,9 +8,9 @@ tokens; the document sum ``s`` is normalised to ``compound = s / sqrt(s^2 + 15)`
 +1), negative mass (each negative valence -1) and neutral tokens.  Capitalisation,
 punctuation emphasis and the contrastive "but" rule are not applied.
 
-Plan: tokens are split and their look-back context (negator / booster flags of the three
-previous tokens) is computed inside each row with array functions - no window, no
-self-join.  Tokens are then exploded in the task that holds the row, the lexicon (a small
+Plan: tokens are split and flagged (negator, booster) inside each row; the look-back to the
+three previous tokens is done by zipping the token array with copies of the flag arrays
+shifted by 1-3 places - no window, no self-join, no per-element lookups.  Tokens are then exploded in the task that holds the row, the lexicon (a small
 table of proven size) is broadcast-joined, and the per-document sums are a hash aggregate
 that combines map-side, so one huge document does not land whole in one task.  Valences are
 DECIMAL, so sums are exact and independent of aggregation order.
@@ -68,28 +68,23 @@ def tokens(text: Column) -> Column:
     return F.filter(stripped, lambda t: t != "")
 
 
-def _context(toks: Column) -> Column:
-    """Per token: (token, negated, boost) from the three preceding tokens of the array."""
+def _flags(toks: Column) -> tuple[Column, Column]:
+    """Per token: is it a negator, and its booster increment (0 when not a booster)."""
     neg = F.array(*[F.lit(x) for x in NEGATORS])
+    up = F.array(*[F.lit(x) for x in BOOSTERS_UP])
+    down = F.array(*[F.lit(x) for x in BOOSTERS_DOWN])
+    is_neg = F.transform(toks, lambda t: F.array_contains(neg, t))
+    boost = F.transform(toks, lambda t: F.when(F.array_contains(up, t), F.lit(BOOST))
+                        .when(F.array_contains(down, t), F.lit(-BOOST))
+                        .otherwise(F.lit(0.0)).cast(_DEC))
+    return is_neg, boost
 
-    def booster(t: Column) -> Column:
-        return (F.when(F.array_contains(F.array(*[F.lit(x) for x in BOOSTERS_UP]), t),
-                       F.lit(BOOST))
-                .when(F.array_contains(F.array(*[F.lit(x) for x in BOOSTERS_DOWN]), t),
-                      F.lit(-BOOST))
-                .otherwise(F.lit(0.0))).cast(_DEC)
 
-    def ctx(t: Column, i: Column) -> Column:
-        prev = [F.when(i >= d, F.get(toks, i - d)) for d in (1, 2, 3)]
-        negated = F.coalesce(F.array_contains(neg, prev[0]), F.lit(False))
-        for p in prev[1:]:
-            negated = negated | F.coalesce(F.array_contains(neg, p), F.lit(False))
-        boost = F.lit(0).cast(_DEC)
-        for p, w in zip(prev, DAMPING):
-            boost = boost + F.coalesce(booster(p), F.lit(0).cast(_DEC)) * F.lit(w).cast(_DEC)
-        return F.struct(t.alias("token"), negated.alias("negated"), boost.alias("boost"))
-
-    return F.transform(toks, ctx)
+def _shift(arr: Column, d: int, fill: Column) -> Column:
+    """``arr`` moved right by ``d`` places, ``fill`` in front: element i is arr[i - d]."""
+    n = F.size(arr)
+    return F.concat(F.array_repeat(fill, F.least(F.lit(d), n)),
+                    F.slice(arr, 1, F.greatest(n - d, F.lit(0))))
 
 
 def score_sentiment(df: DataFrame, id_cols: str | list[str], text_col: str,
@@ -108,13 +103,22 @@ def score_sentiment(df: DataFrame, id_cols: str | list[str], text_col: str,
     lex = F.broadcast(lex) if n_lex <= lexicon_max_rows else lex
 
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    # materialise the token array first: the look-back lambdas index into it, and must not
-    # re-evaluate the split for every element
-    docs = (df.select(F.struct(*ids).alias("_id"), tokens(F.col(text_col)).alias("_toks"))
-            .select("_id", _context(F.col("_toks")).alias("_t")))
+    # per token: negator flag and booster increment, then the same arrays shifted by 1-3
+    # places, so the look-back is positional alignment (linear, no per-element lookups)
+    docs = df.select(F.struct(*ids).alias("_id"), tokens(F.col(text_col)).alias("_toks"))
+    neg, bst = _flags(F.col("_toks"))
+    docs = docs.select("_id", "_toks", neg.alias("_neg"), bst.alias("_bst"))
+    zero = F.lit(0).cast(_DEC)
+    docs = docs.select("_id", "_toks", *[
+        _shift(F.col("_neg"), d, F.lit(False)).alias(f"_n{d}") for d in (1, 2, 3)], *[
+        _shift(F.col("_bst"), d, zero).alias(f"_b{d}") for d in (1, 2, 3)])
     # documents with no token still need a row: keep them with a null token
-    toks = docs.select("_id", F.explode_outer("_t").alias("t")).select(
-        "_id", "t.token", "t.negated", "t.boost")
+    z = F.arrays_zip("_toks", "_n1", "_n2", "_n3", "_b1", "_b2", "_b3")
+    toks = docs.select("_id", F.explode_outer(z).alias("t")).select(
+        "_id", F.col("t._toks").alias("token"),
+        (F.col("t._n1") | F.col("t._n2") | F.col("t._n3")).alias("negated"),
+        sum((F.col(f"t._b{d}") * F.lit(w).cast(_DEC) for d, w in zip((1, 2, 3), DAMPING)),
+            zero).alias("boost"))
     j = toks.join(lex, "token", "left")
     v = F.col("valence")
     adj = F.when(v.isNull(), F.lit(0).cast(_DEC)).otherwise(
