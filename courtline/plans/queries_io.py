@@ -49,42 +49,67 @@ from courtline.sources.forum import (
 
 
 # ---------------------------------------------------------------- SC1 SC2 SC4 SC5 P3 P6 F2
+ROWS_PER_PAGE = 64          # rendered page size
+REPEAT_HEADER_EVERY = 20    # a header row repeats inside the body, as on stats pages
+
+_PAGE_HEAD = (
+    "<html><head><script>var s=\"</td><td>\";</script></head><body>"
+    "<table><tr><th>id</th></tr><tr><td>{first}</td></tr></table>"
+    "<table id=\"stats\"><thead>"
+    "<tr><th colspan=\"3\">Order</th><th colspan=\"3\">Line</th></tr>"
+    "<tr><th>Rk</th><th>Order</th><th>Line</th><th>Qty</th>"
+    "<th><img alt=\"DraftKings\" src=\"dk.png\">Price</th><th>Flag</th></tr></thead><tbody>")
+_REPEAT = ("<tr class=\"thead\"><th>Rk</th><td>Order</td><td>Line</td><td>Qty</td>"
+           "<td>Price</td><td>Flag</td></tr>")
+_PAGE_TAIL = "</tbody></table></body></html>"
+
+
 def _render_pages(li: DataFrame) -> DataFrame:
-    """One small page per lineitem row: a decoy table, then a stats table with a two-level
-    header, a sportsbook logo in one header cell, a row-number ``<th>`` per body row,
-    cell text with stray whitespace and entities, and a repeated header row inside the body
-    of every first line."""
+    """Stats-table pages rendered from lineitem rows inside each task: up to 64 rows per
+    page, a decoy table first, a two-level header with a sportsbook logo in one cell, a
+    row-number ``<th>`` per body row, cell text with stray whitespace and entities, an
+    unclosed ``<td>``, and the header row repeated every 20 rows.  No grouping, no
+    shuffle: pages are cut from the rows each task already holds."""
+    import pyarrow as pa
+
     cents = F.floor(F.col("l_extendedprice") * 100)
-    price = F.concat((cents / 100).cast("long").cast("string"), F.lit("."),
-                     F.lpad((cents % 100).cast("string"), 2, "0"))
-    page_id = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    q = F.col("l_quantity").cast("long").cast("string")
-    repeat = F.when(F.col("l_linenumber") == 1, F.lit(
-        "<tr class=\"thead\"><th>Rk</th><td>Order</td><td>Line</td><td>Qty</td><td>Price</td>"
-        "<td>Flag</td></tr>")).otherwise(F.lit(""))
-    html = F.concat(
-        F.lit("<html><head><script>var s=\"</td><td>\";</script></head><body>"
-              "<table><tr><th>id</th></tr><tr><td>"), page_id.cast("string"),
-        F.lit("</td></tr></table><table id=\"stats\"><thead>"
-              "<tr><th colspan=\"3\">Order</th><th colspan=\"3\">Line</th></tr>"
-              "<tr><th>Rk</th><th>Order</th><th>Line</th><th>Qty</th>"
-              "<th><img alt=\"DraftKings\" src=\"dk.png\">Price</th><th>Flag</th></tr>"
-              "</thead><tbody><tr><th>1</th><td>"),
-        F.col("l_orderkey").cast("string"), F.lit("</td><td>"),
-        F.col("l_linenumber").cast("string"), F.lit("</td><td>\n   "), q,
-        F.lit("  </td><td>"), price, F.lit("<td>"), F.col("l_returnflag"), F.lit(" &amp; "),
-        F.col("l_linestatus"), F.lit("</td></tr>"), repeat,
-        F.lit("</tbody></table></body></html>"))
-    return li.select(page_id.alias("page_id"), html.alias("html"))
+    rows = li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("page_id"),
+        F.col("l_orderkey").cast("string").alias("k"),
+        F.col("l_linenumber").cast("string").alias("n"),
+        F.col("l_quantity").cast("long").cast("string").alias("q"),
+        F.concat((cents / 100).cast("long").cast("string"), F.lit("."),
+                 F.lpad((cents % 100).cast("string"), 2, "0")).alias("price"),
+        F.concat(F.col("l_returnflag"), F.lit(" &amp; "), F.col("l_linestatus")).alias("flag"))
+    schema = pa.schema([pa.field("page_id", pa.int64()), pa.field("html", pa.string())])
+
+    def render(batches):
+        for b in batches:
+            d = b.to_pydict()
+            ids, pages = [], []
+            for start in range(0, len(d["page_id"]), ROWS_PER_PAGE):
+                stop = min(start + ROWS_PER_PAGE, len(d["page_id"]))
+                body = []
+                for i in range(start, stop):
+                    if i > start and (i - start) % REPEAT_HEADER_EVERY == 0:
+                        body.append(_REPEAT)
+                    body.append(f"<tr><th>{i - start + 1}</th><td>{d['k'][i]}</td>"
+                                f"<td>{d['n'][i]}</td><td>\n   {d['q'][i]}  </td>"
+                                f"<td>{d['price'][i]}<td>{d['flag'][i]}</td></tr>")
+                ids.append(d["page_id"][start])
+                pages.append(_PAGE_HEAD.format(first=d["page_id"][start]) + "".join(body)
+                             + _PAGE_TAIL)
+            yield pa.RecordBatch.from_pydict({"page_id": ids, "html": pages}, schema=schema)
+
+    return rows.mapInArrow(render, "page_id long, html string")
 
 
 def html_table_scan(spark: SparkSession, sf: str) -> DataFrame:
-    pages = _render_pages(table(spark, sf, "lineitem"))
+    pages = _render_pages(table(spark, sf, "lineitem", spread=True))
     rows = table_rows(pages, tables=[1], locate_alt=("DraftKings", 1))
     body = rows.where((F.col("section") == "tbody")
                       & ~F.coalesce(F.get("cells", 0) == "Rk", F.lit(False)))
     return body.select(
-        "page_id",
         F.get("cells", 1).cast("long").alias("l_orderkey"),
         F.get("cells", 2).cast("int").alias("l_linenumber"),
         html_cell_text(F.get("cells", 3)).alias("quantity"),
@@ -518,7 +543,7 @@ SELECT md5(text) AS text_md5, count(*) AS n FROM documents GROUP BY 1 HAVING cou
     "csv_scan": "SELECT * FROM customer",
     "json_scan": "SELECT * FROM conversations",
     "html_table_scan": """
-SELECT l_orderkey * 8 + l_linenumber AS page_id, l_orderkey, l_linenumber,
+SELECT l_orderkey, l_linenumber,
   CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity,
   CAST(CAST(floor(l_extendedprice * 100) AS BIGINT) // 100 AS VARCHAR) || '.'
     || lpad(CAST(CAST(floor(l_extendedprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') AS price,
