@@ -26,10 +26,13 @@ def lockstep_explode(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Dat
     whole dataset.  Returns ``(exploded, quarantined)``."""
     sizes = [F.coalesce(F.size(c), F.lit(-1)) for c in cols]
     same = reduce(lambda a, b: a & b, [s == sizes[0] for s in sizes[1:]], F.lit(True))
-    good = df.where(same)
-    bad = df.where(~same)
     others = [c for c in df.columns if c not in cols]
-    zipped = good.select(*others, F.inline(F.arrays_zip(*[F.col(c) for c in cols])))
+    # one generator over the projected arrays: a mismatched row zips to null and yields
+    # nothing.  (A separate size filter would be pushed below the projection and make the
+    # optimizer evaluate every array expression twice.)
+    z = F.explode(F.when(same, F.arrays_zip(*[F.col(c) for c in cols]))).alias("_z")
+    zipped = df.select(*others, z).select(*others, *[F.col(f"_z.{c}").alias(c) for c in cols])
+    bad = df.where(~same)
     return zipped, bad
 
 

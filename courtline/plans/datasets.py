@@ -285,13 +285,14 @@ def odds(pages: DataFrame, run: RunParams) -> tuple[DataFrame, DataFrame]:
     t2 = t.where("table_idx = 2").select("page_id", "body_idx", F.col("book").alias("total"))
     o = t0.join(t1, ["page_id", "body_idx"], "left").join(t2, ["page_id", "body_idx"], "left")
     ws = r"(?U)\s+"
+    # today's games (whitespace collapsing cannot change this test, so it runs first)
+    o = o.where(F.col("datetime1").isNotNull() & (F.col("datetime1") != "FINAL")
+                & contains("datetime1", "Today"))
     o = o.select(
         F.regexp_replace("datetime1", ws, " ").alias("datetime1"),
         F.regexp_replace("spread", ws, " ").alias("spread"),
         F.regexp_replace("moneyline", ws, " ").alias("moneyline"),
         extract_first("total", r"(?iU)o\s+([\d.]+)").alias("total"))
-    o = o.where(F.col("datetime1").isNotNull() & (F.col("datetime1") != "FINAL")
-                & contains("datetime1", "Today"))
     o = o.withColumn("datetime1", F.regexp_replace("datetime1", r"(?U)Today,\s*", ""))
     o = o.withColumn("spread", spread_filter(F.replace(F.col("spread"), F.lit("PK"),
                                                        F.lit("-1.0"))))

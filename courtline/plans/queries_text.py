@@ -182,14 +182,17 @@ def odds_lines(spark: SparkSession, sf: str) -> DataFrame:
     in length are quarantined), type the moneyline and build the tip-off timestamp."""
     raw = _odds_raw(table(spark, sf, "lineitem", spread=True))
     ws = r"(?U)\s+"
+    # today's games only; collapsing whitespace cannot create or remove "Today" nor make
+    # a value equal "FINAL", so the filter runs first, on the raw text, and the regexes
+    # below run once per kept row
+    raw = raw.where(F.col("datetime1").isNotNull() & (F.col("datetime1") != "FINAL")
+                    & contains("datetime1", "Today"))
     o = raw.select(
         "l_orderkey", "l_linenumber",
         F.regexp_replace("datetime1", ws, " ").alias("datetime1"),
         F.regexp_replace("spread_raw", ws, " ").alias("spread"),
         F.regexp_replace("moneyline_raw", ws, " ").alias("moneyline"),
         extract_first("total_raw", r"(?iU)o\s+([\d.]+)").alias("total"))
-    o = o.where(F.col("datetime1").isNotNull() & (F.col("datetime1") != "FINAL")
-                & contains("datetime1", "Today"))
     o = o.withColumn("datetime1", F.regexp_replace("datetime1", r"(?U)Today,\s*", ""))
     o = o.withColumn("spread", spread_filter(F.replace(F.col("spread"), F.lit("PK"),
                                                        F.lit("-1.0"))))
