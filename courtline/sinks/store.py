@@ -63,6 +63,10 @@ class TableStore:
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.pending = Pending()
         self.batches: dict[str, str] = {}   # table -> files of its latest staged batch
+        # single writer: what this store last published is what the manifest says, so the
+        # next sequence number and each table's live files are cached until our next commit
+        self._next_seq: int | None = None
+        self._live_cache: dict[str, list] = {}
 
     # ------------------------------------------------------------------ manifest
     def _manifest(self) -> DataFrame | None:
@@ -76,6 +80,13 @@ class TableStore:
         """Paths of a table's live files: the newest file set of each bucket plus every
         segment since the last full replacement.  Resolved in Spark; only the result, bounded
         by the bucket count plus the live segments, reaches the driver."""
+        if table in self._live_cache:
+            return self._live_cache[table]
+        rows = self._resolve_live(table)
+        self._live_cache[table] = rows
+        return rows
+
+    def _resolve_live(self, table: str) -> list:
         m = self._manifest()
         if m is None:
             return []
@@ -95,6 +106,8 @@ class TableStore:
         return m is not None and m.where(F.col("run_id") == run_id).limit(1).count() > 0
 
     def next_seq(self) -> int:
+        if self._next_seq is not None:
+            return self._next_seq
         m = self._manifest()
         if m is None:
             return 0
@@ -207,6 +220,9 @@ class TableStore:
         if rows:
             (self.spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write
              .mode("errorifexists").json(f"{self.root}/_manifest/seq={seq:010d}"))
+            self._next_seq = seq + 1
+            for t in {r[1] for r in rows}:
+                self._live_cache.pop(t, None)
         self.pending = Pending()
         return seq
 
