@@ -142,6 +142,11 @@ class TableStore:
         """Write unpublished files.  ``overwrite``: the directory belongs to this commit
         only, so a staging step re-run after a failure replaces its own partial output."""
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+        if partition_by:
+            # without this every shuffle partition writes one file per bucket it holds
+            # (partitions x buckets small files); AQE rebalances so each bucket gets files of
+            # the advisory size, and a hot bucket is still split over several tasks
+            df = df.hint("rebalance", partition_by)
         w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(partition_by)
