@@ -115,6 +115,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            # a machine-local folder is only shared when the whole job runs in this process
+            master = spark.conf.get("spark.master", "") or ""
+            if not master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder shared by the "
+                                   "cluster (staging and lineage cuts live there)")
             root = tempfile.mkdtemp(prefix="courtline-ckpt-")
             if sc is None:
                 spark.conf.set("spark.checkpoint.dir", root)
