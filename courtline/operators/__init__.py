@@ -11,6 +11,7 @@ from courtline.operators.fill import (  # noqa: F401
     fill_zero,
     forward_fill,
     label_markers,
+    minute_bucket,
     period_from_markers,
 )
 from courtline.operators.filters import (  # noqa: F401

@@ -17,6 +17,7 @@ from courtline.operators import (
     keep_last_per_key,
     label_markers,
     merge_keyed,
+    minute_bucket,
     not_equal_keep_null,
 )
 from courtline.functions.dates import ts_ntz_lit
@@ -32,9 +33,9 @@ def ts_lit(v: dt.datetime) -> Column:
     return ts_ntz_lit(v)
 
 
-def _day_bucket(ts: str) -> Column:
-    # order-preserving coarse bucket for the skew-proof forward fill
-    return F.to_date(F.col(ts))
+def _time_bucket(ts: str) -> Column:
+    # order-preserving bucket for the skew-proof forward fill
+    return minute_bucket(ts)
 
 
 # ---------------------------------------------------------------- A2 keep last per key
@@ -66,7 +67,7 @@ def _filled_purchases(ev: DataFrame) -> DataFrame:
     d = ev.select("event_id", "user_id", "ts", "event_type", "value",
                   F.when(F.col("event_type") == "purchase", F.col("value")).alias("last_purchase"))
     d = forward_fill(d, ["user_id"], ["ts", "event_id"], ["last_purchase"],
-                     bucket=_day_bucket("ts"))
+                     bucket=_time_bucket("ts"))
     return fill_zero(d, ["last_purchase"])
 
 
@@ -85,7 +86,7 @@ def period_markers(spark: SparkSession, sf: str) -> DataFrame:
     is_marker = F.col("event_type") == "signup"
     conds = [(is_marker & (F.dayofmonth("ts") <= ub), label) for ub, label in PERIOD_RULES]
     d = ev.withColumn("period", label_markers(conds))
-    d = forward_fill(d, ["user_id"], ["ts", "event_id"], ["period"], bucket=_day_bucket("ts"))
+    d = forward_fill(d, ["user_id"], ["ts", "event_id"], ["period"], bucket=_time_bucket("ts"))
     # marker rows go only after they have labelled the rows that follow them
     return d.where(not_equal_keep_null("event_type", "signup"))
 

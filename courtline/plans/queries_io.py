@@ -350,7 +350,7 @@ BACKFILL_DATES = [f"2024-01-{d:02d}" for d in range(1, 32)]
 def batch_backfill(spark: SparkSession, sf: str) -> DataFrame:
     """Per-day re-computation for a list of run dates in one job: each day's purchases are
     forward-filled within (user, day), as a per-date rerun would."""
-    from courtline.operators import fill_zero, forward_fill
+    from courtline.operators import fill_zero, forward_fill, minute_bucket
 
     dates = backfill_dates(BACKFILL_DATES)
     ev = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
@@ -358,7 +358,7 @@ def batch_backfill(spark: SparkSession, sf: str) -> DataFrame:
     d = ev.select("day", "event_id", "user_id", "ts",
                   F.when(F.col("event_type") == "purchase", F.col("value")).alias("day_purchase"))
     d = forward_fill(d, ["user_id", "day"], ["ts", "event_id"], ["day_purchase"],
-                     bucket=F.hour("ts"))
+                     bucket=minute_bucket("ts"))
     return fill_zero(d, ["day_purchase"])
 
 
@@ -366,8 +366,8 @@ def batch_backfill(spark: SparkSession, sf: str) -> DataFrame:
 def pbp_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Play-by-play score handling on event rows: a score cell ``away-home`` is split once,
     coerced (junk such as a jump-ball text becomes null), carried forward within the game
-    (a user's events, skew-proof by day), zero before the first score, margin home-away."""
-    from courtline.operators import fill_zero, forward_fill, split_fixed
+    (a user's events, skew-proof by minute buckets), zero before the first score, margin home-away."""
+    from courtline.operators import fill_zero, forward_fill, minute_bucket, split_fixed
 
     ev = table(spark, sf, "events")
     score = (F.when(F.col("event_type") == "purchase",
@@ -378,7 +378,7 @@ def pbp_scores(spark: SparkSession, sf: str) -> DataFrame:
     d = d.select("*", *split_fixed("score", "-", ["scoreaway", "scorehome"]))
     d = d.withColumns({c: F.col(c).try_cast("double") for c in ("scoreaway", "scorehome")})
     d = forward_fill(d, ["user_id"], ["ts", "event_id"], ["scoreaway", "scorehome"],
-                     bucket=F.to_date("ts"))
+                     bucket=minute_bucket("ts"))
     d = fill_zero(d, ["scoreaway", "scorehome"])
     return d.withColumn("marginscore", F.col("scorehome") - F.col("scoreaway"))
 

@@ -15,6 +15,7 @@ from courtline.operators import (
     forward_fill,
     keep_first_per_key,
     keep_last_per_key,
+    minute_bucket,
 )
 
 N = 6000
@@ -59,10 +60,11 @@ def test_first_nonnull_under_skew(skewed):
     assert got == {k: (None if pd.isna(v) else v) for k, v in exp.items()}
 
 
-def test_bucketed_forward_fill_under_skew(skewed):
+@pytest.mark.parametrize("bucket", ["day", "minute"])
+def test_bucketed_forward_fill_under_skew(skewed, bucket):
     sdf, pdf = skewed
-    out = forward_fill(sdf, ["user_id"], ["ts", "event_id"], ["v"], bucket=F.to_date("ts"),
-                       suffix="_f")
+    b = F.to_date("ts") if bucket == "day" else minute_bucket("ts")
+    out = forward_fill(sdf, ["user_id"], ["ts", "event_id"], ["v"], bucket=b, suffix="_f")
     got = {r.event_id: r.v_f for r in out.collect()}
     p = pdf.sort_values(["user_id", "ts", "event_id"])
     p["v_f"] = p.groupby("user_id")["v"].ffill()
