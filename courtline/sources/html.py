@@ -80,6 +80,9 @@ class _Table:
         self.carry: dict[int, list] = {}  # col -> [rows_left, text, tag, alt]
 
 
+_NO_ATTRS: dict = {}
+
+
 def _span(attrs: dict, name: str) -> int:
     v = attrs.get(name)
     if v is None:
@@ -128,7 +131,7 @@ class Tokenizer:
             if closing:
                 end_tag(tag)
                 continue
-            attrs = self._attrs(raw) if tag in attr_tags else ()
+            attrs = self._attrs(raw) if raw and tag in attr_tags else ()
             if raw.endswith("/") and tag not in VOID:
                 self.handle_startendtag(tag, attrs)
             else:
@@ -187,7 +190,8 @@ class TableParser(Tokenizer):
         row, col = [], 0
         cells = iter(t.cur)
         pending = next(cells, None)
-        while pending is not None or any(c >= col for c in t.carry):
+        carry = t.carry
+        while pending is not None or (carry and any(c >= col for c in carry)):
             if col in t.carry:
                 left, text, tag, alt = t.carry[col]
                 row.append((tag, text, alt))
@@ -219,7 +223,7 @@ class TableParser(Tokenizer):
         if tag in RAW_TEXT:
             self.raw_depth += 1
             return
-        a = dict(attrs)
+        a = dict(attrs) if attrs else _NO_ATTRS
         if tag == "table":
             t = _Table(len(self.tables))
             self.tables.append(t)
@@ -238,7 +242,8 @@ class TableParser(Tokenizer):
             if t.cur is None:
                 t.cur = []
             self._finish_cell(t)
-            t.cell = _Cell(tag, _span(a, "colspan"), _span(a, "rowspan"))
+            t.cell = (_Cell(tag, _span(a, "colspan"), _span(a, "rowspan")) if a
+                      else _Cell(tag, 1, 1))
         elif tag == "img" and t.cell is not None and t.cell.alt is None:
             t.cell.alt = a.get("alt")
 
