@@ -73,32 +73,35 @@ def _render_pages(li: DataFrame) -> DataFrame:
     import pyarrow as pa
 
     cents = F.floor(F.col("l_extendedprice") * 100)
+    price = F.concat((cents / 100).cast("long").cast("string"), F.lit("."),
+                     F.lpad((cents % 100).cast("string"), 2, "0"))
+    # each row's cells are formatted JVM-side; Python only numbers the rows within a page
+    # and joins them, since a page is cut from the rows its task already holds
+    row_html = F.concat(
+        F.lit("</th><td>"), F.col("l_orderkey").cast("string"),
+        F.lit("</td><td>"), F.col("l_linenumber").cast("string"),
+        F.lit("</td><td>\n   "), F.col("l_quantity").cast("long").cast("string"),
+        F.lit("  </td><td>"), price,
+        F.lit("<td>"), F.col("l_returnflag"), F.lit(" &amp; "), F.col("l_linestatus"),
+        F.lit("</td></tr>"))
     rows = li.select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("page_id"),
-        F.col("l_orderkey").cast("string").alias("k"),
-        F.col("l_linenumber").cast("string").alias("n"),
-        F.col("l_quantity").cast("long").cast("string").alias("q"),
-        F.concat((cents / 100).cast("long").cast("string"), F.lit("."),
-                 F.lpad((cents % 100).cast("string"), 2, "0")).alias("price"),
-        F.concat(F.col("l_returnflag"), F.lit(" &amp; "), F.col("l_linestatus")).alias("flag"))
+        row_html.alias("tr"))
     schema = pa.schema([pa.field("page_id", pa.int64()), pa.field("html", pa.string())])
 
     def render(batches):
         for b in batches:
-            d = b.to_pydict()
+            pid, tr = b.column(0).to_pylist(), b.column(1).to_pylist()
             ids, pages = [], []
-            for start in range(0, len(d["page_id"]), ROWS_PER_PAGE):
-                stop = min(start + ROWS_PER_PAGE, len(d["page_id"]))
+            for start in range(0, len(pid), ROWS_PER_PAGE):
+                stop = min(start + ROWS_PER_PAGE, len(pid))
                 body = []
                 for i in range(start, stop):
                     if i > start and (i - start) % REPEAT_HEADER_EVERY == 0:
                         body.append(_REPEAT)
-                    body.append(f"<tr><th>{i - start + 1}</th><td>{d['k'][i]}</td>"
-                                f"<td>{d['n'][i]}</td><td>\n   {d['q'][i]}  </td>"
-                                f"<td>{d['price'][i]}<td>{d['flag'][i]}</td></tr>")
-                ids.append(d["page_id"][start])
-                pages.append(_PAGE_HEAD.format(first=d["page_id"][start]) + "".join(body)
-                             + _PAGE_TAIL)
+                    body.append(f"<tr><th>{i - start + 1}{tr[i]}")
+                ids.append(pid[start])
+                pages.append(_PAGE_HEAD.format(first=pid[start]) + "".join(body) + _PAGE_TAIL)
             yield pa.RecordBatch.from_pydict({"page_id": ids, "html": pages}, schema=schema)
 
     return rows.mapInArrow(render, "page_id long, html string")
