@@ -192,13 +192,13 @@ class TableParser(Tokenizer):
         pending = next(cells, None)
         carry = t.carry
         while pending is not None or (carry and any(c >= col for c in carry)):
-            if col in t.carry:
-                left, text, tag, alt = t.carry[col]
+            if col in carry:
+                left, text, tag, alt = carry[col]
                 row.append((tag, text, alt))
                 if left <= 1:
-                    del t.carry[col]
+                    del carry[col]
                 else:
-                    t.carry[col][0] = left - 1
+                    carry[col][0] = left - 1
                 col += 1
                 continue
             if pending is None:
@@ -207,7 +207,7 @@ class TableParser(Tokenizer):
             for k in range(pending.colspan):
                 row.append((pending.tag, text, pending.alt))
                 if pending.rowspan > 1:
-                    t.carry[col + k] = [pending.rowspan - 1, text, pending.tag, pending.alt]
+                    carry[col + k] = [pending.rowspan - 1, text, pending.tag, pending.alt]
             col += pending.colspan
             pending = next(cells, None)
         t.rows.append((t.section, row))

@@ -73,3 +73,30 @@ def test_extraction_runs_where_the_pages_are(spark, sf_dir):
     # no extra exchange is added when the input already has enough partitions
     assert p.count("Exchange") == 1
     assert "ReadSchema: struct<page_id:bigint,html:string>" in p
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _ClusterSession:
+    """A session on a cluster master with no checkpoint dir (no SparkContext view)."""
+
+    conf = _Conf({"spark.master": "yarn"})
+
+    @property
+    def sparkContext(self):
+        raise RuntimeError("no context")
+
+
+def test_cluster_without_checkpoint_dir_is_an_error():
+    import pytest
+
+    from courtline.session import checkpoint_root
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(_ClusterSession())
