@@ -152,3 +152,28 @@ def test_extractor_output_chunking_is_lossless(spark, monkeypatch):
     monkeypatch.setattr(H, "OUT_ROWS", 3)
     chunked = sorted(tuple(map(str, r)) for r in table_rows(pages).select(*cols).collect())
     assert chunked == full and len(full) > 20
+
+
+def test_store_replace_retires_older_files(spark):
+    root = scratch_path(spark, "t-replace")
+    store = TableStore(spark, root, buckets=2)
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "n long")
+    store.stage_append("snap", rows(1, 2))
+    store.commit("r1")
+    store.stage_append("snap", rows(3))
+    store.commit("r2")
+    store.stage_replace("snap", rows(10))
+    store.commit("r3")
+    store.stage_append("snap", rows(11))
+    store.commit("r4")
+    for s in (store, TableStore(spark, root, buckets=2)):   # cached and resolved from disk
+        assert sorted(r.n for r in s.read("snap").collect()) == [10, 11]
+    # a keyed table replaced after upserts: older buckets are retired too
+    ts = F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")
+    store.stage_upsert("k", spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"),
+                       ["k"], ts)
+    store.commit("r5")
+    store.stage_replace("k", spark.createDataFrame([(3, "c")], "k long, v string"))
+    store.commit("r6")
+    fresh = TableStore(spark, root, buckets=2)
+    assert [(r.k, r.v) for r in fresh.read("k").collect()] == [(3, "c")]
