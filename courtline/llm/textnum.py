@@ -42,8 +42,9 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.concatenate([[0], ends])
 
 
-def word_hashes(flat: np.ndarray, starts: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of each word, and each text's first word (and the end)."""
+def word_hashes(flat: np.ndarray, starts: np.ndarray, blank: np.ndarray, stems: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of each word, and each text's first word (and the end).  With ``stems`` each
+    word is followed by the hashes of its first so many bytes, where it is longer."""
     edge = np.flatnonzero(np.diff(blank[flat].view(np.int8), prepend=np.int8(1), append=np.int8(1)))
     a, z = edge[0::2], edge[1::2]
     if not len(a):
@@ -53,6 +54,15 @@ def word_hashes(flat: np.ndarray, starts: np.ndarray, blank: np.ndarray) -> tupl
         run = np.zeros(len(flat) + 1, np.uint64)
         np.cumsum((flat.astype(np.uint64) + np.uint64(1)) * up[: len(flat)], out=run[1:])
         words = mixed((run[z] - run[a]) * down[a])
+        if stems:
+            order, more = [np.arange(len(a))], [words]
+            for n in stems:
+                longer = np.flatnonzero(z - a > n)
+                order.append(longer)
+                more.append(mixed((run[a[longer] + n] - run[a[longer]]) * down[a[longer]] + np.uint64(n)))
+            place = np.concatenate(order)
+            at = np.argsort(place, kind="stable")
+            words, a = np.concatenate(more)[at], a[place[at]]
     return words, np.searchsorted(a, starts)
 
 

@@ -1,7 +1,7 @@
 """Toxicity: a factorization machine over hashed terms.
 
-A text's terms are its lower-cased words (letters and digits), hashed to 64 bits, each counted
-once.  The score is the logistic function of ``w0 + sum w_i + sum over pairs <v_i, v_j>``, so a
+A text's terms are its lower-cased words (letters and digits) and the stems of longer words
+(their first ``STEMS`` bytes, since insults are inflected), hashed to 64 bits, each counted once.  The score is the logistic function of ``w0 + sum w_i + sum over pairs <v_i, v_j>``, so a
 pair of terms (an insult and whom it is aimed at) can weigh more or less than its two terms.
 
 Training takes a bounded sample: the ``PER_LABEL`` labelled rows of each class with the smallest
@@ -30,7 +30,8 @@ PER_LABEL = 4000
 LEAST_G2 = 20.0
 MAX_TERMS = 1024
 RANK = 8
-STEPS, RATE, DECAY = 150, 0.1, 1e-4
+STEPS, RATE, DECAY = 250, 0.1, 1e-5
+STEMS = (5, 7)              # bytes of a longer word's stem, a term of its own
 THRESHOLD = 0.7
 
 
@@ -40,7 +41,7 @@ def held_out(id_col: str, folds: int = 3, fold: int = 1) -> Column:
 
 def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     flat, starts = textnum.joined([(t or "").lower().encode() for t in texts])
-    return textnum.word_hashes(flat, starts, textnum.NOT_WORD)
+    return textnum.word_hashes(flat, starts, textnum.NOT_WORD, STEMS)
 
 
 def _runs(column, rows: int = 512, chars: int = 1 << 20):
