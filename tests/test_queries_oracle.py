@@ -4,10 +4,11 @@ same comparison the correctness gate makes: column names, row count, multiset of
 import pytest
 
 import __spark_entry__ as entry
+from courtline.plans.registry import all_oracle_sql, all_queries
 from oracle_check import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = all_queries()
+ORACLE = all_oracle_sql()
 
 
 @pytest.fixture(scope="module")
