@@ -90,20 +90,42 @@ def thresholds(rows: DataFrame, budgets: DataFrame, few: bool) -> DataFrame:
         .select("source", F.coalesce("h", F.col("first") - 1).alias("threshold"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        *, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """doc_id, source, size, source_size, target and ``copies`` (how often the mix takes it)."""
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), hash60(F.col(id_col)).alias("h"),
-                               F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long").alias("size")), "mix-sizes")
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), hash60(F.col(id_col)).alias("h"),
+                       F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long").alias("size"))
+
+
+def plan(rows: DataFrame, share: float, cap: float, weights: tuple[int, ...]) -> tuple[DataFrame, bool]:
+    """Per source: source_size, target, whole (times that every document is taken), threshold
+    (hashes up to it once more); and whether the table is known to be short."""
     goal = written(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), share, cap, weights), "mix-targets")
     few = goal.count() <= BROADCAST_SOURCES
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     goal = goal.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
     limit = thresholds(rows, goal.select("source", "budget"), few).withColumnRenamed("source", "l_source")
     goal = goal.join(limit, F.col("source").eqNullSafe(F.col("l_source")), "left")
-    rows = _by_source(rows, goal.select("source", "source_size", "target", "whole", "threshold"), few, "inner")
-    return rows.select("doc_id", "source", "size", "source_size", "target",
-                       (F.col("whole") + F.when(F.col("h") <= F.col("threshold"), 1).otherwise(0)).cast("int").alias("copies"))
+    return goal.select("source", "source_size", "target", "whole", "threshold"), few
+
+
+def _copies() -> Column:
+    return (F.col("whole") + F.when(F.col("h") <= F.col("threshold"), 1).otherwise(0)).cast("int")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        *, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """doc_id, source, size, source_size, target and ``copies`` (how often the mix takes it)."""
+    rows = written(_sized(docs, id_col, text_col, source_col), "mix-sizes")
+    rows = _by_source(rows, *plan(rows, share, cap, weights), "inner")
+    return rows.select("doc_id", "source", "size", "source_size", "target", _copies().alias("copies"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          *, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """The documents of the mix, each as often as it is taken; the texts are not shuffled."""
+    table, few = plan(written(_sized(docs, id_col, text_col, source_col), "mix-sizes"), share, cap, weights)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(source_col).alias("source"), hash60(F.col(id_col)).alias("h"))
+    rows = _by_source(rows, table.select("source", "whole", "threshold"), few, "inner").select("row", _copies().alias("copies"))
+    return rows.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def oracle_sql() -> str:

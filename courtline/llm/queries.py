@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import common, minhash, mixing, packing, secrets, token_files, toxicity
+from courtline.llm import (common, edit_embedding, importance, minhash, mixing, packing, repeats, secrets, token_files, toxicity,
+                           vector_search)
 
 
 def vocabulary(name: str) -> str:
@@ -15,6 +16,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.fingerprint_documents(common.documents(spark, sf_dir))
+
+
+def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(common.read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(common.documents(spark, sf_dir), tokenizer=vocabulary("byte_bpe_50k.json"))
 
@@ -23,6 +32,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir), tokenizer=vocabulary("word_bpe_49k.json"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(common.documents(spark, sf_dir))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(common.documents(spark, sf_dir))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
@@ -40,5 +53,10 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secrets(common.documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_files, op4_packing, op6_mixing, op7_toxicity, op8_minhash, op9_secrets)}
-ORACLE = {"op6_mixing": mixing.oracle_sql()}
+def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(common.documents(spark, sf_dir), common.read(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_edit_embedding, op2_vector_search, op3_token_files, op4_packing, op5_repeats, op6_mixing,
+                                   op7_toxicity, op8_minhash, op9_secrets, op10_importance)}
+ORACLE = {"op2_vector_search": vector_search.ORACLE, "op6_mixing": mixing.oracle_sql()}

@@ -163,5 +163,23 @@ def scan(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str
         run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
+def without_secrets(docs: DataFrame, models: Models, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The rows with every span masked in the text and, where there is one, the length set anew."""
+    at = docs.columns.index(text_col)
+    size = docs.columns.index(length_col) if length_col in docs.columns else None
+
+    def run(batches):
+        for b in batches:
+            old = b.column(at).to_pylist()
+            new = [masked(t, s) if t and (s := find(t, models)) else t for t in old]
+            b = b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
+            if size is not None:
+                n = [k if a is c else len(c) for a, c, k in zip(old, new, b.column(size).to_pylist(), strict=True)]
+                b = b.set_column(size, b.schema.field(size), pa.array(n, b.schema.field(size).type))
+            yield b
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def secrets(docs: DataFrame) -> DataFrame:
     return scan(docs, fit(docs))

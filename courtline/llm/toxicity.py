@@ -151,23 +151,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(*sample(docs, labels.where(~held_out("doc_id")), id_col, text_col))
 
 
-def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` but the text, and ``score``."""
-    others = [c for c in docs.columns if c != text_col]
-    plain = docs.select(*others, F.col(text_col).alias(text_col))
+def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, score."""
+    def run(batches):
+        for b in batches:
+            for at, texts in _runs(b.column(1)):
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array(model.scores(texts))], names=["doc_id", "score"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score below the threshold, all columns as they are."""
+    at = docs.columns.index(text_col)
 
     def run(batches):
         for b in batches:
-            for at, texts in _runs(b.column(len(others))):
-                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(at, len(texts)) for i in range(len(others))), pa.array(model.scores(texts))],
-                                                 names=[*others, "score"])
+            for i, texts in _runs(b.column(at)):
+                yield b.slice(i, len(texts)).filter(pa.array(model.scores(texts) < threshold))
 
-    schema = plain.select(*others, F.lit(0.0).alias("score")).schema
-    return plain.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     model = fit(docs, labels)
-    s = scored(docs.select("doc_id", "text"), model)
+    s = scored(docs, model)
     return s.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
