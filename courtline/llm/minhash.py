@@ -7,16 +7,20 @@ pair at the threshold of 0.85 shares none of 32 bands of 4 with a chance of 6e-1
 
 Only what connects matters, so a bucket's pairs are not listed:
 
-1. Star rounds.  Each bucket's candidates are paired with one hub, the member whose buckets
+1. Star round.  Each bucket's candidates are paired with one hub, the member whose buckets
    are the most filled (the text the others were copied from).  Pairs whose signatures agree
    are confirmed on their full sets; components are formed; buckets that now lie in one
    component are done.
-2. Rest.  Members of different components that still share a bucket are compared by
-   signature inside the bucket, in blocks of bounded size, and those that agree confirmed.
-   No pair is left out, so the result is that of all pairs.
+2. Neighbour rounds.  In the buckets left, every member is paired with the member of another
+   component whose signature is nearest.
+3. Rest.  All members of different components that still share a bucket are compared by
+   signature, in blocks of bounded size, each pair in the first band it shares, and those that
+   agree confirmed.  No pair is left out, so the result is that of all pairs.
 
-Signatures decide only what cannot reach the threshold (agreement under ``LEAST`` of 128, seven
-standard deviations below it).  Classes are known by a 64-bit hash of the set.
+The signature for verification is one permutation's: the least shingle hash in each of ``BINS``
+ranges, eight bits of it.  It estimates the similarity of small sets almost exactly; pairs more than
+``DEVIATIONS`` standard deviations under the threshold are left.  Classes are known by a 64-bit hash
+of the set.
 
 Null or empty text, or only blanks: no shingle, linked with nothing.  Fewer than ``k`` words:
 one shingle of all.  Null id: sorted before all ids; returned as null.  Rows of equal id are
@@ -36,8 +40,8 @@ from courtline.llm.components import connected_components
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
-LEAST = 80                  # of the 128 minima
-STARS = 3                   # star rounds before the rest is compared block by block
+BINS, DEVIATIONS = 1024, 4.5
+NEIGHBOURS = 2              # neighbour rounds before the rest is compared
 BLOCK = 512                 # members of a bucket compared with each other in one go
 SALTS = 1024                # tasks that a hub's pairs may go to
 
@@ -90,6 +94,25 @@ def signatures(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sig
 
 
+def bin_minima(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each set and range of hashes eight bits of the least hash there (0: none)."""
+    out = np.zeros((len(at) - 1, BINS), np.uint8)
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    place = owner * BINS + (sets >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    first = np.flatnonzero(np.diff(place, prepend=-1))      # sets are sorted
+    out.ravel()[place[first]] = 1 + (sets[first] % np.uint64(255)).astype(np.uint8)
+    return out
+
+
+def alike(one: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Estimated similarity of one signature to others; -1 where it cannot reach the threshold."""
+    has, goal = others > 0, percent / 100
+    either = np.maximum((has | (one > 0)).sum(1), 1)
+    share = ((others == one) & has).sum(1) / either
+    rest = np.maximum(0.0, 1 - either / np.maximum(sizes, size))
+    return np.where(share >= goal - 0.01 - DEVIATIONS * np.sqrt(goal * (1 - goal) / either * rest), share, -1.0)
+
+
 def band_keys(sig: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band of each signature."""
     with np.errstate(over="ignore"):
@@ -100,32 +123,38 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """key, text_hash, n (set size), node (class), sig."""
+    """key, text_hash, n (set size), node (class), sig (size and bin minima), bands (keys)."""
     def run(batches):
         for b in batches:
             for at, texts in textnum.slices(b.column(2)):
                 sets, ends = shingle_sets(texts, k)
                 n = np.diff(ends)
-                sig = signatures(sets, ends)
+                sig, keys = bin_minima(sets, ends), band_keys(signatures(sets, ends))
                 with np.errstate(over="ignore"):
                     total = np.concatenate([[0], np.cumsum(textnum.mixed(sets + np.uint64(1)))]).astype(np.uint64)
                     node = textnum.mixed((total[ends[1:]] - total[ends[:-1]]) ^ n.astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [*(b.column(i).slice(at, len(texts)) for i in (0, 1)), pa.array(n), pa.array(node), pa.array([s.tobytes() for s in sig], pa.binary())],
-                    names=["key", "text_hash", "n", "node", "sig"])
+                    [*(b.column(i).slice(at, len(texts)) for i in (0, 1)), pa.array(n), pa.array(node),
+                     pa.array([int(m).to_bytes(8, "little") + s.tobytes() for m, s in zip(n, sig, strict=True)], pa.binary()),
+                     pa.array([k.tobytes() for k in keys], pa.binary())], names=["key", "text_hash", "n", "node", "sig", "bands"])
 
     return (docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "key long, text_hash long, n long, node long, sig binary"))
+            .mapInArrow(run, "key long, text_hash long, n long, node long, sig binary, bands binary"))
 
 
 def _bands(classes: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
-            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, MINIMA)
-            node = np.repeat(b.column(0).to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(band_keys(sig).ravel()), pa.array(node)], names=["band", "node"])
+            keys = np.frombuffer(b"".join(b.column(1).to_pylist()), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(b.column(0).to_numpy(), BANDS))], names=["band", "node"])
+
+    return classes.select("node", "bands").mapInArrow(run, "band long, node long")
 
-    return classes.select("node", "sig").mapInArrow(run, "band long, node long")
+
+def _unpacked(sigs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and bin minima."""
+    both = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(sigs), 8 + BINS)
+    return np.ascontiguousarray(both[:, :8]).view("<i8").ravel(), both[:, 8:]
 
 
 def _against_hub(pairs: DataFrame, table: DataFrame, value: str, keep) -> DataFrame:
@@ -160,9 +189,11 @@ def _against_hub(pairs: DataFrame, table: DataFrame, value: str, keep) -> DataFr
             .mapInArrow(run, "a long, b long"))
 
 
-def _similar(one: bytes, others: list[bytes]) -> np.ndarray:
-    sig = np.frombuffer(b"".join(others), np.uint32).reshape(-1, MINIMA)
-    return (sig == np.frombuffer(one, np.uint32)).sum(1) >= LEAST
+def _similar(percent: int):
+    def keep(one: bytes, others: list[bytes]) -> np.ndarray:
+        sizes, sigs = _unpacked([one, *others])
+        return alike(sigs[0], sizes[0], sigs[1:], sizes[1:], percent) >= 0
+    return keep
 
 
 def _linked(k: int, percent: int):
@@ -176,23 +207,37 @@ def _linked(k: int, percent: int):
     return keep
 
 
-def _crossing(members: DataFrame, sigs: DataFrame) -> DataFrame:
-    """Pairs of different components in a bucket whose signatures agree: members are
-    (band, node, label, m: members of the bucket), compared in blocks."""
+def _crossing(members: DataFrame, classes: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs of different components in a bucket whose signatures agree, in the first band that they
+    share; with ``nearest`` only each member's best in its block.  Members are (band, node, label,
+    m: members of the bucket), compared in blocks."""
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = members.withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = own.select("node", "band", "label", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                       (F.col("own") > F.col("other")).cast("int").alias("side"))
-    rows = sigs.select("node", "sig").join(rows.hint("shuffle_hash"), "node").select("band", "p", "q", "side", "node", "label", "sig")
+    rows = classes.select("node", "sig", "bands").join(rows.hint("shuffle_hash"), "node").select("band", "p", "q", "side", "node", "label", "sig", "bands")
 
-    def pairs(group, within):
+    def pairs(at, group):
         if len(group) < 2:
             return
+        band, p, q = at
         side, node, label = (np.array([r[i] for r in group]) for i in (0, 1, 2))
-        sig = np.frombuffer(b"".join(r[3] for r in group), np.uint32).reshape(-1, MINIMA)
+        sizes, sigs = _unpacked([r[3] for r in group])
+        keys = np.frombuffer(b"".join(r[4] for r in group), np.int64).reshape(len(group), BANDS)
         for i in range(len(group)):
-            there = np.flatnonzero((label != label[i]) & (np.arange(len(group)) > i if within else (side > side[i])))
-            for j in there[(sig[there] == sig[i]).sum(1) >= LEAST]:
+            apart = label != label[i]
+            apart &= (np.arange(len(group)) > i) if p == q and not nearest else (side != side[i] if nearest and p != q else side > side[i]) if p != q else True
+            there = np.flatnonzero(apart)
+            if not len(there):
+                continue
+            like = alike(sigs[i], sizes[i], sigs[there], sizes[there], percent)
+            if nearest:
+                there = there[[like.argmax()]] if like.max() >= 0 else there[:0]
+            else:
+                there = there[like >= 0]
+                same = keys[there] == keys[i]
+                there = there[keys[i][same.argmax(1)] == band]
+            for j in there:
                 yield min(node[i], node[j]), max(node[i], node[j])
 
     def run(batches):
@@ -200,43 +245,46 @@ def _crossing(members: DataFrame, sigs: DataFrame) -> DataFrame:
         for b in batches:
             for band, p, q, *rest in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (band, p, q) != at:
-                    out += pairs(group, at is not None and at[1] == at[2])
+                    out += pairs(at, group)
                     at, group = (band, p, q), []
                 group.append(rest)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
                 out = []
-        if out := [*out, *pairs(group, at is not None and at[1] == at[2])]:
+        if out := [*out, *pairs(at, group)]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
 
     return (rows.repartition(shuffle_partitions(members.sparkSession), "band", "p", "q").sortWithinPartitions("band", "p", "q")
             .mapInArrow(run, "a long, b long").distinct())
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """Each bucket's members with its hub."""
+    rated = members.join(members.groupBy("node").agg(F.sum("m").alias("filled")), "node")
+    hubs = (rated.groupBy("band").agg(F.max("filled").alias("filled")).join(rated, ["band", "filled"])
+            .groupBy("band").agg(F.min("node").alias("a")))
+    return members.join(hubs, "band").where("node != a").select("a", F.col("node").alias("b")).distinct()
+
+
 def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links (u, v) that connect what the threshold connects, from classes (node, sig)
+    """Confirmed links (u, v) that connect what the threshold connects, from classes (node, sig, bands)
     and texts (node, text)."""
     bands = written(_bands(classes), "minhash-bands")
     shared = bands.groupBy("band").agg(F.count("*").alias("m")).where("m > 1")
     open_ = written(bands.join(shared, "band"), "minhash-open")
-    texts = written(texts.join(open_.select("node").distinct().hint("shuffle_hash"), "node", "left_semi"), "minhash-texts", compression="zstd")
+    # only classes that share a bucket are looked at from here on
+    some = open_.select("node").distinct().hint("shuffle_hash")
+    classes = written(classes.join(some, "node", "left_semi"), "minhash-candidates")
+    texts = written(texts.join(some, "node", "left_semi"), "minhash-texts", compression="zstd")
     found, confirm = None, _linked(k, percent)
-    for turn in range(STARS + 1):
-        if turn == STARS:
-            pairs = _crossing(open_, classes)
+    for turn in range(NEIGHBOURS + 2):
+        if turn == 0:
+            pairs = _against_hub(_stars(open_), classes, "sig", _similar(percent))
         else:
-            filled = open_.groupBy("node").agg(F.sum("m").alias("filled"))
-            hubs = (open_.join(filled, "node").groupBy("band")
-                    .agg(F.max("filled").alias("filled")).join(open_.join(filled, "node"), ["band", "filled"])
-                    .groupBy("band").agg(F.min("node").alias("a")))
-            members = open_.join(hubs, "band").where("node != a")
-            if turn:
-                members = members.join(open_.select("band", F.col("node").alias("a"), F.col("label").alias("a_label")), ["band", "a"]).where("label != a_label")
-            pairs = _against_hub(members.select("a", F.col("node").alias("b")).distinct(), classes, "sig", _similar)
-        new = _against_hub(pairs, texts, "text", confirm).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        new = written(new, "minhash-links")
+            pairs = _crossing(open_, classes, percent, nearest=turn <= NEIGHBOURS)
+        new = written(_against_hub(pairs, texts, "text", confirm).select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-links")
         found = new if found is None else found.unionByName(new)
-        if turn == STARS:
+        if turn > NEIGHBOURS:
             break
         labels = connected_components(found)
         # buckets that still hold several components
@@ -254,11 +302,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketch = written(sketches(docs, id_col, text_col, k), "minhash-sketches")
     classes = sketch.where("n > 0").groupBy("node").agg(F.min("key").alias("low"))
     # one row of a class carries its signature and its text
-    first = sketch.where("n > 0").join(classes.hint("shuffle_hash"), "node").where("key = low").select("node", "key", "text_hash", "sig").dropDuplicates(["node"])
+    first = sketch.where("n > 0").join(classes.hint("shuffle_hash"), "node").where("key = low").select("node", "key", "text_hash", "sig", "bands").dropDuplicates(["node"])
     first = written(first, "minhash-classes")
     texts = (docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
              .join(first.select("key", "text_hash", "node").hint("shuffle_hash"), ["key", "text_hash"]).select("node", "text"))
-    labels = connected_components(links(first.select("node", "sig"), texts, k, percent))
+    labels = connected_components(links(first.select("node", "sig", "bands"), texts, k, percent))
     low = labels.join(classes, "node").groupBy("label").agg(F.min("low").alias("whole"))
     linked = labels.join(low, "label").select("node", "whole")
     out = sketch.select("key", "text_hash", "n", "node").join(classes, "node", "left").join(linked, "node", "left")
