@@ -9,13 +9,15 @@ equal places.  Neighbouring strings of one trigger make a phrase: the bytes from
 string's start to the last one's end.  The dictionary is the set of distinct phrases, known by
 (trigger, hash of the phrase); the parse is the list of their occurrences in corpus order.
 
-Order.  Sorting the corpus' suffixes by ``LENGTH`` bytes takes two steps.  Strings in equal phrases
-need no comparison: all occurrences of a phrase but the first are repeats as a whole.  Between
-different phrases only those of one trigger can share a string: of these the suffixes are compared,
-one row for each suffix of the dictionary that starts a string, grouped by (trigger, hash of the
-string), with the first document of each group.  Only this grouping of the suffix order is needed,
-and it combines before the shuffle, so a passage that a third of the documents share is never
-gathered as the sorted suffix array of one task.
+Order.  Of the order of the corpus' suffixes by ``LENGTH`` bytes only the groups of equal strings,
+each in corpus order, are needed; they are found from coarse to fine.  Strings in equal phrases need
+no comparison: all occurrences of a phrase but the first are repeats as a whole.  Different phrases
+share strings only if they have the same trigger: the first occurrences of such phrases are cut into
+pieces of up to ``STEP`` neighbouring strings, pieces that could share a string are brought together by
+the bytes common to all of them, and again all but the first of equal pieces are repeats.  What is left
+(first occurrences of pieces that differ, at the ends of shared passages) is compared string by string.
+A suffix array of dictionary and parse would bring the same groups together, but a passage that a third
+of the documents share would lie in one range of it, in one task.
 
 Identity is that of two 64-bit hashes (the trigger's and the phrase's or string's).  Triggers with
 many occurrences are found in a sample of documents (at most ten per shuffle partition) and their
@@ -40,6 +42,7 @@ from courtline.llm import textnum
 from courtline.llm.common import MIN_LONG, order_key, shuffle_partitions, written
 
 LENGTH, GRAM = 100, 32
+STEP = 8                    # places of the trigger in the strings of a piece
 SALTS = 32
 SAMPLE = 64                 # one document of so many is looked through for frequent triggers
 SEGMENT = 1 << 22           # starts of strings that are parsed at once (places have 24 bits)
@@ -62,45 +65,72 @@ def _sums(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return run, down
 
 
-def parse(flat: np.ndarray, valid: np.ndarray | None = None):
-    """Phrases of bytes: trigger hash, phrase hash, first and last start of their strings.
-    ``valid``: the starts that lie in one document, ascending (all, if None)."""
+def _triggers(run: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each gram, and the place of each string's trigger."""
+    gram = _hash(run, down, np.arange(len(run) - GRAM), np.arange(GRAM, len(run)))
+    tagged = (gram & ~np.uint64((1 << 24) - 1)) | np.arange(len(gram), dtype=np.uint64)
+    return gram, (_least(tagged, LENGTH - GRAM + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
+
+
+def _hash(run: np.ndarray, down: np.ndarray, a, z) -> np.ndarray:
+    """Hashes of the bytes from a to z."""
+    with np.errstate(over="ignore"):
+        return textnum.mixed((run[z] - run[a]) * down[a])
+
+
+def parse(flat: np.ndarray, starts: np.ndarray | None = None):
+    """Phrases of bytes: trigger's hash, phrase's hash, first and last start of their strings.
+    ``starts``: those of the strings that lie in one document, ascending (all, if None)."""
     n = len(flat) - LENGTH + 1
-    none = np.zeros(0, np.int64)
-    if n <= 0:
+    starts = np.arange(max(n, 0)) if starts is None else starts
+    if n <= 0 or not len(starts):
+        none = np.zeros(0, np.int64)
         return none.view(np.uint64), none.view(np.uint64), none, none
+    run, down = _sums(flat)
+    gram, at = _triggers(run, down)
+    t = at[starts]
+    new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (starts[1:] != starts[:-1] + 1)]))
+    lo, hi, t = starts[new], starts[np.concatenate([new[1:], [len(starts)]]) - 1], t[new]
     with np.errstate(over="ignore"):
-        run, down = _sums(flat)
-        gram = textnum.mixed((run[GRAM:] - run[:-GRAM]) * down[:len(flat) - GRAM + 1])
-        tagged = (gram & ~np.uint64((1 << 24) - 1)) | np.arange(len(gram), dtype=np.uint64)
-        at = (_least(tagged, LENGTH - GRAM + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
-        starts = np.arange(n) if valid is None else valid
-        if not len(starts):
-            return none.view(np.uint64), none.view(np.uint64), none, none
-        t = at[starts]
-        new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (starts[1:] != starts[:-1] + 1)]))
-        lo, hi = starts[new], starts[np.concatenate([new[1:], [len(starts)]]) - 1]
-        t = t[new]
-        phrase = textnum.mixed(((run[hi + LENGTH] - run[lo]) * down[lo]) + textnum.mixed(((t - lo) * 1024 + hi - lo).astype(np.uint64)))
+        phrase = textnum.mixed(_hash(run, down, lo, hi + LENGTH) + textnum.mixed(((t - lo) * 1024 + hi - lo).astype(np.uint64)))
     return gram[t], phrase, lo, hi
 
 
-def strings(text: bytes, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Trigger hash, string hash and start of the strings that start in spans (first, last)."""
-    starts = np.unique(np.concatenate([np.arange(a, z + 1) for a, z in spans]))
-    out = []
-    for i in np.split(starts, np.flatnonzero(np.diff(starts) > LENGTH) + 1):
-        for j in range(0, len(i), SEGMENT):
-            s = i[j:j + SEGMENT]
-            flat = np.frombuffer(text, np.uint8, s[-1] + LENGTH - s[0], s[0])
-            with np.errstate(over="ignore"):
+class Strings:
+    """The strings that start in some spans (first, last) of a text: start, trigger's hash and place,
+    and hashes of any of their bytes."""
+
+    def __init__(self, text: bytes, lo: np.ndarray, hi: np.ndarray):
+        starts = np.unique(np.concatenate([np.arange(a, z + 1) for a, z in zip(lo.tolist(), hi.tolist(), strict=True)]))
+        self.parts = []
+        for i in np.split(starts, np.flatnonzero(np.diff(starts) > LENGTH) + 1):
+            for j in range(0, len(i), SEGMENT):
+                s = i[j:j + SEGMENT]
+                flat = np.frombuffer(text, np.uint8, s[-1] + LENGTH - s[0], s[0])
                 run, down = _sums(flat)
-                gram = textnum.mixed((run[GRAM:] - run[:-GRAM]) * down[:len(flat) - GRAM + 1])
-                tagged = (gram & ~np.uint64((1 << 24) - 1)) | np.arange(len(gram), dtype=np.uint64)
-                at = (_least(tagged, LENGTH - GRAM + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
-                o = s - s[0]
-                out.append((gram[at[o]], textnum.mixed((run[o + LENGTH] - run[o]) * down[o]), s))
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+                gram, at = _triggers(run, down)
+                self.parts.append((int(s[0]), s - s[0], gram, at[s - s[0]], run, down))
+
+    def each(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Trigger's hash, string's hash, start."""
+        out = [(gram[t], _hash(run, down, o, o + LENGTH), o + base) for base, o, gram, t, run, down in self.parts]
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+    def pieces(self) -> tuple[np.ndarray, ...]:
+        """Neighbouring strings with the trigger at nearly the same place (``STEP`` places): hash of
+        trigger, place and the bytes common to all that could be there; hash of the piece; first and
+        last start; the trigger's hash."""
+        out = []
+        for base, o, gram, t, run, down in self.parts:
+            q = (t - o) // STEP
+            new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (q[1:] != q[:-1]) | (o[1:] != o[:-1] + 1)]))
+            lo, hi, t, q = o[new], o[np.concatenate([new[1:], [len(o)]]) - 1], t[new], q[new]
+            with np.errstate(over="ignore"):
+                core = _hash(run, down, t - q * STEP, t - q * STEP + LENGTH - STEP + 1)
+                g = textnum.mixed(core * np.uint64(0x9E3779B97F4A7C15) + gram[t] + q.astype(np.uint64))
+                x = textnum.mixed(_hash(run, down, lo, hi + LENGTH) + textnum.mixed(((t - lo) * 1024 + hi - lo).astype(np.uint64)))
+            out.append((g, x, lo + base, hi + base, gram[t]))
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
 def tie(text: Column) -> Column:
@@ -121,12 +151,17 @@ def _batch(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _salted(h: np.ndarray, salt) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return textnum.mixed(h.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(salt, np.uint64)).view(np.int64)
+def _salts(h: np.ndarray, keys: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """0, or for frequent triggers 1 to SALTS by document."""
+    salt = np.zeros(len(h), np.int32)
+    if len(frequent):
+        hot = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+        salt[hot] = 1 + (textnum.mixed(keys[hot].view(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+    return salt
 
 
-ROWS = "g long, x long, key long, place long"
+ROWS = "g long, salt int, x long, key long, place long"
+NAMES = ["g", "salt", "x", "key", "place"]
 
 
 def phrases(docs: DataFrame, frequent: np.ndarray | None = None) -> DataFrame:
@@ -134,11 +169,8 @@ def phrases(docs: DataFrame, frequent: np.ndarray | None = None) -> DataFrame:
     frequent = np.zeros(0, np.int64) if frequent is None else np.sort(frequent)
 
     def rows(keys, ties, h, x, lo, hi):
-        g, x = h.view(np.int64).copy(), x.view(np.int64)
-        if len(frequent):
-            hot = frequent[np.minimum(np.searchsorted(frequent, g), len(frequent) - 1)] == g
-            g[hot] = _salted(g[hot], textnum.mixed(keys[hot].view(np.uint64)) % np.uint64(SALTS))
-        return _batch(["g", "x", "key", "place"], g, x, keys, _place(ties, lo, hi - lo))
+        g = h.view(np.int64)
+        return _batch(NAMES, g, _salts(g, keys, frequent), x.view(np.int64), keys, _place(ties, lo, hi - lo))
 
     def run(batches):
         for b in batches:
@@ -174,61 +206,61 @@ def frequent_triggers(docs: DataFrame) -> np.ndarray:
     return np.array([r[0] for r in seen.where(F.col("n") >= max(4, total / (10 * parts))).select("g").collect()], np.int64)
 
 
-MARKS = "kind int, h long, x long, key long, place long"
+MARKS = "kind int, g long, x long, key long, place long"
 REPEAT, FIRST, LEADER = 0, 1, 2
 
 
-def _firsts(rows: DataFrame, frequent: np.ndarray | None) -> DataFrame:
-    """From the parse: REPEAT, any occurrence of a phrase but the first; FIRST, the first of a phrase
-    whose trigger has other phrases too; LEADER, the first of a frequent trigger's phrase in its
-    salt.  With ``frequent`` None the rows are leaders: firsts and repeats of phrases."""
-    salted = np.zeros(0, np.int64)
-    if frequent is not None and len(frequent):
-        salted = _salted(np.repeat(frequent, SALTS), np.tile(np.arange(SALTS), len(frequent)))
-        order = np.argsort(salted)
-        salted, plain = salted[order], np.repeat(frequent, SALTS)[order]
-
+def _firsts(rows: DataFrame, leaders: bool = False) -> DataFrame:
+    """From rows (g, salt, x, key, place) in corpus order: REPEAT, any occurrence of (g, x) but the
+    first; FIRST, the first of an x whose g has other x too; LEADER, the first of an x in its salt.
+    The rows may be such ``leaders``: then every first is a FIRST."""
     def run(batches):
         last = waiting = None
         for b in batches:
-            g, x, key, place = (c.to_numpy() for c in b.columns)
+            g, salt, x, key, place = (c.to_numpy() for c in b.columns)
             n = len(g)
             if not n:
                 continue
-            before = [np.concatenate([[v], c[:-1]]) for v, c in zip(last or (0, 0, 0, 0), (g, x, key, place), strict=True)]
-            new_group = g != before[0]
+            before = [np.concatenate([[v], c[:-1]]) for v, c in zip(last or (0, 0, 0, 0, 0), (g, salt, x, key, place), strict=True)]
+            new_group = (g != before[0]) | (salt != before[1])
             if last is None:
                 new_group[0] = True
-            new_phrase = new_group | (x != before[1])
-            again = ~new_phrase & (key == before[2]) & (place == before[3])      # the same row of the table twice
-            last = (g[-1], x[-1], key[-1], place[-1])
-            kind = np.where(new_phrase, FIRST, np.where(again, -1, REPEAT))
-            h, held = g, []
-            if frequent is not None:
+            new_x = new_group | (x != before[2])
+            again = ~new_x & (key == before[3]) & (place == before[4])      # the same row of the table twice
+            last = (g[-1], salt[-1], x[-1], key[-1], place[-1])
+            kind = np.where(new_x, FIRST, np.where(again, -1, REPEAT))
+            held = None
+            if not leaders:
                 starts = np.flatnonzero(new_group)
-                head = np.count_nonzero(new_phrase[:starts[0] if len(starts) else n])
-                if head and waiting:
-                    held, waiting = [waiting], None
+                if waiting and new_x[:starts[0] if len(starts) else n].any():
+                    held, waiting = waiting, None
                 if len(starts):
-                    alone = np.add.reduceat(new_phrase.astype(np.int64), starts) == 1
+                    alone = np.add.reduceat(new_x.astype(np.int64), starts) == 1
                     kind[starts[alone]] = -1
                     i = int(starts[-1])
-                    waiting = (g[i], x[i], key[i], place[i]) if alone[-1] else None
-                if len(salted):
-                    at = np.minimum(np.searchsorted(salted, g), len(salted) - 1)
-                    hot = salted[at] == g
-                    h = np.where(hot, plain[at], g)
-                    kind = np.where(hot & new_phrase, LEADER, kind)
-                    if waiting and hot[-1]:
-                        waiting = None
+                    waiting = (g[i], x[i], key[i], place[i]) if alone[-1] and not salt[i] else None
+                kind = np.where(new_x & (salt > 0), LEADER, kind)
             keep = np.flatnonzero(kind >= 0)
-            yield _batch(["kind", "h", "x", "key", "place"], kind[keep].astype(np.int32), h[keep], x[keep], key[keep], place[keep])
+            kind = kind[keep].astype(np.int32)
+            once = kind == REPEAT       # a repeat's hashes are not needed any more
+            yield _batch(["kind", "g", "x", "key", "place"], kind, np.where(once, 0, g[keep]), np.where(once, 0, x[keep]), key[keep], place[keep])
             if held:
-                yield _batch(["kind", "h", "x", "key", "place"], np.array([FIRST], np.int32), *(np.array([v], np.int64) for v in held[0]))
+                yield _batch(["kind", "g", "x", "key", "place"], np.array([FIRST], np.int32), *(np.array([v], np.int64) for v in held))
 
-    by = ["g"] if frequent is not None else ["g", "x"]
-    return (rows.select("g", "x", "key", "place").repartition(shuffle_partitions(rows.sparkSession), *by)
-            .sortWithinPartitions("g", "x", "key", "place").mapInArrow(run, MARKS))
+    by = ["g", "x"] if leaders else ["g", "salt"]
+    return (rows.select(*NAMES).repartition(shuffle_partitions(rows.sparkSession), *by)
+            .sortWithinPartitions(*by, *(c for c in ("x", "key", "place") if c not in by)).mapInArrow(run, MARKS))
+
+
+def _settled(rows: DataFrame, salted: bool, name: str | None = None) -> DataFrame:
+    """REPEAT and FIRST of the rows, those of frequent triggers through their leaders."""
+    once = _firsts(rows)
+    if name:
+        once = written(once, name)
+    if not salted:
+        return once
+    lead = once.where(F.col("kind") == LEADER).withColumn("salt", F.lit(0))
+    return once.where(F.col("kind") != LEADER).unionByName(_firsts(lead, leaders=True))
 
 
 def _spans(rows: DataFrame) -> DataFrame:
@@ -241,19 +273,33 @@ def _unpacked(places) -> tuple[np.ndarray, np.ndarray]:
     return (p >> MORE_BITS) & ((1 << START_BITS) - 1), p & ((1 << MORE_BITS) - 1)
 
 
+def _pieces(texts: DataFrame, firsts: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """Pieces of first phrases, as rows for ``_firsts``."""
+    frequent = np.sort(frequent)
+
+    def run(batches):
+        for b in batches:
+            for key, tie, text, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                lo, more = _unpacked(places)
+                g, x, lo, hi, h = Strings(text.encode(), lo, lo + more).pieces()
+                keys = np.full(len(g), key, np.int64)
+                yield _batch(NAMES, g.view(np.int64), _salts(h.view(np.int64), keys, frequent), x.view(np.int64), keys, _place(np.int64(tie), lo, hi - lo))
+
+    return texts.join(_spans(firsts).hint("shuffle_hash"), ["key", "tie"]).select("key", "tie", "text", "places").mapInArrow(run, ROWS)
+
+
 def _strings(texts: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The strings of first phrases: REPEAT if the document has the same string in an earlier one of
+    """The strings of first pieces: REPEAT if the document has the same string in an earlier one of
     them, else FIRST."""
     def run(batches):
         for b in batches:
             for key, tie, text, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 lo, more = _unpacked(places)
-                h, x, s = strings(text.encode(), list(zip(lo.tolist(), (lo + more).tolist(), strict=True)))
+                h, x, s = Strings(text.encode(), lo, lo + more).each()
                 order = np.lexsort((s, x, h))
                 same = np.concatenate([[False], (h[order][1:] == h[order][:-1]) & (x[order][1:] == x[order][:-1])])
-                kind = np.where(same, REPEAT, FIRST).astype(np.int32)
-                yield _batch(["kind", "h", "x", "key", "place"], kind, h[order].view(np.int64), x[order].view(np.int64), np.full(len(s), key, np.int64),
-                             _place(np.int64(tie), s[order].astype(np.int64), 0))
+                yield _batch(["kind", "g", "x", "key", "place"], np.where(same, REPEAT, FIRST).astype(np.int32), h[order].view(np.int64), x[order].view(np.int64),
+                             np.full(len(s), key, np.int64), _place(np.int64(tie), s[order].astype(np.int64), 0))
 
     return texts.join(_spans(firsts).hint("shuffle_hash"), ["key", "tie"]).select("key", "tie", "text", "places").mapInArrow(run, MARKS)
 
@@ -261,16 +307,16 @@ def _strings(texts: DataFrame, firsts: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """Strings that also start earlier: (key, place), from docs (key, text) and texts (key, tie, text)."""
     frequent = frequent_triggers(docs)
-    once = written(_firsts(phrases(docs, frequent), frequent), "repeats-phrases")
-    leaders = _firsts(once.where(F.col("kind") == LEADER).withColumnRenamed("h", "g"), None)
-    found = once.unionByName(leaders) if len(frequent) else once
-    found_strings = _strings(texts, found.where(F.col("kind") == FIRST))
+    kind = lambda rows, k: rows.where(F.col("kind") == k)
+    whole = _settled(phrases(docs, frequent), len(frequent) > 0, "repeats-phrases")
+    parts = _settled(_pieces(texts, kind(whole, FIRST), frequent), len(frequent) > 0)
+    single = _strings(texts, kind(parts, FIRST))
     own = F.struct("key", F.shiftright("place", START_BITS + MORE_BITS).alias("tie"))
-    candidates = found_strings.where(F.col("kind") == FIRST).select("h", "x", "key", "place", own.alias("own"))
-    least = candidates.groupBy("h", "x").agg(F.min("own").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = candidates.join(least, ["h", "x"]).where(F.col("own") > F.col("least"))
-    return (found.where(F.col("kind") == REPEAT).select("key", "place")
-            .unionByName(found_strings.where(F.col("kind") == REPEAT).select("key", "place")).unionByName(later.select("key", "place")))
+    candidates = kind(single, FIRST).select("g", "x", "key", "place", own.alias("own"))
+    least = candidates.groupBy("g", "x").agg(F.min("own").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = candidates.join(least, ["g", "x"]).where(F.col("own") > F.col("least"))
+    out = [kind(r, REPEAT).select("key", "place") for r in (whole, parts, single)]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(later.select("key", "place"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
