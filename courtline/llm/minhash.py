@@ -254,7 +254,7 @@ def _crossing(members: DataFrame, classes: DataFrame, percent: int, nearest: boo
         if out := [*out, *pairs(at, group)]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b"])
 
-    return (rows.repartition(shuffle_partitions(members.sparkSession), "band", "p", "q").sortWithinPartitions("band", "p", "q")
+    return (rows.repartition(shuffle_partitions(members.sparkSession), "band", "p", "q").sortWithinPartitions("band", "p", "q", "node")
             .mapInArrow(run, "a long, b long").distinct())
 
 
@@ -279,9 +279,10 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     found, confirm = None, _linked(k, percent)
     for turn in range(NEIGHBOURS + 2):
         if turn == 0:
-            pairs = _against_hub(_stars(open_), classes, "sig", _similar(percent))
+            pairs = _against_hub(written(_stars(open_), "minhash-pairs"), classes, "sig", _similar(percent))
         else:
             pairs = _crossing(open_, classes, percent, nearest=turn <= NEIGHBOURS)
+        pairs = written(pairs, "minhash-pairs")     # each side of the pairs is looked up: compute them once
         new = written(_against_hub(pairs, texts, "text", confirm).select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-links")
         found = new if found is None else found.unionByName(new)
         if turn > NEIGHBOURS:
