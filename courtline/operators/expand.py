@@ -23,14 +23,16 @@ def lockstep_explode(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, Dat
 
     Rows whose lists differ in length cannot be zipped faithfully (``arrays_zip`` would pad
     with nulls); they are returned separately as quarantined rows instead of failing the
-    whole dataset.  Returns ``(exploded, quarantined)``."""
+    whole dataset.  A row whose lists are all empty (or all null) is kept with null elements.
+    Returns ``(exploded, quarantined)``; every input row is in exactly one of them."""
     sizes = [F.coalesce(F.size(c), F.lit(-1)) for c in cols]
     same = reduce(lambda a, b: a & b, [s == sizes[0] for s in sizes[1:]], F.lit(True))
     others = [c for c in df.columns if c not in cols]
     # one generator over the projected arrays: a mismatched row zips to null and yields
     # nothing.  (A separate size filter would be pushed below the projection and make the
     # optimizer evaluate every array expression twice.)
-    z = F.explode(F.when(same, F.arrays_zip(*[F.col(c) for c in cols]))).alias("_z")
+    z = F.arrays_zip(*[F.col(c) for c in cols])
+    z = F.explode(F.when(same, F.when(sizes[0] > 0, z).otherwise(F.array(F.get(z, 0))))).alias("_z")
     zipped = df.select(*others, z).select(*others, *[F.col(f"_z.{c}").alias(c) for c in cols])
     bad = df.where(~same)
     return zipped, bad

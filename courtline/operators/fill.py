@@ -23,19 +23,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: any value of a type, to stand beside a null flag
+_ANY = {"string": "", "byte": 0, "short": 0, "integer": 0, "long": 0, "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01", "date": "1970-01-01"}
+
+
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
 def forward_fill(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                  value_cols: Sequence[str], bucket: Column | None = None,
-                 suffix: str = "", null_keys: bool = False) -> DataFrame:
+                 suffix: str = "") -> DataFrame:
     """Replace nulls in ``value_cols`` with the last earlier non-null value of the group.
 
     ``order_by`` must be a total order within a group (end it with a unique id).  With
-    ``suffix`` the filled values go to new columns ``<c><suffix>``.  ``null_keys=True``
-    makes the carry join null-safe (costs a re-shuffle of the big side, because a null-safe
-    join key is not the window's partitioning)."""
+    ``suffix`` the filled values go to new columns ``<c><suffix>``.  Null keys form a group and
+    null buckets come first, with either plan."""
     out = {c: f"{c}{suffix}" for c in value_cols}
     if bucket is None:
         w = (Window.partitionBy(*partition_by).orderBy(*order_by)
@@ -43,36 +46,36 @@ def forward_fill(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
         return df.withColumns({out[c]: F.last(F.col(c), ignorenulls=True).over(w)
                                for c in value_cols})
 
-    b = "_ff_bucket"
-    df = df.withColumn(b, bucket)
-    keys = list(partition_by) + [b]
-    w_local = (Window.partitionBy(*keys).orderBy(*order_by)
+    # null keys (and null buckets) are groups of their own, as in the plain window: every key is
+    # split into a flag and a value that is never null, which both the windows and the join use
+    names, split = [], {}
+    for name, k in [*((f"key{i}", F.col(k)) for i, k in enumerate(partition_by)), ("bucket", bucket)]:
+        kind = df.select(k.alias("k")).schema["k"].dataType
+        none = _ANY.get(kind.typeName())
+        k = k if none is not None else k.cast("string")
+        split |= {f"_ff_no_{name}": k.isNull(), f"_ff_{name}": F.coalesce(k, F.lit("" if none is None else none).cast(kind if none is not None else "string"))}
+        names += [f"_ff_no_{name}", f"_ff_{name}"]
+    group, (b_null, b_key) = names[:-2], names[-2:]
+    df = df.withColumns(split)
+    w_local = (Window.partitionBy(*names).orderBy(*order_by)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.withColumns({f"_ff_local_{c}": F.last(F.col(c), ignorenulls=True).over(w_local)
                             for c in value_cols})
 
     order_struct = F.struct(*_cols(order_by))
-    summary = df.groupBy(*keys).agg(*[
+    summary = df.groupBy(*names).agg(*[
         F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(f"_ff_last_{c}")
         for c in value_cols])
-    w_carry = (Window.partitionBy(*partition_by).orderBy(b)
+    w_carry = (Window.partitionBy(*group).orderBy(F.desc(b_null), b_key)
                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*[F.col(k).alias(f"_ff_k_{k}") for k in keys], *[
+    carry = summary.select(*names, *[
         F.last(F.col(f"_ff_last_{c}"), ignorenulls=True).over(w_carry).alias(f"_ff_carry_{c}")
         for c in value_cols])
 
-    cond = None
-    for k in keys:
-        eq = (local[k].eqNullSafe(carry[f"_ff_k_{k}"]) if null_keys
-              else local[k] == carry[f"_ff_k_{k}"])
-        cond = eq if cond is None else cond & eq
-    joined = local.join(carry, cond, "left")
-    filled = joined.withColumns({
+    filled = local.join(carry, names, "left").withColumns({
         out[c]: F.coalesce(F.col(f"_ff_local_{c}"), F.col(f"_ff_carry_{c}"))
         for c in value_cols})
-    drop = [b] + [f"_ff_local_{c}" for c in value_cols] + [f"_ff_carry_{c}" for c in value_cols] \
-        + [f"_ff_k_{k}" for k in keys]
-    return filled.drop(*drop)
+    return filled.drop(*names, *[f"_ff_local_{c}" for c in value_cols], *[f"_ff_carry_{c}" for c in value_cols])
 
 
 def minute_bucket(ts: str | Column) -> Column:

@@ -88,19 +88,16 @@ def _shift(arr: Column, d: int, fill: Column) -> Column:
 
 
 def score_sentiment(df: DataFrame, id_cols: str | list[str], text_col: str,
-                    lexicon: DataFrame, lexicon_max_rows: int = 1_000_000) -> DataFrame:
+                    lexicon: DataFrame) -> DataFrame:
     """``(*ids, compound, neg, neu, pos, sentiment)`` per row of ``df`` (``id_cols`` must be
     unique per row); ``sentiment`` is 1 iff ``compound > 0``.  A text without any lexicon word scores (0, 0, 1, 0, 0); an empty
     text (no tokens) scores all zeros.  ``text_col`` must be a string column.
 
-    ``lexicon(token, valence)`` is broadcast after its size is checked against
-    ``lexicon_max_rows``; a larger lexicon is joined without the hint."""
+    ``lexicon(token, valence)``: tokens that differ only in case are one entry with their mean
+    valence.  How it is joined is left to the planner (a small one is broadcast)."""
     if df.schema[text_col].dataType != T.StringType():
         raise TypeError(f"{text_col} must be a string column")
-    lex = lexicon.select(F.lower("token").alias("token"), F.col("valence").cast(_DEC)
-                         .alias("valence"))
-    n_lex = lex.count()
-    lex = F.broadcast(lex) if n_lex <= lexicon_max_rows else lex
+    lex = lexicon.groupBy(F.lower("token").alias("token")).agg(F.avg(F.col("valence").cast(_DEC)).cast(_DEC).alias("valence"))
 
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     # per token: negator flag and booster increment, then the same arrays shifted by 1-3

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.functions import schedule_months, ts_ntz_lit
-from courtline.operators.sentiment import seed_lexicon
 from courtline.plans import datasets as D
 from courtline.plans.run import METRICS_SCHEMA, FeatureFlags
 from courtline.plans.warehouse import CONTRACTS
@@ -38,7 +37,8 @@ class Landing:
     pages: DataFrame                       # (page_id, url, html)
     posts: DataFrame | None = None         # forum posts (sources.forum.POST_SCHEMA)
     comments: DataFrame | None = None      # flat comments (sources.forum.COMMENT_SCHEMA)
-    lexicon: DataFrame | None = None       # (token, valence)
+    lexicon: DataFrame | None = None       # (token, valence); comments need it
+    related: DataFrame | None = None       # pages that joins may need beyond ``pages``
 
 
 def _builders(spark: SparkSession, landing: Landing, run: D.RunParams, flags: FeatureFlags):
@@ -46,8 +46,14 @@ def _builders(spark: SparkSession, landing: Landing, run: D.RunParams, flags: Fe
     pages = landing.pages
     months = schedule_months(flags.get("season") or 0, flags.get("playoffs") or 0)
     box = D.boxscores(pages, run)
+    every = landing.related if landing.related is not None else pages
     posts = (D.reddit_posts(landing.posts, run) if landing.posts is not None else None)
-    lexicon = landing.lexicon if landing.lexicon is not None else seed_lexicon(spark)
+
+    def comments():
+        if landing.lexicon is None:
+            raise ValueError("comments are scored with a lexicon: land one")
+        return D.reddit_comments(landing.comments, posts, landing.lexicon, run)
+
     b = {
         "stats": lambda: D.player_stats(pages, run),
         "boxscores": lambda: box,
@@ -58,21 +64,23 @@ def _builders(spark: SparkSession, landing: Landing, run: D.RunParams, flags: Fe
         "team_adv_stats": lambda: D.team_adv_stats(pages, run),
         "shooting_stats": lambda: D.shooting_stats(pages, run),
         "odds": lambda: D.odds(pages, run)[0],
-        "pbp": lambda: D.pbp(pages, box, run),
+        "pbp": lambda: D.pbp(every, D.boxscores(every, run), run),
         "schedule": lambda: D.schedule(pages, run, months),
         "player_contracts": lambda: D.player_contracts(pages, run),
     }
     if posts is not None:
         b["reddit_posts"] = lambda: posts
         if landing.comments is not None:
-            b["reddit_comments"] = lambda: D.reddit_comments(landing.comments, posts,
-                                                             lexicon, run)
+            b["reddit_comments"] = comments
     return b
 
 
 def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: TableStore,
             flags: FeatureFlags, archive_root: str | None = None,
-            only: list[str] | None = None, run_id: str | None = None) -> DataFrame:
+            only: list[str] | None = None, run_id: str | None = None,
+            all_or_nothing: bool = False) -> DataFrame:
+    """``all_or_nothing``: a failed dataset publishes nothing and raises, so the caller's input is
+    not taken as done (a stream's micro-batch)."""
     builders = _builders(spark, landing, run, flags)
     ts = ts_ntz_lit(run.run_ts)
     metrics, staged = [], []
@@ -99,15 +107,19 @@ def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: Tabl
         except Exception as e:  # isolate; the dataset is simply not published
             log.error("dataset %s failed: %s", name, e)
             metrics.append((name, c.flag, run.run_date, "failed", 0,
-                            round(time.time() - t0, 2), f"{type(e).__name__}: {e}"[:500]))
+                            round(time.time() - t0, 2), f"{type(e).__name__}: {e}"))
+    if all_or_nothing and (failed := [f"{m[0]}: {m[6]}" for m in metrics if m[3] == "failed"]):
+        store.abort()
+        raise RuntimeError("; ".join(failed))
     metrics_df = spark.createDataFrame(metrics, METRICS_SCHEMA)
     store.stage_append("run_metrics", metrics_df)          # published with the datasets
     store.commit(run_id or f"run-{run.run_date.isoformat()}", run.run_ts)
     if archive_root:   # the day's batch of each published dataset, not the whole table
         for name in staged:
             batch = store.staged_batch(CONTRACTS[name].table)
-            if batch is not None:
-                write_archive(batch, archive_root, name, run.run_date)
+            if batch is not None and (done := write_archive(batch, archive_root, name, run.run_date)).status == "failed":
+                metrics.append((f"{name} (archive)", CONTRACTS[name].flag, run.run_date, "failed", 0, 0.0, done.error))
+        metrics_df = spark.createDataFrame(metrics, METRICS_SCHEMA)
     return metrics_df
 
 

@@ -304,7 +304,7 @@ def odds(pages: DataFrame, run: RunParams) -> tuple[DataFrame, DataFrame]:
     ml = F.regexp_replace(F.trim("moneyline"), r"\+", "")
     good, bad_ml = quarantine(good, ml.rlike(r"^-?[0-9]+$"))
     out = good.select(
-        map_values(F.trim("team"), {"BK": "BKN", **TEAM_CODE_MAP}).alias("team"),
+        map_values(F.trim("team"), {"BK": "BKN"}).alias("team"),
         F.trim("spread").alias("spread"), "total",
         ml.cast("int").alias("moneyline"), _lit_date(run.run_date).alias("date"),
         date_time_to_ts(_lit_date(run.run_date), F.col("time")).alias("datetime1"))
@@ -433,7 +433,7 @@ def player_contracts(pages: DataFrame, run: RunParams) -> DataFrame:
     has = rows.agg(F.bool_or(F.array_contains(
         F.transform("header", lambda h: F.get(h, F.size(h) - 1)), season)).alias("ok")).first()
     if not has or not has["ok"]:
-        raise QualityError(f"Current season column {season} not found on contracts page")
+        raise QualityError(f"contracts page has no salaries for {season}")
     d = rows.select("page_id", "row_idx", text(cell_named("Player")).alias("player"),
                     text(cell_named("Rk")).alias("rk"), text(cell_named(season)).alias("sal"))
     d = d.where(not_equal_keep_null("player", "Player") & not_equal_keep_null("rk", "Rk"))

@@ -41,8 +41,8 @@ from courtline.session import scratch_path
 from courtline.sinks import TableStore, read_archive, write_archive, write_mode
 from courtline.sources import list_items, read_log_lines, table_rows
 from courtline.sources.forum import (
+    POST_URL_PREFIX,
     comments_of_posts,
-    posts,
     read_comments,
     read_posts,
 )
@@ -218,7 +218,7 @@ def _land_forum(spark: SparkSession, sf: str) -> tuple[str, str]:
     root = scratch_path(spark, "forum")
     permalink = F.concat(F.lit("/r/nba/comments/"), F.col("conv_id").cast("string"))
     (conv.where(F.col("turn") == 0)
-     .select(F.col("conv_id").alias("feed_rank"), F.substring("text", 1, 80).alias("title"),
+     .select(F.col("conv_id").alias("feed_rank"), F.col("text").alias("title"),
              F.length("text").cast("long").alias("score"),
              F.col("conv_id").cast("string").alias("id"),
              F.concat(F.lit("https://example.com/"), F.col("conv_id").cast("string")).alias("url"),
@@ -242,8 +242,9 @@ def _land_forum(spark: SparkSession, sf: str) -> tuple[str, str]:
 
 def comment_flatten(spark: SparkSession, sf: str) -> DataFrame:
     posts_path, comments_path = _land_forum(spark, sf)
-    top = posts(read_posts(spark, posts_path), RUN_DATE, RUN_TS)
-    c = comments_of_posts(read_comments(spark, comments_path), top)
+    landed = read_posts(spark, posts_path)      # comments of every post; the top-27 pick is ``top_posts``' own
+    every = landed.select(F.concat(F.lit(POST_URL_PREFIX), F.col("permalink")).alias("reddit_url"))
+    c = comments_of_posts(read_comments(spark, comments_path), every)
     return c.select("url", "comment_id", "parent_id", "author", F.col("body").alias("comment"),
                     "score")
 
@@ -262,8 +263,9 @@ def comment_pipeline(spark: SparkSession, sf: str) -> DataFrame:
     from courtline.operators import keep_last_per_key, not_equal_keep_null
 
     posts_path, comments_path = _land_forum(spark, sf)
-    top = posts(read_posts(spark, posts_path), RUN_DATE, RUN_TS)
-    c = comments_of_posts(read_comments(spark, comments_path), top)
+    landed = read_posts(spark, posts_path)      # comments of every post; the top-27 pick is ``top_posts``' own
+    every = landed.select(F.concat(F.lit(POST_URL_PREFIX), F.col("permalink")).alias("reddit_url"))
+    c = comments_of_posts(read_comments(spark, comments_path), every)
     c = c.select("author", F.col("body").alias("comment"), "score", "url",
                  F.col("author_flair_css_class").alias("flair1"),
                  F.col("author_flair_text").alias("flair2"), "edited", "row_idx")
@@ -504,7 +506,7 @@ scored AS (
 
 
 _FORUM_SQL = """
-  top_conv AS (SELECT conv_id FROM conversations WHERE turn = 0 ORDER BY conv_id LIMIT 27),
+  top_conv AS (SELECT conv_id FROM conversations WHERE turn = 0 ),
   com AS (
     SELECT 'https://www.reddit.com/r/nba/comments/' || CAST(c.conv_id AS VARCHAR) AS url,
       CAST(c.conv_id AS VARCHAR) || '_' || CAST(c.turn AS VARCHAR) AS comment_id,

@@ -205,7 +205,7 @@ def odds_lines(spark: SparkSession, sf: str) -> DataFrame:
     good, _quarantined = lockstep_explode(o, ["team", "spread", "moneyline"])
     return good.select(
         "l_orderkey", "l_linenumber",
-        map_values(F.trim("team"), {"BK": "BKN", **TEAM_CODE_MAP}).alias("team"),
+        map_values(F.trim("team"), {"BK": "BKN"}).alias("team"),
         F.trim("spread").alias("spread"), "total",
         F.regexp_replace(F.trim("moneyline"), r"\+", "").cast("int").alias("moneyline"),
         F.lit(RUN_DATE).alias("date"),
@@ -436,8 +436,7 @@ FROM raw
       unnest(team) AS team, unnest(spread) AS spread, unnest(moneyline) AS moneyline
     FROM l WHERE len(team) = len(spread) AND len(spread) = len(moneyline))
 SELECT l_orderkey, l_linenumber,
-  CASE trim(team) WHEN 'BK' THEN 'BKN' WHEN 'PHO' THEN 'PHX' WHEN 'CHO' THEN 'CHA'
-       WHEN 'BRK' THEN 'BKN' ELSE trim(team) END AS team,
+  CASE trim(team) WHEN 'BK' THEN 'BKN' ELSE trim(team) END AS team,
   trim(spread) AS spread, total,
   CAST(replace(trim(moneyline), '+', '') AS INTEGER) AS moneyline,
   DATE '2024-01-31' AS date,

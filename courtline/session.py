@@ -21,8 +21,6 @@ SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # month=01 must stay a string when an archive is read back
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # a same-day rerun replaces only its own partition
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # Settings for scale: AQE re-plans joins from runtime sizes, coalesces small shuffle

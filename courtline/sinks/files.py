@@ -28,8 +28,9 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_mode(df: DataFrame, path: str, mode: str = "append", fmt: str = "parquet",
-               partition_by: list[str] | None = None) -> WriteResult:
-    """Write with ``fail``/``replace``/``append`` semantics.  An empty frame is a no-op;
+               partition_by: list[str] | None = None, overwrite: str = "static") -> WriteResult:
+    """Write with ``fail``/``replace``/``append`` semantics.  ``replace`` leaves nothing of the old
+    table, or with ``overwrite="dynamic"`` only the partitions that are not written.  An empty frame is a no-op;
     a failure is logged and reported in the result instead of raised.  The row count is
     observed during the write (no second pass)."""
     try:
@@ -37,7 +38,7 @@ def write_mode(df: DataFrame, path: str, mode: str = "append", fmt: str = "parqu
             log.info("%s is empty, not writing", path)
             return WriteResult(path, "empty")
         counted, obs = _counted(df, "write_rows")
-        w = counted.write.mode(MODES.get(mode, mode)).format(fmt)
+        w = counted.write.mode(MODES.get(mode, mode)).format(fmt).option("partitionOverwriteMode", overwrite)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.save(path)
@@ -65,15 +66,8 @@ def write_archive(df: DataFrame, root: str, name: str, run_date: dt.date) -> Wri
         "month": F.date_format(d, "MM"),
         "run_date": F.date_format(d, "yyyy-MM-dd"),
     })
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        return write_mode(staged, archive_path(root, name), "replace",
-                          partition_by=["year", "month", "run_date"])
-    finally:
-        if prev is not None:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    return write_mode(staged, archive_path(root, name), "replace",
+                      partition_by=["year", "month", "run_date"], overwrite="dynamic")
 
 
 def read_archive(spark, root: str, name: str) -> DataFrame:

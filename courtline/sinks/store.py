@@ -26,6 +26,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,7 +74,9 @@ class TableStore:
         path = f"{self.root}/_manifest"
         try:
             return self.spark.read.schema(MANIFEST_SCHEMA).json(path)
-        except Exception:  # no commit yet
+        except AnalysisException as e:      # any other error must not pass for an empty store
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def _live(self, table: str) -> list:
@@ -170,6 +173,8 @@ class TableStore:
             cols = batch.columns
             batch = (batch.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in cols]))
                                               .alias("_b")).select("_b.*"))
+        self._once(table)
+        self._keep_bucket_count()
         batch = batch.withColumn("_cl_bucket", bucket_of(keys, self.buckets))
         staged = f"{self.root}/_staging/{self._seq():010d}/{table}"
         n = self._write_counted(batch, staged)
@@ -199,6 +204,18 @@ class TableStore:
         self.pending.touched[table] = touched
         return n
 
+    def _once(self, table: str) -> None:
+        if table in self.pending.counts:
+            raise ValueError(f"{table} is already staged in this commit; union its batches first")
+
+    def _keep_bucket_count(self) -> None:
+        """The store's bucket count is that of its first commit, whatever it is opened with."""
+        m = self._manifest()
+        if m is not None and (r := m.where(F.col("kind") == "buckets").agg(F.max("bucket").alias("n")).first()["n"]) is not None:
+            self.buckets = int(r)
+        elif not any(r[2] == "buckets" for r in self.pending.rows):
+            self.pending.rows.append((self._seq(), "", "buckets", self.buckets, ""))
+
     def stage_append(self, table: str, df: DataFrame) -> int:
         """Stage a snapshot append (a new segment; nothing existing is rewritten)."""
         return self._stage_segment(table, df, "segment")
@@ -208,9 +225,12 @@ class TableStore:
         return self._stage_segment(table, df, "reset")
 
     def _stage_segment(self, table: str, df: DataFrame, kind: str) -> int:
+        self._once(table)
         path = self._version_path(table)
         n = self._write_counted(df, path)
         self.pending.counts[table] = n
+        if not n and kind == "segment":
+            return 0
         self.batches[table] = path
         self.pending.rows.append((self._seq(), table, kind, None, path))
         return n

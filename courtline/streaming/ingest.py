@@ -3,9 +3,11 @@ micro-batch goes through the same gated, isolated, staged run as the daily batch
 
 The source pipelines are a single daily pass with no streaming semantics (no windows,
 watermarks or state), so the stream adds none: it only replaces "run once a day" with
-"run for whatever landed".  Exactly-once publishing comes from the store: a micro-batch
-commits under the run id ``epoch-<id>`` and a replayed epoch that already committed is
-skipped; upserts are idempotent anyway.
+"run for whatever landed".  A dataset joined from two kinds of page (play-by-play needs the box
+scores) reads all landed pages, so pages that arrive in different micro-batches meet whichever
+comes first; upserts make that idempotent.  A micro-batch commits under the stream's own id and
+its epoch, so a replay is skipped and another stream (or a new checkpoint) is not taken for one.
+A failed dataset fails the micro-batch: nothing is published and its files are read again.
 """
 
 from __future__ import annotations
@@ -42,11 +44,13 @@ def start_page_ingest(spark: SparkSession, landing_dir: str, store_root: str,
     store = TableStore(spark, store_root)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        run_id = f"epoch-{epoch_id}"
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint_dir
+        run_id = f"{stream}-epoch-{epoch_id}"
         if store.has_run(run_id):       # replay of a committed epoch
             return
         run = run_params(epoch_id)
-        metrics = run_day(spark, Landing(batch), run, store, flags, run_id=run_id)
+        landed = spark.read.schema(PAGE_LANDING_SCHEMA).parquet(landing_dir)
+        metrics = run_day(spark, Landing(batch, related=landed), run, store, flags, run_id=run_id, all_or_nothing=True)
         if metrics_sink is not None:
             metrics_sink(metrics, epoch_id)
 

@@ -6,6 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from courtline.operators.sentiment import seed_lexicon
 from courtline.plans import datasets as D
 from courtline.plans.daily import Landing, backfill, run_day
 from courtline.plans.run import FeatureFlags, failure_digest
@@ -32,7 +33,7 @@ def landing(spark):
         [(url, "c1", None, 0, "alice", "great win", 3, None, None, "false", False),
          (url, "c2", None, 1, "bob", "bad loss", 1, None, None, "false", False)],
         COMMENT_SCHEMA)
-    return Landing(pages, posts, comments)
+    return Landing(pages, posts, comments, seed_lexicon(spark))
 
 
 def test_run_day_publishes_and_isolates(spark, landing):
