@@ -2,6 +2,7 @@
 empty and long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -53,6 +54,26 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+@pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_join_to_the_ids_of_whole_texts(vocabulary):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from courtline.llm.tokens import Encoder
+
+    rng = random.Random(5)
+    parts = ["a", "bC", "\u00e9", "e\u0301", "\u0301", " ", "  ", "\n", "\n\n", "\r\n", "\t", ".", ",", "!?", "'s", "'", "\u00a0", "\u2003", "\u3000",
+             "\u0085", "7", "42", "<|endoftext|>", "-", "\u201c", "\u042f", "\u03a3", "\u4e2d", "\x1c", "\x00", "\U0001f600", "_", "\u0130", "\u0e33"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(4000)] + [None, "", "x" * 300_000]
+    path = public_tokenizers.path(vocabulary)
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    want = [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    enc = Encoder(path)
+    for _ in range(2):      # the second time from kept pieces
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == want
+
+
 @pytest.mark.parametrize("which", [0, 1])
 def test_token_files_round_trip(spark, sf_dir, odd, which):
     docs = both(spark, sf_dir, odd)[which]
