@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from courtline.llm import textnum
+from courtline.llm.common import written
 
 PER_LABEL = 4000
 LEAST_G2 = 20.0
@@ -56,8 +57,35 @@ def _runs(column, rows: int = 512, chars: int = 1 << 20):
         yield first, out
 
 
+def telling_terms(sampled: DataFrame) -> np.ndarray:
+    """The at most ``MAX_TERMS`` terms whose presence tells the classes of (y, terms) apart."""
+    n1, n0 = sampled.agg(F.sum("y"), F.sum(1 - F.col("y"))).first()
+    if not n1 or not n0:
+        return np.zeros(0, np.uint64)
+
+    def count(batches):
+        for b in batches:
+            if b.num_rows:
+                sets = [np.frombuffer(x, np.uint64) for x in b.column(1).to_pylist()]
+                found, which = np.unique(np.concatenate(sets), return_inverse=True)
+                y = np.repeat(b.column(0).to_numpy(), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(np.bincount(which, y, len(found)).astype(np.int64)),
+                                                  pa.array(np.bincount(which, minlength=len(found)).astype(np.int64))], names=["term", "a", "n"])
+
+    def part(x, n, p):
+        return x * F.log(F.greatest(x, F.lit(1e-12)) / n / p) + (n - x) * F.log(F.greatest(n - x, F.lit(1e-12)) / n / (1 - p))
+
+    a, b = F.col("a").cast("double"), (F.col("n") - F.col("a")).cast("double")
+    p = F.least(F.greatest((a + b) / (n1 + n0), F.lit(1e-9)), F.lit(1 - 1e-9))
+    rated = (sampled.mapInArrow(count, "term long, a long, n long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
+             .select("term", (2 * (part(a, n1, p) + part(b, n0, p))).alias("g2")).where(F.col("g2") > LEAST_G2 - 1e-6))
+    best = rated.orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()
+    return np.sort(np.array([r.term for r in best], np.int64).view(np.uint64))
+
+
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tuple[list, float]:
-    """(label, distinct terms) of the training sample, and the share of label 1."""
+    """(label, distinct telling terms) of the training sample, and the share of label 1.  Terms are
+    counted and rated on executors; the driver gets the telling ones alone."""
     rows = labels.groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("y")).where("y in (0, 1) and id is not null")
     rows = rows.withColumn("h", F.xxhash64("id"))
     share = rows.agg(F.avg("y")).first()[0]
@@ -75,8 +103,16 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> tu
                     [b.column(0).slice(at, len(texts)),
                      pa.array([np.unique(words[a:z]).tobytes() for a, z in zip(first[:-1], first[1:], strict=True)], pa.binary())], names=["y", "terms"])
 
-    got = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
-           .select("y", "text").mapInArrow(terms, "y int, terms binary").collect())
+    sampled = written(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+                      .select("y", "text").mapInArrow(terms, "y int, terms binary"), "toxicity-sample")
+    known = telling_terms(sampled)
+
+    def telling(batches):
+        for b in batches:
+            sets = [np.frombuffer(x, np.uint64) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s[np.isin(s, known)].tobytes() for s in sets], pa.binary())], names=["y", "terms"])
+
+    got = sampled.mapInArrow(telling, "y int, terms binary").collect()
     return sorted((r.y, bytes(r.terms)) for r in got), float(share)
 
 
