@@ -130,10 +130,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     # a first row for each (queue, block): the queue's ids in earlier blocks
     heads = per_block.select("queue", "blk", F.lit(MIN_LONG).alias("key"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"),
                              F.lit(None).cast("binary").alias("ids"), F.lit(0).alias("role"))
-    item = encoder(tokenizer).dtype.str
 
     def pieces(batches):
-        at, out = 0, []
+        item, at, out = encoder(tokenizer).dtype, 0, []
         for b in batches:
             for q, k, n, x in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
                 if x is None:
