@@ -167,7 +167,7 @@ def _against_hub(pairs: DataFrame, table: DataFrame, value: str, keep) -> DataFr
 
     def run(batches):
         hub = mine = None
-        for b in batches:
+        for b in (whole.slice(lo, 512) for whole in batches for lo in range(0, whole.num_rows, 512)):
             a, salt, role, node, val = (b.column(i).to_pylist() for i in range(5))
             i, out = 0, []
             while i < len(a):

@@ -23,7 +23,7 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _SOLID[33:127] = True
 _SOLID[128:] = True
 #: pieces of each of the two caches of a worker (about 200 bytes each), and the longest piece kept
-CACHE_PIECES, CACHE_CHARS = 250_000, 64
+CACHE_PIECES, CACHE_CHARS = 150_000, 64
 
 
 def _cuts(flat: np.ndarray) -> np.ndarray:
