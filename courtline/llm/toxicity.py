@@ -79,7 +79,8 @@ def telling_terms(sampled: DataFrame) -> np.ndarray:
     p = F.least(F.greatest((a + b) / (n1 + n0), F.lit(1e-9)), F.lit(1 - 1e-9))
     rated = (sampled.mapInArrow(count, "term long, a long, n long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("n").alias("n"))
              .select("term", (2 * (part(a, n1, p) + part(b, n0, p))).alias("g2")).where(F.col("g2") > LEAST_G2 - 1e-6))
-    best = rated.orderBy(F.desc("g2"), "term").limit(MAX_TERMS).collect()
+    # ties as in train: by the term as an unsigned integer
+    best = rated.orderBy(F.desc("g2"), F.col("term").bitwiseXOR(F.lit(-(2**63)))).limit(MAX_TERMS).collect()
     return np.sort(np.array([r.term for r in best], np.int64).view(np.uint64))
 
 
