@@ -298,8 +298,8 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     return found
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = 5, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id (least id of the component), kept; and text_hash."""
+def _members(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """key, n, own (least key of the component), text_hash, part (the component's node; null without shingles)."""
     sketch = written(sketches(docs, id_col, text_col, k), "minhash-sketches")
     classes = sketch.where("n > 0").groupBy("node").agg(F.min("key").alias("low"))
     # one row of a class carries its signature and its text
@@ -309,20 +309,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .join(first.select("key", "text_hash", "node").hint("shuffle_hash"), ["key", "text_hash"]).select("node", "text"))
     labels = connected_components(links(first.select("node", "sig", "bands"), texts, k, percent))
     low = labels.join(classes, "node").groupBy("label").agg(F.min("low").alias("whole"))
-    linked = labels.join(low, "label").select("node", "whole")
+    linked = labels.join(low, "label").select("node", "label", "whole")
     out = sketch.select("key", "text_hash", "n", "node").join(classes, "node", "left").join(linked, "node", "left")
     own = F.when(F.col("n") == 0, F.col("key")).otherwise(F.coalesce("whole", "low"))
-    null = lambda c: F.when(c != MIN_LONG, c)
-    return out.select(null(F.col("key")).alias("doc_id"), F.col("n").alias("n_shingles"), null(own).alias("component_id"), (F.col("key") == own).alias("kept"), "text_hash")
+    return out.select("key", "n", own.alias("own"), "text_hash", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("part"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = 5, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id (least id of the component), kept; and text_hash."""
+    null = lambda c: F.when(F.col(c) != MIN_LONG, F.col(c))
+    return _members(docs, id_col, text_col, k, percent).select(
+        null("key").alias("doc_id"), F.col("n").alias("n_shingles"), null("own").alias("component_id"), (F.col("key") == F.col("own")).alias("kept"), "text_hash")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = 5, percent: int = 85) -> DataFrame:
     """The rows of one document of each component, all columns as they are.  Of rows of equal id
     in one component the one with the least text hash stays, and of equal rows one."""
-    found = near_duplicates(docs, id_col, text_col, k=k, percent=percent).where("kept")
-    chosen = (found.where("n_shingles > 0").groupBy("component_id").agg(F.min("text_hash").alias("r_hash"))
-              .unionByName(found.where("n_shingles = 0").select("component_id", F.col("text_hash").alias("r_hash")).distinct())
-              .select(order_key("component_id").alias("r_key"), "r_hash"))
+    found = _members(docs, id_col, text_col, k, percent).where("key = own")
+    # by the component's node: components of different texts can have the same least id
+    chosen = (found.where("n > 0").groupBy("part", "key").agg(F.min("text_hash").alias("r_hash")).select(F.col("key").alias("r_key"), "r_hash")
+              .unionByName(found.where("n = 0").select(F.col("key").alias("r_key"), F.col("text_hash").alias("r_hash")).distinct()))
     rows = docs.select(F.struct(*docs.columns).alias("row"), order_key(id_col).alias("key"), F.xxhash64(text_col).alias("hash"))
     rows = rows.join(chosen.hint("shuffle_hash"), (F.col("key") == F.col("r_key")) & (F.col("hash") == F.col("r_hash")))
     return rows.groupBy("key", "hash").agg(F.first("row").alias("row")).select("row.*")

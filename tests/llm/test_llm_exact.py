@@ -261,6 +261,15 @@ def test_representatives_keep_one_row_of_each_group(spark, odd):
     assert sorted(r.doc_id for r in kept.collect()) == want
 
 
+def test_representatives_of_null_and_shared_ids(spark):
+    texts = [" ".join(f"t{i}w{j}" for j in range(30)) for i in range(8)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " end"), (None, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[5]),
+            (6, texts[5]), (7, texts[6]), (9, texts[6]), (None, None), (None, "")]
+    kept = minhash.representatives(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = Counter((r.doc_id, None if r.text is None else r.text.removesuffix(" end")) for r in kept)
+    assert got == Counter([(None, texts[0]), (None, texts[1]), (None, texts[2]), (5, texts[3]), (5, texts[4]), (5, texts[5]), (7, texts[6]), (None, None), (None, "")])
+
+
 # ------------------------------------------------------------------ secrets
 def test_base_spans_are_the_patterns(spark, sf_dir, odd):
     assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
