@@ -109,7 +109,8 @@ def alike(one: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, per
     has, goal = others > 0, percent / 100
     either = np.maximum((has | (one > 0)).sum(1), 1)
     share = ((others == one) & has).sum(1) / either
-    rest = np.maximum(0.0, 1 - either / np.maximum(sizes, size))
+    # the bins sample ``either`` of the union's members, of which there are at most so many at the threshold
+    rest = np.maximum(0.0, 1 - either * (1 + goal) / np.maximum(sizes + size, 1))
     return np.where(share >= goal - 0.01 - DEVIATIONS * np.sqrt(goal * (1 - goal) / either * rest), share, -1.0)
 
 

@@ -253,6 +253,16 @@ def test_large_family_of_near_copies_is_complete(spark):
     assert near(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute_components(rows)
 
 
+@pytest.mark.parametrize("both, one, other", [(102, 9, 9), (125, 11, 11), (85, 7, 8), (51, 4, 5), (340, 30, 30), (1700, 150, 150)])
+def test_signatures_keep_pairs_at_the_threshold(both, one, other):
+    rng = np.random.default_rng(both)
+    for _ in range(1500):
+        x = rng.integers(0, 1 << 64, both + one + other, dtype=np.uint64)
+        a, b = np.sort(x[:both + one]), np.sort(np.concatenate([x[:both], x[both + one:]]))
+        sig = minhash.bin_minima(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        assert minhash.alike(sig[0], len(a), sig[1:], np.array([len(b)]), 85)[0] >= 0
+
+
 def test_representatives_keep_one_row_of_each_group(spark, odd):
     docs = odd.unionByName(odd)
     kept = minhash.representatives(docs)
