@@ -3,10 +3,10 @@ identifiers compared by log-likelihood ratio.
 
 The patterns mark assignments, access keys and hexadecimal runs.  The models mark further runs
 of ``[A-Za-z0-9+/_=-]`` of ``LEAST_RUN`` characters or more that touch no pattern's span: both are
-first-order chains over 67 symbols and a start, trained on labelled runs of a bounded sample of
-documents (``SAMPLE_DOCS`` with the smallest hash of their id).  Runs that a pattern found are the
-random class, other runs of ``LEAST_WORD`` characters or more the ordinary one.  A run is a
-secret if the ratio is at least ``LEAST_RATIO`` in all and ``LEAST_MEAN`` a character.
+first-order chains over 67 symbols and a start, trained on the labelled runs of all documents.  Runs
+that a pattern found are the random class, other runs of ``LEAST_WORD`` characters or more the
+ordinary one.  A run is a secret if the ratio is at least ``LEAST_RATIO`` in all and ``LEAST_MEAN`` a
+character.
 
 Null or empty text: no spans.  Empty table: no rows.  Rows of equal id are rows of their own.
 """
@@ -32,7 +32,6 @@ RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 WORD = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 LEAST_RUN, LEAST_WORD = 20, 8
 LEAST_RATIO, LEAST_MEAN = 25.0, 0.8
-SAMPLE_DOCS = 8192
 MASK = "[SECRET]"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODE = np.zeros(128, np.int64)
@@ -99,13 +98,8 @@ class Models:
         return float(self.ratio[START, c[0]] + self.ratio[c[:-1], c[1:]].sum())
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Models:
-    """Models from the runs of the sample; per task one row of counts."""
-    h = F.xxhash64(F.col(id_col))
-    cut = docs.select(h.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]
-    if cut is None:
-        return Models(np.zeros((2, SYMBOLS, SYMBOLS), np.int64))
-
+def fit(docs: DataFrame, text_col: str = "text") -> Models:
+    """Models from the runs of all documents; per task one row of counts."""
     def count(batches):
         n = np.zeros((2, SYMBOLS, SYMBOLS), np.int64)
         for b in batches:
@@ -114,7 +108,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n.ravel()[at])], names=["at", "n"])
 
     counts = np.zeros(2 * SYMBOLS * SYMBOLS, np.int64)
-    for at, n in docs.where(h <= F.lit(cut)).select(text_col).mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n")).collect():
+    for at, n in docs.select(text_col).mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n")).collect():
         counts[at] = n
     return Models(counts.reshape(2, SYMBOLS, SYMBOLS))
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from courtline.llm import common, importance, queries, secrets, toxicity
@@ -68,6 +69,22 @@ def test_markov_models_tell_random_from_words(spark):
     assert all(s.count("assign") == 1 and "markov" not in s for d, s in got.items() if d < 400)
 
 
+def test_markov_models_learn_from_all_documents(spark):
+    """More documents than any sample held; the few with secrets are those of the largest id hashes."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    random = lambda n: "".join(rng.choice(letters, n))
+    ids = [r.id for r in spark.range(9000).orderBy(F.xxhash64("id")).collect()]
+    docs = [(i, f"note {''.join(rng.choice(WORDS, 5))}x end") for i in ids[:8600]]
+    docs += [(i, f"note {''.join(rng.choice(WORDS, 5))}x password={random(24)} end") for i in ids[8600:]]
+    hidden = random(40)
+    docs += [(ids[0] + 100_000, f"see {hidden} there")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = secrets.Models(secrets.transitions([t for _, t in docs]))
+    assert np.array_equal(secrets.fit(df).ratio, want.ratio)
+    assert [r.spans for r in secrets.secrets(df).where("doc_id >= 100000").collect()] == ["markov:4:44"]
+
+
 def test_importance_resampling(spark):
     rng = np.random.default_rng(4)
     docs = [(i, " ".join(rng.choice(WORDS[:30] if i % 2 else WORDS[30:], 40)), "k") for i in range(400)]
