@@ -31,7 +31,6 @@ equal rows count once and have equal results.  Empty table: no rows.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +45,8 @@ STEP = 8                    # places of the trigger in the strings of a piece
 SALTS = 32
 SAMPLE = 64                 # one document of so many is looked through for frequent triggers
 SEGMENT = 1 << 22           # starts of strings that are parsed at once (places have 24 bits)
-TIE_BITS, START_BITS, MORE_BITS = 15, 40, 7     # a place: text hash, byte offset, further starts
+START_BITS, MORE_BITS = 40, 7       # a place: byte offset, further starts
+SHARED = 1 << 16            # buckets of ids in which some id has several texts
 
 
 def _least(h: np.ndarray, width: int) -> np.ndarray:
@@ -133,54 +133,75 @@ class Strings:
         return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def tie(text: Column) -> Column:
-    """Tells texts of one id apart."""
-    return (F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % (1 << TIE_BITS)).cast("int")
+def shared_ids(docs: DataFrame) -> list[int]:
+    """Buckets of the ids that have several texts, of (key, hash)."""
+    several = docs.groupBy("key").agg(F.min("hash").alias("lo"), F.max("hash").alias("hi")).where("lo != hi")
+    return [r[0] for r in several.select(_bucket("key")).distinct().collect()]
 
 
-def _tie(text: bytes) -> int:
-    return zlib.crc32(text) % (1 << TIE_BITS)
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SHARED)).cast("int")
 
 
-def _place(tie, lo, more):
-    """Tie, first start and the number of starts after it in one long that sorts in this order."""
-    return (tie << (START_BITS + MORE_BITS)) + (lo << MORE_BITS) + more
+def tied(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """key, tie, text.  The tie tells texts of one id apart: the text's 64-bit hash, or 0 in buckets of
+    ids that have one text each (a column of zeros takes little room)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(order_key(id_col).alias("key"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    shared = np.zeros(SHARED, bool)
+    shared[shared_ids(rows.select("key", "hash"))] = True
+    if not shared.any():
+        return rows.select("key", F.lit(0).cast("long").alias("tie"), "text")
+    bits = np.packbits(shared).tobytes()
+
+    def run(batches):
+        has = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+        for b in batches:
+            ties = np.where(has[b.column(1).to_numpy()], b.column(2).to_numpy(), 0)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ties, pa.int64()), b.column(3)], names=["key", "tie", "text"])
+
+    return rows.select("key", _bucket("key").alias("bucket"), "hash", "text").mapInArrow(run, "key long, tie long, text string")
+
+
+def _place(lo, more):
+    """First start and the number of starts after it in one long that sorts in this order."""
+    return (lo << MORE_BITS) + more
 
 
 def _batch(names: list[str], *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
-def _salts(h: np.ndarray, keys: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+def _salts(h: np.ndarray, docs: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """0, or for frequent triggers 1 to SALTS by document."""
     salt = np.zeros(len(h), np.int32)
     if len(frequent):
         hot = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
-        salt[hot] = 1 + (textnum.mixed(keys[hot].view(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+        salt[hot] = 1 + (textnum.mixed(docs[hot].view(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
     return salt
 
 
-ROWS = "g long, salt int, x long, key long, place long"
-NAMES = ["g", "salt", "x", "key", "place"]
+ROWS = "g long, salt int, x long, key long, tie long, place long"
+NAMES = ["g", "salt", "x", "key", "tie", "place"]
 
 
 def phrases(docs: DataFrame, frequent: np.ndarray | None = None) -> DataFrame:
-    """The parse of (key, text): trigger (salted if frequent), phrase, document and place."""
+    """The parse of (key, tie, text): trigger (salted if frequent), phrase, document and place."""
     frequent = np.zeros(0, np.int64) if frequent is None else np.sort(frequent)
 
     def rows(keys, ties, h, x, lo, hi):
         g = h.view(np.int64)
-        return _batch(NAMES, g, _salts(g, keys, frequent), x.view(np.int64), keys, _place(ties, lo, hi - lo))
+        return _batch(NAMES, g, _salts(g, keys ^ ties, frequent), x.view(np.int64), keys, ties, _place(lo, hi - lo))
 
     def run(batches):
         for b in batches:
-            all_keys = b.column(0).to_numpy()
-            for at, texts in textnum.slices(b.column(1)):
-                keys, ties = all_keys[at:at + len(texts)], np.array([_tie(t) for t in texts], np.int64)
+            all_keys, all_ties = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for at, texts in textnum.slices(b.column(2)):
+                keys, ties = all_keys[at:at + len(texts)], all_ties[at:at + len(texts)]
                 if len(texts) == 1 and len(texts[0]) > SEGMENT:
                     for j in range(0, len(texts[0]) - LENGTH + 1, SEGMENT):
                         h, x, lo, hi = parse(np.frombuffer(texts[0][j:j + SEGMENT + LENGTH - 1], np.uint8))
-                        yield rows(np.repeat(keys, len(h)), ties[0], h, x, lo + j, hi + j)
+                        yield rows(np.repeat(keys, len(h)), np.repeat(ties, len(h)), h, x, lo + j, hi + j)
                     continue
                 size = np.array([len(t) for t in texts])
                 ends = np.cumsum(size)
@@ -195,39 +216,41 @@ def phrases(docs: DataFrame, frequent: np.ndarray | None = None) -> DataFrame:
                     doc = full[np.searchsorted(begins[full], lo, "right") - 1]
                     yield rows(keys[doc], ties[doc], h, x, lo - begins[doc], hi - begins[doc])
 
-    return docs.select("key", "text").mapInArrow(run, ROWS)
+    return docs.select("key", "tie", "text").mapInArrow(run, ROWS)
 
 
 def frequent_triggers(docs: DataFrame) -> np.ndarray:
     """Triggers that would hold a tenth of a task's rows or more, judged by a sample."""
     parts = shuffle_partitions(docs.sparkSession)
-    seen = phrases(docs.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLE)) == 0)).groupBy("g").agg(F.count("*").alias("n"))
+    some = docs.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLE)) == 0)
+    seen = phrases(some.select("key", F.lit(0).cast("long").alias("tie"), "text")).groupBy("g").agg(F.count("*").alias("n"))
     total = seen.agg(F.sum("n")).first()[0] or 0
     return np.array([r[0] for r in seen.where(F.col("n") >= max(4, total / (10 * parts))).select("g").collect()], np.int64)
 
 
-MARKS = "kind int, g long, x long, key long, place long"
+MARKS = "kind int, g long, x long, key long, tie long, place long"
+MARK_NAMES = ["kind", "g", "x", "key", "tie", "place"]
 REPEAT, FIRST, LEADER = 0, 1, 2
 
 
 def _firsts(rows: DataFrame, leaders: bool = False) -> DataFrame:
-    """From rows (g, salt, x, key, place) in corpus order: REPEAT, any occurrence of (g, x) but the
+    """From rows (g, salt, x, key, tie, place) in corpus order: REPEAT, any occurrence of (g, x) but the
     first; FIRST, the first of an x whose g has other x too; LEADER, the first of an x in its salt.
     The rows may be such ``leaders``: then every first is a FIRST."""
     def run(batches):
         last = waiting = None
         for b in batches:
-            g, salt, x, key, place = (c.to_numpy() for c in b.columns)
+            g, salt, x, key, tie, place = (c.to_numpy() for c in b.columns)
             n = len(g)
             if not n:
                 continue
-            before = [np.concatenate([[v], c[:-1]]) for v, c in zip(last or (0, 0, 0, 0, 0), (g, salt, x, key, place), strict=True)]
+            before = [np.concatenate([[v], c[:-1]]) for v, c in zip(last or (0, 0, 0, 0, 0, 0), (g, salt, x, key, tie, place), strict=True)]
             new_group = (g != before[0]) | (salt != before[1])
             if last is None:
                 new_group[0] = True
             new_x = new_group | (x != before[2])
-            again = ~new_x & (key == before[3]) & (place == before[4])      # the same row of the table twice
-            last = (g[-1], salt[-1], x[-1], key[-1], place[-1])
+            again = ~new_x & (key == before[3]) & (tie == before[4]) & (place == before[5])      # the same row of the table twice
+            last = (g[-1], salt[-1], x[-1], key[-1], tie[-1], place[-1])
             kind = np.where(new_x, FIRST, np.where(again, -1, REPEAT))
             held = None
             if not leaders:
@@ -238,18 +261,18 @@ def _firsts(rows: DataFrame, leaders: bool = False) -> DataFrame:
                     alone = np.add.reduceat(new_x.astype(np.int64), starts) == 1
                     kind[starts[alone]] = -1
                     i = int(starts[-1])
-                    waiting = (g[i], x[i], key[i], place[i]) if alone[-1] and not salt[i] else None
+                    waiting = (g[i], x[i], key[i], tie[i], place[i]) if alone[-1] and not salt[i] else None
                 kind = np.where(new_x & (salt > 0), LEADER, kind)
             keep = np.flatnonzero(kind >= 0)
             kind = kind[keep].astype(np.int32)
             once = kind == REPEAT       # a repeat's hashes are not needed any more
-            yield _batch(["kind", "g", "x", "key", "place"], kind, np.where(once, 0, g[keep]), np.where(once, 0, x[keep]), key[keep], place[keep])
+            yield _batch(MARK_NAMES, kind, np.where(once, 0, g[keep]), np.where(once, 0, x[keep]), key[keep], tie[keep], place[keep])
             if held:
-                yield _batch(["kind", "g", "x", "key", "place"], np.array([FIRST], np.int32), *(np.array([v], np.int64) for v in held))
+                yield _batch(MARK_NAMES, np.array([FIRST], np.int32), *(np.array([v], np.int64) for v in held))
 
     by = ["g", "x"] if leaders else ["g", "salt"]
     return (rows.select(*NAMES).repartition(shuffle_partitions(rows.sparkSession), *by)
-            .sortWithinPartitions(*by, *(c for c in ("x", "key", "place") if c not in by)).mapInArrow(run, MARKS))
+            .sortWithinPartitions(*by, *(c for c in ("x", "key", "tie", "place") if c not in by)).mapInArrow(run, MARKS))
 
 
 def _settled(rows: DataFrame, salted: bool, name: str | None = None) -> DataFrame:
@@ -265,12 +288,12 @@ def _settled(rows: DataFrame, salted: bool, name: str | None = None) -> DataFram
 
 def _spans(rows: DataFrame) -> DataFrame:
     """Per document (key, tie) the places of its rows."""
-    return rows.groupBy("key", F.shiftright("place", START_BITS + MORE_BITS).cast("int").alias("tie")).agg(F.collect_list("place").alias("places"))
+    return rows.groupBy("key", "tie").agg(F.collect_list("place").alias("places"))
 
 
 def _unpacked(places) -> tuple[np.ndarray, np.ndarray]:
     p = np.array(places, np.int64)
-    return (p >> MORE_BITS) & ((1 << START_BITS) - 1), p & ((1 << MORE_BITS) - 1)
+    return p >> MORE_BITS, p & ((1 << MORE_BITS) - 1)
 
 
 def _pieces(texts: DataFrame, firsts: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -283,7 +306,7 @@ def _pieces(texts: DataFrame, firsts: DataFrame, frequent: np.ndarray) -> DataFr
                 lo, more = _unpacked(places)
                 g, x, lo, hi, h = Strings(text.encode(), lo, lo + more).pieces()
                 keys = np.full(len(g), key, np.int64)
-                yield _batch(NAMES, g.view(np.int64), _salts(h.view(np.int64), keys, frequent), x.view(np.int64), keys, _place(np.int64(tie), lo, hi - lo))
+                yield _batch(NAMES, g.view(np.int64), _salts(h.view(np.int64), keys ^ np.int64(tie), frequent), x.view(np.int64), keys, np.full(len(g), tie, np.int64), _place(lo, hi - lo))
 
     return texts.join(_spans(firsts).hint("shuffle_hash"), ["key", "tie"]).select("key", "tie", "text", "places").mapInArrow(run, ROWS)
 
@@ -298,33 +321,30 @@ def _strings(texts: DataFrame, firsts: DataFrame) -> DataFrame:
                 h, x, s = Strings(text.encode(), lo, lo + more).each()
                 order = np.lexsort((s, x, h))
                 same = np.concatenate([[False], (h[order][1:] == h[order][:-1]) & (x[order][1:] == x[order][:-1])])
-                yield _batch(["kind", "g", "x", "key", "place"], np.where(same, REPEAT, FIRST).astype(np.int32), h[order].view(np.int64), x[order].view(np.int64),
-                             np.full(len(s), key, np.int64), _place(np.int64(tie), s[order].astype(np.int64), 0))
+                yield _batch(MARK_NAMES, np.where(same, REPEAT, FIRST).astype(np.int32), h[order].view(np.int64), x[order].view(np.int64),
+                             np.full(len(s), key, np.int64), np.full(len(s), tie, np.int64), _place(s[order].astype(np.int64), 0))
 
     return texts.join(_spans(firsts).hint("shuffle_hash"), ["key", "tie"]).select("key", "tie", "text", "places").mapInArrow(run, MARKS)
 
 
 def repeats(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Strings that also start earlier: (key, place), from docs (key, text) and texts (key, tie, text)."""
+    """Strings that also start earlier: (key, tie, place), from docs and texts (key, tie, text; dealt by key and tie)."""
     frequent = frequent_triggers(docs)
     kind = lambda rows, k: rows.where(F.col("kind") == k)
     whole = _settled(phrases(docs, frequent), len(frequent) > 0, "repeats-phrases")
     parts = _settled(_pieces(texts, kind(whole, FIRST), frequent), len(frequent) > 0)
     single = _strings(texts, kind(parts, FIRST))
-    own = F.struct("key", F.shiftright("place", START_BITS + MORE_BITS).alias("tie"))
-    candidates = kind(single, FIRST).select("g", "x", "key", "place", own.alias("own"))
+    candidates = kind(single, FIRST).select("g", "x", "key", "tie", "place", F.struct("key", "tie").alias("own"))
     least = candidates.groupBy("g", "x").agg(F.min("own").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = candidates.join(least, ["g", "x"]).where(F.col("own") > F.col("least"))
-    out = [kind(r, REPEAT).select("key", "place") for r in (whole, parts, single)]
-    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(later.select("key", "place"))
+    out = [kind(r, REPEAT).select("key", "tie", "place") for r in (whole, parts, single)]
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(later.select("key", "tie", "place"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and ``kept``, the bytes left)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    plain = docs.select(order_key(id_col).alias("key"), text.alias("text"))
-    texts = (docs.select(order_key(id_col).alias("key"), tie(text).alias("tie"), text.alias("text"))
-             .repartition(shuffle_partitions(docs.sparkSession), "key", "tie"))
+    plain = tied(docs, id_col, text_col)
+    texts = plain.repartition(shuffle_partitions(docs.sparkSession), "key", "tie")
 
     def run(batches):
         for b in batches:

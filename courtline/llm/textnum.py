@@ -67,12 +67,17 @@ def word_hashes(flat: np.ndarray, starts: np.ndarray, blank: np.ndarray, stems:
 
 
 def slices(column, max_rows: int = 1024, max_bytes: int = 1 << 20):
-    """Bounded runs of rows of an Arrow text column: (first row, UTF-8 texts); null is empty."""
+    """Bounded runs of rows of an Arrow text column: (first row, UTF-8 texts); null is empty.  A text
+    of more than ``max_bytes`` is a run of its own."""
     out, first, size = [], 0, 0
     for i, t in enumerate(column):
         t = t.as_py()
-        out.append(t.encode() if t else b"")
-        size += len(out[-1])
+        raw = t.encode() if t else b""
+        if out and len(raw) > max_bytes:
+            yield first, out
+            out, first, size = [], i, 0
+        out.append(raw)
+        size += len(raw)
         if len(out) >= max_rows or size >= max_bytes:
             yield first, out
             out, first, size = [], i + 1, 0

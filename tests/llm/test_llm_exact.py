@@ -212,6 +212,37 @@ def test_repeats_of_frequent_passages_and_rows(spark):
     assert len(twice) == 2 and twice[0] == twice[1]
 
 
+def test_repeats_of_texts_that_share_an_id(spark):
+    """Hundreds of null ids and of one id, many with the same low bits of any hash."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(8)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage = word(150)
+    rows = []
+    for i in range(900):
+        t = word(int(rng.integers(0, 200))) + passage[int(rng.integers(0, 40)):] + word(int(rng.integers(0, 99)))
+        rows.append((None if i % 2 else 4, t))
+    assert len({zlib.crc32(t.encode()) % (1 << 15) for i, t in rows if i}) < 450
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    ordered = [(r.doc_id, r.text) for r in df.orderBy(F.asc_nulls_first("doc_id"), F.xxhash64("text")).collect()]
+    got = Counter(map(tuple, repeats.dedup(df).collect()))
+    assert got == Counter(brute_repeats(ordered))
+
+
+def test_a_long_text_behind_short_ones(spark):
+    import pyarrow as pa
+
+    from courtline.llm import textnum
+
+    size = repeats.SEGMENT
+    assert [(at, [len(t) for t in ts]) for at, ts in textnum.slices(pa.array(["ab", "c" * (size + 1), "d"]))] == [(0, [2]), (1, [size + 1]), (2, [1])]
+    long = np.random.default_rng(9).bytes(9 << 20).hex()
+    rows = [(1, "short " * 10), (2, long + long[1000:1400]), (3, long[-700:-300])]
+    got = repeats.dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert {r.doc_id: (r.n_removed, r.n_spans) for r in got} == {1: (0, 0), 2: (400, 1), 3: (400, 1)}
+
+
 # ------------------------------------------------------------------ near copies
 def brute_components(rows, k=5, percent=85):
     sets = []
