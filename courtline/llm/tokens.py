@@ -5,6 +5,9 @@ before white space that follows another character, between ASCII letters and sen
 after a single line end before a letter.  The cuts of a whole slice of texts are found at once on
 its bytes, each different piece is encoded once and those of recent slices are kept.  The joined
 ids equal those of the whole texts (tested against it), at a fraction of the time.
+
+The operators' ids are those of the library's plain ``encode(add_special_tokens=False)``: the string
+of an added token in a text is that token.
 """
 
 from __future__ import annotations
@@ -41,14 +44,15 @@ def _cuts(flat: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids as little-endian unsigned integers of ``dtype`` (two bytes if the vocabulary fits)."""
+    """Ids as little-endian unsigned integers of ``dtype`` (two bytes if the vocabulary fits).  With
+    ``plain`` as by the library's plain call, else the strings of special tokens are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True   # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = not plain
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 65536 else "<u4")
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}       # pieces of before; those that occur again move up
@@ -101,7 +105,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file (kept between tasks)."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, plain=True)
     return _ENCODERS[path]
 
 

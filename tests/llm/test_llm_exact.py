@@ -74,6 +74,33 @@ def test_pieces_join_to_the_ids_of_whole_texts(vocabulary):
         assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == want
 
 
+@pytest.mark.parametrize("vocabulary, few", [("byte_bpe_50k.json", 5), ("word_bpe_49k.json", 4)])
+def test_added_tokens_in_a_text_are_those_of_the_plain_call(spark, vocabulary, few):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from courtline.llm import tokens
+
+    path = public_tokenizers.path(vocabulary)
+    tok = Tokenizer.from_file(path)
+    plain = lambda texts: [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    rng = random.Random(6)
+    marks = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>"]
+    parts = [*marks * 3, "a", "bC", "\u00e9", "\u0301", " ", "  ", "\n", "\n\n", "\t", ".", "!?", "'s", "'", "\u00a0", "\u2003", "7", "-", "\u4e2d"]
+    texts = ["a b <|endoftext|> c", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 15))) for _ in range(4000))]
+    enc, want = tokens.encoder(path), plain(texts)
+    assert len(want[0]) == few
+    for _ in range(2):
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in enc.encode(texts)] == want
+    docs = spark.createDataFrame([(1, "one <|endoftext|> two", "a"), (2, "three", "a")], "doc_id long, text string, source string")
+    ids = [x + [2] for x in plain(["one <|endoftext|> two", "three"])]
+    if few == 5:
+        got = sorted(map(tuple, token_files.token_files(docs, tokenizer=path).collect()))
+        assert got == [(1, 0, len(ids[0]), crc(ids[0])), (2, len(ids[0]), len(ids[1]), crc(ids[1]))]
+    else:
+        assert {r.doc_id: r.doc_tokens for r in packing.pack(docs, tokenizer=path).collect()} == {1: len(ids[0]), 2: len(ids[1])}
+
+
 @pytest.mark.parametrize("which", [0, 1])
 def test_token_files_round_trip(spark, sf_dir, odd, which):
     docs = both(spark, sf_dir, odd)[which]
