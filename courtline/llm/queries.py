@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtline.llm import (common, divergence, edit_embedding, importance, minhash, mixing, packing, repeats, runs, secrets, token_files,
-                           toxicity, vector_search)
+from courtline.llm import (common, divergence, edit_embedding, importance, jaccard_join, minhash, mixing, packing, repeats, runs, secrets,
+                           token_files, toxicity, vector_search)
 
 
 def vocabulary(name: str) -> str:
@@ -57,6 +57,10 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(common.documents(spark, sf_dir), common.read(spark, sf_dir, "labels"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(common.documents(spark, sf_dir))
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(common.documents(spark, sf_dir))
 
@@ -67,5 +71,5 @@ def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_edit_embedding, op2_vector_search, op3_token_files, op4_packing, op5_repeats, op6_mixing,
                                    op7_toxicity, op8_minhash, op9_secrets, op10_importance,
-                                   op12_divergence, op13_word_runs)}
+                                   op11_jaccard_join, op12_divergence, op13_word_runs)}
 ORACLE = {"op2_vector_search": vector_search.ORACLE, "op6_mixing": mixing.oracle_sql(), "op12_divergence": divergence.ORACLE}

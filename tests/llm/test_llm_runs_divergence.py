@@ -15,7 +15,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, runs string, w s
 
 
 def odd_rows():
-    long = " ".join(f"w{i % 977}x{i // 977}" for i in range(30_000))
+    long = " ".join(f"w{i % 977}x{i // 977}" for i in range(4_000))
     texts = [None, "", " \n\t ", "one", "a " * 500, "a b c " * 40 + "end", "x " * 5, "x " * 6, "A a é É ÉA _b-c 9z", long, long, "a b a b a b a b c c c c c c",
              "to be or not to be " * 30, "\x00a\x1fb \x0bc", "a" * 5000, "one", "   x"]
     rows = [(i if i % 5 else None, t, ["en", None, "de"][i % 3], [None, "s", "t", ""][i % 4], *"rwhtcz") for i, t in enumerate(texts)]
