@@ -15,7 +15,8 @@ many differences, then the others for the pairs that are left.
 
 Candidates.  Linked sets share a token among the first ``n - ceil(percent * n / 100) + 1`` of each
 (prefix filter); pairs whose sizes, segment lengths or token positions already rule out the
-threshold are left.  Only what connects matters, so a token's pairs are not listed:
+threshold are left.  A token that up to ``FEW`` sets share has all its pairs looked at once.  For the
+others only what connects matters, so their pairs are not listed:
 
 1. Hub turns.  The documents that share a token meet one hub, the one that shares the most; links
    join components; the hub has met all of them and leaves the token, and tokens whose documents
@@ -46,6 +47,7 @@ from courtline.llm.minhash import shingle_sets
 CELL_BITS = 20              # cells of the order table: 4 bytes each on every executor
 CHUNK = 1024                # cells summed by one task at a time
 FRAGMENTS = 16              # vertical partitions; their lengths are kept in a byte each
+FEW = 4                     # sets of a token whose pairs are all listed
 EARLY = 4                   # fragments that are counted before the others
 HUB_TURNS = 3
 BLOCK = 512                 # documents of a token compared with each other in one go
@@ -281,9 +283,15 @@ def _rest(open_: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long, both long").distinct())
 
 
-def links(open_: DataFrame, segs: DataFrame, percent: int) -> DataFrame | None:
-    """Links (u, v) that connect what the threshold connects, from prefix rows (token, node, n, place,
-    low, high) of tokens that several sets share, and the sets' segments."""
+def _few(few: DataFrame, percent: int) -> DataFrame:
+    """All pairs of tokens with few sets that may link."""
+    pair = few.alias("x").join(few.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & _possible(percent, "x", "y"))
+    return pair.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
+
+
+def links(first: DataFrame, open_: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that connect what the threshold connects, from pairs (a, b, both) to look at, prefix
+    rows (token, node, n, place, low, high) of tokens that many sets share, and the sets' segments."""
     found, open_ = None, open_.withColumn("label", F.col("node"))
     for turn in range(HUB_TURNS + 1):
         if turn < HUB_TURNS:
@@ -293,6 +301,7 @@ def links(open_: DataFrame, segs: DataFrame, percent: int) -> DataFrame | None:
                      .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), (F.col("hub.n") + F.col("n")).alias("both")).distinct())
         else:
             met, pairs = None, _rest(open_, percent)
+        pairs = pairs if turn else pairs.unionByName(first).distinct()
         new = written(linked(written(pairs, "jaccard-pairs"), segs, percent), "jaccard-links")
         found = new if found is None else found.unionByName(new)
         if met is None:
@@ -325,13 +334,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     several = prefixes.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").select("token")
     shared = prefixes.select("token", "node", "place").join(several.hint("shuffle_hash"), "token").distinct()
     of_node = prefixes.where("place = 0").select("node", "n", *_LENGTHS).distinct()
-    open_ = written(shared.join(of_node, "node"), "jaccard-open")
+    shared = written(shared.join(of_node, "node"), "jaccard-shared")
+    many = shared.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > FEW).select("token")
+    open_ = written(shared.join(many, "token"), "jaccard-open")
+    first = written(_few(shared.join(many, "token", "left_anti"), percent), "jaccard-few")
 
-    some = written(classes.join(open_.select("node").distinct(), "node", "left_semi"), "jaccard-candidates")
+    some = open_.select("node").unionByName(first.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+    some = written(classes.join(some, "node", "left_semi"), "jaccard-candidates")
     texts = (docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
              .join(some.hint("shuffle_hash"), ["key", "text_hash"]).dropDuplicates(["node"]))
     segs = written(segments(texts, k, order), "jaccard-segments")
-    labels = connected_components(links(open_, segs, percent))
+    labels = connected_components(links(first, open_, segs, percent))
 
     low = labels.join(classes, "node").groupBy("label").agg(F.min("key").alias("whole"))
     whole = labels.join(low, "label").select("node", "whole")

@@ -80,9 +80,9 @@ def test_driver_table(spark, sf_dir):
     assert got(jaccard_join.jaccard_components(docs)) == brute(docs.select("doc_id", "text").collect())
 
 
-@pytest.mark.parametrize("k, percent, turns, block, early, share", [(3, 90, 3, 512, 4, 256), (3, 90, 0, 5, 1, 2), (2, 75, 1, 7, 15, 3)])
-def test_families_and_odd_rows(odd, monkeypatch, k, percent, turns, block, early, share):
-    for name, value in (("HUB_TURNS", turns), ("BLOCK", block), ("EARLY", early), ("SHARE", share)):
+@pytest.mark.parametrize("k, percent, turns, block, early, share, few", [(3, 90, 3, 512, 4, 256, 4), (3, 90, 0, 5, 1, 2, 1), (2, 75, 1, 7, 15, 3, 2)])
+def test_families_and_odd_rows(odd, monkeypatch, k, percent, turns, block, early, share, few):
+    for name, value in (("HUB_TURNS", turns), ("FEW", few), ("BLOCK", block), ("EARLY", early), ("SHARE", share)):
         monkeypatch.setattr(jaccard_join, name, value)
     assert got(jaccard_join.jaccard_components(odd, k=k, percent=percent)) == brute(odd.select("doc_id", "text").collect(), k, percent)
 
