@@ -15,14 +15,15 @@ many differences, then the others for the pairs that are left.
 
 Candidates.  Linked sets share a token among the first ``n - ceil(percent * n / 100) + 1`` of each
 (prefix filter); pairs whose sizes, segment lengths or token positions already rule out the
-threshold are left.  A token that up to ``FEW`` sets share has all its pairs looked at once.  For the
-others only what connects matters, so their pairs are not listed:
+threshold are left.  Sets meet at keys, a token together with one of two neighbouring classes of
+set sizes, so sets of unlike size do not meet.  A key of up to ``FEW`` sets has its possible pairs
+looked at once.  For the others only what connects matters, so their pairs are not listed:
 
 1. Hub turns.  The documents that share a token meet one hub, the one that shares the most; links
    join components; the hub has met all of them and leaves the token, and tokens whose documents
    are one component are done.
-2. Rest.  Documents of different components that still share a token are all compared, in blocks of
-   bounded size.  No pair is left out: the result is that of all pairs.
+2. Rest.  Documents of different components that still share a key are all compared, in blocks of
+   bounded size, at the first key they share.  No pair is left out: the result is that of all pairs.
 
 Shingles are known by 64-bit hashes, sets by 128 bits of sums of them (class numbers are salted anew
 if two classes ever share one).  Links are counted on whole sets.
@@ -34,6 +35,8 @@ their own.  Empty table: no rows.  Extra columns do not matter.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -47,7 +50,8 @@ from courtline.llm.minhash import shingle_sets
 CELL_BITS = 20              # cells of the order table: 4 bytes each on every executor
 CHUNK = 1024                # cells summed by one task at a time
 FRAGMENTS = 16              # vertical partitions; their lengths are kept in a byte each
-FEW = 4                     # sets of a token whose pairs are all listed
+FEW = 32                    # sets of a key whose possible pairs are all listed
+FIRST = 32                  # a set's first keys, kept with it to name a pair once in the rest
 EARLY = 4                   # fragments that are counted before the others
 HUB_TURNS = 3
 BLOCK = 512                 # documents of a token compared with each other in one go
@@ -244,15 +248,20 @@ def _hubs(open_: DataFrame) -> DataFrame:
     return open_.join(filled, "node").groupBy("token").agg(hub)
 
 
-def _rest(open_: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a token and may link, compared in blocks."""
+def _rest(open_: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a key and may link, compared in blocks; a pair that
+    shares an earlier one of both sets' first keys (node, keys) was or is compared there."""
     size = open_.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = (open_.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    rows = own.select("token", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") > F.col("other")).cast("long").alias("side"),
-                      "node", "label", "n", "place", *_LENGTHS)
-
-    def pairs(same_block, group):
+    rows = own.join(keys, "node").select("token", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                                         (F.col("own") > F.col("other")).cast("long").alias("side"), "node", "label", "n", "place", *_LENGTHS, "keys")
+
+    def pairs(at, group):
+        if len(group) < 2:
+            return
+        same_block = at[1] == at[2]
+        earlier = [{k for k in r[7] if k < at[0]} for r in group]
         side, node, label, n, place = (np.array([r[i] for r in group], np.int64) for i in range(5))
         lengths = np.array([r[5:7] for r in group], np.int64).view(np.uint8).astype(np.int16)
         for i in range(len(group)):
@@ -263,7 +272,8 @@ def _rest(open_: DataFrame, percent: int) -> DataFrame:
             ok &= np.minimum(place[them], place[i]) + np.minimum(n[them] - place[them], n[i] - place[i]) >= need
             ok &= np.abs(lengths[them] - lengths[i]).sum(1) <= both - 2 * need
             for j, size in zip(them[ok], both[ok], strict=True):
-                yield min(node[i], node[j]), max(node[i], node[j]), size
+                if earlier[i].isdisjoint(earlier[j]):
+                    yield min(node[i], node[j]), max(node[i], node[j]), size
 
     def run(batches):
         at, group = None, []
@@ -271,27 +281,37 @@ def _rest(open_: DataFrame, percent: int) -> DataFrame:
             out = set()
             for token, p, q, *rest in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if (token, p, q) != at:
-                    out.update(pairs(at and at[1] == at[2], group))
+                    out.update(pairs(at, group))
                     at, group = (token, p, q), []
                 group.append(rest)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "both"])
-        if out := set(pairs(at and at[1] == at[2], group)):
+        if out := set(pairs(at, group)):
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["a", "b", "both"])
 
     return (rows.repartition(shuffle_partitions(open_.sparkSession), "token", "p", "q").sortWithinPartitions("token", "p", "q")
             .mapInArrow(run, "a long, b long, both long").distinct())
 
 
+def _keys(shared: DataFrame, percent: int) -> DataFrame:
+    """Prefix rows with a key in place of the token: the token and the set's class of sizes, or the next
+    class.  Sizes within the threshold are in the same class or in neighbouring ones; keys of one set are left out."""
+    width = 1.0001 * max(math.log(100 / percent), 1e-6)
+    size = F.floor(F.log(F.col("n")) / width)
+    keyed = (shared.withColumn("size", F.explode(F.array(size, size + 1))).withColumn("token", F.xxhash64("token", "size")).drop("size"))
+    several = keyed.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").select("token")
+    return keyed.join(several, "token")
+
+
 def _few(few: DataFrame, percent: int) -> DataFrame:
     """All pairs of tokens with few sets that may link."""
     pair = few.alias("x").join(few.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & _possible(percent, "x", "y"))
     return pair.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
 
 
-def links(first: DataFrame, open_: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
+def links(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect what the threshold connects, from pairs (a, b, both) to look at, prefix
-    rows (token, node, n, place, low, high) of tokens that many sets share, and the sets' segments."""
+    rows (token, node, n, place, low, high) of keys that many sets share, and the sets' first keys and segments."""
     found, open_ = None, open_.withColumn("label", F.col("node"))
     for turn in range(HUB_TURNS + 1):
         if turn < HUB_TURNS:
@@ -300,7 +320,7 @@ def links(first: DataFrame, open_: DataFrame, segs: DataFrame, percent: int) ->
             pairs = (met.where((F.col("label") != F.col("hub.label")) & _possible(percent, "", "hub"))
                      .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), (F.col("hub.n") + F.col("n")).alias("both")).distinct())
         else:
-            met, pairs = None, _rest(open_, percent)
+            met, pairs = None, _rest(open_, keys, percent)
         pairs = pairs if turn else pairs.unionByName(first).distinct()
         new = written(linked(written(pairs, "jaccard-pairs"), segs, percent), "jaccard-links")
         found = new if found is None else found.unionByName(new)
@@ -334,7 +354,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     several = prefixes.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").select("token")
     shared = prefixes.select("token", "node", "place").join(several.hint("shuffle_hash"), "token").distinct()
     of_node = prefixes.where("place = 0").select("node", "n", *_LENGTHS).distinct()
-    shared = written(shared.join(of_node, "node"), "jaccard-shared")
+    shared = written(_keys(shared.join(of_node, "node"), percent), "jaccard-shared")
+    keys = shared.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("keys"))
     many = shared.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > FEW).select("token")
     open_ = written(shared.join(many, "token"), "jaccard-open")
     first = written(_few(shared.join(many, "token", "left_anti"), percent), "jaccard-few")
@@ -344,7 +365,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = (docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
              .join(some.hint("shuffle_hash"), ["key", "text_hash"]).dropDuplicates(["node"]))
     segs = written(segments(texts, k, order), "jaccard-segments")
-    labels = connected_components(links(first, open_, segs, percent))
+    labels = connected_components(links(first, open_, keys, segs, percent))
 
     low = labels.join(classes, "node").groupBy("label").agg(F.min("key").alias("whole"))
     whole = labels.join(low, "label").select("node", "whole")
