@@ -41,11 +41,11 @@ def test_bucketed_fill_never_windows_a_whole_key(spark, sf_dir):
     ev = events(spark, sf_dir).withColumn("v", F.when(F.col("event_type") == "purchase",
                                                       F.col("value")))
     p = plan(forward_fill(ev, ["user_id"], ["ts", "event_id"], ["v"], bucket=F.to_date("ts")))
-    # the window over raw rows is partitioned by (key, bucket); the only window partitioned
-    # by the key alone runs over the per-bucket summary, after a partial aggregate
-    windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", p)
-    assert any("_ff_bucket" in w for w in windows)
-    assert "partial_max_by" in p
+    # rows are dealt by range of key and order; the only window runs over one summary row a partition
+    assert "rangepartitioning" in p
+    windows = re.findall(r"Window \[(.*?)\], \[", p)
+    assert windows and all("_ff_local" in w and "value" not in w for w in windows)
+    assert "partial_max_by" not in p and "SortMergeJoin" not in p
 
 
 def test_change_detection_reads_only_keys_and_compared_columns(spark, sf_dir):
