@@ -49,9 +49,6 @@ from courtline.sources.forum import (
 
 
 # ---------------------------------------------------------------- SC1 SC2 SC4 SC5 P3 P6 F2
-ROWS_PER_PAGE = 64          # rendered page size
-REPEAT_HEADER_EVERY = 20    # a header row repeats inside the body, as on stats pages
-
 _PAGE_HEAD = (
     "<html><head><script>var s=\"</td><td>\";</script></head><body>"
     "<table><tr><th>id</th></tr><tr><td>{first}</td></tr></table>"
@@ -65,46 +62,33 @@ _PAGE_TAIL = "</tbody></table></body></html>"
 
 
 def _render_pages(li: DataFrame) -> DataFrame:
-    """Stats-table pages rendered from lineitem rows inside each task: up to 64 rows per
-    page, a decoy table first, a two-level header with a sportsbook logo in one cell, a
-    row-number ``<th>`` per body row, cell text with stray whitespace and entities, an
-    unclosed ``<td>``, and the header row repeated every 20 rows.  No grouping, no
-    shuffle: pages are cut from the rows each task already holds."""
-    import pyarrow as pa
-
+    """Stats-table pages rendered from lineitem rows: 16 order numbers a page, a decoy table
+    first, a two-level header with a sportsbook logo in one cell, a row-number ``<th>`` per
+    body row, the order's number in one cell that spans its lines, cell text with stray
+    whitespace and entities, an unclosed ``<td>``, and the header row repeated before every
+    fourth order."""
     cents = F.floor(F.col("l_extendedprice") * 100)
     price = F.concat((cents / 100).cast("long").cast("string"), F.lit("."),
                      F.lpad((cents % 100).cast("string"), 2, "0"))
-    # each row's cells are formatted JVM-side; Python only numbers the rows within a page
-    # and joins them, since a page is cut from the rows its task already holds
-    row_html = F.concat(
-        F.lit("</th><td>"), F.col("l_orderkey").cast("string"),
-        F.lit("</td><td>"), F.col("l_linenumber").cast("string"),
+    cells = F.concat(
+        F.lit("<td>"), F.col("l_linenumber").cast("string"),
         F.lit("</td><td>\n   "), F.col("l_quantity").cast("long").cast("string"),
         F.lit("  </td><td>"), price,
         F.lit("<td>"), F.col("l_returnflag"), F.lit(" &amp; "), F.col("l_linestatus"),
         F.lit("</td></tr>"))
-    rows = li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("page_id"),
-        row_html.alias("tr"))
-    schema = pa.schema([pa.field("page_id", pa.int64()), pa.field("html", pa.string())])
-
-    def render(batches):
-        for b in batches:
-            pid, tr = b.column(0).to_pylist(), b.column(1).to_pylist()
-            ids, pages = [], []
-            for start in range(0, len(pid), ROWS_PER_PAGE):
-                stop = min(start + ROWS_PER_PAGE, len(pid))
-                body = []
-                for i in range(start, stop):
-                    if i > start and (i - start) % REPEAT_HEADER_EVERY == 0:
-                        body.append(_REPEAT)
-                    body.append(f"<tr><th>{i - start + 1}{tr[i]}")
-                ids.append(pid[start])
-                pages.append(_PAGE_HEAD.format(first=pid[start]) + "".join(body) + _PAGE_TAIL)
-            yield pa.RecordBatch.from_pydict({"page_id": ids, "html": pages}, schema=schema)
-
-    return rows.mapInArrow(render, "page_id long, html string")
+    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", cells.alias("html")))).alias("lines"))
+    spanning = F.concat(F.lit("<td rowspan=\""), F.size("lines").cast("string"), F.lit("\">"),
+                        F.col("l_orderkey").cast("string"), F.lit("</td>"))
+    order = F.array_join(F.transform("lines", lambda r, i: F.concat(
+        F.lit("<tr><th>"), (i + 1).cast("string"), F.lit("</th>"),
+        F.when(i == 0, spanning).otherwise(F.lit("")), r["html"])), "")
+    orders = lines.select("l_orderkey", order.alias("html"))
+    page = F.array_sort(F.collect_list(F.struct("l_orderkey", "html")))
+    pages = orders.groupBy(F.floor(F.col("l_orderkey") / 16).alias("page_id")).agg(page.alias("orders"))
+    body = F.array_join(F.transform("orders", lambda o, i: F.concat(
+        F.when((i > 0) & (i % 4 == 0), F.lit(_REPEAT)).otherwise(F.lit("")), o["html"])), "")
+    head, tail = _PAGE_HEAD.split("{first}")
+    return pages.select("page_id", F.concat(F.lit(head), F.col("page_id").cast("string"), F.lit(tail), body, F.lit(_PAGE_TAIL)).alias("html"))
 
 
 def html_table_scan(spark: SparkSession, sf: str) -> DataFrame:

