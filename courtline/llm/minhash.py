@@ -132,7 +132,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                 n = np.diff(ends)
                 sig, keys = bin_minima(sets, ends), band_keys(signatures(sets, ends))
                 with np.errstate(over="ignore"):
-                    total = np.concatenate([[0], np.cumsum(textnum.mixed(sets + np.uint64(1)))]).astype(np.uint64)
+                    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(textnum.mixed(sets + np.uint64(1)), dtype=np.uint64)])
                     node = textnum.mixed((total[ends[1:]] - total[ends[:-1]]) ^ n.astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [*(b.column(i).slice(at, len(texts)) for i in (0, 1)), pa.array(n), pa.array(node),
@@ -307,7 +307,7 @@ def _members(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     first = sketch.where("n > 0").join(classes.hint("shuffle_hash"), "node").where("key = low").select("node", "key", "text_hash", "sig", "bands").dropDuplicates(["node"])
     first = written(first, "minhash-classes")
     texts = (docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-             .join(first.select("key", "text_hash", "node").hint("shuffle_hash"), ["key", "text_hash"]).select("node", "text"))
+             .join(first.select("key", "text_hash", "node").hint("shuffle_hash"), ["key", "text_hash"]).select("node", "text").dropDuplicates(["node"]))
     labels = connected_components(links(first.select("node", "sig", "bands"), texts, k, percent))
     low = labels.join(classes, "node").groupBy("label").agg(F.min("low").alias("whole"))
     linked = labels.join(low, "label").select("node", "label", "whole")
@@ -325,11 +325,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = 5, percent: int = 85) -> DataFrame:
     """The rows of one document of each component, all columns as they are.  Of rows of equal id
-    in one component the one with the least text hash stays, and of equal rows one."""
+    in one component the one with the least text hash stays, and of rows of equal id and text the least
+    by all its columns."""
     found = _members(docs, id_col, text_col, k, percent).where("key = own")
     # by the component's node: components of different texts can have the same least id
     chosen = (found.where("n > 0").groupBy("part", "key").agg(F.min("text_hash").alias("r_hash")).select(F.col("key").alias("r_key"), "r_hash")
               .unionByName(found.where("n = 0").select(F.col("key").alias("r_key"), F.col("text_hash").alias("r_hash")).distinct()))
     rows = docs.select(F.struct(*docs.columns).alias("row"), order_key(id_col).alias("key"), F.xxhash64(text_col).alias("hash"))
     rows = rows.join(chosen.hint("shuffle_hash"), (F.col("key") == F.col("r_key")) & (F.col("hash") == F.col("r_hash")))
-    return rows.groupBy("key", "hash").agg(F.first("row").alias("row")).select("row.*")
+    # of rows of equal id and text the least, so that a rerun keeps the same one
+    return rows.groupBy("key", "hash").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row.*")

@@ -111,3 +111,23 @@ def test_tokens_keep_shingles_apart_and_fragments_in_order():
     cuts = np.sort(rng.choice(toks, jaccard_join.FRAGMENTS - 1, replace=False))
     lengths = jaccard_join._lengths(toks, np.array([0, len(toks)]), cuts)
     assert lengths.sum() == len(toks) and lengths[0, 0] == (toks < cuts[0]).sum()
+
+
+# ------------------------------------------------------------------ MinHash classes
+def test_equal_sets_are_one_class_wherever_they_stand(spark):
+    from courtline.llm import minhash
+
+    rng = random.Random(4)
+    other = lambda: " ".join(f"o{rng.randrange(10**6)}" for _ in range(rng.randrange(5, 300)))
+    rows = [(i, "the same words in each of these many texts here" if i % 3 == 0 else other()) for i in range(300)]
+    sketch = minhash.sketches(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "doc_id", "text", 5)
+    assert sketch.where("key % 3 = 0").select("node").distinct().count() == 1
+    assert sketch.select("node").distinct().count() == 201
+
+
+def test_the_row_that_stays_does_not_depend_on_partitions(spark):
+    from courtline.llm import minhash
+
+    rows = [(1, "one text of some words that all these rows have", f"s{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {minhash.representatives(docs.repartition(n, "source")).collect()[0].source for n in (1, 3, 7)} == {"s0"}
