@@ -1,127 +1,188 @@
 """Exact top-k search with vector-approximation files.
 
-Every component is quantised to a cell (``CELL_BITS`` bits between the least and the greatest
-value of its dimension).  Candidate vectors lie in blocks; a block holds the cells and the exact
-vectors.  For a block of queries the cells alone give an upper bound of every score; then exact
-vectors are read in the order of the bounds until the kth score is no lower than the next bound,
-so the result is exact.  The best k of all blocks are merged per query.
-
-Queries go to every block of candidates in blocks (an equi-join on the block number); the work
-is queries x candidates, in tasks of bounded size.
-
-A vector that is null, or holds a null or non-finite component, takes no part.  Only vectors of
-equal length are compared.  Ties go to the smaller id.  Rows of equal id are candidates of their
-own; a query skips every row of its own id.  Null ids take no part.  Components are integers
-after ``floor(scale * x)``; scores must fit in 63 bits.  Empty table: no rows.
+Equal vectors become one entry with its ``k + 1`` smallest ids: no query can need more of them.
+Entries lie in blocks; a block's approximation file holds one byte a component, the cell between
+the least and the greatest value of its dimension in the block, and no exact vector.
+
+1. Scan: every block of queries meets every approximation file (an equi-join on the block number).
+   The cells bound each score from below and above; an entry stays if its upper bound reaches the
+   ``k + 1``-th greatest lower bound, of its block first and then of all blocks.
+2. Read: only the entries that stay fetch their exact vectors, and the best k are ranked by exact
+   integer scores.
+
+So the result is exact whatever the cells lose.  The scan is queries x entries, in tasks of bounded
+size; exact vectors are shuffled once to be laid out and once for the few that stay.
+
+A vector that is null, or holds a null or non-finite component, takes no part, nor does a null id.
+Only vectors of equal length are compared.  Ties go to the smaller id.  Rows of equal id are
+candidates and queries of their own: a query skips its own row alone, and a repeated query has its
+ranks once for each row.  Components are integers after ``floor(scale * x)``, of any size; a score
+outside a long is ranked exactly and shown as the nearest long.  Empty table: no rows.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtline.llm.common import shuffle_partitions
+from courtline.llm.common import shuffle_partitions, written
 
-CELL_BITS = 6
-CANDIDATES = 4096           # vectors of a block
-QUERIES = 512
+CELLS = 256                 # one byte a component
+ENTRIES = 4096              # entries of a block
+QUERIES = 256
 SCALE = 256
+LONG = 2 ** 63 - 1
+KEY_BYTES = 272             # two components below 2^1032 each, 2^31 of them
 
 
-def integers(vectors: DataFrame, id_col: str, vec_col: str, scale: int = SCALE) -> DataFrame:
-    """id, v (array of long) of the vectors that take part."""
-    x = F.col(vec_col)
-    fine = x.isNotNull() & F.col(id_col).isNotNull() & F.forall(x, lambda c: F.coalesce(c.cast("double").between(-1e300, 1e300), F.lit(False)))
-    return vectors.where(fine).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c.cast("double") * scale)).alias("v"))
+def whole(x: np.ndarray, scale: int) -> np.ndarray:
+    """floor(scale * x) as doubles; infinite where that is beyond a double."""
+    with np.errstate(over="ignore"):
+        return np.floor(x * scale)
+
+
+def exact(x: np.ndarray, scale: int) -> list[int]:
+    """floor(scale * x) as integers of any size; a double of 2^53 or more is an integer itself."""
+    return [int(c) * scale if abs(c) >= 2.0 ** 53 else math.floor(c * scale) for c in x.tolist()]
 
 
-def _blocks(rows: DataFrame, size: int, count: int, name: str) -> DataFrame:
-    """Rows dealt over blocks of about ``size`` by id, packed: blk, dim, ids, vectors."""
+def score(q: np.ndarray, x: np.ndarray, scale: int = SCALE) -> int:
+    """The inner product of the integer components."""
+    a, b = whole(q, scale), whole(x, scale)
+    if np.abs(a).max(initial=0) * max(1, len(a)) < 2.0 ** 31 and np.abs(b).max(initial=0) < 2.0 ** 31:
+        return int(a.astype(np.int64) @ b.astype(np.int64))
+    return sum(m * n for m, n in zip(exact(q, scale), exact(x, scale), strict=True))
+
+
+def approximated(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cell of each component, and each dimension's first edge and cell width."""
+    with np.errstate(all="ignore"):
+        low = x.min(0)
+        width = np.maximum((x.max(0) - low) / CELLS, 1e-300)
+        return np.clip(np.nan_to_num((x - low) / width), 0, CELLS - 1).astype(np.uint8), low, width
+
+
+def bounds(q: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the scores [query, entry]."""
+    with np.errstate(all="ignore"):
+        size = np.abs(q)
+        most = np.abs(low) + (CELLS + 1) * width
+        half = size @ (width * (0.5 + 1e-9) + most * 1e-14)
+        half += (size @ most) * (q.shape[1] + 8) * 1e-15 + 1e-300       # rounding of the sums
+        middle = (q * width) @ cells.T.astype(float) + (q @ (low + width / 2))[:, None]
+        lower, upper = middle - half[:, None], middle + half[:, None]
+    unsure = ~(np.isfinite(lower) & np.isfinite(upper))
+    lower[unsure], upper[unsure] = -np.inf, np.inf
+    return lower, upper
+
+
+def scan_block(q: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """(query, entry, lower, upper) of the entries that may be among a query's best k + 1 of the block."""
+    lower, upper = bounds(q, cells, low, width)
+    least = np.partition(lower, -(k + 1), axis=1)[:, -(k + 1)] if lower.shape[1] > k else np.full(len(q), -np.inf)
+    at = np.nonzero(upper >= least[:, None])
+    return *at, lower[at], upper[at]
+
+
+def entries(vectors: DataFrame, is_query: Column, id_col: str, vec_col: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct vectors (tag, dim, members, v) with the k + 1 smallest (id, copies), and the queries
+    (tag, id, copies).  A tag is 128 bits of a vector's content."""
+    x = F.col(vec_col)
+    fine = x.isNotNull() & F.col(id_col).isNotNull() & F.forall(x, lambda c: F.coalesce(c.cast("double").between(-1.7976931348623157e308, 1.7976931348623157e308), F.lit(False)))
+    rows = vectors.where(fine).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: c.cast("double") + F.lit(0.0)).alias("v"),
+                                      F.coalesce(is_query, F.lit(False)).cast("long").alias("asked"))
+    rows = rows.withColumn("tag", F.struct(F.xxhash64(F.size("v"), "v").alias("a"), F.xxhash64(F.lit("other"), "v", F.size("v")).alias("b")))
+    rows = written(rows.groupBy("tag", "id").agg(F.count("*").alias("copies"), F.sum("asked").alias("asked"), F.any_value("v").alias("v")), "vectors")
+    first = F.row_number().over(Window.partitionBy("tag").orderBy("id"))
+    members = (rows.select("tag", "id", "copies", "v", first.alias("place")).where(F.col("place") <= k + 1)
+               .groupBy("tag").agg(F.sort_array(F.collect_list(F.struct("id", F.least("copies", F.lit(k + 1)).alias("copies")))).alias("members"), F.any_value("v").alias("v")))
+    return written(members.withColumn("dim", F.size("v")), "vector-entries"), rows.where("asked > 0").select("tag", "id", F.col("asked").alias("copies"))
+
+
+def _blocks(rows: DataFrame, size: int, count: int, scale: int, approximate: bool) -> DataFrame:
+    """Entries (tag, dim, v) dealt over blocks of about ``size``: approximation files, or whole vectors."""
     n = max(1, -(-count // size))
 
     def pack(batches):
-        at, ids, vecs = None, [], []
+        at, a, b, vecs = None, [], [], []
 
         def out():
-            return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int32()), pa.array([at[1]], pa.int32()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
-                                               pa.array([np.array(vecs, np.int64).tobytes()], pa.binary())], names=["blk", "dim", "ids", "vecs"])
-        for b in batches:
-            for blk, dim, i, v in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if ids and ((blk, dim) != at or len(ids) >= size):
+            x = whole(np.array(vecs, float).reshape(len(vecs), at[1]), scale)
+            cells, low, width = approximated(x) if approximate else (x, np.zeros(0), np.zeros(0))
+            return pa.RecordBatch.from_pydict({"blk": pa.array([at[0]], pa.int32()), "dim": pa.array([at[1]], pa.int32()), "a": pa.array([a]), "b": pa.array([b]),
+                                               "low": [low.tobytes()], "width": [width.tobytes()], "cells": [cells.tobytes()]})
+        for batch in batches:
+            for blk, dim, ta, tb, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if vecs and ((blk, dim) != at or len(vecs) >= size):
                     yield out()
-                    ids, vecs = [], []
+                    a, b, vecs = [], [], []
                 at = (blk, dim)
-                ids.append(i)
+                a.append(ta)
+                b.append(tb)
                 vecs.append(v)
-        if ids:
+        if vecs:
             yield out()
 
-    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias("blk"), F.size("v").alias("dim"), "id", "v")
-    return (dealt.repartition(shuffle_partitions(rows.sparkSession), "blk", "dim").sortWithinPartitions("blk", "dim", "id")
-            .mapInArrow(pack, "blk int, dim int, ids binary, vecs binary"))
+    dealt = rows.select(F.pmod(F.col("tag.a"), F.lit(n)).cast("int").alias("blk"), "dim", "tag.a", "tag.b", "v")
+    return (dealt.repartition(shuffle_partitions(rows.sparkSession), "blk", "dim").sortWithinPartitions("blk", "dim", "a", "b")
+            .mapInArrow(pack, "blk int, dim int, a array<long>, b array<long>, low binary, width binary, cells binary"))
 
 
-def cells(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Cell of each component, and each dimension's first edge and cell width."""
-    low = x.min(0).astype(float)
-    width = np.maximum((x.max(0) + 1 - low) / (1 << CELL_BITS), 1.0)
-    return ((x - low) // width).astype(np.uint8), low, width
-
-
-def search_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, candidate, score): the best k of this block for every query."""
-    own_cells, low, width = cells(x)
-    exact = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, q.shape[1]) < 2 ** 62
-    qf = q.astype(float)
-    middle = low + (own_cells + 0.5) * width
-    bound = qf @ middle.T + (np.abs(qf) @ (width / 2))[:, None]
-    bound += 1e-9 * np.abs(bound) + 1e-6        # rounding of the bounds
-    bound[q_ids[:, None] == ids[None, :]] = -np.inf
-    out = []
-    for i in range(len(q_ids)):
-        b, take = bound[i], min(len(ids), max(64, 4 * k))
-        while True:
-            near = np.argpartition(-b, take - 1)[:take] if take < len(ids) else np.arange(len(ids))
-            floor = b[near].min() if take < len(ids) else -np.inf
-            near = near[b[near] > -np.inf]
-            if exact:
-                score = x[near] @ q[i]
-            else:
-                score = np.array([sum(int(a) * int(c) for a, c in zip(row, q[i], strict=True)) for row in x[near]], object)
-            order = sorted(range(len(near)), key=lambda r: (-score[r], ids[near[r]]))[:k]
-            # all others have a lower bound than the kth score
-            if floor == -np.inf or len(order) == k and score[order[-1]] > floor:
-                break
-            take = min(len(ids), take * 4)
-        out += [(int(q_ids[i]), int(ids[near[r]]), int(score[r])) for r in order]
-    return out
+def near(table: DataFrame, asked: DataFrame, k: int, scale: int) -> DataFrame:
+    """The scan: (q, tag) of the entries whose upper bound reaches the (k + 1)th greatest lower bound."""
+    n = max(1, -(-table.count() // ENTRIES))
+    files = _blocks(table, ENTRIES, n * ENTRIES, scale, True)
+    queries = _blocks(asked, QUERIES, asked.count(), scale, False)
+    # a copy of each block of queries for each approximation file; both sides are hash blocks of even size
+    sent = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("to"), F.col("dim").alias("q_dim"), F.col("a").alias("qa"), F.col("b").alias("qb"), F.col("cells").alias("q"))
+    met = sent.join(files, (F.col("to") == F.col("blk")) & (F.col("q_dim") == F.col("dim"))).select("dim", "qa", "qb", "q", "a", "b", "low", "width", "cells")
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                dim, qa, qb, q, a, b, low, width, cells = (c[i].as_py() for c in batch.columns)
+                q = np.frombuffer(q).reshape(len(qa), dim)
+                own, other, lower, upper = scan_block(q, np.frombuffer(cells, np.uint8).reshape(len(a), dim), np.frombuffer(low), np.frombuffer(width), k)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)[at]) for c, at in ((qa, own), (qb, own), (a, other), (b, other))]
+                                                 + [pa.array(lower), pa.array(upper)], names=["qa", "qb", "a", "b", "lower", "upper"])
+
+    found = written(met.mapInArrow(run, "qa long, qb long, a long, b long, lower double, upper double"), "vector-bounds")
+    place = F.row_number().over(Window.partitionBy("qa", "qb").orderBy(F.desc("lower")))
+    least = found.select("qa", "qb", "lower", place.alias("place")).where(F.col("place") <= k + 1).groupBy("qa", "qb").agg(
+        F.when(F.count("*") > k, F.min("lower")).otherwise(F.lit(float("-inf"))).alias("least"))
+    return found.join(least, ["qa", "qb"]).where("upper >= least").select(F.struct(F.col("qa").alias("a"), F.col("qb").alias("b")).alias("q"), F.struct("a", "b").alias("tag"))
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", *, k: int = 5, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score."""
-    rows = integers(vectors, id_col, vec_col, scale)
-    count = vectors.count()
-    blocks = _blocks(rows, CANDIDATES, count, "candidates")
-    n = max(1, -(-count // CANDIDATES))
-    queries = _blocks(integers(vectors.where(is_query), id_col, vec_col, scale), QUERIES, vectors.where(is_query).count(), "queries")
-    # a copy of each block of queries for each block of candidates; both sides are hash blocks of even size
-    sent = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("to"), F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
-    met = sent.join(blocks, (F.col("to") == F.col("blk")) & (F.col("q_dim") == F.col("dim"))).select("dim", "q_ids", "q_vecs", "ids", "vecs")
+    table, queries = entries(vectors, is_query, id_col, vec_col, k)
+    asked = table.join(queries.select("tag").distinct(), "tag", "left_semi").select("tag", "dim", "v")
+    pairs = near(table, asked, k, scale).join(asked.select(F.col("tag").alias("q"), F.col("v").alias("qv")), "q")
+    pairs = pairs.join(table.select("tag", "v", "members"), "tag").select("q", "tag", "members", "qv", "v")
 
     def run(batches):
         for b in batches:
-            for dim, qi, qv, ci, cv in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                qi, ci = np.frombuffer(qi, np.int64), np.frombuffer(ci, np.int64)
-                found = search_block(qi, np.frombuffer(qv, np.int64).reshape(len(qi), dim), ci, np.frombuffer(cv, np.int64).reshape(len(ci), dim), k)
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=["query_id", "vec_id", "score"])
-
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (met.mapInArrow(run, "query_id long, vec_id long, score long").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            (qv, qs), (xv, xs) = ((c.flatten().to_numpy(), c.value_lengths().to_numpy()) for c in b.columns[3:])
+            at = np.concatenate([[0], np.cumsum(qs, dtype=np.int64)])
+            exactly = [score(qv[i:j], xv[i:j], scale) for i, j in zip(at[:-1], at[1:], strict=True)]
+            shown = [max(-LONG - 1, min(LONG, s)) for s in exactly]
+            key = [None if -LONG - 1 < s < LONG else (s + (1 << 8 * KEY_BYTES - 1)).to_bytes(KEY_BYTES, "big") for s in exactly]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(shown, pa.int64()), pa.array(key, pa.binary())], names=["q", "tag", "members", "score", "beyond"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in pairs.schema}
+    scored = pairs.mapInArrow(run, f"q {kinds['q']}, tag {kinds['tag']}, members {kinds['members']}, score long, beyond binary")
+    mine = queries.select(F.col("tag").alias("q"), F.col("id").alias("query_id"), F.col("copies").alias("asked"))
+    rows = scored.join(mine, "q").select("q", "query_id", "asked", "tag", "score", "beyond", F.inline("members"))
+    own = (F.col("tag") == F.col("q")) & (F.col("id") == F.col("query_id"))
+    rows = rows.withColumn("copies", F.col("copies") - own.cast("long")).where("copies > 0")
+    best = Window.partitionBy("query_id", "q").orderBy(F.desc("score"), F.desc_nulls_last("beyond"), "id")
+    rows = rows.select("q", "query_id", "asked", "id", "score", "beyond", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # a repeated query has its ranks once for each of its rows
+    return rows.select("query_id", "rank", F.col("id").alias("vec_id"), "score", F.explode(F.sequence(F.lit(1).cast("long"), "asked")).alias("row")).drop("row")
 
 
 ORACLE = """
