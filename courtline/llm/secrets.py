@@ -5,7 +5,11 @@ The patterns mark assignments, access keys and hexadecimal runs.  The models mar
 of ``[A-Za-z0-9+/_=-]`` of ``LEAST_RUN`` characters or more that touch no pattern's span: both are
 first-order chains over 67 symbols and a start, trained on the labelled runs of all documents.  Runs
 that a pattern found are the random class, other runs of ``LEAST_WORD`` characters or more the
-ordinary one.  A run is a secret if the ratio is at least ``LEAST_RATIO`` in all and ``LEAST_MEAN`` a
+ordinary one.  The labelled secrets of a corpus may all be of one alphabet (hexadecimal keys, say), so
+the random chain leans half on its letters and half on the uniform distribution.  Secrets that no
+pattern marks lie among the ordinary runs, in proportion to the corpus: a second pass takes every run
+that the first chains call random out of the ordinary class again, so recall does not fall as the
+corpus grows.  A run is a secret if the ratio is at least ``LEAST_RATIO`` in all and ``LEAST_MEAN`` a
 character.
 
 Null or empty text: no spans.  Empty table: no rows.  Rows of equal id are rows of their own.
@@ -15,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +42,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODE = np.zeros(128, np.int64)
 _CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 START, SYMBOLS = len(ALPHABET), len(ALPHABET) + 1
+_CODE[0] = START                                # a zero byte parts the runs
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -57,38 +63,52 @@ def _codes(s: str) -> np.ndarray:
 
 
 def _apart(text: str, pattern: re.Pattern, spans: list) -> list[re.Match]:
-    """Matches that touch no span."""
-    return [m for m in pattern.finditer(text) if not any(a < m.end() and m.start() < z for a, _, z in spans)]
+    """Matches that touch no span; spans are in order of their starts, both lists are read once."""
+    out, at, far = [], 0, -1
+    for m in pattern.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            far = max(far, spans[at][2])
+            at += 1
+        if far <= m.start():
+            out.append(m)
+    return out
+
+
+def _pairs(runs: list[str]) -> np.ndarray:
+    """Transition counts of the runs, their starts included."""
+    c = _codes("".join("\0" + s for s in runs))
+    inside = c[1:] != START
+    return np.bincount(c[:-1][inside] * SYMBOLS + c[1:][inside], minlength=SYMBOLS * SYMBOLS).reshape(SYMBOLS, SYMBOLS)
 
 
 def transitions(texts: list[str | None]) -> np.ndarray:
     """Transition counts [random, ordinary] of labelled runs."""
-    n = np.zeros((2, SYMBOLS, SYMBOLS), np.int64)
+    found = [], []
     for t in texts:
         if not t:
             continue
         spans = base_spans(t)
-        found = []
-        for a, kind, z in spans:
-            s = t[a:z]
-            if kind == 0:
-                s = ASSIGN.match(s)[2].replace(".", "")
-            found.append((0, s))
-        found += [(1, m[0]) for m in _apart(t, WORD, spans)]
-        for label, s in found:
-            c = _codes(s)
-            if len(c):
-                n[label, START, c[0]] += 1
-                np.add.at(n[label], (c[:-1], c[1:]), 1)
-    return n
+        found[0].extend(ASSIGN.match(s)[2].replace(".", "") if kind == 0 else s for a, kind, z in spans for s in (t[a:z],))
+        found[1].extend(m[0] for m in _apart(t, WORD, spans))
+    return np.stack([_pairs(f) for f in found])
+
+
+def hidden(texts: list[str | None], models: Models) -> np.ndarray:
+    """Transition counts of the runs among the ordinary ones that the models call random."""
+    found = []
+    for t in texts:
+        if t and RUN.search(t):
+            found += [m[0] for m in _apart(t, RUN, base_spans(t)) if models.score(m[0]) > 0]
+    return _pairs(found)
 
 
 class Models:
     """Log-likelihood ratio of two chains; without samples both are uniform."""
 
     def __init__(self, counts: np.ndarray):
-        # rows lean on the letters of their class, so that a hidden secret among the ordinary runs does not teach its own pairs
-        random, ordinary = (n + lean * (n.sum(0) + 0.1) / (n.sum() + 0.1 * SYMBOLS) for n, lean in zip(counts, (500.0, 1000.0), strict=True))
+        letters = [(n.sum(0) + 0.1) / (n.sum() + 0.1 * SYMBOLS) for n in counts]
+        random = counts[0] + 500.0 * (letters[0] + 1 / SYMBOLS) / 2
+        ordinary = counts[1] + 1000.0 * letters[1]
         if not counts[0].sum() or not counts[1].sum():
             random = ordinary = np.ones((SYMBOLS, SYMBOLS))
         self.ratio = np.log(random / random.sum(1, keepdims=True)) - np.log(ordinary / ordinary.sum(1, keepdims=True))
@@ -98,19 +118,28 @@ class Models:
         return float(self.ratio[START, c[0]] + self.ratio[c[:-1], c[1:]].sum())
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> Models:
-    """Models from the runs of all documents; per task one row of counts."""
+def _summed(docs: DataFrame, text_col: str, counts: Callable[[list], np.ndarray], shape: tuple) -> np.ndarray:
+    """``counts`` of all texts, summed; per task one row for each transition that occurs."""
     def count(batches):
-        n = np.zeros((2, SYMBOLS, SYMBOLS), np.int64)
+        n = np.zeros(shape, np.int64)
         for b in batches:
-            n += transitions(b.column(0).to_pylist())
+            n += counts(b.column(0).to_pylist())
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n.ravel()[at])], names=["at", "n"])
 
-    counts = np.zeros(2 * SYMBOLS * SYMBOLS, np.int64)
+    out = np.zeros(np.prod(shape), np.int64)
     for at, n in docs.select(text_col).mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n")).collect():
-        counts[at] = n
-    return Models(counts.reshape(2, SYMBOLS, SYMBOLS))
+        out[at] = n
+    return out.reshape(shape)
+
+
+def fit(docs: DataFrame, text_col: str = "text") -> Models:
+    """Models from the runs of all documents, in two passes."""
+    counts = _summed(docs, text_col, transitions, (2, SYMBOLS, SYMBOLS))
+    first = Models(counts)
+    if first.ratio.any():
+        counts[1] -= _summed(docs, text_col, lambda texts: hidden(texts, first), (SYMBOLS, SYMBOLS))
+    return Models(counts)
 
 
 def find(text: str | None, models: Models) -> list[tuple[int, int, int]]:

@@ -80,7 +80,10 @@ def test_markov_models_learn_from_all_documents(spark):
     hidden = random(40)
     docs += [(ids[0] + 100_000, f"see {hidden} there")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    want = secrets.Models(secrets.transitions([t for _, t in docs]))
+    texts = [t for _, t in docs]
+    counts = secrets.transitions(texts)
+    counts[1] -= secrets.hidden(texts, secrets.Models(counts))
+    want = secrets.Models(counts)
     assert np.array_equal(secrets.fit(df).ratio, want.ratio)
     assert [r.spans for r in secrets.secrets(df).where("doc_id >= 100000").collect()] == ["markov:4:44"]
 
