@@ -2,18 +2,17 @@
 
 Two generative models of hashed n-grams (words and pairs of neighbouring words in ``BUCKETS``
 buckets): one of the target text (documents labelled good), one of all raw text.  A document's
-log-weight is the mean log-ratio of its n-grams times ``min(n-grams, SPAN)``: without the bound a
-long text's weight would drown the noise.  Gumbel top-k: with independent Gumbel noise from a
-hash of the id, the ``fraction`` of documents with the largest log-weight plus noise is a sample
+log-weight is the sum of the log-ratios of its n-grams.  Gumbel top-k: with independent Gumbel noise from a
+hash of the document, the ``fraction`` of documents with the largest log-weight plus noise is a sample
 without replacement in proportion to the weights.  The kth largest key is found by histograms of
 the keys, refined in the one slice that holds it; nothing is sorted.
 
 The raw model counts all documents (per task one row for each bucket that occurs); the target
 model a bounded sample, the ``TARGET_DOCS`` labelled documents with the smallest hash of their id.
 
-Null or empty text: no n-grams, log-weight 0.  Without target rows all log-weights are 0.  Null
-id: its noise is that of the empty text.  Equal ids share their noise; ties at the threshold are
-all kept.  Empty table: no rows.
+Null or empty text: no n-grams, log-weight 0.  Without target rows all log-weights are 0.  The
+noise is a hash of the id (null: the empty text), the text and the row's number among the rows equal
+in both, so every row has noise of its own and repeated rows do not tie.  Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -27,10 +26,9 @@ from pyspark.sql import functions as F
 
 from courtline.llm import textnum
 from courtline.llm.common import written
-from courtline.llm.mixing import BITS, hash60
+from courtline.llm.mixing import BITS, content, hash_of, numbered
 
 BUCKETS = 1 << 15
-SPAN = 64
 FRACTION = 0.8
 TARGET_DOCS = 8192
 SLICES = 1024
@@ -79,22 +77,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def weighted(docs: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_grams, log_weight."""
+    """doc_id, key (digest of id and text), n_grams, log_weight."""
     def run(batches):
         for b in batches:
-            for at, texts in textnum.slices(b.column(1)):
+            for at, texts in textnum.slices(b.column(2)):
                 bucket, doc = grams(texts)
                 n = np.bincount(doc, minlength=len(texts))
                 total = np.bincount(doc, ratio[bucket], minlength=len(texts))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), pa.array(n.astype(np.int64)),
-                                                  pa.array(total / np.maximum(n, 1) * np.minimum(n, SPAN))], names=["doc_id", "n_grams", "log_weight"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(texts)), b.column(1).slice(at, len(texts)), pa.array(n.astype(np.int64)), pa.array(total)],
+                                                 names=["doc_id", "key", "n_grams", "log_weight"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, n_grams long, log_weight double")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), content(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+            .mapInArrow(run, "doc_id long, key string, n_grams long, log_weight double"))
 
 
-def gumbel(id_col: str) -> Column:
-    u = (hash60(F.col(id_col)) + F.lit(0.5)) / float(1 << BITS)
-    return -F.log(-F.log(u))
+def gumbel(h: Column) -> Column:
+    return -F.log(-F.log((h + F.lit(0.5)) / float(1 << BITS)))
 
 
 def kth_largest(rows: DataFrame, col: str, k: int) -> float | None:
@@ -117,7 +115,7 @@ def kth_largest(rows: DataFrame, col: str, k: int) -> float | None:
 
 def resample(docs: DataFrame, labels: DataFrame, *, fraction: float = FRACTION) -> DataFrame:
     """doc_id, n_grams, log_weight, sample_key, kept."""
-    rows = weighted(docs, fit(docs, labels))
-    rows = written(rows.withColumn("sample_key", F.col("log_weight") + gumbel("doc_id")), "importance")
+    rows = numbered(weighted(docs, fit(docs, labels)), "doc_id", "key", "n_grams", "log_weight")
+    rows = written(rows.withColumn("sample_key", F.col("log_weight") + gumbel(hash_of(F.col("key"), F.col("number")))).drop("key", "number"), "importance")
     cut = kth_largest(rows, "sample_key", math.ceil(rows.count() * fraction))
     return rows.withColumn("kept", F.col("sample_key") >= F.lit(cut if cut is not None else math.inf))

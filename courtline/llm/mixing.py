@@ -10,8 +10,10 @@ bits; within the last bucket the running sum goes hash by hash.  Thresholds are
 larger budget takes a superset.
 
 Sizes are words (runs of characters other than ASCII blanks).  Null text: size 0.  Null
-source: a source of its own, last.  Null id: hashed as the empty text.  Equal ids (and hashes)
-are taken together.  Empty table: no rows; a mix without words takes none.
+source: a source of its own, last.  A document is hashed by its id (null: the empty text), its
+text and, in ``mix``, its number among the rows equal in both, so rows that share an id are taken
+or left one by one; ``mixed`` takes rows equal in id and text together.  Empty table: no rows; a
+mix without words takes none.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ WORDS = r"[^\x20\x09-\x0D]+"
 BITS, LEVEL_BITS = 60, 12           # bits of the hash; bits of one histogram level
 BROADCAST_SOURCES = 10_000          # rows of a per-source table that may be broadcast
 SALTS = 64                          # copies of it beyond that
+CHUNK = 10_000                      # equal rows numbered in one go
 WEIGHTS = (5, 2, 1)
 
 
@@ -33,6 +36,16 @@ def hash60(col: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, BITS // 4), 16, 10).cast("long")
 
 
+def content(id_col: str, text_col: str) -> Column:
+    """Digest of a document's id and text."""
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col(text_col), F.lit(""))).cast("binary"))
+
+
+def hash_of(key: Column, number: Column) -> Column:
+    """Hash of one of the rows with this digest."""
+    return hash60(F.concat(key, F.lit("|"), number.cast("string")))
+
+
 def targets(sizes: DataFrame, share: float, cap: float, weights: tuple[int, ...]) -> DataFrame:
     """Per source (source, source_size): weight and target.  With the sources in the order in
     which they fill up, the level that fits the unfilled ones is the largest of the levels
@@ -91,10 +104,19 @@ def thresholds(rows: DataFrame, budgets: DataFrame, few: bool) -> DataFrame:
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), hash60(F.col(id_col)).alias("h"),
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), content(id_col, text_col).alias("key"),
                        F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORDS)).cast("long").alias("size"))
 
 
+def numbered(rows: DataFrame, *cols: str) -> DataFrame:
+    """The same rows with their ``number`` among equal ones: they are counted (combined before the
+    shuffle) and unfolded in chunks that are dealt anew, so a hot row's copies do not meet in one task."""
+    same = rows.groupBy(*cols).agg(F.count("*").alias("rows"))
+    chunk = same.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / CHUNK))).alias("chunk"))
+    number = F.sequence(F.col("chunk") * CHUNK + 1, F.least("rows", (F.col("chunk") + 1) * CHUNK))
+    return chunk.repartition("key", "chunk").select(*cols, F.explode(number).alias("number"))
+
+
 def plan(rows: DataFrame, share: float, cap: float, weights: tuple[int, ...]) -> tuple[DataFrame, bool]:
     """Per source: source_size, target, whole (times that every document is taken), threshold
     (hashes up to it once more); and whether the table is known to be short."""
@@ -102,7 +124,7 @@ def plan(rows: DataFrame, share: float, cap: float, weights: tuple[int, ...]) ->
     few = goal.count() <= BROADCAST_SOURCES
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     goal = goal.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size"))
-    limit = thresholds(rows, goal.select("source", "budget"), few).withColumnRenamed("source", "l_source")
+    limit = thresholds(rows, goal.select("source", "budget").where("budget > 0"), few).withColumnRenamed("source", "l_source")
     goal = goal.join(limit, F.col("source").eqNullSafe(F.col("l_source")), "left")
     return goal.select("source", "source_size", "target", "whole", "threshold"), few
 
@@ -114,7 +136,8 @@ def _copies() -> Column:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         *, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """doc_id, source, size, source_size, target and ``copies`` (how often the mix takes it)."""
-    rows = written(_sized(docs, id_col, text_col, source_col), "mix-sizes")
+    rows = numbered(_sized(docs, id_col, text_col, source_col), "doc_id", "source", "key", "size")
+    rows = written(rows.select("doc_id", "source", hash_of(F.col("key"), F.col("number")).alias("h"), "size"), "mix-sizes")
     rows = _by_source(rows, *plan(rows, share, cap, weights), "inner")
     return rows.select("doc_id", "source", "size", "source_size", "target", _copies().alias("copies"))
 
@@ -122,8 +145,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
           *, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
     """The documents of the mix, each as often as it is taken; the texts are not shuffled."""
-    table, few = plan(written(_sized(docs, id_col, text_col, source_col), "mix-sizes"), share, cap, weights)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(source_col).alias("source"), hash60(F.col(id_col)).alias("h"))
+    sized = _sized(docs, id_col, text_col, source_col)
+    table, few = plan(written(sized.select("source", hash_of(F.col("key"), F.lit(1)).alias("h"), "size"), "mix-sizes"), share, cap, weights)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(source_col).alias("source"), hash_of(content(id_col, text_col), F.lit(1)).alias("h"))
     rows = _by_source(rows, table.select("source", "whole", "threshold"), few, "inner").select("row", _copies().alias("copies"))
     return rows.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
@@ -132,8 +156,9 @@ def oracle_sql() -> str:
     """The whole query as DuckDB SQL (sorts every source; the operator does not)."""
     return r"""
 WITH n AS (
-  SELECT doc_id, source, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h,
-         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, CAST('0x' || substr(md5(key || '|' || CAST(row_number() OVER (PARTITION BY doc_id, source, key) AS VARCHAR)), 1, 15) AS BIGINT) AS h,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM (SELECT *, md5(coalesce(CAST(doc_id AS VARCHAR), '') || '|' || coalesce(text, '')) AS key FROM documents)),
 s AS (SELECT source, CAST(sum(size) AS DOUBLE) AS source_size FROM n GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
 f AS (SELECT *, 2.0 * source_size AS most, 2.0 * source_size / weight AS fills FROM w),

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from courtline.llm import secrets, vector_search
+import corpus_pipeline
+from courtline.llm import importance, mixing, secrets, textnum, vector_search
 
 LETTERS = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
 
@@ -105,3 +106,58 @@ def test_hidden_secrets_are_found_at_any_size(spark, sf_dir, n):
         else:
             clean += len(spans)
     assert found >= 0.9 * len(planted) and clean == 0
+
+
+# ------------------------------------------------------------------ mixing, importance resampling
+def test_rows_of_one_id_are_taken_one_by_one(spark):
+    rows = [(None, "a b c d", "x")] * 100 + [(7, f"t{i} b c d", "y") for i in range(100)] + [(i, "a b c d", None) for i in range(100)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    assert len(got) == 300 and all(0 <= r.copies <= 2 for r in got)
+    for source in ("x", "y", None):
+        mine = [r for r in got if r.source == source]
+        assert len(mine) == 100 and abs(sum(r.size * r.copies for r in mine) - mine[0].target) <= 4
+
+
+def test_copies_of_a_row_are_unfolded_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    df = spark.createDataFrame([("a",)] * 23 + [("b",)] * 7 + [("c",)], "key string")
+    got = Counter(tuple(r) for r in mixing.numbered(df, "key").collect())
+    assert got == Counter([("a", i + 1) for i in range(23)] + [("b", i + 1) for i in range(7)] + [("c", 1)])
+
+
+def test_repeated_rows_do_not_exceed_the_fraction(spark):
+    docs = spark.createDataFrame([(None, "same words here")] * 50, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    assert importance.resample(docs, labels, fraction=0.8).where("kept").count() == 40
+
+
+def test_weights_are_plain_sums(spark):
+    rows = [(i, " ".join(f"w{(i * j) % 11}" for j in range(5 + 40 * (i % 4)))) for i in range(60)] + [(60, None), (61, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+
+    def grams(text):
+        words = (text or "").split()
+        return words + [tuple(p) for p in zip(words, words[1:])]
+
+    def bucket(gram):
+        word = lambda w: textnum.word_hashes(textnum.LOWER[np.frombuffer(w.encode(), np.uint8)], np.array([0, len(w)]), textnum.NOT_WORD)[0][0]
+        with np.errstate(over="ignore"):
+            h = word(gram) if isinstance(gram, str) else textnum.mixed(np.array([word(gram[0]) * np.uint64(0x9E3779B97F4A7C15) + word(gram[1])]))[0]
+        return int(h % np.uint64(importance.BUCKETS))
+
+    raw = Counter(bucket(g) for _, t in rows for g in grams(t))
+    target = Counter(bucket(g) for i, t in rows[:60] if i % 2 for g in grams(t))
+    share = {b: (raw[b] + 1) / (sum(raw.values()) + importance.BUCKETS) for b in raw}
+    n = sum(target.values())
+    want = {i: sum(math.log((target[b] + 0.02 * n * share[b]) / (n * 1.02)) - math.log(share[b]) for g in grams(t) for b in (bucket(g),)) for i, t in rows}
+    got = importance.resample(docs, labels).collect()
+    assert {r.doc_id for r in got} == set(want) and all(abs(r.log_weight - want[r.doc_id]) < 1e-6 for r in got)
+
+
+def test_the_pipeline_joins_pairs_from_four_fifths(spark, sf_dir):
+    words = [f"w{i}" for i in range(224)]
+    near = words[:-20] + [f"z{i}" for i in range(20)]       # 200 of 240 shingles: 0.83
+    far = words[:-30] + [f"y{i}" for i in range(30)]        # 190 of 250: 0.76
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()) == [1, 3]
