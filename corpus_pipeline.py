@@ -2,7 +2,8 @@
 
 1. toxicity: documents that the factorization machine scores at the threshold or above go; it is
    fitted on the labelled rows outside the held-out fold;
-2. near-dedup: one document of each MinHash component stays, the one of least id;
+2. near-dedup: one document of each MinHash component stays, the one of least id; texts whose
+   five-word shingles are at least 0.8 alike are linked;
 3. secret scan: every found span is masked in the text, ``n_chars`` follows; no document goes;
 4. mixing: sources are brought to their target weights, documents taken up to twice;
 5. packing: the mix is packed into sequences, one row per piece.
@@ -25,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.representatives(docs)
+    return minhash.representatives(docs, percent=80)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
