@@ -57,7 +57,7 @@ from courtline.operators.quality import QualityError
 from courtline.operators.sentiment import score_sentiment
 from courtline.plans import warehouse as W
 from courtline.sources import list_items, table_rows
-from courtline.sources.forum import comments_of_posts, posts
+from courtline.sources.forum import comments_of_posts, posts, reading_order
 
 # Warehouse code -> stats-site code, for building play-by-play page keys (the
 # home team is carried onto the page rows, so no mapping back is needed).
@@ -327,16 +327,18 @@ def reddit_posts(raw_posts: DataFrame, run: RunParams) -> DataFrame:
 def reddit_comments(raw_comments: DataFrame, post_df: DataFrame, lexicon: DataFrame,
                     run: RunParams, drop_deleted: bool = True, legacy_edited: bool = False
                     ) -> DataFrame:
+    """Comments of the posts, flat or from flattened trees; of equal (author, comment, url) the
+    best scored stays, among those the last in reading order."""
     c = comments_of_posts(raw_comments, post_df)
     c = c.select("author", F.col("body").alias("comment"), "score", "url",
                  F.col("author_flair_css_class").alias("flair1"),
-                 F.col("author_flair_text").alias("flair2"), "edited", "row_idx")
+                 F.col("author_flair_text").alias("flair2"), "edited", reading_order(c).alias("place"))
     c = c.where(not_equal_keep_null("author", "None"))
     if drop_deleted:
         c = c.where(F.col("author").isNotNull())
     else:   # the source keeps real nulls and spells them "None" afterwards
         c = c.withColumn("author", F.coalesce("author", F.lit("None")))
-    c = keep_last_per_key(c, ["author", "comment", "url"], ["score", "row_idx"])
+    c = keep_last_per_key(c, ["author", "comment", "url"], ["score", "place"])
     scored = score_sentiment(c, ["author", "comment", "url"], "comment", lexicon)
     out = c.join(scored, ["author", "comment", "url"], "inner")
     edited = (F.lit(1) if legacy_edited else

@@ -43,6 +43,8 @@ from courtline.sources import list_items, read_log_lines, table_rows
 from courtline.sources.forum import (
     POST_URL_PREFIX,
     comments_of_posts,
+    flatten_trees,
+    read_comment_trees,
     read_comments,
     read_posts,
 )
@@ -233,6 +235,34 @@ def comment_flatten(spark: SparkSession, sf: str) -> DataFrame:
                     "score")
 
 
+def _land_trees(spark: SparkSession, sf: str) -> str:
+    """Render conversations as nested dumps: a turn answers the latest odd turn before it (the post,
+    if there is none), so odd turns nest and even turns are their leaves; a stub ends each listing."""
+    conv = table(spark, sf, "conversations").where(F.col("turn") >= 1)
+    listing = '{"kind":"Listing","data":{"children":['
+    stub = '{"kind":"more","data":{"count":2,"id":"_"}}]}}'
+    data = F.to_json(F.struct(
+        F.concat(F.col("conv_id").cast("string"), F.lit("_"), F.col("turn").cast("string")).alias("id"),
+        F.col("role").alias("author"), F.col("text").alias("body"), (F.length("text") % 17).cast("long").alias("score")))
+    opened = F.concat(F.lit('{"kind":"t1","data":'), F.substr(data, F.lit(1), F.length(data) - 1), F.lit(',"replies":'))
+    odd = F.col("turn") % 2 == 1
+    piece = F.concat(opened, F.when(odd, F.lit(listing)).otherwise(F.lit('""}},')))
+    whole = conv.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", piece.alias("piece")))).alias("pieces"),
+                                        F.count_if(odd).cast("int").alias("odd"))
+    tree = F.concat(F.lit(listing), F.array_join(F.col("pieces.piece"), ""), F.repeat(F.lit(stub + "}},"), F.col("odd")), F.lit(stub))
+    path = scratch_path(spark, "forum-trees")
+    (whole.select(F.concat(F.lit(POST_URL_PREFIX + "/r/nba/comments/"), F.col("conv_id").cast("string")).alias("post_url"), tree.alias("comments"))
+     .write.json(path))
+    return path
+
+
+def comment_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested replies to any depth, flattened level by level, "load more" stubs dropped."""
+    c = flatten_trees(read_comment_trees(spark, _land_trees(spark, sf)))
+    return c.select(F.col("post_url").alias("url"), "comment_id", "parent_id", "author", F.col("body").alias("comment"), "score",
+                    "depth", F.array_join(F.transform("path", lambda p: p.cast("string")), ".").alias("place"))
+
+
 # ---------------------------------------------------------------- S23 sentiment
 def sentiment(spark: SparkSession, sf: str) -> DataFrame:
     conv = table(spark, sf, "conversations", spread=True).select("conv_id", "turn", "text")
@@ -415,6 +445,7 @@ QUERIES = {
     "exists_on_date": exists_on_date,
     "key_lookup": key_lookup,
     "comment_flatten": comment_flatten,
+    "comment_tree": comment_tree,
     "sentiment": sentiment,
     "comment_pipeline": comment_pipeline,
     "log_failures": log_failures,
@@ -610,6 +641,23 @@ FROM req r JOIN pg ON strftime(r.game_date, '%Y%m%d') || '0' || r.home_team = pg
 """,
     "comment_flatten": "WITH" + _FORUM_SQL + """
 SELECT url, comment_id, parent_id, author, comment, score FROM com
+""",
+    "comment_tree": """
+WITH RECURSIVE c AS (
+  SELECT *, max(CASE WHEN turn % 2 = 1 THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS parent
+  FROM conversations WHERE turn >= 1),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id, parent ORDER BY turn) - 1 AS pos FROM c),
+t AS (
+  SELECT conv_id, turn, parent, role, text, 1 AS depth, CAST(pos AS VARCHAR) AS place FROM p WHERE parent IS NULL
+  UNION ALL
+  SELECT p.conv_id, p.turn, p.parent, p.role, p.text, t.depth + 1, t.place || '.' || CAST(p.pos AS VARCHAR)
+  FROM t JOIN p ON p.conv_id = t.conv_id AND p.parent = t.turn)
+SELECT 'https://www.reddit.com/r/nba/comments/' || CAST(conv_id AS VARCHAR) AS url,
+  CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS comment_id,
+  CAST(conv_id AS VARCHAR) || '_' || CAST(parent AS VARCHAR) AS parent_id,
+  role AS author, text AS comment, CAST(length(text) % 17 AS BIGINT) AS score, depth, place
+FROM t
 """,
     "sentiment": "WITH" + sentiment_sql("conversations", ["conv_id", "turn"], "text") + """
 SELECT conv_id, turn, compound, neg, neu, pos,
