@@ -25,6 +25,10 @@ looked at once.  For the others only what connects matters, so their pairs are n
 2. Rest.  Documents of different components that still share a key are all compared, in blocks of
    bounded size, at the first key they share.  No pair is left out: the result is that of all pairs.
 
+Before its fragments are counted a pair meets by parity sketch: a row of bits, at least as many as
+the set has tokens, each the parity of the tokens that fall on it.  Bits in which two sketches
+differ are at most the tokens that one set alone has, so no link is left out.
+
 Shingles are known by 64-bit hashes, sets by 128 bits of sums of them (class numbers are salted anew
 if two classes ever share one).  Links are counted on whole sets.
 
@@ -54,6 +58,8 @@ FEW = 32                    # sets of a key whose possible pairs are all listed
 FIRST = 32                  # a set's first keys, kept with it to name a pair once in the rest
 EARLY = 4                   # fragments that are counted before the others
 HUB_TURNS = 3
+SKETCH = -1                 # stands for a fragment where a set's parity sketch is kept
+LEAST_BITS = 256            # of a parity sketch
 BLOCK = 512                 # documents of a token compared with each other in one go
 SHARE = 256                 # pairs of a hub in one group
 
@@ -162,8 +168,26 @@ def _prefixes(docs: DataFrame, text_col: str, k: int, percent: int, order) -> Da
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "token long, one long, two long, n long, place int, low long, high long")
 
 
+def parities(toks: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """Each set's parity sketch: a power of two of bits, LEAST_BITS and the set's size at least."""
+    n = np.maximum(np.diff(ends), LEAST_BITS)
+    words = (1 << np.ceil(np.log2(n)).astype(np.int64)) // 64
+    edge = np.concatenate([[0], np.cumsum(words)])
+    owner = np.repeat(np.arange(len(n)), np.diff(ends))
+    bits = np.zeros(edge[-1], np.uint64)
+    word = ((toks & _LOW) >> np.uint64(6)).astype(np.int64) % words[owner]
+    np.bitwise_xor.at(bits, edge[owner] + word, np.uint64(1) << (toks & np.uint64(63)))
+    return [bits[a:z] for a, z in zip(edge[:-1], edge[1:], strict=True)]
+
+
+def folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch that the same set has with fewer words."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, words), axis=0)
+
+
 def segments(texts: DataFrame, k: int, order) -> DataFrame:
-    """node, fragment, tokens (sorted, 8 bytes each) of (node, text); empty segments have no row."""
+    """node, fragment, tokens (sorted, 8 bytes each) of (node, text); empty segments have no row.  The
+    set's parity sketch has one, as fragment SKETCH."""
     def run(batches):
         rank, cuts = order.value
         for b in batches:
@@ -174,6 +198,9 @@ def segments(texts: DataFrame, k: int, order) -> DataFrame:
                 full = np.flatnonzero(size)
                 edge = np.concatenate([[0], np.cumsum(size)])
                 node = b.column(0).slice(at, len(some)).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node), pa.array(np.full(len(node), SKETCH, np.int32)), pa.array([p.tobytes() for p in parities(toks, ends)], pa.binary())],
+                    names=["node", "fragment", "tokens"])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node[full // FRAGMENTS]), pa.array((full % FRAGMENTS).astype(np.int32)),
                      pa.array([toks[edge[f]:edge[f + 1]].tobytes() for f in full], pa.binary())], names=["node", "fragment", "tokens"])
@@ -199,7 +226,7 @@ def _possible(percent: int, a: str, b: str) -> Column:
 
 def partial_overlaps(pairs: DataFrame, segs: DataFrame) -> DataFrame:
     """For each pair (a, b) the tokens shared in the fragments of ``segs`` and those that only one has
-    there: a, b, shared, apart.  One fragment of a hub a and of up to SHARE or so partners meet in a task."""
+    there (of sketches: the bits that differ): a, b, shared, apart.  One fragment of a hub a and of up to SHARE or so partners meet in a task."""
     share = pairs.groupBy("a").agg(F.ceil(F.count("*") / SHARE).alias("groups"))
     salted = pairs.select("a", "b").join(share, "a").select("a", "b", F.pmod(F.xxhash64("b"), "groups").alias("salt"))
     wanted = (salted.select(F.col("b").alias("node"), "a", "salt", F.lit(1).alias("role"))
@@ -216,6 +243,9 @@ def partial_overlaps(pairs: DataFrame, segs: DataFrame) -> DataFrame:
                 own = np.frombuffer(toks[i].as_buffer(), np.uint64)
                 if role[i] == 0:
                     at, mine = (a[i], salt[i], fragment[i]), own
+                elif fragment[i] == SKETCH:
+                    words = min(len(mine), len(own))
+                    out.append((a[i], node[i], 0, int(np.bitwise_count(folded(mine, words) ^ folded(own, words)).sum())))
                 elif at == (a[i], salt[i], fragment[i]):
                     place = np.minimum(np.searchsorted(mine, own), len(mine) - 1)
                     both = int((mine[place] == own).sum())
@@ -230,9 +260,16 @@ def partial_overlaps(pairs: DataFrame, segs: DataFrame) -> DataFrame:
     return counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.sum("apart").alias("apart"))
 
 
+def alike(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, both: sizes added up) whose parity sketches leave a link possible."""
+    bits = partial_overlaps(pairs, segs.where(F.col("fragment") == SKETCH))
+    return (pairs.join(bits, ["a", "b"]).where(F.col("apart") <= F.col("both") - 2 * least_overlap(percent, F.col("both")))
+            .select("a", "b", "both"))
+
+
 def linked(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, both: sizes added up) that link, as (u, v)."""
-    early = pairs.join(partial_overlaps(pairs, segs.where(F.col("fragment") < EARLY)), ["a", "b"], "left").fillna(0, ["shared", "apart"])
+    early = pairs.join(partial_overlaps(pairs, segs.where(F.col("fragment").between(0, EARLY - 1))), ["a", "b"], "left").fillna(0, ["shared", "apart"])
     left = written(early.where(F.col("apart") <= F.col("both") - 2 * least_overlap(percent, F.col("both"))).select("a", "b", "both", F.col("shared").alias("early")), "jaccard-early")
     rest = partial_overlaps(left, segs.where(F.col("fragment") >= EARLY))
     shared = F.col("early") + F.coalesce("shared", F.lit(0))
@@ -248,14 +285,15 @@ def _hubs(open_: DataFrame) -> DataFrame:
     return open_.join(filled, "node").groupBy("token").agg(hub)
 
 
-def _rest(open_: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a key and may link, compared in blocks; a pair that
-    shares an earlier one of both sets' first keys (node, keys) was or is compared there."""
+def _rest(open_: DataFrame, keys: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a key and may link, by parity sketches too, compared in
+    blocks; a pair that shares an earlier one of both sets' first keys (node, keys) was or is compared there."""
+    about = keys.join(segs.where(F.col("fragment") == SKETCH).select("node", F.col("tokens").alias("sketch")), "node")
     size = open_.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = (open_.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
-    rows = own.join(keys, "node").select("token", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                                         (F.col("own") > F.col("other")).cast("long").alias("side"), "node", "label", "n", "place", *_LENGTHS, "keys")
+    rows = own.join(about, "node").select("token", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                                         (F.col("own") > F.col("other")).cast("long").alias("side"), "node", "label", "n", "place", *_LENGTHS, "keys", "sketch")
 
     def pairs(at, group):
         if len(group) < 2:
@@ -264,6 +302,8 @@ def _rest(open_: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
         earlier = [{k for k in r[7] if k < at[0]} for r in group]
         side, node, label, n, place = (np.array([r[i] for r in group], np.int64) for i in range(5))
         lengths = np.array([r[5:7] for r in group], np.int64).view(np.uint8).astype(np.int16)
+        words = min(len(r[8]) for r in group) // 8
+        bits = np.stack([folded(np.frombuffer(r[8], np.uint64), words) for r in group])
         for i in range(len(group)):
             them = np.flatnonzero((label != label[i]) & ((np.arange(len(group)) > i) if same_block else (side > side[i])))
             both = n[them] + n[i]
@@ -271,6 +311,8 @@ def _rest(open_: DataFrame, keys: DataFrame, percent: int) -> DataFrame:
             ok = 100 * np.minimum(n[them], n[i]) >= percent * np.maximum(n[them], n[i])
             ok &= np.minimum(place[them], place[i]) + np.minimum(n[them] - place[them], n[i] - place[i]) >= need
             ok &= np.abs(lengths[them] - lengths[i]).sum(1) <= both - 2 * need
+            them, both, need = them[ok], both[ok], need[ok]
+            ok = np.bitwise_count(bits[them] ^ bits[i]).sum(1, dtype=np.int64) <= both - 2 * need
             for j, size in zip(them[ok], both[ok], strict=True):
                 if earlier[i].isdisjoint(earlier[j]):
                     yield min(node[i], node[j]), max(node[i], node[j]), size
@@ -320,9 +362,11 @@ def links(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame,
             pairs = (met.where((F.col("label") != F.col("hub.label")) & _possible(percent, "", "hub"))
                      .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), (F.col("hub.n") + F.col("n")).alias("both")).distinct())
         else:
-            met, pairs = None, _rest(open_, keys, percent)
-        pairs = pairs if turn else pairs.unionByName(first).distinct()
-        new = written(linked(written(pairs, "jaccard-pairs"), segs, percent), "jaccard-links")
+            met, pairs = None, _rest(open_, keys, segs, percent)
+        pairs = written(pairs if turn else pairs.unionByName(first).distinct(), "jaccard-pairs")
+        if met is not None:
+            pairs = written(alike(pairs, segs, percent), "jaccard-alike")
+        new = written(linked(pairs, segs, percent), "jaccard-links")
         found = new if found is None else found.unionByName(new)
         if met is None:
             break

@@ -131,3 +131,19 @@ def test_the_row_that_stays_does_not_depend_on_partitions(spark):
     rows = [(1, "one text of some words that all these rows have", f"s{i}") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     assert {minhash.representatives(docs.repartition(n, "source")).collect()[0].source for n in (1, 3, 7)} == {"s0"}
+
+
+def test_parity_sketches_never_exceed_the_difference():
+    """Bits that differ are at most the tokens that differ, also after folding, and most of them where sets are small."""
+    rng = np.random.default_rng(3)
+    for n, apart in ((1, 1), (40, 3), (300, 42), (255, 30), (257, 30), (3000, 400), (9000, 9000)):
+        one = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        two = np.unique(np.concatenate([one[apart:], rng.integers(0, 2**63, apart // 2, dtype=np.uint64)]))
+        sketch = jaccard_join.parities(np.concatenate([one, two]), np.array([0, len(one), len(one) + len(two)]))
+        words = min(map(len, sketch))
+        a, b = (jaccard_join.folded(s, words) for s in sketch)
+        bits, real = int(np.bitwise_count(a ^ b).sum()), len(np.setxor1d(one, two))
+        assert bits <= real and (bits - real) % 2 == 0
+        assert bits > 0.6 * real or real > len(one) // 2
+        for small in (4, 2, 1):
+            assert int(np.bitwise_count(jaccard_join.folded(a, small) ^ jaccard_join.folded(b, small)).sum()) <= bits
