@@ -1,19 +1,25 @@
 """Lexicon sentiment scoring as a Spark job.
 
-The scoring rules follow the published VADER method (Hutto & Gilbert, 2014): per token a
-lexicon valence, raised or lowered by booster words among the three preceding tokens
-(damped by distance), flipped and shrunk when a negator is among the three preceding
-tokens; the document sum ``s`` is normalised to ``compound = s / sqrt(s^2 + 15)`` in
-[-1, 1]; ``pos``/``neg``/``neu`` are the shares of positive mass (each positive valence
-+1), negative mass (each negative valence -1) and neutral tokens.  Capitalisation,
-punctuation emphasis and the contrastive "but" rule are not applied.
-
-Plan: tokens are split and flagged (negator, booster) inside each row; the look-back to the
-three previous tokens is done by zipping the token array with copies of the flag arrays
-shifted by 1-3 places - no window, no self-join, no per-element lookups.  Tokens are then exploded in the task that holds the row, the lexicon (a small
-table of proven size) is broadcast-joined, and the per-document sums are a hash aggregate
-that combines map-side, so one huge document does not land whole in one task.  Valences are
-DECIMAL, so sums are exact and independent of aggregation order.
+The scoring rules follow the published VADER method (Hutto & Gilbert, 2014):
+
+* a token has its lexicon valence, raised by 0.733 (away from 0) if it is in capitals and the text
+  is not all in capitals;
+* booster words among the three preceding tokens raise or lower it, damped by distance (a booster
+  in capitals counts 0.733 more); a negator among these three flips and shrinks it;
+* tokens before the first "but" count half, those after it one and a half times;
+* exclamation marks (up to four, 0.292 each) and question marks (from two on, 0.18 each, 0.96 for
+  more than three) push the sum away from 0, and the larger of positive and negative mass with it;
+* the sum ``s`` is normalised to ``compound = s / sqrt(s^2 + 15)``; ``pos``/``neg``/``neu`` are the
+  shares of positive mass (each positive valence +1), negative mass (each negative valence -1) and
+  neutral tokens.
+
+Plan: what a text says as a whole (its marks, whether capitals stand out, the place of "but") and
+the flags of its tokens are computed inside its row; the look-back to the three previous tokens is
+done by zipping the token array with copies of the flag arrays shifted by 1-3 places - no window, no
+self-join, no per-element lookups.  Tokens are then exploded in the task that holds the row and meet
+the lexicon, and the per-document sums are a hash aggregate that combines map-side, so one huge
+document does not land whole in one task.  All valences are whole numbers of a fixed small unit, so
+sums are exact and independent of aggregation order.
 """
 
 from __future__ import annotations
@@ -44,11 +50,19 @@ NEGATORS = ["not", "no", "never", "none", "nobody", "nothing", "neither", "nor",
 BOOSTERS_UP = ["very", "really", "extremely", "so", "too", "absolutely", "incredibly",
                "totally", "completely", "super", "hugely", "most"]
 BOOSTERS_DOWN = ["slightly", "barely", "somewhat", "hardly", "kinda", "marginally", "less"]
-# Fixed values of the method.
-BOOST = 0.293          # booster increment
-NEGATION = -0.74       # negation scalar
-NORM_ALPHA = 15        # compound normalisation constant
-DAMPING = [1.0, 0.95, 0.9]  # booster weight by distance 1, 2, 3
+# Fixed values of the method, in the whole units of a step: valences in POINTs of 1/2,000,000,
+# after the factors of negation (hundredths) and "but" (halves) in WHOLEs of 1/400,000,000.
+POINT = 2_000_000
+WHOLE = POINT * 100 * 2
+BOOST = 29_300             # booster increment 0.293, times a weight by distance
+CAPITALS = 73_300          # capitals 0.733, times a weight
+DAMPING = [20, 19, 18]     # weight of a booster at distance 1, 2, 3: 1, 0.95, 0.9
+NEGATION = -74             # negation scalar -0.74
+CONTRAST = [1, 3]          # before and after "but": 0.5, 1.5
+EXCLAMATION = 116_800_000  # 0.292 for each of up to four marks
+QUESTION = 72_000_000      # 0.18 for each of two or three marks
+QUESTIONS = 384_000_000    # 0.96 for more
+NORM_ALPHA = 15            # compound normalisation constant
 
 SCORE_COLS = ["compound", "neg", "neu", "pos", "sentiment"]
 _DEC = T.DecimalType(12, 4)
@@ -61,22 +75,28 @@ def seed_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased tokens split on ASCII whitespace, outer punctuation stripped, empty ones
-    dropped."""
-    raw = F.split(F.lower(text), r"[ \t\n\r\f\x0B]+")
+    """Tokens split on ASCII whitespace, outer punctuation stripped, empty ones dropped."""
+    raw = F.split(text, r"[ \t\n\r\f\x0B]+")
     stripped = F.transform(raw, lambda t: F.regexp_replace(t, _PUNCT, ""))
     return F.filter(stripped, lambda t: t != "")
 
 
-def _flags(toks: Column) -> tuple[Column, Column]:
-    """Per token: is it a negator, and its booster increment (0 when not a booster)."""
-    neg = F.array(*[F.lit(x) for x in NEGATORS])
-    up = F.array(*[F.lit(x) for x in BOOSTERS_UP])
-    down = F.array(*[F.lit(x) for x in BOOSTERS_DOWN])
-    is_neg = F.transform(toks, lambda t: F.array_contains(neg, t))
-    boost = F.transform(toks, lambda t: F.when(F.array_contains(up, t), F.lit(BOOST))
-                        .when(F.array_contains(down, t), F.lit(-BOOST))
-                        .otherwise(F.lit(0.0)).cast(_DEC))
+def marks(text: Column) -> Column:
+    """What a text's exclamation and question marks add to its sum, in WHOLEs."""
+    count = lambda m: F.length(text) - F.length(F.replace(text, F.lit(m)))
+    asks = count("?")
+    return (F.least(count("!"), F.lit(4)) * F.lit(EXCLAMATION).cast("long")
+            + F.when(asks > 3, F.lit(QUESTIONS)).when(asks > 1, asks * QUESTION).otherwise(F.lit(0))).cast("long")
+
+
+def _flags(low: Column, loud: Column) -> tuple[Column, Column]:
+    """Per token: is it a negator, and its booster increment for each weight (0 when not a booster)."""
+    neg, up, down = (F.array(*[F.lit(x) for x in words]) for words in (NEGATORS, BOOSTERS_UP, BOOSTERS_DOWN))
+    is_neg = F.transform(low, lambda t: F.array_contains(neg, t))
+    boost = F.transform(F.arrays_zip(low.alias("low"), loud.alias("loud")), lambda t: F.when(
+        F.array_contains(up, t["low"]), F.lit(BOOST) + F.when(t["loud"], F.lit(CAPITALS)).otherwise(F.lit(0))).when(
+        F.array_contains(down, t["low"]), F.lit(-BOOST) + F.when(t["loud"], F.lit(CAPITALS)).otherwise(F.lit(0)))
+        .otherwise(F.lit(0)).cast("long"))
     return is_neg, boost
 
 
@@ -98,39 +118,50 @@ def score_sentiment(df: DataFrame, id_cols: str | list[str], text_col: str,
     if df.schema[text_col].dataType != T.StringType():
         raise TypeError(f"{text_col} must be a string column")
     lex = lexicon.groupBy(F.lower("token").alias("token")).agg(F.avg(F.col("valence").cast(_DEC)).cast(_DEC).alias("valence"))
+    lex = lex.select("token", (F.col("valence") * POINT).cast("long").alias("valence"))
 
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    # per token: negator flag and booster increment, then the same arrays shifted by 1-3
-    # places, so the look-back is positional alignment (linear, no per-element lookups)
-    docs = df.select(F.struct(*ids).alias("_id"), tokens(F.col(text_col)).alias("_toks"))
-    neg, bst = _flags(F.col("_toks"))
-    docs = docs.select("_id", "_toks", neg.alias("_neg"), bst.alias("_bst"))
-    zero = F.lit(0).cast(_DEC)
-    docs = docs.select("_id", "_toks", *[
+    text = F.col(text_col)
+    docs = df.select(F.struct(*ids).alias("_id"), tokens(text).alias("_toks"), marks(text).alias("_marks"))
+    docs = docs.select("_id", "_marks", F.transform("_toks", F.lower).alias("_low"),
+                       F.transform("_toks", lambda t: (t == F.upper(t)) & (t != F.lower(t))).alias("_loud"))
+    # capitals say something only where some tokens are not in capitals
+    stands_out = F.exists("_loud", lambda c: ~c)
+    docs = docs.select("_id", "_marks", "_low", F.array_position("_low", "but").alias("_but"),
+                       F.transform("_loud", lambda c: c & stands_out).alias("_loud"))
+    neg, bst = _flags(F.col("_low"), F.col("_loud"))
+    docs = docs.select("_id", "_marks", "_low", "_but", "_loud", neg.alias("_neg"), bst.alias("_bst"))
+    # the look-back is positional alignment (linear, no per-element lookups)
+    zero = F.lit(0).cast("long")
+    docs = docs.select("_id", "_marks", "_low", "_but", "_loud", *[
         _shift(F.col("_neg"), d, F.lit(False)).alias(f"_n{d}") for d in (1, 2, 3)], *[
         _shift(F.col("_bst"), d, zero).alias(f"_b{d}") for d in (1, 2, 3)])
     # documents with no token still need a row: keep them with a null token
-    z = F.arrays_zip("_toks", "_n1", "_n2", "_n3", "_b1", "_b2", "_b3")
-    toks = docs.select("_id", F.explode_outer(z).alias("t")).select(
-        "_id", F.col("t._toks").alias("token"),
-        (F.col("t._n1") | F.col("t._n2") | F.col("t._n3")).alias("negated"),
-        sum((F.col(f"t._b{d}") * F.lit(w).cast(_DEC) for d, w in zip((1, 2, 3), DAMPING)),
-            zero).alias("boost"))
+    z = F.arrays_zip("_low", "_loud", "_n1", "_n2", "_n3", "_b1", "_b2", "_b3")
+    side = F.col("pos") + 1 - F.col("_but")
+    toks = docs.select("_id", "_marks", "_but", F.posexplode_outer(z).alias("pos", "t")).select(
+        "_id", "_marks", F.col("t._low").alias("token"),
+        F.when(F.col("t._n1") | F.col("t._n2") | F.col("t._n3"), F.lit(NEGATION)).otherwise(F.lit(100)).alias("negation"),
+        F.when((F.col("_but") == 0) | (side == 0), F.lit(2)).when(side < 0, F.lit(CONTRAST[0])).otherwise(F.lit(CONTRAST[1])).alias("contrast"),
+        (sum((F.col(f"t._b{d}") * w for d, w in zip((1, 2, 3), DAMPING)), zero)
+         + F.when(F.col("t._loud"), F.lit(CAPITALS * DAMPING[0])).otherwise(F.lit(0))).alias("boost"))
     j = toks.join(lex, "token", "left")
     v = F.col("valence")
-    adj = F.when(v.isNull(), F.lit(0).cast(_DEC)).otherwise(
-        (v + F.when(v > 0, F.col("boost")).when(v < 0, -F.col("boost")).otherwise(F.lit(0)))
-        * F.when(F.col("negated"), F.lit(NEGATION).cast(_DEC)).otherwise(F.lit(1).cast(_DEC)))
-    s = j.select("_id", F.col("token"), adj.alias("s"))
+    adj = F.when(v.isNull() | (v == 0), zero).otherwise(
+        (v + F.when(v > 0, F.col("boost")).otherwise(-F.col("boost"))) * F.col("negation") * F.col("contrast"))
+    s = j.select("_id", "_marks", "token", adj.alias("s"))
     agg = s.groupBy("_id").agg(
-        F.sum("s").alias("sum_s"),
-        F.sum(F.when(F.col("s") > 0, F.col("s") + 1)).alias("pos_sum"),
-        F.sum(F.when(F.col("s") < 0, F.col("s") - 1)).alias("neg_sum"),
+        F.sum("s").alias("sum_s"), F.max("_marks").alias("marks"),
+        F.coalesce(F.sum(F.when(F.col("s") > 0, F.col("s") + WHOLE)), zero).alias("pos_sum"),
+        F.coalesce(F.sum(F.when(F.col("s") < 0, WHOLE - F.col("s"))), zero).alias("neg_sum"),
         F.count(F.when((F.col("s") == 0) & F.col("token").isNotNull(), 1)).alias("neu_n"),
         F.count(F.col("token")).alias("n_tok"))
-    sd = F.col("sum_s").cast("double")
-    pos_sum = F.coalesce(F.col("pos_sum"), F.lit(0)).cast("double")
-    neg_sum = F.abs(F.coalesce(F.col("neg_sum"), F.lit(0))).cast("double")
+    points = lambda c: c.cast("double") / F.lit(float(WHOLE))
+    marked = lambda sign: F.when(sign, F.col("marks")).otherwise(zero)
+    ahead = F.col("pos_sum") - F.col("neg_sum")
+    sd = points(F.col("sum_s") + marked(F.col("sum_s") > 0) - marked(F.col("sum_s") < 0))
+    pos_sum = points(F.col("pos_sum") + marked(ahead > 0))
+    neg_sum = points(F.col("neg_sum") + marked(ahead < 0))
     neu = F.col("neu_n").cast("double")
     total = pos_sum + neg_sum + neu
     compound = F.when(F.col("n_tok") == 0, F.lit(0.0)).otherwise(

@@ -17,11 +17,18 @@ from courtline.operators.sentiment import (
     BOOST,
     BOOSTERS_DOWN,
     BOOSTERS_UP,
+    CAPITALS,
+    CONTRAST,
     DAMPING,
+    EXCLAMATION,
     NEGATION,
     NEGATORS,
     NORM_ALPHA,
+    POINT,
+    QUESTION,
+    QUESTIONS,
     SEED_LEXICON,
+    WHOLE,
     _PUNCT,
     score_sentiment,
     seed_lexicon,
@@ -461,46 +468,57 @@ def _sql_list(xs) -> str:
     return "(" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + ")"
 
 
-_LEX_SQL = ", ".join(f"('{k}', CAST({v} AS DECIMAL(12,4)))" for k, v in SEED_LEXICON.items())
+_LEX_SQL = ", ".join(f"('{k}', CAST({round(v * POINT)} AS BIGINT))" for k, v in SEED_LEXICON.items())
 _PUNCT_SQL = _PUNCT.replace("'", "''")
 
 
-def _boost_sql(p: str) -> str:
-    return (f"CASE WHEN {p} IN {_sql_list(BOOSTERS_UP)} THEN CAST({BOOST} AS DECIMAL(12,4)) "
-            f"WHEN {p} IN {_sql_list(BOOSTERS_DOWN)} THEN CAST({-BOOST} AS DECIMAL(12,4)) "
-            "ELSE CAST(0 AS DECIMAL(12,4)) END")
-
-
 def sentiment_sql(src: str, ids: list[str], text: str) -> str:
     """CTE chain scoring ``src`` (a relation with ``ids`` and ``text``); ends in ``scored``."""
     idl = ", ".join(ids)
-    prev = {d: f"CASE WHEN i > {d} THEN toks[i - {d}] END" for d in (1, 2, 3)}
-    negated = " OR ".join(f"coalesce({prev[d]} IN {_sql_list(NEGATORS)}, false)" for d in (1, 2, 3))
-    boost = " + ".join(f"{_boost_sql(prev[d])} * CAST({w} AS DECIMAL(12,4))"
-                       for d, w in zip((1, 2, 3), DAMPING))
+
+    def before(d: int, c: str) -> str:
+        return f"CASE WHEN i > {d} THEN {c}[i - {d}] END"
+
+    def boosted(d: int, w: int) -> str:
+        loud = f"CASE WHEN differs AND coalesce({before(d, 'loud')}, false) THEN {CAPITALS} ELSE 0 END"
+        return (f"{w} * CASE WHEN {before(d, 'low')} IN {_sql_list(BOOSTERS_UP)} THEN {BOOST} + {loud} "
+                f"WHEN {before(d, 'low')} IN {_sql_list(BOOSTERS_DOWN)} THEN {-BOOST} + {loud} ELSE 0 END")
+
+    negated = " OR ".join(f"coalesce({before(d, 'low')} IN {_sql_list(NEGATORS)}, false)" for d in (1, 2, 3))
+    boost = " + ".join(boosted(d, w) for d, w in zip((1, 2, 3), DAMPING))
+    asks = f"(length({text}) - length(replace({text}, '?', '')))"
     return f"""
 lex(token, valence) AS (VALUES {_LEX_SQL}),
-sd AS (
-  SELECT {idl}, list_filter(list_transform(string_split_regex(lower({text}), '[ \\t\\n\\r\\f\\v]+'),
-           lambda t: regexp_replace(t, '{_PUNCT_SQL}', '', 'g')), lambda t: t <> '') AS toks
+sr AS (
+  SELECT {idl}, list_filter(list_transform(string_split_regex({text}, '[ \\t\\n\\r\\f\\v]+'),
+           lambda t: regexp_replace(t, '{_PUNCT_SQL}', '', 'g')), lambda t: t <> '') AS toks,
+    least(length({text}) - length(replace({text}, '!', '')), 4) * {EXCLAMATION}
+      + CASE WHEN {asks} > 3 THEN {QUESTIONS} WHEN {asks} > 1 THEN {asks} * {QUESTION} ELSE 0 END AS marks
   FROM {src}),
+sl AS (
+  SELECT *, list_transform(toks, lambda t: lower(t)) AS low,
+    list_transform(toks, lambda t: t = upper(t) AND t <> lower(t)) AS loud FROM sr),
+sd AS (
+  SELECT *, coalesce(list_position(low, 'but'), 0) AS but, list_contains(loud, false) AS differs FROM sl),
 st AS (
-  SELECT {idl}, toks, unnest(range(1, len(toks) + 1)) AS i FROM sd),
+  SELECT *, unnest(range(1, len(toks) + 1)) AS i FROM sd),
 sc AS (
-  SELECT {idl}, toks[i] AS token, ({negated}) AS negated, ({boost}) AS boost FROM st),
+  SELECT {idl}, marks, low[i] AS token, CASE WHEN {negated} THEN {NEGATION} ELSE 100 END AS negation,
+    CASE WHEN but = 0 OR i = but THEN 2 WHEN i < but THEN {CONTRAST[0]} ELSE {CONTRAST[1]} END AS contrast,
+    CAST({boost} + CASE WHEN differs AND loud[i] THEN {CAPITALS * DAMPING[0]} ELSE 0 END AS BIGINT) AS boost FROM st),
 sv AS (
-  SELECT sc.*, CASE WHEN lex.valence IS NULL THEN CAST(0 AS DECIMAL(12,4))
-    ELSE (lex.valence + CASE WHEN lex.valence > 0 THEN boost WHEN lex.valence < 0 THEN -boost
-                             ELSE 0 END)
-         * CASE WHEN negated THEN CAST({NEGATION} AS DECIMAL(12,4)) ELSE CAST(1 AS DECIMAL(12,4)) END
-    END AS s
+  SELECT sc.*, CASE WHEN coalesce(lex.valence, 0) = 0 THEN 0
+    ELSE (lex.valence + CASE WHEN lex.valence > 0 THEN boost ELSE -boost END) * negation * contrast END AS s
   FROM sc LEFT JOIN lex ON sc.token = lex.token),
-sa AS (
-  SELECT {idl}, CAST(sum(s) AS DOUBLE) AS sum_s,
-    CAST(coalesce(sum(s + 1) FILTER (WHERE s > 0), 0) AS DOUBLE) AS pos_sum,
-    CAST(abs(coalesce(sum(s - 1) FILTER (WHERE s < 0), 0)) AS DOUBLE) AS neg_sum,
-    CAST(count(*) FILTER (WHERE s = 0) AS DOUBLE) AS neu_n
+su AS (
+  SELECT {idl}, max(marks) AS marks, sum(s) AS s, coalesce(sum(s + {WHOLE}) FILTER (WHERE s > 0), 0) AS p,
+    coalesce(sum({WHOLE} - s) FILTER (WHERE s < 0), 0) AS n, count(*) FILTER (WHERE s = 0) AS z
   FROM sv GROUP BY {idl}),
+sa AS (
+  SELECT {idl}, CAST(s + CASE WHEN s > 0 THEN marks WHEN s < 0 THEN -marks ELSE 0 END AS DOUBLE) / {WHOLE} AS sum_s,
+    CAST(p + CASE WHEN p > n THEN marks ELSE 0 END AS DOUBLE) / {WHOLE} AS pos_sum,
+    CAST(n + CASE WHEN p < n THEN marks ELSE 0 END AS DOUBLE) / {WHOLE} AS neg_sum,
+    CAST(z AS DOUBLE) AS neu_n FROM su),
 sb AS (
   SELECT {", ".join("sd." + i for i in ids)}, sa.sum_s, coalesce(sa.pos_sum, 0.0) AS pos_sum,
     coalesce(sa.neg_sum, 0.0) AS neg_sum, coalesce(sa.neu_n, 0.0) AS neu_n,
