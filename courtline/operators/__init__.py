@@ -1,5 +1,6 @@
 """Relational operators of the pipelines, as DataFrame -> DataFrame functions."""
 
+from courtline.operators.aside import lockstep_marked, set_aside, stage_aside  # noqa: F401
 from courtline.operators.change import changed_rows, dedup_batch, merge_keyed  # noqa: F401
 from courtline.operators.expand import (  # noqa: F401
     explode_keep_empty,
@@ -41,4 +42,5 @@ from courtline.operators.quality import (  # noqa: F401
     quarantine,
     require_columns,
     require_non_empty_column,
+    require_types,
 )

@@ -20,6 +20,15 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df
 
 
+def require_types(df: DataFrame, contract: Sequence[str]) -> DataFrame:
+    """Fail when the columns or their types are not those of ``contract`` ("name type" pairs, in any
+    order; schema check on the driver, no job)."""
+    have = {f"{f.name} {f.dataType.simpleString()}" for f in df.schema}
+    if have != set(contract):
+        raise QualityError(f"columns that differ from the contract: {sorted(have ^ set(contract))}")
+    return df
+
+
 def any_non_null(df: DataFrame, col: str) -> Column:
     """Aggregate expression: does the column hold at least one value?"""
     return F.bool_or(F.col(col).isNotNull())

@@ -8,7 +8,10 @@
   upsert or snapshot append per its contract), then all of them are published with one
   manifest write;
 * published datasets are archived as date-partitioned parquet;
-* the returned metrics table (dataset, status, rows, seconds, error) is the run's record;
+* rows that cannot load (odds whose lists do not line up, unreadable dates) go to the table
+  ``set_aside`` with their dataset and a reason, out of the same write that stages the others;
+* a dataset whose columns or types are not those of its contract fails before it is staged;
+* the returned metrics table (dataset, status, rows, seconds, error, set_aside) is the run's record;
   ``failure_digest`` turns it into the alert text.
 """
 
@@ -23,9 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtline.functions import schedule_months, ts_ntz_lit
+from courtline.operators import require_types, union_all_by_name
+from courtline.operators.aside import REASON, ROW, stage_aside
 from courtline.plans import datasets as D
 from courtline.plans.run import METRICS_SCHEMA, FeatureFlags
-from courtline.plans.warehouse import CONTRACTS
+from courtline.plans.warehouse import CONTRACTS, OUTPUT_SCHEMAS
+from courtline.session import scratch_path
 from courtline.sinks import TableStore, write_archive
 
 log = logging.getLogger(__name__)
@@ -60,12 +66,12 @@ def _builders(spark: SparkSession, landing: Landing, run: D.RunParams, flags: Fe
         "opp_stats": lambda: D.opp_stats(pages, run),
         "injuries": lambda: D.injuries(pages, run),
         "player_adv_stats": lambda: D.player_adv_stats(pages, run),
-        "transactions": lambda: D.transactions(pages, run),
+        "transactions": lambda: D.transactions_marked(pages, run),
         "team_adv_stats": lambda: D.team_adv_stats(pages, run),
         "shooting_stats": lambda: D.shooting_stats(pages, run),
-        "odds": lambda: D.odds(pages, run)[0],
+        "odds": lambda: D.odds_marked(pages, run),
         "pbp": lambda: D.pbp(every, D.boxscores(every, run), run),
-        "schedule": lambda: D.schedule(pages, run, months),
+        "schedule": lambda: D.schedule_marked(pages, run, months),
         "player_contracts": lambda: D.player_contracts(pages, run),
     }
     if posts is not None:
@@ -83,7 +89,7 @@ def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: Tabl
     not taken as done (a stream's micro-batch)."""
     builders = _builders(spark, landing, run, flags)
     ts = ts_ntz_lit(run.run_ts)
-    metrics, staged = [], []
+    metrics, staged, asides = [], [], []
     for name, build in builders.items():
         if only and name not in only:
             continue
@@ -91,9 +97,15 @@ def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: Tabl
         t0 = time.time()
         try:
             if not flags.enabled(c.flag):
-                metrics.append((name, c.flag, run.run_date, "disabled", 0, 0.0, None))
+                metrics.append((name, c.flag, run.run_date, "disabled", 0, 0.0, None, 0))
                 continue
-            df = build()
+            df, aside = build(), 0
+            if REASON in df.columns:
+                df, bad, _, aside = stage_aside(df, scratch_path(spark, f"aside-{name}"))
+                if aside:
+                    asides.append(bad.select(F.lit(name).alias("dataset"), F.lit(run.run_date).alias("run_date"),
+                                             F.col(REASON).alias("reason"), ROW))
+            require_types(df, OUTPUT_SCHEMAS[name])
             if c.mode == "upsert":
                 n = store.stage_upsert(c.table, df, list(c.keys), ts,
                                        compare_cols=list(c.compare_cols) or None,
@@ -103,22 +115,24 @@ def run_day(spark: SparkSession, landing: Landing, run: D.RunParams, store: Tabl
                 n = store.stage_append(c.table, df.withColumn("run_date", F.lit(run.run_date)))
             staged.append(name)
             metrics.append((name, c.flag, run.run_date, "written" if n else "empty", n,
-                            round(time.time() - t0, 2), None))
+                            round(time.time() - t0, 2), None, aside))
         except Exception as e:  # isolate; the dataset is simply not published
             log.error("dataset %s failed: %s", name, e)
             metrics.append((name, c.flag, run.run_date, "failed", 0,
-                            round(time.time() - t0, 2), f"{type(e).__name__}: {e}"))
+                            round(time.time() - t0, 2), f"{type(e).__name__}: {e}", 0))
     if all_or_nothing and (failed := [f"{m[0]}: {m[6]}" for m in metrics if m[3] == "failed"]):
         store.abort()
         raise RuntimeError("; ".join(failed))
     metrics_df = spark.createDataFrame(metrics, METRICS_SCHEMA)
     store.stage_append("run_metrics", metrics_df)          # published with the datasets
+    if asides:
+        store.stage_append("set_aside", union_all_by_name(asides))
     store.commit(run_id or f"run-{run.run_date.isoformat()}", run.run_ts)
     if archive_root:   # the day's batch of each published dataset, not the whole table
         for name in staged:
             batch = store.staged_batch(CONTRACTS[name].table)
             if batch is not None and (done := write_archive(batch, archive_root, name, run.run_date)).status == "failed":
-                metrics.append((f"{name} (archive)", CONTRACTS[name].flag, run.run_date, "failed", 0, 0.0, done.error))
+                metrics.append((f"{name} (archive)", CONTRACTS[name].flag, run.run_date, "failed", 0, 0.0, done.error, 0))
         metrics_df = spark.createDataFrame(metrics, METRICS_SCHEMA)
     return metrics_df
 

@@ -44,15 +44,14 @@ from courtline.operators import (
     keep_first_per_key,
     keep_last_per_key,
     label_markers,
-    lockstep_explode,
     natural_join,
     not_equal_keep_null,
     not_in_keep_null,
     present,
-    quarantine,
     split_fixed,
     starts_with,
 )
+from courtline.operators.aside import REASON, ROW, kept_aside, loading, lockstep_marked, set_aside
 from courtline.operators.quality import QualityError
 from courtline.operators.sentiment import score_sentiment
 from courtline.plans import warehouse as W
@@ -222,12 +221,17 @@ def player_adv_stats(pages: DataFrame, run: RunParams) -> DataFrame:
 
 # ------------------------------------------------------------------ D-trans
 def transactions(pages: DataFrame, run: RunParams) -> DataFrame:
+    return loading(transactions_marked(pages, run))
+
+
+def transactions_marked(pages: DataFrame, run: RunParams) -> DataFrame:
+    """A day whose date cannot be read is set aside with its moves: it has no key to load under."""
     items = list_items(pages_of(pages, "transactions"), ul_class="page_index")
     d = items.where(present("date")).select("date", F.explode_outer("items").alias("transaction"))
-    d = d.withColumn("date", parse_long_date(F.regexp_replace("date", r"\?", BAD_DATE_PATCH))
-                     .cast("timestamp_ntz"))
-    d = d.select("date", "transaction").withColumn("scrape_date", _lit_date(run.run_date))
-    return distinct_rows(d)
+    day = parse_long_date(F.regexp_replace("date", r"\?", BAD_DATE_PATCH))
+    d = set_aside(d, day.isNotNull(), "unreadable date", ["date", "transaction"])
+    d = d.withColumns({"date": day.cast("timestamp_ntz"), "scrape_date": _lit_date(run.run_date)})
+    return distinct_rows(d.select("date", "transaction", "scrape_date", REASON, ROW))
 
 
 # ------------------------------------------------------------------ D-tadv
@@ -270,6 +274,12 @@ def shooting_stats(pages: DataFrame, run: RunParams) -> DataFrame:
 def odds(pages: DataFrame, run: RunParams) -> tuple[DataFrame, DataFrame]:
     """Today's lines of one sportsbook.  Returns ``(odds, quarantined)``: rows whose team,
     spread and moneyline lists do not line up are set aside, the rest load."""
+    marked = odds_marked(pages, run)
+    return loading(marked), kept_aside(marked).select(ROW)
+
+
+def odds_marked(pages: DataFrame, run: RunParams) -> DataFrame:
+    """Today's lines of one sportsbook and, marked, those that cannot load."""
     rows = _body(table_rows(pages_of(pages, "odds"), tables=[0, 1, 2],
                             locate_alt=(W.SPORTSBOOK, 1)))
     book = F.get(F.col("cells"), F.col("alt_col"))
@@ -301,17 +311,14 @@ def odds(pages: DataFrame, run: RunParams) -> tuple[DataFrame, DataFrame]:
                  F.split(extract_tokens_joined("datetime1"), " ").alias("team"),
                  F.split("spread", " ").alias("spread"),
                  F.split(F.trim("moneyline"), ws).alias("moneyline"))
-    good, bad = lockstep_explode(o, ["team", "spread", "moneyline"])
+    d = lockstep_marked(o, ["team", "spread", "moneyline"])
     ml = F.regexp_replace(F.trim("moneyline"), r"\+", "")
-    good, bad_ml = quarantine(good, ml.rlike(r"^-?[0-9]+$"))
-    out = good.select(
+    d = set_aside(d, ml.rlike(r"^-?[0-9]+$"), "moneyline is no number", o.columns)
+    return d.select(
         map_values(F.trim("team"), {"BK": "BKN"}).alias("team"),
         F.trim("spread").alias("spread"), "total",
-        ml.cast("int").alias("moneyline"), _lit_date(run.run_date).alias("date"),
-        date_time_to_ts(_lit_date(run.run_date), F.col("time")).alias("datetime1"))
-    quarantined = bad.select(F.to_json(F.struct("*")).alias("row")).unionByName(
-        bad_ml.select(F.to_json(F.struct("*")).alias("row")))
-    return out, quarantined
+        F.when(F.col(REASON).isNull(), ml).cast("int").alias("moneyline"), _lit_date(run.run_date).alias("date"),
+        date_time_to_ts(_lit_date(run.run_date), F.col("time")).alias("datetime1"), REASON, ROW)
 
 
 def games_today(odds_df: DataFrame) -> DataFrame:
@@ -396,6 +403,12 @@ def pbp(pages: DataFrame, box: DataFrame, run: RunParams) -> DataFrame:
 # ------------------------------------------------------------------ D-sched (+ R5 status)
 def schedule(pages: DataFrame, run: RunParams, months: list[str],
              include_past_games: bool = False) -> DataFrame:
+    return loading(schedule_marked(pages, run, months, include_past_games))
+
+
+def schedule_marked(pages: DataFrame, run: RunParams, months: list[str],
+                    include_past_games: bool = False) -> DataFrame:
+    """Games of the wanted months and, marked, rows whose date cannot be read."""
     if not months:
         return _empty_schedule(pages)
     wanted = "|".join(months)
@@ -405,8 +418,9 @@ def schedule(pages: DataFrame, run: RunParams, months: list[str],
     d = rows.select(*[text(cell_named(h)).alias(c) for h, c in W.SCHEDULE_COLUMNS.items()])
     d = d.where(F.col("date").isNotNull())
     d = d.withColumn("proper_date", parse_weekday_date("date"))
+    d = set_aside(d, F.col("proper_date").isNotNull(), "unreadable date", list(W.SCHEDULE_COLUMNS.values()))
     if not include_past_games:
-        d = d.where(F.col("proper_date") >= _lit_date(run.run_date))
+        d = d.where((F.col("proper_date") >= _lit_date(run.run_date)) | F.col("proper_date").isNull())
     return d
 
 
@@ -425,7 +439,7 @@ def schedule_month_status(pages: DataFrame, months: list[str]) -> DataFrame:
 def _empty_schedule(pages: DataFrame) -> DataFrame:
     return pages.sparkSession.createDataFrame(
         [], "date string, start_time string, away_team string, home_team string, "
-            "proper_date date")
+            "proper_date date, aside_reason string, row string")
 
 
 # ------------------------------------------------------------------ D-contr

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courtline.plans import queries_core, queries_io, queries_text
+from courtline.plans import queries_aside, queries_core, queries_io, queries_text
 
-_MODULES = [queries_core, queries_text, queries_io]
+_MODULES = [queries_core, queries_text, queries_io, queries_aside]
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -40,6 +40,7 @@ METRICS_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("seconds", T.DoubleType()),
     T.StructField("error", T.StringType()),
+    T.StructField("set_aside", T.LongType()),   # rows read that could not load
 ])
 
 
@@ -102,18 +103,18 @@ def run_datasets(spark: SparkSession, specs: Sequence[DatasetSpec], flags: Featu
         t0 = time.time()
         try:
             if not flags.enabled(s.flag):
-                rows.append((s.name, s.flag, run_date, "disabled", 0, 0.0, None))
+                rows.append((s.name, s.flag, run_date, "disabled", 0, 0.0, None, 0))
                 continue
             obs = Observation(f"rows_{s.name}")
             df = s.build().observe(obs, F.count(F.lit(1)).alias("rows"))
             write(s.name, df)
             n = int(obs.get.get("rows", 0))
             rows.append((s.name, s.flag, run_date, "written" if n else "empty", n,
-                         round(time.time() - t0, 2), None))
+                         round(time.time() - t0, 2), None, 0))
         except Exception as e:  # isolate the failure, go on with the others
             log.error("dataset %s failed: %s", s.name, e)
             rows.append((s.name, s.flag, run_date, "failed", 0, round(time.time() - t0, 2),
-                         f"{type(e).__name__}: {e}"))
+                         f"{type(e).__name__}: {e}", 0))
     return spark.createDataFrame(rows, METRICS_SCHEMA)
 
 
