@@ -58,8 +58,9 @@ FEW = 32                    # sets of a key whose possible pairs are all listed
 FIRST = 32                  # a set's first keys, kept with it to name a pair once in the rest
 EARLY = 4                   # fragments that are counted before the others
 HUB_TURNS = 3
-SKETCH = -1                 # stands for a fragment where a set's parity sketch is kept
+SKETCH = -1                 # stands for a fragment where parity sketches are compared
 LEAST_BITS = 256            # of a parity sketch
+FILTER_BITS = 23            # the bitmap of wanted texts has 2 ** 23 bits: 131,072 words of 8 bytes
 BLOCK = 512                 # documents of a token compared with each other in one go
 SHARE = 256                 # pairs of a hub in one group
 
@@ -84,7 +85,7 @@ def _node(one: Column, two: Column, n: Column, salt: int) -> Column:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """key, text_hash, n (set size), one, two (the set's sums) of each row; and, with a chunk number
+    """key, text_hash, n (set size), one, two (the set's sums), bits (its parity sketch) of each row; and, with a chunk number
     in place of these, each task's counts of the order table's cells."""
     def run(batches):
         count = np.zeros(1 << CELL_BITS, np.int64)
@@ -94,14 +95,15 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
                 count += np.bincount((sets >> _SHIFT).astype(np.int64), minlength=len(count))
                 one, two = _names(sets, ends)
                 blank = pa.nulls(len(texts), pa.int32()), pa.nulls(len(texts), pa.binary())
-                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(at, len(texts)) for i in (0, 1)), pa.array(np.diff(ends)), pa.array(one), pa.array(two), *blank], names=names)
+                bits = pa.array([p.tobytes() for p in parities(sets, ends)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(at, len(texts)) for i in (0, 1)), pa.array(np.diff(ends)), pa.array(one), pa.array(two), *blank, bits], names=names)
         chunks = [c.astype(np.uint32).tobytes() for c in count.reshape(-1, CHUNK)]
         empty = [pa.nulls(len(chunks), pa.int64())] * 5
-        yield pa.RecordBatch.from_arrays([*empty, pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary()), pa.nulls(len(chunks), pa.binary())], names=names)
 
-    names = ["key", "text_hash", "n", "one", "two", "chunk", "cells"]
+    names = ["key", "text_hash", "n", "one", "two", "chunk", "cells", "bits"]
     return (docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "key long, text_hash long, n long, one long, two long, chunk int, cells binary"))
+            .mapInArrow(run, "key long, text_hash long, n long, one long, two long, chunk int, cells binary, bits binary"))
 
 
 def global_order(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -169,7 +171,8 @@ def _prefixes(docs: DataFrame, text_col: str, k: int, percent: int, order) -> Da
 
 
 def parities(toks: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
-    """Each set's parity sketch: a power of two of bits, LEAST_BITS and the set's size at least."""
+    """Each set's parity sketch: a power of two of bits, LEAST_BITS and the set's size at least.  Hashes and
+    tokens of a set give the same one: only bits below the cell count."""
     n = np.maximum(np.diff(ends), LEAST_BITS)
     words = (1 << np.ceil(np.log2(n)).astype(np.int64)) // 64
     edge = np.concatenate([[0], np.cumsum(words)])
@@ -186,8 +189,7 @@ def folded(sketch: np.ndarray, words: int) -> np.ndarray:
 
 
 def segments(texts: DataFrame, k: int, order) -> DataFrame:
-    """node, fragment, tokens (sorted, 8 bytes each) of (node, text); empty segments have no row.  The
-    set's parity sketch has one, as fragment SKETCH."""
+    """node, fragment, tokens (sorted, 8 bytes each) of (node, text); empty segments have no row."""
     def run(batches):
         rank, cuts = order.value
         for b in batches:
@@ -198,9 +200,6 @@ def segments(texts: DataFrame, k: int, order) -> DataFrame:
                 full = np.flatnonzero(size)
                 edge = np.concatenate([[0], np.cumsum(size)])
                 node = b.column(0).slice(at, len(some)).to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node), pa.array(np.full(len(node), SKETCH, np.int32)), pa.array([p.tobytes() for p in parities(toks, ends)], pa.binary())],
-                    names=["node", "fragment", "tokens"])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node[full // FRAGMENTS]), pa.array((full % FRAGMENTS).astype(np.int32)),
                      pa.array([toks[edge[f]:edge[f + 1]].tobytes() for f in full], pa.binary())], names=["node", "fragment", "tokens"])
@@ -260,16 +259,16 @@ def partial_overlaps(pairs: DataFrame, segs: DataFrame) -> DataFrame:
     return counted.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.sum("apart").alias("apart"))
 
 
-def alike(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, both: sizes added up) whose parity sketches leave a link possible."""
-    bits = partial_overlaps(pairs, segs.where(F.col("fragment") == SKETCH))
+def alike(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, both: sizes added up) whose parity sketches (node, bits) leave a link possible."""
+    bits = partial_overlaps(pairs, marks.select("node", F.lit(SKETCH).alias("fragment"), F.col("bits").alias("tokens")))
     return (pairs.join(bits, ["a", "b"]).where(F.col("apart") <= F.col("both") - 2 * least_overlap(percent, F.col("both")))
             .select("a", "b", "both"))
 
 
 def linked(pairs: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, both: sizes added up) that link, as (u, v)."""
-    early = pairs.join(partial_overlaps(pairs, segs.where(F.col("fragment").between(0, EARLY - 1))), ["a", "b"], "left").fillna(0, ["shared", "apart"])
+    early = pairs.join(partial_overlaps(pairs, segs.where(F.col("fragment") < EARLY)), ["a", "b"], "left").fillna(0, ["shared", "apart"])
     left = written(early.where(F.col("apart") <= F.col("both") - 2 * least_overlap(percent, F.col("both"))).select("a", "b", "both", F.col("shared").alias("early")), "jaccard-early")
     rest = partial_overlaps(left, segs.where(F.col("fragment") >= EARLY))
     shared = F.col("early") + F.coalesce("shared", F.lit(0))
@@ -285,15 +284,15 @@ def _hubs(open_: DataFrame) -> DataFrame:
     return open_.join(filled, "node").groupBy("token").agg(hub)
 
 
-def _rest(open_: DataFrame, keys: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
+def _rest(open_: DataFrame, keys: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a key and may link, by parity sketches too, compared in
     blocks; a pair that shares an earlier one of both sets' first keys (node, keys) was or is compared there."""
-    about = keys.join(segs.where(F.col("fragment") == SKETCH).select("node", F.col("tokens").alias("sketch")), "node")
+    about = keys.join(marks, "node")
     size = open_.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = (open_.join(size, "token").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     rows = own.join(about, "node").select("token", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-                                         (F.col("own") > F.col("other")).cast("long").alias("side"), "node", "label", "n", "place", *_LENGTHS, "keys", "sketch")
+                                         (F.col("own") > F.col("other")).cast("long").alias("side"), "node", "label", "n", "place", *_LENGTHS, "keys", "bits")
 
     def pairs(at, group):
         if len(group) < 2:
@@ -351,9 +350,10 @@ def _few(few: DataFrame, percent: int) -> DataFrame:
     return pair.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
 
 
-def links(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame, percent: int) -> DataFrame:
+def links(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect what the threshold connects, from pairs (a, b, both) to look at, prefix
-    rows (token, node, n, place, low, high) of keys that many sets share, and the sets' first keys and segments."""
+    rows (token, node, n, place, low, high) of keys that many sets share, and the sets' first keys, segments and
+    parity sketches."""
     found, open_ = None, open_.withColumn("label", F.col("node"))
     for turn in range(HUB_TURNS + 1):
         if turn < HUB_TURNS:
@@ -362,10 +362,10 @@ def links(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame,
             pairs = (met.where((F.col("label") != F.col("hub.label")) & _possible(percent, "", "hub"))
                      .select(F.col("hub.node").alias("a"), F.col("node").alias("b"), (F.col("hub.n") + F.col("n")).alias("both")).distinct())
         else:
-            met, pairs = None, _rest(open_, keys, segs, percent)
-        pairs = written(pairs if turn else pairs.unionByName(first).distinct(), "jaccard-pairs")
+            met, pairs = None, _rest(open_, keys, marks, percent)
         if met is not None:
-            pairs = written(alike(pairs, segs, percent), "jaccard-alike")
+            pairs = alike(written(pairs, "jaccard-hub-pairs"), marks, percent)
+        pairs = written(pairs if turn else pairs.unionByName(first).distinct(), "jaccard-pairs")
         new = written(linked(pairs, segs, percent), "jaccard-links")
         found = new if found is None else found.unionByName(new)
         if met is None:
@@ -380,6 +380,17 @@ def links(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame,
     return found
 
 
+def _maybe_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose (key, text_hash) may be among ``wanted``, before they are shuffled: a bitmap of
+    2 ** FILTER_BITS hashes, as words that are broadcast, leaves out most others and none of these.  Its size is
+    fixed; where it fills up, more rows pass to the join that decides."""
+    place = lambda: F.pmod(F.xxhash64("key", "text_hash"), F.lit(1 << FILTER_BITS))
+    words = (wanted.select(place().alias("place"))
+             .groupBy(F.expr("place div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 AS int)))").alias("hits")))
+    return (rows.withColumn("place", place()).withColumn("word", F.expr("place div 64"))
+            .join(F.broadcast(words), "word").where(F.getbit("hits", (F.col("place") % 64).cast("int")) == 1).select(*rows.columns))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id (least id reachable by links)."""
     spark = docs.sparkSession
@@ -387,12 +398,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = spark.sparkContext.broadcast(global_order(both.where("chunk IS NOT NULL").select("chunk", "cells")))
     sketch = both.where("chunk IS NULL").select("key", "text_hash", "n", "one", "two")
     # one row for a class of equal sets, its least key first
-    classes = written(sketch.where("n > 0").groupBy("one", "two", "n").agg(F.min(F.struct("key", "text_hash")).alias("first")), "jaccard-classes")
+    classes = written(both.where("n > 0").groupBy("one", "two", "n").agg(F.min(F.struct("key", "text_hash", "bits")).alias("first")), "jaccard-classes")
     salt = 0
     while not classes.groupBy(_node(F.col("one"), F.col("two"), F.col("n"), salt).alias("node")).count().where("count > 1").isEmpty():
         salt += 1
     name = _node(F.col("one"), F.col("two"), F.col("n"), salt).alias("node")
-    classes = classes.select(name, F.col("first.key").alias("key"), F.col("first.text_hash").alias("text_hash"))
+    classes = classes.select(name, F.col("first.key").alias("key"), F.col("first.text_hash").alias("text_hash"), F.col("first.bits").alias("bits"))
 
     prefixes = written(_prefixes(docs, text_col, k, percent, order).select("token", name, "n", "place", *_LENGTHS), "jaccard-prefixes")
     several = prefixes.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").select("token")
@@ -404,12 +415,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     open_ = written(shared.join(many, "token"), "jaccard-open")
     first = written(_few(shared.join(many, "token", "left_anti"), percent), "jaccard-few")
 
-    some = open_.select("node").unionByName(first.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
-    some = written(classes.join(some, "node", "left_semi"), "jaccard-candidates")
-    texts = (docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-             .join(some.hint("shuffle_hash"), ["key", "text_hash"]).dropDuplicates(["node"]))
+    def nodes(pairs: DataFrame) -> DataFrame:
+        return open_.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
+
+    some = written(classes.join(nodes(first), "node", "left_semi"), "jaccard-candidates")
+    marks = some.select("node", "bits")
+    first = written(alike(first, marks, percent), "jaccard-few-alike")
+    # texts of candidates that parity sketches leave, one for a class
+    some = written(some.select("node", "key", "text_hash").join(nodes(first), "node", "left_semi"), "jaccard-wanted")
+    every = docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
+    texts = (_maybe_wanted(every, some)
+             .join(some.hint("shuffle_hash"), ["key", "text_hash"]).dropDuplicates(["key", "text_hash", "node"]))
     segs = written(segments(texts, k, order), "jaccard-segments")
-    labels = connected_components(links(first, open_, keys, segs, percent))
+    labels = connected_components(links(first, open_, keys, segs, marks, percent))
 
     low = labels.join(classes, "node").groupBy("label").agg(F.min("key").alias("whole"))
     whole = labels.join(low, "label").select("node", "whole")
