@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 OPEN, CLOSE, GAP = "\u0001", "\u0002", "\u0003"
 
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_NO_TAGS = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>])" + _ATTRS + r">.*?(?:</\1\s*>|\z)|<![^>]*>|<\?[^>]*>"
-_TAG = r"(?i)</?[a-z][^\s/>]*" + _ATTRS + ">"
+_NO_TAGS = r"(?is)<(?:!--.*?(?:-->|\z)|(script|style)(?=[\s/>])" + _ATTRS + r">.*?(?:</\1\s*>|\z)|![^>]*>|\?[^>]*>)"
 
 #: Python's white space, as str.strip() takes it off
 _BLANK = r"(?U)[\s\x1c-\x1f]+"
@@ -43,11 +42,13 @@ def once(df: DataFrame, name: str, build) -> Column:
 def marked(page: Column, tags: list[str]) -> Column:
     """The page with each start or end tag of ``tags`` between marks.  A tag with an unterminated quote
     is text."""
-    names = "|".join(tags)
-    text = F.translate(page, OPEN + CLOSE + GAP, "")
+    kept = rf"(</?(?:{'|'.join(tags)})(?=[\s/>]){_ATTRS}>)"
+    marks = F.contains(page, F.lit(OPEN)) | F.contains(page, F.lit(CLOSE)) | F.contains(page, F.lit(GAP))
+    text = F.when(marks, F.translate(page, OPEN + CLOSE + GAP, "")).otherwise(page)
     text = F.regexp_replace(text, _NO_TAGS, GAP)
-    text = F.regexp_replace(text, _TAG, f"{OPEN}$0{CLOSE}")
-    return F.regexp_replace(text, rf"(?i){OPEN}(?!</?(?:{names})[\s/>])[^{CLOSE}]*+{CLOSE}", GAP)
+    # of the tags that are not kept the group is empty
+    text = F.regexp_replace(text, rf"(?i){kept}|</?[a-z][^\s/>]*{_ATTRS}>", f"{OPEN}$1{CLOSE}")
+    return F.replace(text, F.lit(OPEN + CLOSE), F.lit(GAP))
 
 
 def pieces(text: Column, tags: str, ends: bool = False) -> Column:
@@ -73,10 +74,16 @@ def until(text: Column, tags: str) -> Column:
     return F.regexp_replace(text, rf"(?is){OPEN}</(?:{tags})[\s/>].*", "")
 
 
+def until_cell(text: Column) -> Column:
+    """The text before the next end tag of a cell: a plain search for the usual one, a pattern for what is left."""
+    return bound(F.substring_index(text, f"{OPEN}</td>{CLOSE}", 1), lambda t: F.when(F.contains(t, F.lit(OPEN)), until(t, "t[dh]")).otherwise(t))
+
+
 def text_of(marked_text: Column) -> Column:
     """Text without its tags, entities decoded run by run."""
     plain = F.regexp_replace(marked_text, f"{OPEN}[^{CLOSE}]*+{CLOSE}", GAP)
-    return F.when(F.regexp_like(marked_text, F.lit(f"[{OPEN}{GAP}&]")), F.translate(unescaped(plain), GAP, "")).otherwise(marked_text)
+    other = F.contains(marked_text, F.lit(OPEN)) | F.contains(marked_text, F.lit(GAP)) | F.contains(marked_text, F.lit("&"))
+    return F.when(other, F.translate(unescaped(plain), GAP, "")).otherwise(marked_text)
 
 
 def stripped(text: Column) -> Column:
@@ -132,6 +139,8 @@ def unescaped(text: Column) -> Column:
     """Character references decoded, as the standard library's ``html.unescape`` does."""
     def decoded(t):
         parts = F.split(t, "&")
-        return F.when(F.contains(t, F.lit("&")), bound(parts, lambda p: F.concat(F.get(p, 0), F.array_join(F.transform(F.slice(p, 2, F.size(p)), _reference), "")))).otherwise(t)
+        # the most frequent reference, if alone, without a look at each
+        alone = ~F.contains(F.replace(t, F.lit("&amp;"), F.lit("")), F.lit("&"))
+        return F.when(F.contains(t, F.lit("&")) & alone, F.replace(t, F.lit("&amp;"), F.lit("&"))).when(F.contains(t, F.lit("&")), bound(parts, lambda p: F.concat(F.get(p, 0), F.array_join(F.transform(F.slice(p, 2, F.size(p)), _reference), "")))).otherwise(t)
 
     return bound(text, decoded)

@@ -85,15 +85,16 @@ def _render_pages(li: DataFrame) -> DataFrame:
         F.lit("  </td><td>"), price,
         F.lit("<td>"), F.col("l_returnflag"), F.lit(" &amp; "), F.col("l_linestatus"),
         F.lit("</td></tr>"))
-    lines = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", cells.alias("html")))).alias("lines"))
+    # an order's page holds all its lines: dealt by page once, both groupings find their rows together
+    rows = li.select(F.floor(F.col("l_orderkey") / 16).alias("page_id"), "l_orderkey", "l_linenumber", cells.alias("html")).repartition("page_id")
+    lines = rows.groupBy("page_id", "l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "html"))).alias("lines"))
     spanning = F.concat(F.lit("<td rowspan=\""), F.size("lines").cast("string"), F.lit("\">"),
                         F.col("l_orderkey").cast("string"), F.lit("</td>"))
     order = F.array_join(F.transform("lines", lambda r, i: F.concat(
         F.lit("<tr><th>"), (i + 1).cast("string"), F.lit("</th>"),
         F.when(i == 0, spanning).otherwise(F.lit("")), r["html"])), "")
-    orders = lines.select("l_orderkey", order.alias("html"))
-    page = F.array_sort(F.collect_list(F.struct("l_orderkey", "html")))
-    pages = orders.groupBy(F.floor(F.col("l_orderkey") / 16).alias("page_id")).agg(page.alias("orders"))
+    orders = lines.select("page_id", "l_orderkey", order.alias("html"))
+    pages = orders.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("l_orderkey", "html"))).alias("orders"))
     body = F.array_join(F.transform("orders", lambda o, i: F.concat(
         F.when((i > 0) & (i % 4 == 0), F.lit(_REPEAT)).otherwise(F.lit("")), o["html"])), "")
     head, tail = _PAGE_HEAD.split("{first}")
@@ -102,7 +103,7 @@ def _render_pages(li: DataFrame) -> DataFrame:
 
 def html_table_scan(spark: SparkSession, sf: str) -> DataFrame:
     pages = _render_pages(table(spark, sf, "lineitem", spread=True))
-    rows = table_rows(pages, tables=[1], locate_alt=("DraftKings", 1))
+    rows = table_rows(pages, tables=[1], locate_alt=("DraftKings", 1), spread=False)
     body = rows.where((F.col("section") == "tbody")
                       & ~F.coalesce(F.get("cells", 0) == "Rk", F.lit(False)))
     return body.select(

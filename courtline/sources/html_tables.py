@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtline.functions.html import CLOSE, OPEN, attribute, bound, content, marked, once, pieces, stripped, text_of, until
+from courtline.functions.html import CLOSE, OPEN, attribute, bound, content, marked, once, pieces, stripped, text_of, until_cell
 from courtline.session import ensure_parallel
 
 _TAGS = ["table", "thead", "tbody", "tfoot", "tr", "td", "th", "img"]
@@ -53,14 +53,15 @@ def _cell(piece: Column) -> Column:
         return F.struct(F.lower(piece.substr(2, 2)).alias("tag"), text_of(inside).alias("text"), F.when(F.contains(inside, F.lit(OPEN)), F.get(images, 0)).alias("alt"),
                         _span(piece, "colspan").alias("colspan"), _span(piece, "rowspan").alias("rowspan"))
 
-    return bound(until(content(piece), "t[dh]"), cell)
+    return bound(until_cell(content(piece)), cell)
 
 
 def _span(piece: Column, name: str) -> Column:
     """A span's value; 1 where it is no number."""
     value = F.regexp_extract(piece, rf"(?is)^<[^{CLOSE}]*?[\s\"'/]{name}\s*=\s*[\"']?\s*\+?(\d{{1,9}})\s*(?:[\"'\s/>])", 1)
     number = F.greatest(F.when(value != "", value.cast("int")).otherwise(F.lit(1)), F.lit(1))
-    return F.when(F.regexp_like(piece, F.lit(rf"(?i)^<[^{CLOSE}]*{name}")), number).otherwise(F.lit(1))
+    # a cell's tag without attributes ends at its fourth character
+    return F.when((piece.substr(4, 1) != ">") & F.regexp_like(piece, F.lit(rf"(?i)^<[^{CLOSE}]*{name}")), number).otherwise(F.lit(1))
 
 
 def _rows(body: Column) -> Column:
@@ -117,9 +118,26 @@ def _placed(rows: Column) -> Column:
         more = F.transform(F.filter(x["wait"], lambda h: h["left"] > 1), lambda h: F.struct(h["col"].alias("col"), (h["left"] - 1).alias("left"), h["cell"].alias("cell")))
         return F.struct(F.concat(x["out"], F.transform(x["wait"], lambda h: h["cell"])).alias("out"), F.concat(x["below"], more).alias("below"))
 
-    def line(s, row):
+    def filled(s, row):
         start = F.struct(none(f"array<{_CELL}>").alias("out"), s["held"].alias("wait"), none(held).alias("below"))
-        return bound(F.aggregate(row["cells"], start, put, rest), lambda d: F.struct(
+        return F.aggregate(row["cells"], start, put, rest)
+
+    def first(s, row):
+        """Nothing from above and no colspan: a cell's column is its place."""
+        down = F.transform(row["cells"], lambda c, i: F.struct(i.alias("col"), (c["rowspan"] - 1).alias("left"), _plain(c).alias("cell")))
+        return F.struct(F.transform(row["cells"], _plain).alias("out"), F.filter(down, lambda h: h["left"] > 0).alias("below"))
+
+    def under(s, row):
+        """One cell from above and no span: it is set in at its column, or ends a shorter row."""
+        h, cells = F.get(s["held"], 0), F.transform(row["cells"], _plain)
+        on = F.array(F.struct(h["col"].alias("col"), (h["left"] - 1).alias("left"), h["cell"].alias("cell")))
+        return F.struct(F.concat(F.slice(cells, F.lit(1), h["col"]), F.array(h["cell"]), F.slice(cells, h["col"] + 1, F.size(cells))).alias("out"),
+                        F.when(h["left"] > 1, on).otherwise(none(held)).alias("below"))
+
+    def line(s, row):
+        wide, tall = F.exists(row["cells"], lambda c: c["colspan"] > 1), F.exists(row["cells"], lambda c: c["rowspan"] > 1)
+        made = F.when((F.size(s["held"]) == 0) & ~wide, first(s, row)).when((F.size(s["held"]) == 1) & ~wide & ~tall, under(s, row)).otherwise(filled(s, row))
+        return bound(made, lambda d: F.struct(
             d["below"].alias("held"), F.concat(s["rows"], F.array(F.struct(row["section"].alias("section"), d["out"].alias("cells")))).alias("rows")))
 
     def block(some):
@@ -148,7 +166,7 @@ def _all_th(row: Column) -> Column:
 def table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
                tables: Sequence[int] | None = None,
                locate_alt: tuple[str, int] | None = None,
-               carry: Sequence[str] = ()) -> DataFrame:
+               carry: Sequence[str] = (), spread: bool = True) -> DataFrame:
     """One row per table row of every page: ``(page_id, table_idx, row_idx, section,
     header_row, cells, td_cells, img_alts, alt_col, header, body_idx)``; ``header`` holds,
     per column, the texts of the table's header levels (flatten with ``array_join`` or take
@@ -160,9 +178,11 @@ def table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     (name, t)`` fills ``alt_col`` with the position of the header cell of table ``t`` whose
     image alt text is ``name`` (the sportsbook column), null when absent.  ``carry`` names
     page columns (a date, a team) copied onto every row of the page, so no join back to
-    the pages is needed."""
+    the pages is needed.  ``spread=False`` leaves the pages in the partitions they have: to count
+    those of pages that a query makes would run their shuffles once more."""
     carry = list(carry)
-    src = ensure_parallel(pages.select(pages[id_col].cast("long").alias("page_id"), pages[html_col].alias("_html"), *carry))
+    src = pages.select(pages[id_col].cast("long").alias("page_id"), pages[html_col].alias("_html"), *carry)
+    src = ensure_parallel(src) if spread else src
     found = src.select("page_id", *carry, once(src, "tables", lambda: _tables(marked(F.col("_html"), _TAGS))).alias("_tables"))
     wanted = None if tables is None else sorted({*tables, *([locate_alt[1]] if locate_alt else [])})
     if wanted is not None:
@@ -177,7 +197,8 @@ def table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
         spot = F.transform(F.get(F.filter("_tables", lambda t: t["idx"] == at), 0)["rows"],
                            lambda r: F.array_position(F.transform(r["cells"], lambda c: (c["tag"] == "th") & c["alt"].eqNullSafe(name)), True))
         found = found.withColumn("alt_col", (F.get(F.filter(spot, lambda p: p > 0), 0) - 1).cast("int"))
-    one = found.select("page_id", *carry, "alt_col", F.explode("_tables").alias("_t"))
+    # explode_outer: the filter that Spark puts before explode would read every page a second time
+    one = found.select("page_id", *carry, "alt_col", F.explode_outer("_tables").alias("_t")).where("_t.idx IS NOT NULL")
     if tables is not None:
         one = one.where(F.col("_t.idx").isin(*tables))
     rows = one.select("page_id", *carry, "alt_col", F.col("_t.idx").alias("table_idx"), F.col("_t.rows").alias("_rows"))
@@ -193,7 +214,7 @@ def table_rows(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     rows = rows.withColumn("header", F.when(width > 0, levels).otherwise(F.array().cast("array<array<string>>")))
     numbered = F.concat(F.transform("_heads", lambda r: F.struct(r.alias("row"), F.lit(None).cast("int").alias("body_idx"))),
                         F.transform(F.filter("_rows", lambda r: ~r["head"]), lambda r, i: F.struct(r.alias("row"), i.alias("body_idx"))))
-    rows = rows.select("page_id", *carry, "alt_col", "table_idx", "header", F.explode(numbered).alias("_r"))
+    rows = rows.select("page_id", *carry, "alt_col", "table_idx", "header", F.explode_outer(numbered).alias("_r")).where("_r.row IS NOT NULL")
     r = F.col("_r.row")
     return rows.select(
         "page_id", "table_idx", r["row_idx"].alias("row_idx"), r["section"].alias("section"), (r["section"].eqNullSafe("thead") | _all_th(r)).alias("header_row"),

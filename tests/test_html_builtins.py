@@ -81,3 +81,15 @@ def test_no_python_in_the_plan(spark, sf_dir):
     for df in (table_rows(pages), list_items(pages)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" not in plan and "ArrowEval" not in plan and "EvalPython" not in plan
+
+
+def test_spans_and_references_of_the_short_ways(spark):
+    """One cell from above at any place, a row too short for it, several of them, other end tags."""
+    pages = ["<table>" + "".join(f"<tr>{r}</tr>" for r in rows) + "</table>" for rows in (
+        ["<td>a</td><td rowspan=3>b</td><td>c</td>", "<td>d</td><td>e</td>", "<td>f</td>", "<td>g</td>"],
+        ["<td>a</td><td>b</td><td rowspan='2'>c</td>", "", "<td>d</td>"],
+        ["<th rowspan=2>a</th><td rowspan=3>b</td>", "<td>c</td>", "<td rowspan=2>d</td>", "<td colspan=2>e</td>"],
+        ["<td rowspan=2>a</td><td>b</td>", "<td colspan=2>c</td>"],
+        ["<td>x &amp; y</td>", "<td>&amp;amp; &amp;lt;</td>", "<td>&amp &lt;&amp;</td>", "<td>a</th>b</td>", "<td>a</TD >b</td>", "<td>&amp;<b>lt;</b></td>"])]
+    got = sorted((tuple(r) for r in table_rows(landed(spark, pages)).collect()), key=str)
+    assert got == sorted((r for i, p in enumerate(pages) for r in table_rows_plain(i, p)), key=str)

@@ -75,6 +75,13 @@ def test_extraction_runs_where_the_pages_are(spark, sf_dir):
     assert "ReadSchema: struct<page_id:bigint,html:string>" in p
 
 
+def test_pages_are_read_once(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").repartition(16)
+    optimized = table_rows(pages, tables=[0])._jdf.queryExecution().optimizedPlan().toString()
+    # no filter put before an explode parses the page, or lays out its rows, a second time
+    assert not [line for line in optimized.splitlines() if "Filter" in line and ("transform(" in line or "aggregate(" in line)]
+
+
 class _Conf:
     def __init__(self, values):
         self.values = values
