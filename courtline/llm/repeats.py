@@ -46,6 +46,7 @@ SALTS = 32
 SAMPLE = 64                 # one document of so many is looked through for frequent triggers
 SEGMENT = 1 << 22           # starts of strings that are parsed at once (places have 24 bits)
 START_BITS, MORE_BITS = 40, 7       # a place: byte offset, further starts
+GROUP = 1 << 20             # bytes of spans that are looked at together
 SHARED = 1 << 16            # buckets of ids in which some id has several texts
 
 
@@ -97,23 +98,33 @@ def parse(flat: np.ndarray, starts: np.ndarray | None = None):
 
 
 class Strings:
-    """The strings that start in some spans (first, last) of a text: start, trigger's hash and place,
-    and hashes of any of their bytes."""
-
-    def __init__(self, text: bytes, lo: np.ndarray, hi: np.ndarray):
-        starts = np.unique(np.concatenate([np.arange(a, z + 1) for a, z in zip(lo.tolist(), hi.tolist(), strict=True)]))
+    """The strings that start in some spans (first, last, number of the text) of texts: where they start
+    (number and start in one long, see ``_split``), trigger's hash and place, and hashes of any of their
+    bytes.  Only the bytes of spans are looked at, those of many texts at once."""
+
+    def __init__(self, texts: list[bytes], lo: np.ndarray, hi: np.ndarray, doc: np.ndarray):
+        n = hi - lo + 1
+        ends = np.cumsum(n)
+        c = np.repeat((doc << START_BITS) + lo - ends + n, n) + np.arange(ends[-1])
+        if (c[1:] <= c[:-1]).any():
+            c = np.unique(c)
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(c) > LENGTH) + 1, [len(c)]])
+        edge = np.concatenate([*(np.arange(a, z, SEGMENT) for a, z in zip(edge[:-1], edge[1:], strict=True)), [len(c)]]) if len(c) > SEGMENT else edge
+        first, size = c[edge[:-1]], c[edge[1:] - 1] - c[edge[:-1]] + LENGTH
+        part = np.cumsum(size) // SEGMENT
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(size)]])
         self.parts = []
-        for i in np.split(starts, np.flatnonzero(np.diff(starts) > LENGTH) + 1):
-            for j in range(0, len(i), SEGMENT):
-                s = i[j:j + SEGMENT]
-                flat = np.frombuffer(text, np.uint8, s[-1] + LENGTH - s[0], s[0])
-                run, down = _sums(flat)
-                gram, at = _triggers(run, down)
-                self.parts.append((int(s[0]), s - s[0], gram, at[s - s[0]], run, down))
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            flat = np.frombuffer(b"".join(texts[d][a:a + m] for d, a, m in zip(*(x.tolist() for x in (*_split(first[i:j]), size[i:j])), strict=True)), np.uint8)
+            mine = c[edge[i]:edge[j]]
+            o = mine + np.repeat(np.cumsum(size[i:j]) - size[i:j] - first[i:j], np.diff(edge[i:j + 1]))
+            run, down = _sums(flat)
+            gram, at = _triggers(run, down)
+            self.parts.append((mine, o, gram, at[o], run, down))
 
     def each(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Trigger's hash, string's hash, start."""
-        out = [(gram[t], _hash(run, down, o, o + LENGTH), o + base) for base, o, gram, t, run, down in self.parts]
+        out = [(gram[t], _hash(run, down, o, o + LENGTH), c) for c, o, gram, t, run, down in self.parts]
         return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
     def pieces(self) -> tuple[np.ndarray, ...]:
@@ -121,15 +132,16 @@ class Strings:
         trigger, place and the bytes common to all that could be there; hash of the piece; first and
         last start; the trigger's hash."""
         out = []
-        for base, o, gram, t, run, down in self.parts:
+        for c, o, gram, t, run, down in self.parts:
             q = (t - o) // STEP
             new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (q[1:] != q[:-1]) | (o[1:] != o[:-1] + 1)]))
-            lo, hi, t, q = o[new], o[np.concatenate([new[1:], [len(o)]]) - 1], t[new], q[new]
+            end = np.concatenate([new[1:], [len(o)]]) - 1
+            lo, hi, t, q = o[new], o[end], t[new], q[new]
             with np.errstate(over="ignore"):
                 core = _hash(run, down, t - q * STEP, t - q * STEP + LENGTH - STEP + 1)
                 g = textnum.mixed(core * np.uint64(0x9E3779B97F4A7C15) + gram[t] + q.astype(np.uint64))
                 x = textnum.mixed(_hash(run, down, lo, hi + LENGTH) + textnum.mixed(((t - lo) * 1024 + hi - lo).astype(np.uint64)))
-            out.append((g, x, lo + base, hi + base, gram[t]))
+            out.append((g, x, c[new], c[end], gram[t]))
         return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
@@ -292,21 +304,47 @@ def _spans(rows: DataFrame) -> DataFrame:
 
 
 def _unpacked(places) -> tuple[np.ndarray, np.ndarray]:
-    p = np.array(places, np.int64)
+    p = np.asarray(places, np.int64)
     return p >> MORE_BITS, p & ((1 << MORE_BITS) - 1)
 
 
+def _split(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the text and start."""
+    return at >> START_BITS, at & ((1 << START_BITS) - 1)
+
+
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of lists of longs, and where each row's begin (and the end); null is empty."""
+    sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _groups(b: pa.RecordBatch):
+    """Keys, ties and strings of a few documents each (key, tie, text, places) of a batch; a document is in one group."""
+    keys, ties = b.column(0).to_numpy(), b.column(1).to_numpy()
+    values, edge = _lists(b.column(3))
+    lo, more = _unpacked(values)
+    size = np.concatenate([[0], np.cumsum(more + LENGTH)])[edge[1:]]
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(size // GROUP)) + 1, [len(keys)]])
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if edge[i] < edge[j]:
+            doc = np.repeat(np.arange(j - i), np.diff(edge[i:j + 1]))
+            some = slice(edge[i], edge[j])
+            order = np.lexsort((lo[some], doc))
+            texts = [t.encode() for t in b.column(2).slice(i, j - i).to_pylist()]
+            yield keys[i:j], ties[i:j], Strings(texts, lo[some][order], (lo + more)[some][order], doc[order])
+
+
 def _pieces(texts: DataFrame, firsts: DataFrame, frequent: np.ndarray) -> DataFrame:
     """Pieces of first phrases, as rows for ``_firsts``."""
     frequent = np.sort(frequent)
 
     def run(batches):
         for b in batches:
-            for key, tie, text, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                lo, more = _unpacked(places)
-                g, x, lo, hi, h = Strings(text.encode(), lo, lo + more).pieces()
-                keys = np.full(len(g), key, np.int64)
-                yield _batch(NAMES, g.view(np.int64), _salts(h.view(np.int64), keys ^ np.int64(tie), frequent), x.view(np.int64), keys, np.full(len(g), tie, np.int64), _place(lo, hi - lo))
+            for keys, ties, strings in _groups(b):
+                g, x, first, last, h = strings.pieces()
+                doc, lo = _split(first)
+                yield _batch(NAMES, g.view(np.int64), _salts(h.view(np.int64), keys[doc] ^ ties[doc], frequent), x.view(np.int64), keys[doc], ties[doc], _place(lo, last - first))
 
     return texts.join(_spans(firsts).hint("shuffle_hash"), ["key", "tie"]).select("key", "tie", "text", "places").mapInArrow(run, ROWS)
 
@@ -316,13 +354,13 @@ def _strings(texts: DataFrame, firsts: DataFrame) -> DataFrame:
     them, else FIRST."""
     def run(batches):
         for b in batches:
-            for key, tie, text, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                lo, more = _unpacked(places)
-                h, x, s = Strings(text.encode(), lo, lo + more).each()
-                order = np.lexsort((s, x, h))
-                same = np.concatenate([[False], (h[order][1:] == h[order][:-1]) & (x[order][1:] == x[order][:-1])])
-                yield _batch(MARK_NAMES, np.where(same, REPEAT, FIRST).astype(np.int32), h[order].view(np.int64), x[order].view(np.int64),
-                             np.full(len(s), key, np.int64), np.full(len(s), tie, np.int64), _place(s[order].astype(np.int64), 0))
+            for keys, ties, strings in _groups(b):
+                h, x, at = strings.each()
+                order = np.lexsort((h, x))      # stable: equal strings of a document are together, the first one first
+                h, x = h[order], x[order]
+                doc, lo = _split(at[order])
+                same = np.concatenate([[False], (h[1:] == h[:-1]) & (x[1:] == x[:-1]) & (doc[1:] == doc[:-1])])
+                yield _batch(MARK_NAMES, np.where(same, REPEAT, FIRST).astype(np.int32), h.view(np.int64), x.view(np.int64), keys[doc], ties[doc], _place(lo, 0))
 
     return texts.join(_spans(firsts).hint("shuffle_hash"), ["key", "tie"]).select("key", "tie", "text", "places").mapInArrow(run, MARKS)
 
@@ -349,13 +387,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_
     def run(batches):
         for b in batches:
             out = []
-            for key, text, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                raw, kept, spans, removed = text.encode(), text.encode(), 0, 0
-                if places is not None:
-                    lo, more = _unpacked(places)
-                    change = np.zeros(len(raw) + 1, np.int64)
-                    np.add.at(change, lo, 1)
-                    np.add.at(change, lo + more + LENGTH, -1)
+            values, edge = _lists(b.column(2))
+            lo, more = _unpacked(values)
+            end = lo + more + LENGTH
+            for i, (key, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)):
+                raw = kept = text.encode()
+                spans = removed = 0
+                if edge[i] < edge[i + 1]:
+                    change = np.zeros(len(raw) + 1, np.int32)
+                    np.add.at(change, lo[edge[i]:edge[i + 1]], 1)
+                    np.add.at(change, end[edge[i]:edge[i + 1]], -1)
                     gone = np.cumsum(change[:-1]) > 0
                     removed = int(gone.sum())
                     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
