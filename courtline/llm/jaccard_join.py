@@ -350,11 +350,11 @@ def _few(few: DataFrame, percent: int) -> DataFrame:
     return pair.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
 
 
-def links(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that connect what the threshold connects, from pairs (a, b, both) to look at, prefix
+def components(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Components (node, label) of links that connect what the threshold connects, from pairs (a, b, both) to look at, prefix
     rows (token, node, n, place, low, high) of keys that many sets share, and the sets' first keys, segments and
     parity sketches."""
-    found, open_ = None, open_.withColumn("label", F.col("node"))
+    labels, open_ = None, open_.withColumn("label", F.col("node"))
     for turn in range(HUB_TURNS + 1):
         if turn < HUB_TURNS:
             hubs = written(_hubs(open_), "jaccard-hubs")
@@ -367,17 +367,17 @@ def links(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame,
             pairs = alike(written(pairs, "jaccard-hub-pairs"), marks, percent)
         pairs = written(pairs if turn else pairs.unionByName(first).distinct(), "jaccard-pairs")
         new = written(linked(pairs, segs, percent), "jaccard-links")
-        found = new if found is None else found.unionByName(new)
+        # each node and its label are all that is left of former links
+        labels = connected_components(new if labels is None else new.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
         if met is None:
             break
-        labels = connected_components(found)
         named = (met.drop("hub", "label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
         named = written(named, "jaccard-named")
         several = named.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least != most").select("token")
         open_ = written(named.join(several, "token").select("token", "node", "n", "place", *_LENGTHS, "label"), "jaccard-open")
         if open_.isEmpty():
             break
-    return found
+    return labels
 
 
 def _maybe_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -427,7 +427,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     texts = (_maybe_wanted(every, some)
              .join(some.hint("shuffle_hash"), ["key", "text_hash"]).dropDuplicates(["key", "text_hash", "node"]))
     segs = written(segments(texts, k, order), "jaccard-segments")
-    labels = connected_components(links(first, open_, keys, segs, marks, percent))
+    labels = components(first, open_, keys, segs, marks, percent)
 
     low = labels.join(classes, "node").groupBy("label").agg(F.min("key").alias("whole"))
     whole = labels.join(low, "label").select("node", "whole")

@@ -267,8 +267,8 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.join(hubs, "band").where("node != a").select("a", F.col("node").alias("b")).distinct()
 
 
-def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links (u, v) that connect what the threshold connects, from classes (node, sig, bands)
+def components(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Components (node, label) of confirmed links that connect what the threshold connects, from classes (node, sig, bands)
     and texts (node, text)."""
     bands = written(_bands(classes), "minhash-bands")
     shared = bands.groupBy("band").agg(F.count("*").alias("m")).where("m > 1")
@@ -277,7 +277,7 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
     some = open_.select("node").distinct().hint("shuffle_hash")
     classes = written(classes.join(some, "node", "left_semi"), "minhash-candidates")
     texts = written(texts.join(some, "node", "left_semi"), "minhash-texts", compression="zstd")
-    found, confirm = None, _linked(k, percent)
+    labels, confirm = None, _linked(k, percent)
     for turn in range(NEIGHBOURS + 2):
         if turn == 0:
             pairs = _against_hub(written(_stars(open_), "minhash-pairs"), classes, "sig", _similar(percent))
@@ -285,10 +285,10 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
             pairs = _crossing(open_, classes, percent, nearest=turn <= NEIGHBOURS)
         pairs = written(pairs, "minhash-pairs")     # each side of the pairs is looked up: compute them once
         new = written(_against_hub(pairs, texts, "text", confirm).select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-links")
-        found = new if found is None else found.unionByName(new)
+        # each node and its label are all that is left of former links
+        labels = connected_components(new if labels is None else new.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
         if turn > NEIGHBOURS:
             break
-        labels = connected_components(found)
         # buckets that still hold several components
         named = (open_.select("band", "node").join(labels, "node", "left")
                  .select("band", "node", F.coalesce("label", "node").alias("label")))
@@ -296,7 +296,7 @@ def links(classes: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFra
         open_ = written(named.join(mixed, "band"), "minhash-open")
         if open_.isEmpty():
             break
-    return found
+    return labels
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
@@ -308,7 +308,7 @@ def _members(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     first = written(first, "minhash-classes")
     texts = (docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
              .join(first.select("key", "text_hash", "node").hint("shuffle_hash"), ["key", "text_hash"]).select("node", "text").dropDuplicates(["node"]))
-    labels = connected_components(links(first.select("node", "sig", "bands"), texts, k, percent))
+    labels = components(first.select("node", "sig", "bands"), texts, k, percent)
     low = labels.join(classes, "node").groupBy("label").agg(F.min("low").alias("whole"))
     linked = labels.join(low, "label").select("node", "label", "whole")
     out = sketch.select("key", "text_hash", "n", "node").join(classes, "node", "left").join(linked, "node", "left")

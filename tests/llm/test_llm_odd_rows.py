@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from courtline.llm import importance, mixing, secrets, textnum, vector_search
+from courtline.llm import importance, jaccard_join, minhash, mixing, repeats, secrets, textnum, vector_search
 
 LETTERS = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
 
@@ -161,3 +161,31 @@ def test_the_pipeline_joins_pairs_from_four_fifths(spark, sf_dir):
     far = words[:-30] + [f"y{i}" for i in range(30)]        # 190 of 250: 0.76
     docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()) == [1, 3]
+
+
+# ------------------------------------------------------------------ work that was done twice
+@pytest.mark.parametrize("module, dedup", [(minhash, minhash.near_duplicates), (jaccard_join, jaccard_join.jaccard_components)])
+def test_components_are_formed_once_a_turn(spark, monkeypatch, module, dedup):
+    """Near copies that the first turn links: their components are formed there, and not again at the end."""
+    calls, formed = [], module.connected_components
+    monkeypatch.setattr(module, "connected_components", lambda edges: calls.append(1) or formed(edges))
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([f"x{i}", *words] if i < 6 else [f"{w}-{i}" for w in words])) for i in range(12)]
+    got = dict(r[:] for r in dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").collect())
+    assert got == {i: 0 if i < 6 else i for i in range(12)}
+    assert len(calls) == 1
+
+
+def test_strings_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(4)
+    texts = [bytes(rng.integers(97, 100, n, dtype=np.uint8)) for n in (100, 130, 900, 5000, 260)]
+    texts.append(texts[2][:400])
+    lo, hi, doc = (np.array(c) for c in zip(*((a, a + m, d) for d, t in enumerate(texts) for a, m in ((0, 0), (5, 24), (20, 140), (310, 90), (1000, 700)) if a + m + repeats.LENGTH <= len(t)), strict=True))
+    several = repeats.Strings(texts, lo, hi, doc)
+    for kind, at in (("each", (2,)), ("pieces", (2, 3))):
+        whole = Counter(zip(*(c.tolist() for c in getattr(several, kind)()), strict=True))
+        alone = Counter()
+        for d, t in enumerate(texts):
+            found = getattr(repeats.Strings([t], lo[doc == d], hi[doc == d], np.zeros((doc == d).sum(), np.int64)), kind)()
+            alone.update(zip(*((c + (d << repeats.START_BITS) if i in at else c).tolist() for i, c in enumerate(found)), strict=True))
+        assert whole == alone
