@@ -43,7 +43,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.llm import textnum
@@ -67,6 +67,7 @@ SHARE = 256                 # pairs of a hub in one group
 _SHIFT = np.uint64(64 - CELL_BITS)
 _LOW = (np.uint64(1) << _SHIFT) - np.uint64(1)
 _LENGTHS = ["low", "high"]
+SET = ["node", "n", "place", *_LENGTHS]
 
 
 def _names(sets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -334,20 +335,27 @@ def _rest(open_: DataFrame, keys: DataFrame, marks: DataFrame, percent: int) ->
             .mapInArrow(run, "a long, b long, both long").distinct())
 
 
-def _keys(shared: DataFrame, percent: int) -> DataFrame:
-    """Prefix rows with a key in place of the token: the token and the set's class of sizes, or the next
-    class.  Sizes within the threshold are in the same class or in neighbouring ones; keys of one set are left out."""
+def _keys(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Prefix rows by key, the token and the set's class of sizes, or the next class: token (the key's hash), m (sets of the
+    key), sets (node, n, place, low, high of each; keys of more than FEW sets have several rows).  Sizes within the
+    threshold are in the same class or in neighbouring ones; keys of one set are left out.  The rows are dealt out by
+    their tokens once, and all is done there."""
     width = 1.0001 * max(math.log(100 / percent), 1e-6)
     size = F.floor(F.log(F.col("n")) / width)
-    keyed = (shared.withColumn("size", F.explode(F.array(size, size + 1))).withColumn("token", F.xxhash64("token", "size")).drop("size"))
-    several = keyed.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").select("token")
-    return keyed.join(several, "token")
+    of_token, of_key = Window.partitionBy("token"), Window.partitionBy("token", "size")
+    several = (prefixes.select("token", *SET, F.min("node").over(of_token).alias("least"), F.max("node").over(of_token).alias("most"))
+               .where("least != most").select("token", *SET).distinct())
+    keyed = (several.withColumn("size", F.explode(F.array(size, size + 1))).withColumn("m", F.count("*").over(of_key)).where("m > 1")
+             .withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / FEW))))
+    return (keyed.groupBy("token", "size", "m", "part").agg(F.collect_list(F.struct(*SET)).alias("sets"))
+            .select(F.xxhash64("token", "size").alias("token"), "m", "sets"))
 
 
 def _few(few: DataFrame, percent: int) -> DataFrame:
-    """All pairs of tokens with few sets that may link."""
-    pair = few.alias("x").join(few.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node")) & _possible(percent, "x", "y"))
-    return pair.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
+    """All pairs of keys with few sets, each key a row, that may link."""
+    pair = (few.select("sets", F.posexplode("sets").alias("at", "x"))
+            .select("x", F.explode(F.slice("sets", F.col("at") + 2, F.size("sets"))).alias("y")).where(_possible(percent, "x", "y")))
+    return pair.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), (F.col("x.n") + F.col("y.n")).alias("both")).distinct()
 
 
 def components(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
@@ -380,11 +388,11 @@ def components(first: DataFrame, open_: DataFrame, keys: DataFrame, segs: DataFr
     return labels
 
 
-def _maybe_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose (key, text_hash) may be among ``wanted``, before they are shuffled: a bitmap of
+def _maybe_wanted(rows: DataFrame, wanted: DataFrame, *by: str) -> DataFrame:
+    """Rows whose columns ``by`` may be among ``wanted``, before they are shuffled: a bitmap of
     2 ** FILTER_BITS hashes, as words that are broadcast, leaves out most others and none of these.  Its size is
     fixed; where it fills up, more rows pass to the join that decides."""
-    place = lambda: F.pmod(F.xxhash64("key", "text_hash"), F.lit(1 << FILTER_BITS))
+    place = lambda: F.pmod(F.xxhash64(*by), F.lit(1 << FILTER_BITS))
     words = (wanted.select(place().alias("place"))
              .groupBy(F.expr("place div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 AS int)))").alias("hits")))
     return (rows.withColumn("place", place()).withColumn("word", F.expr("place div 64"))
@@ -405,26 +413,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     name = _node(F.col("one"), F.col("two"), F.col("n"), salt).alias("node")
     classes = classes.select(name, F.col("first.key").alias("key"), F.col("first.text_hash").alias("text_hash"), F.col("first.bits").alias("bits"))
 
-    prefixes = written(_prefixes(docs, text_col, k, percent, order).select("token", name, "n", "place", *_LENGTHS), "jaccard-prefixes")
-    several = prefixes.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least != most").select("token")
-    shared = prefixes.select("token", "node", "place").join(several.hint("shuffle_hash"), "token").distinct()
-    of_node = prefixes.where("place = 0").select("node", "n", *_LENGTHS).distinct()
-    shared = written(_keys(shared.join(of_node, "node"), percent), "jaccard-shared")
-    keys = shared.groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("keys"))
-    many = shared.groupBy("token").agg(F.count("*").alias("m")).where(F.col("m") > FEW).select("token")
-    open_ = written(shared.join(many, "token"), "jaccard-open")
-    first = written(_few(shared.join(many, "token", "left_anti"), percent), "jaccard-few")
+    shared = written(_keys(_prefixes(docs, text_col, k, percent, order).select("token", name, "n", "place", *_LENGTHS), percent), "jaccard-shared")
+    open_ = written(shared.where(F.col("m") > FEW).select("token", F.inline("sets")), "jaccard-open")
+    first = written(_few(shared.where(F.col("m") <= FEW), percent), "jaccard-few")
 
     def nodes(pairs: DataFrame) -> DataFrame:
         return open_.select("node").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).distinct()
 
-    some = written(classes.join(nodes(first), "node", "left_semi"), "jaccard-candidates")
+    # a set's first keys, for those that share a key with many
+    keys = (_maybe_wanted(shared.select("token", F.explode("sets.node").alias("node")), open_, "node")
+            .groupBy("node").agg(F.slice(F.sort_array(F.collect_list("token")), 1, FIRST).alias("keys")))
+    some = written(_maybe_wanted(classes, nodes(first), "node").join(nodes(first), "node", "left_semi"), "jaccard-candidates")
     marks = some.select("node", "bits")
     first = written(alike(first, marks, percent), "jaccard-few-alike")
     # texts of candidates that parity sketches leave, one for a class
     some = written(some.select("node", "key", "text_hash").join(nodes(first), "node", "left_semi"), "jaccard-wanted")
     every = docs.select(order_key(id_col).alias("key"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).cast("string").alias("text"))
-    texts = (_maybe_wanted(every, some)
+    texts = (_maybe_wanted(every, some, "key", "text_hash")
              .join(some.hint("shuffle_hash"), ["key", "text_hash"]).dropDuplicates(["key", "text_hash", "node"]))
     segs = written(segments(texts, k, order), "jaccard-segments")
     labels = components(first, open_, keys, segs, marks, percent)

@@ -113,6 +113,48 @@ def test_tokens_keep_shingles_apart_and_fragments_in_order():
     assert lengths.sum() == len(toks) and lengths[0, 0] == (toks < cuts[0]).sum()
 
 
+def test_prefix_rows_are_dealt_out_once_and_keys_hold_their_sets(spark):
+    """One shuffle by token, whatever is done with the rows; pairs of few sets are formed where their key's row is."""
+    rng = random.Random(8)
+    sets = {node: rng.randrange(20, 400) if node % 3 else rng.randrange(100, 120) for node in range(150)}
+    rows = [(rng.randrange(90) if node % 3 else 7, node, n, place, 0, 0) for node, n in sets.items() for place in range(4)]
+    rows = list({(r[0], r[1]): r for r in rows}.values())
+    prefixes = spark.createDataFrame(rows + rows[::2], "token long, node long, n long, place int, low long, high long").repartition(5)
+    keys = jaccard_join._keys(prefixes, 90)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(keys).count("Exchange hashpartitioning") == 1
+    # sets of a key, by brute force
+    width, by = 1.0001 * np.log(100 / 90), {}
+    for token, node, n, *_ in rows:
+        for size in (int(np.log(n) / width), int(np.log(n) / width) + 1):
+            by.setdefault((token, size), set()).add(node)
+    want = sorted(sorted(v) for v in by.values() if len(v) > 1)
+    found = {}
+    for r in keys.collect():
+        assert len(r.sets) <= r.m
+        found.setdefault((r.token, r.m), []).extend(x.node for x in r.sets)
+    assert sorted(sorted(v) for v in found.values()) == want and all(len(v) == m for (_, m), v in found.items())
+    assert any(len(v) > jaccard_join.FEW for v in want)
+    few = common.written(keys.where(keys.m <= jaccard_join.FEW), "few")
+    pairs = jaccard_join._few(few, 90)
+    assert plan(pairs).count("Exchange hashpartitioning") == 1      # to make them distinct
+    place = {(token, node): at for token, node, _, at, _, _ in rows}
+
+    def possible(token, a, b):
+        (n, i), (m, j) = ((sets[x], place[token, x]) for x in (a, b))
+        return 100 * min(n, m) >= 90 * max(n, m) and min(i, j) + min(n - i, m - j) >= -(-90 * (n + m) // 190)
+
+    assert {(r.a, r.b, r.both) for r in pairs.collect()} == {
+        (a, b, sets[a] + sets[b]) for (token, _), v in by.items() if len(v) <= jaccard_join.FEW for a in v for b in v if a < b and possible(token, a, b)}
+
+
+def test_a_bitmap_leaves_out_no_wanted_row(spark):
+    rows = spark.range(20_000).selectExpr("id AS node", "id * 2 AS x")
+    wanted = spark.range(0, 20_000, 7).selectExpr("id AS node")
+    left = {r.node for r in jaccard_join._maybe_wanted(rows, wanted, "node").collect()}
+    assert left >= set(range(0, 20_000, 7)) and len(left) < 4_000
+
+
 # ------------------------------------------------------------------ MinHash classes
 def test_equal_sets_are_one_class_wherever_they_stand(spark):
     from courtline.llm import minhash
