@@ -4,14 +4,17 @@ Equal vectors become one entry with its ``k + 1`` smallest ids: no query can nee
 Entries lie in blocks; a block's approximation file holds one byte a component, the cell between
 the least and the greatest value of its dimension in the block, and no exact vector.
 
-1. Scan: every block of queries meets every approximation file (an equi-join on the block number).
-   The cells bound each score from below and above; an entry stays if its upper bound reaches the
-   ``k + 1``-th greatest lower bound, of its block first and then of all blocks.
+1. Scan: files and blocks of queries are dealt over tiles, a group of files with a part of the
+   queries, so that every query meets every file of its length in one tile.  The cells bound each
+   score from below and above; an entry stays if its upper bound reaches the ``k + 1``-th greatest
+   lower bound, of its tile first and then of all tiles.
 2. Read: only the entries that stay fetch their exact vectors, and the best k are ranked by exact
    integer scores.
 
-So the result is exact whatever the cells lose.  The scan is queries x entries, in tasks of bounded
-size; exact vectors are shuffled once to be laid out and once for the few that stay.
+So the result is exact whatever the cells lose.  The scan is queries x entries, in tasks that hold a
+bounded group of files; what is sent grows with the square root of tasks, files and queries, not with
+files times queries.  No vector is broadcast: sizes that Spark estimates after a step in Python or
+an explode leave out what these add, and its estimate of a stored vector is a fixed one.
 
 A vector that is null, or holds a null or non-finite component, takes no part, nor does a null id.
 Only vectors of equal length are compared.  Ties go to the smaller id.  Rows of equal id are
@@ -26,14 +29,19 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtline.llm.common import shuffle_partitions, written
+from courtline.llm.jaccard_join import _maybe_wanted
 
 CELLS = 256                 # one byte a component
-ENTRIES = 4096              # entries of a block
+ENTRIES = 1024              # entries of a block
 QUERIES = 256
+BLOCK_BYTES = 1 << 18       # long vectors make smaller blocks
+TILE_BYTES = 1 << 24        # of the files that a task holds at once
+FOUND = 1 << 20             # entries that a task holds for a block of queries
 SCALE = 256
 LONG = 2 ** 63 - 1
 KEY_BYTES = 272             # two components below 2^1032 each, 2^31 of them
@@ -58,6 +66,15 @@ def score(q: np.ndarray, x: np.ndarray, scale: int = SCALE) -> int:
     return sum(m * n for m, n in zip(exact(q, scale), exact(x, scale), strict=True))
 
 
+def scores(q: np.ndarray, x: np.ndarray, ends: np.ndarray, scale: int = SCALE) -> list[int]:
+    """The scores of many pairs of vectors that lie one after another."""
+    a, b = whole(q, scale), whole(x, scale)
+    if np.abs(a).max(initial=0) * max(1, np.diff(ends).max(initial=0)) < 2.0 ** 31 and np.abs(b).max(initial=0) < 2.0 ** 31:
+        sums = np.concatenate([[0], np.cumsum(a.astype(np.int64) * b.astype(np.int64))])    # differences hold beyond an overflow
+        return (sums[ends[1:]] - sums[ends[:-1]]).tolist()
+    return [score(q[i:j], x[i:j], scale) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def approximated(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Cell of each component, and each dimension's first edge and cell width."""
     with np.errstate(all="ignore"):
@@ -66,31 +83,89 @@ def approximated(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return np.clip(np.nan_to_num((x - low) / width), 0, CELLS - 1).astype(np.uint8), low, width
 
 
+def margins(q: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Half of what lies between a query's bounds, and its score of the cells 0."""
+    size = np.abs(q)
+    most = np.abs(low) + (CELLS + 1) * width
+    half = size @ (width * (0.5 + 1e-9) + most * 1e-14)
+    half += (size @ most) * (q.shape[1] + 8) * 1e-15 + 1e-300           # rounding of the sums
+    return half, q @ (low + width / 2)
+
+
 def bounds(q: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lower and upper bounds of the scores [query, entry]."""
     with np.errstate(all="ignore"):
-        size = np.abs(q)
-        most = np.abs(low) + (CELLS + 1) * width
-        half = size @ (width * (0.5 + 1e-9) + most * 1e-14)
-        half += (size @ most) * (q.shape[1] + 8) * 1e-15 + 1e-300       # rounding of the sums
-        middle = (q * width) @ cells.T.astype(float) + (q @ (low + width / 2))[:, None]
+        half, start = margins(q, low, width)
+        middle = (q * width) @ cells.T.astype(float) + start[:, None]
         lower, upper = middle - half[:, None], middle + half[:, None]
     unsure = ~(np.isfinite(lower) & np.isfinite(upper))
     lower[unsure], upper[unsure] = -np.inf, np.inf
     return lower, upper
 
 
-def scan_block(q: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query, entry, lower, upper) of the entries that may be among a query's best k + 1 of the block."""
-    lower, upper = bounds(q, cells, low, width)
-    least = np.partition(lower, -(k + 1), axis=1)[:, -(k + 1)] if lower.shape[1] > k else np.full(len(q), -np.inf)
-    at = np.nonzero(upper >= least[:, None])
-    return *at, lower[at], upper[at]
+def scan_block(q: np.ndarray, cells: np.ndarray, low: np.ndarray, width: np.ndarray, k: int, least: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(query, entry, lower, upper) of the entries that may be among a query's best k + 1 of the block,
+    and whose upper bound reaches ``least``, a bound of each query."""
+    least = np.full(len(q), -np.inf) if least is None else least
+    with np.errstate(all="ignore"):
+        size = np.abs(q)
+        reach = size @ (width * CELLS)
+        half, start = margins(q, low, width)
+        half += reach * (q.shape[1] + 8) * 1.2e-7                       # rounding of single precision
+        plain = (reach < 1e37) & np.isfinite(half) & np.isfinite(start)
+    if not plain.all():
+        lower, upper = bounds(q, cells, low, width)
+        if lower.shape[1] > k:
+            least = np.maximum(least, np.partition(lower, -(k + 1), axis=1)[:, -(k + 1)])
+        at = np.nonzero(upper >= least[:, None])
+        return *at, lower[at], upper[at]
+    middle = (q * width).astype(np.float32) @ cells.T.astype(np.float32)
+    if middle.shape[1] > k and not np.isfinite(least).all():
+        least = np.maximum(least, np.partition(middle, -(k + 1), axis=1)[:, -(k + 1)] + start - half)
+    with np.errstate(over="ignore"):
+        need = np.nextafter((least - half - start).astype(np.float32), np.float32(-np.inf))
+    own, other = np.divmod(np.flatnonzero(middle >= need[:, None]), middle.shape[1])
+    near_to = middle[own, other] + start[own]
+    lower, upper = near_to - half[own], near_to + half[own]
+    stay = upper >= least[own]
+    return own[stay], other[stay], lower[stay], upper[stay]
+
+
+def greatest(top: np.ndarray, own: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """The greatest values of each row of ``top``, after ``lower`` came to the rows ``own``."""
+    order = np.lexsort((-lower, own))
+    row = own[order]
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    few = place < top.shape[1]
+    more = np.full(top.shape, -np.inf)
+    more[row[few], place[few]] = lower[order][few]
+    return np.sort(np.concatenate([top, more], axis=1), axis=1)[:, -top.shape[1]:]
+
+
+def scan_tile(q: np.ndarray, files: list[tuple[np.ndarray, ...]], k: int):
+    """Lists (query, a, b, lower, upper) of the entries (a, b) of ``files`` that may be among a query's best k + 1."""
+    top, found, count = np.full((len(q), k + 1), -np.inf), [], 0
+
+    def out():
+        own, a, b, lower, upper = map(np.concatenate, zip(*found, strict=True))
+        stay = upper >= top[own, 0]
+        return own[stay], a[stay], b[stay], lower[stay], upper[stay]
+
+    for a, b, low, width, cells in files:
+        own, other, lower, upper = scan_block(q, cells, low, width, k, top[:, 0])
+        top = greatest(top, own, lower)
+        found.append((own, a[other], b[other], lower, upper))
+        count += len(own)
+        if count > FOUND:
+            yield out()
+            found, count = [], 0
+    if found:
+        yield out()
 
 
 def entries(vectors: DataFrame, is_query: Column, id_col: str, vec_col: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct vectors (tag, dim, members, v) with the k + 1 smallest (id, copies), and the queries
-    (tag, id, copies).  A tag is 128 bits of a vector's content."""
+    """Distinct vectors (tag, dim, members, v, asked) with the k + 1 smallest (id, copies), and the queries
+    (tag, id, copies).  A tag is 128 bits of a vector's content; it is asked if it is a query's."""
     x = F.col(vec_col)
     fine = x.isNotNull() & F.col(id_col).isNotNull() & F.forall(x, lambda c: F.coalesce(c.cast("double").between(-1.7976931348623157e308, 1.7976931348623157e308), F.lit(False)))
     rows = vectors.where(fine).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: c.cast("double") + F.lit(0.0)).alias("v"),
@@ -100,75 +175,115 @@ def entries(vectors: DataFrame, is_query: Column, id_col: str, vec_col: str, k:
     first = F.row_number().over(Window.partitionBy("tag").orderBy("id"))
     members = (rows.select("tag", "id", "copies", "v", first.alias("place")).where(F.col("place") <= k + 1)
                .groupBy("tag").agg(F.sort_array(F.collect_list(F.struct("id", F.least("copies", F.lit(k + 1)).alias("copies")))).alias("members"), F.any_value("v").alias("v")))
-    return written(members.withColumn("dim", F.size("v")), "vector-entries"), rows.where("asked > 0").select("tag", "id", F.col("asked").alias("copies"))
+    queries = rows.where("asked > 0").select("tag", "id", F.col("asked").alias("copies"))
+    whose = queries.select("tag").distinct().withColumn("asked", F.lit(True)).hint("shuffle_hash")
+    table = members.join(whose, "tag", "left").select("tag", "members", "v", F.size("v").alias("dim"), F.col("asked").isNotNull().alias("asked"))
+    return written(table, "vector-entries"), queries
 
 
-def _blocks(rows: DataFrame, size: int, count: int, scale: int, approximate: bool) -> DataFrame:
-    """Entries (tag, dim, v) dealt over blocks of about ``size``: approximation files, or whole vectors."""
-    n = max(1, -(-count // size))
+def _blocks(rows: DataFrame, size: int, scale: int, approximate: bool) -> DataFrame:
+    """Entries (tag, dim, v) in blocks of up to ``size`` of one length, as they lie: approximation files, or whole
+    vectors.  Blocks of a task have consecutive numbers ``at``."""
 
     def pack(batches):
-        at, a, b, vecs = None, [], [], []
+        at, held = int(TaskContext.get().partitionId() * 0.6180339887498949 % 1 * 2 ** 30), {}
+
+        def most(dim):
+            return max(1, min(size, BLOCK_BYTES // max(1, dim * (1 if approximate else 8))))
+
+        def out(dim):
+            nonlocal at
+            a, b, vecs = map(np.concatenate, zip(*held.pop(dim), strict=True))
+            for i in range(0, len(a), n := most(dim)):
+                x = whole(vecs[i:i + n], scale)
+                if approximate:
+                    cells, low, width = approximated(x)
+                else:
+                    far = np.abs(x).max(initial=0)
+                    cells, low, width = x.astype(np.int16 if far < 2 ** 15 else np.int32 if far < 2 ** 31 else float), np.zeros(0), np.zeros(0)
+                yield pa.RecordBatch.from_pydict({"at": pa.array([at], pa.int32()), "dim": pa.array([dim], pa.int32()), "a": pa.array([a[i:i + n]]), "b": pa.array([b[i:i + n]]),
+                                                  "low": [low.tobytes()], "width": [width.tobytes()], "cells": [cells.tobytes()]})
+                at += 1
 
-        def out():
-            x = whole(np.array(vecs, float).reshape(len(vecs), at[1]), scale)
-            cells, low, width = approximated(x) if approximate else (x, np.zeros(0), np.zeros(0))
-            return pa.RecordBatch.from_pydict({"blk": pa.array([at[0]], pa.int32()), "dim": pa.array([at[1]], pa.int32()), "a": pa.array([a]), "b": pa.array([b]),
-                                               "low": [low.tobytes()], "width": [width.tobytes()], "cells": [cells.tobytes()]})
         for batch in batches:
-            for blk, dim, ta, tb, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if vecs and ((blk, dim) != at or len(vecs) >= size):
-                    yield out()
-                    a, b, vecs = [], [], []
-                at = (blk, dim)
-                a.append(ta)
-                b.append(tb)
-                vecs.append(v)
-        if vecs:
-            yield out()
+            a, b, sizes, flat = (c.to_numpy(zero_copy_only=False) for c in (batch[0], batch[1], batch[2].value_lengths(), batch[2].flatten()))
+            for dim in np.unique(sizes).tolist():
+                mine = sizes == dim
+                held.setdefault(dim, []).append((a[mine], b[mine], flat[np.repeat(mine, sizes)].reshape(mine.sum(), dim)))
+                if sum(len(h[0]) for h in held[dim]) >= most(dim):
+                    yield from out(dim)
+            if sum(len(h[0]) for x in held.values() for h in x) >= 4 * size:    # of many lengths
+                for dim in [*held]:
+                    yield from out(dim)
+        for dim in [*held]:
+            yield from out(dim)
+
+    return rows.select("tag.a", "tag.b", "v").mapInArrow(pack, "at int, dim int, a array<long>, b array<long>, low binary, width binary, cells binary")
+
+
+def dealt(entry_bytes: int, query_bytes: int, tasks: int) -> tuple[int, int]:
+    """Groups of files and parts of the queries: at least ``tasks`` tiles, with the least to be sent, and no
+    group larger than a task holds.  Files go to each part, queries to each group."""
+    even = round(math.sqrt(tasks * entry_bytes / max(1, query_bytes)))
+    groups = max(1, min(tasks, even), -(-entry_bytes // TILE_BYTES))
+    return groups, max(1, -(-tasks // groups))
+
 
-    dealt = rows.select(F.pmod(F.col("tag.a"), F.lit(n)).cast("int").alias("blk"), "dim", "tag.a", "tag.b", "v")
-    return (dealt.repartition(shuffle_partitions(rows.sparkSession), "blk", "dim").sortWithinPartitions("blk", "dim", "a", "b")
-            .mapInArrow(pack, "blk int, dim int, a array<long>, b array<long>, low binary, width binary, cells binary"))
+def tiles(table: DataFrame, asked: DataFrame, scale: int) -> DataFrame:
+    """Approximation files (kind 0) and blocks of queries (kind 1) by tile; in a tile each length's files come first."""
+    n, dims, m, asked_dims = table.agg(F.count("*"), F.sum("dim"), F.count_if("asked"), F.sum(F.when(F.col("asked"), F.col("dim")))).first()
+    groups, parts = dealt((dims or 0) + 16 * n, 2 * (asked_dims or 0) + 16 * m, 2 * shuffle_partitions(table.sparkSession))
+
+    def tile(blocks, kind, group, part):
+        return blocks.select(group.alias("group"), part.alias("part"), F.lit(kind).alias("kind"), *blocks.columns)
+
+    def each(count):
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    both = (tile(_blocks(table, ENTRIES, scale, True), 0, F.pmod("at", F.lit(groups)), each(parts))
+            .unionByName(tile(_blocks(asked, QUERIES, scale, False), 1, each(groups), F.pmod("at", F.lit(parts)))))
+    return (both.withColumn("tile", F.col("group").cast("long") * parts + F.col("part")).select("tile", "dim", "kind", "a", "b", "low", "width", "cells")
+            .repartition(groups * parts, "tile").sortWithinPartitions("tile", "dim", "kind"))
 
 
 def near(table: DataFrame, asked: DataFrame, k: int, scale: int) -> DataFrame:
     """The scan: (q, tag) of the entries whose upper bound reaches the (k + 1)th greatest lower bound."""
-    n = max(1, -(-table.count() // ENTRIES))
-    files = _blocks(table, ENTRIES, n * ENTRIES, scale, True)
-    queries = _blocks(asked, QUERIES, asked.count(), scale, False)
-    # a copy of each block of queries for each approximation file; both sides are hash blocks of even size
-    sent = queries.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("to"), F.col("dim").alias("q_dim"), F.col("a").alias("qa"), F.col("b").alias("qb"), F.col("cells").alias("q"))
-    met = sent.join(files, (F.col("to") == F.col("blk")) & (F.col("q_dim") == F.col("dim"))).select("dim", "qa", "qb", "q", "a", "b", "low", "width", "cells")
 
     def run(batches):
+        held, files = None, []
         for batch in batches:
             for i in range(batch.num_rows):
-                dim, qa, qb, q, a, b, low, width, cells = (c[i].as_py() for c in batch.columns)
-                q = np.frombuffer(q).reshape(len(qa), dim)
-                own, other, lower, upper = scan_block(q, np.frombuffer(cells, np.uint8).reshape(len(a), dim), np.frombuffer(low), np.frombuffer(width), k)
-                yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)[at]) for c, at in ((qa, own), (qb, own), (a, other), (b, other))]
-                                                 + [pa.array(lower), pa.array(upper)], names=["qa", "qb", "a", "b", "lower", "upper"])
-
-    found = written(met.mapInArrow(run, "qa long, qb long, a long, b long, lower double, upper double"), "vector-bounds")
-    place = F.row_number().over(Window.partitionBy("qa", "qb").orderBy(F.desc("lower")))
-    least = found.select("qa", "qb", "lower", place.alias("place")).where(F.col("place") <= k + 1).groupBy("qa", "qb").agg(
-        F.when(F.count("*") > k, F.min("lower")).otherwise(F.lit(float("-inf"))).alias("least"))
-    return found.join(least, ["qa", "qb"]).where("upper >= least").select(F.struct(F.col("qa").alias("a"), F.col("qb").alias("b")).alias("q"), F.struct("a", "b").alias("tag"))
+                tile, dim, kind, a, b, low, width, cells = (c[i] for c in batch.columns)
+                at, a, b, cells = (tile.as_py(), dim.as_py()), a.values.to_numpy(), b.values.to_numpy(), cells.as_py()
+                if at != held:
+                    held, files = at, []
+                if kind.as_py() == 0:
+                    files.append((a.copy(), b.copy(), np.frombuffer(low.as_py()), np.frombuffer(width.as_py()), np.frombuffer(cells, np.uint8).reshape(len(a), at[1])))
+                    continue
+                kinds = {2: np.int16, 4: np.int32, 8: float}
+                q = np.frombuffer(cells, kinds[len(cells) // len(a) // at[1]] if at[1] else float).reshape(len(a), at[1]).astype(float)
+                for own, xa, xb, lower, upper in scan_tile(q, files, k):
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, (a[own], b[own], xa, xb, lower, upper))], names=["qa", "qb", "a", "b", "lower", "upper"])
+
+    found = tiles(table, asked, scale).mapInArrow(run, "qa long, qb long, a long, b long, lower double, upper double")
+    every = Window.partitionBy("qa", "qb").orderBy(F.desc("lower")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (found.withColumn("least", F.nth_value("lower", k + 1).over(every)).where("least IS NULL OR upper >= least")
+            .select(F.struct(F.col("qa").alias("a"), F.col("qb").alias("b")).alias("q"), F.struct("a", "b").alias("tag")))
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", *, k: int = 5, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score."""
     table, queries = entries(vectors, is_query, id_col, vec_col, k)
-    asked = table.join(queries.select("tag").distinct(), "tag", "left_semi").select("tag", "dim", "v")
-    pairs = near(table, asked, k, scale).join(asked.select(F.col("tag").alias("q"), F.col("v").alias("qv")), "q")
-    pairs = pairs.join(table.select("tag", "v", "members"), "tag").select("q", "tag", "members", "qv", "v")
+    asked = table.where("asked")
+    pairs = written(near(table, asked, k, scale), "vector-pairs")
+    stay = _maybe_wanted(table.select("tag", "v", "members"), pairs, "tag").hint("merge")
+    pairs = pairs.join(asked.select(F.col("tag").alias("q"), F.col("v").alias("qv")).hint("merge"), "q")
+    pairs = pairs.join(stay, "tag").select("q", "tag", "members", "qv", "v")
 
     def run(batches):
         for b in batches:
-            (qv, qs), (xv, xs) = ((c.flatten().to_numpy(), c.value_lengths().to_numpy()) for c in b.columns[3:])
-            at = np.concatenate([[0], np.cumsum(qs, dtype=np.int64)])
-            exactly = [score(qv[i:j], xv[i:j], scale) for i, j in zip(at[:-1], at[1:], strict=True)]
+            qv, xv = (c.flatten().to_numpy() for c in b.columns[3:])
+            exactly = scores(qv, xv, np.concatenate([[0], np.cumsum(b.column(3).value_lengths().to_numpy(), dtype=np.int64)]), scale)
             shown = [max(-LONG - 1, min(LONG, s)) for s in exactly]
             key = [None if -LONG - 1 < s < LONG else (s + (1 << 8 * KEY_BYTES - 1)).to_bytes(KEY_BYTES, "big") for s in exactly]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(shown, pa.int64()), pa.array(key, pa.binary())], names=["q", "tag", "members", "score", "beyond"])

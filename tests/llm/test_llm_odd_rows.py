@@ -62,6 +62,41 @@ def test_bounds_hold_every_score(monkeypatch):
         assert len(own) < 20 * 500 / 3 or scale < 1        # most exact vectors are never read
 
 
+def test_copies_of_queries_are_not_broadcast(spark, monkeypatch):
+    """240 queries, for each of 1200 files: 150 MB of copies, which Spark took for the 120 kB that they are made of."""
+    rng = np.random.default_rng(4)
+    rows = [(i * 10, rng.normal(size=64).tolist()) for i in range(1200)]
+    monkeypatch.setattr(vector_search, "ENTRIES", 1)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    try:
+        spark.conf.set("spark.sql.maxBroadcastTableSize", "72m")   # the least page of a small table counts as up to 64 MB
+        got = Counter(tuple(r) for r in vector_search.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert got == brute_top(rows)
+
+
+@pytest.mark.parametrize("found", [1 << 20, 50])
+@pytest.mark.parametrize("scale", [1.0, 1e6, 1e200, 1e301])
+def test_a_tile_keeps_the_best_of_its_files(monkeypatch, scale, found):
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(vector_search, "FOUND", found)
+    x, q = (vector_search.whole(rng.normal(size=(n, 16)), 256) for n in (900, 20))
+    x[450:] *= scale
+    files = [(np.arange(i, i + 100), np.arange(i, i + 100), low, width, cells)
+             for i in range(0, 900, 100) for cells, low, width in [vector_search.approximated(x[i:i + 100])]]
+    own, a, b, lower, upper = (np.concatenate(c) for c in zip(*vector_search.scan_tile(q, files, 5), strict=True))
+    true = q @ x.T
+    assert (a == b).all() and (lower <= true[own, a]).all() and (true[own, a] <= upper).all()
+    assert all(set(np.argsort(-true[i])[:6]) <= set(a[own == i]) for i in range(20))
+
+
+def test_tiles_suffice_and_fit():
+    for sent in [(0, 0, 16), (5 * 10**7, 2 * 10**6, 38), (12 * 10**8, 43 * 10**6, 1200), (10**11, 1, 24), (10**6, 10**11, 24)]:
+        groups, parts = vector_search.dealt(*sent)
+        assert groups * parts >= sent[2] and sent[0] <= groups * vector_search.TILE_BYTES
+
+
 # ------------------------------------------------------------------ secrets
 def test_time_of_a_long_text_follows_its_length():
     def seconds(n):
