@@ -37,10 +37,10 @@ from courtline.llm.common import shuffle_partitions, written
 from courtline.llm.jaccard_join import _maybe_wanted
 
 CELLS = 256                 # one byte a component
-ENTRIES = 1024              # entries of a block
+ENTRIES = 2048              # entries of a block
 QUERIES = 256
 BLOCK_BYTES = 1 << 18       # long vectors make smaller blocks
-TILE_BYTES = 1 << 24        # of the files that a task holds at once
+TILE_BYTES = 1 << 25        # of the files that a task holds at once
 FOUND = 1 << 20             # entries that a task holds for a block of queries
 SCALE = 256
 LONG = 2 ** 63 - 1
@@ -50,7 +50,7 @@ KEY_BYTES = 272             # two components below 2^1032 each, 2^31 of them
 def whole(x: np.ndarray, scale: int) -> np.ndarray:
     """floor(scale * x) as doubles; infinite where that is beyond a double."""
     with np.errstate(over="ignore"):
-        return np.floor(x * scale)
+        return np.floor(np.asarray(x, float) * scale)
 
 
 def exact(x: np.ndarray, scale: int) -> list[int]:
@@ -148,7 +148,8 @@ def scan_tile(q: np.ndarray, files: list[tuple[np.ndarray, ...]], k: int):
 
     def out():
         own, a, b, lower, upper = map(np.concatenate, zip(*found, strict=True))
-        stay = upper >= top[own, 0]
+        stay = np.argsort(own, kind="stable")       # equal neighbours take little room in the shuffle
+        stay = stay[upper[stay] >= top[own[stay], 0]]
         return own[stay], a[stay], b[stay], lower[stay], upper[stay]
 
     for a, b, low, width, cells in files:
@@ -168,17 +169,20 @@ def entries(vectors: DataFrame, is_query: Column, id_col: str, vec_col: str, k:
     (tag, id, copies).  A tag is 128 bits of a vector's content; it is asked if it is a query's."""
     x = F.col(vec_col)
     fine = x.isNotNull() & F.col(id_col).isNotNull() & F.forall(x, lambda c: F.coalesce(c.cast("double").between(-1.7976931348623157e308, 1.7976931348623157e308), F.lit(False)))
-    rows = vectors.where(fine).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: c.cast("double") + F.lit(0.0)).alias("v"),
+    kind = "float" if vectors.select(x).dtypes[0][1] == "array<float>" else "double"
+    rows = vectors.where(fine).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: c.cast(kind) + F.lit(0.0).cast(kind)).alias("v"),
                                       F.coalesce(is_query, F.lit(False)).cast("long").alias("asked"))
-    rows = rows.withColumn("tag", F.struct(F.xxhash64(F.size("v"), "v").alias("a"), F.xxhash64(F.lit("other"), "v", F.size("v")).alias("b")))
-    rows = written(rows.groupBy("tag", "id").agg(F.count("*").alias("copies"), F.sum("asked").alias("asked"), F.any_value("v").alias("v")), "vectors")
+    # of the type that is read again, else the join would cast and shuffle once more
+    rows = rows.withColumn("tag", F.struct(F.xxhash64(F.size("v"), "v").alias("a"), F.xxhash64(F.lit("other"), "v", F.size("v")).alias("b")).cast("struct<a:bigint,b:bigint>"))
+    ids = written(rows.groupBy("tag", "id").agg(F.count("*").alias("copies"), F.sum("asked").alias("asked")), "vector-ids")
     first = F.row_number().over(Window.partitionBy("tag").orderBy("id"))
-    members = (rows.select("tag", "id", "copies", "v", first.alias("place")).where(F.col("place") <= k + 1)
-               .groupBy("tag").agg(F.sort_array(F.collect_list(F.struct("id", F.least("copies", F.lit(k + 1)).alias("copies")))).alias("members"), F.any_value("v").alias("v")))
-    queries = rows.where("asked > 0").select("tag", "id", F.col("asked").alias("copies"))
+    members = (ids.select("tag", "id", "copies", first.alias("place")).where(F.col("place") <= k + 1)
+               .groupBy("tag").agg(F.sort_array(F.collect_list(F.struct("id", F.least("copies", F.lit(k + 1)).alias("copies")))).alias("members")))
+    queries = ids.where("asked > 0").select("tag", "id", F.col("asked").alias("copies"))
     whose = queries.select("tag").distinct().withColumn("asked", F.lit(True)).hint("shuffle_hash")
-    table = members.join(whose, "tag", "left").select("tag", "members", "v", F.size("v").alias("dim"), F.col("asked").isNotNull().alias("asked"))
-    return written(table, "vector-entries"), queries
+    # the vectors themselves are shuffled once and written once
+    table = rows.groupBy("tag").agg(F.any_value("v").alias("v")).join(members.join(whose, "tag", "left").hint("merge"), "tag")
+    return written(table.select("tag", "members", "v", F.size("v").alias("dim"), F.col("asked").isNotNull().alias("asked")), "vector-entries"), queries
 
 
 def _blocks(rows: DataFrame, size: int, scale: int, approximate: bool) -> DataFrame:
@@ -222,17 +226,18 @@ def _blocks(rows: DataFrame, size: int, scale: int, approximate: bool) -> DataFr
 
 
 def dealt(entry_bytes: int, query_bytes: int, tasks: int) -> tuple[int, int]:
-    """Groups of files and parts of the queries: at least ``tasks`` tiles, with the least to be sent, and no
+    """Groups of files and parts of the queries: at least ``tasks`` tiles, so that the least is sent, and no
     group larger than a task holds.  Files go to each part, queries to each group."""
     even = round(math.sqrt(tasks * entry_bytes / max(1, query_bytes)))
     groups = max(1, min(tasks, even), -(-entry_bytes // TILE_BYTES))
     return groups, max(1, -(-tasks // groups))
 
 
-def tiles(table: DataFrame, asked: DataFrame, scale: int) -> DataFrame:
+def tiles(table: DataFrame, asked: DataFrame, k: int, scale: int) -> DataFrame:
     """Approximation files (kind 0) and blocks of queries (kind 1) by tile; in a tile each length's files come first."""
     n, dims, m, asked_dims = table.agg(F.count("*"), F.sum("dim"), F.count_if("asked"), F.sum(F.when(F.col("asked"), F.col("dim")))).first()
-    groups, parts = dealt((dims or 0) + 16 * n, 2 * (asked_dims or 0) + 16 * m, 2 * shuffle_partitions(table.sparkSession))
+    # of a query a group gets its vector, and sends about two times k + 1 entries
+    groups, parts = dealt((dims or 0) + 16 * n, 2 * (asked_dims or 0) + 16 * m + 64 * (k + 1) * m, shuffle_partitions(table.sparkSession))
 
     def tile(blocks, kind, group, part):
         return blocks.select(group.alias("group"), part.alias("part"), F.lit(kind).alias("kind"), *blocks.columns)
@@ -243,7 +248,7 @@ def tiles(table: DataFrame, asked: DataFrame, scale: int) -> DataFrame:
     both = (tile(_blocks(table, ENTRIES, scale, True), 0, F.pmod("at", F.lit(groups)), each(parts))
             .unionByName(tile(_blocks(asked, QUERIES, scale, False), 1, each(groups), F.pmod("at", F.lit(parts)))))
     return (both.withColumn("tile", F.col("group").cast("long") * parts + F.col("part")).select("tile", "dim", "kind", "a", "b", "low", "width", "cells")
-            .repartition(groups * parts, "tile").sortWithinPartitions("tile", "dim", "kind"))
+            .repartition(2 * groups * parts, "tile").sortWithinPartitions("tile", "dim", "kind"))
 
 
 def near(table: DataFrame, asked: DataFrame, k: int, scale: int) -> DataFrame:
@@ -265,7 +270,7 @@ def near(table: DataFrame, asked: DataFrame, k: int, scale: int) -> DataFrame:
                 for own, xa, xb, lower, upper in scan_tile(q, files, k):
                     yield pa.RecordBatch.from_arrays([*map(pa.array, (a[own], b[own], xa, xb, lower, upper))], names=["qa", "qb", "a", "b", "lower", "upper"])
 
-    found = tiles(table, asked, scale).mapInArrow(run, "qa long, qb long, a long, b long, lower double, upper double")
+    found = tiles(table, asked, k, scale).mapInArrow(run, "qa long, qb long, a long, b long, lower double, upper double")
     every = Window.partitionBy("qa", "qb").orderBy(F.desc("lower")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (found.withColumn("least", F.nth_value("lower", k + 1).over(every)).where("least IS NULL OR upper >= least")
             .select(F.struct(F.col("qa").alias("a"), F.col("qb").alias("b")).alias("q"), F.struct("a", "b").alias("tag")))
